@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup
+from . import grammar, near_dedup
 from .text import load
 
 
@@ -12,6 +12,13 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, sf_dir, "documents"), shingle=4)
 
 
-QUERIES = {"op1_near_dedup": op1_near_dedup}
+def op5_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grammar.token_files(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
+    "op5_token_grammar": op5_token_grammar,
+}
 
 ORACLES: dict[str, str] = {}
