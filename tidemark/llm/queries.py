@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grammar, near_dedup
+from . import grammar, near_dedup, packing
 from .text import load
 
 
@@ -16,9 +16,14 @@ def op5_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.token_files(load(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op5_token_grammar": op5_token_grammar,
+    "op7_packing": op7_packing,
 }
 
 ORACLES: dict[str, str] = {}
