@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grammar, near_dedup, packing
+from . import grammar, media, near_dedup, packing, secrets
 from .text import load
 
 
@@ -12,6 +12,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, sf_dir, "documents"), shingle=4)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(load(spark, sf_dir, "documents"))
+
+
 def op5_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.token_files(load(spark, sf_dir, "documents"))
 
@@ -20,10 +24,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(load(spark, sf_dir, "documents"))
 
 
+def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.stored_features(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op3_secrets": op3_secrets,
     "op5_token_grammar": op5_token_grammar,
     "op7_packing": op7_packing,
+    "op8_media": op8_media,
 }
 
 ORACLES: dict[str, str] = {}
