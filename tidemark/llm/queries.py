@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grammar, media, near_dedup, packing, secrets
+from . import decontaminate, grammar, media, near_dedup, packing, secrets
 from .text import load
 
 
@@ -16,6 +16,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(load(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op5_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.token_files(load(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op3_secrets": op3_secrets,
+    "op4_decontaminate": op4_decontaminate,
     "op5_token_grammar": op5_token_grammar,
     "op7_packing": op7_packing,
     "op8_media": op8_media,
