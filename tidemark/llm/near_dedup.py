@@ -23,6 +23,8 @@ from .text import U, documents, hash_spans, mix, randoms, settled, slices, spans
 BANDS, ROWS = 40, 6
 #: Verifications that one task does against one hub.
 FANOUT = 64
+#: Counters that order shingles by frequency, and how many of them travel together: 8 MB, whatever the data.
+SLOTS, BLOCK = 1 << 20, 1 << 14
 FULL = np.iinfo(np.uint64).max
 
 
@@ -120,15 +122,71 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     return members.unionByName(hubs).join(texts, "node").groupBy("hub", "part").applyInArrow(_verified(n, percent), "a binary, b binary")
 
 
+def _tally(n: int):
+    """Over texts: how many sets have a shingle in each slot, in blocks of slots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for b in slices(batches):
+            for s in shingles(*utf8(b.column("text")), n):
+                np.add.at(total, (s % U(SLOTS)).astype(np.int64), 1)
+        blocks = np.flatnonzero(total.reshape(-1, BLOCK).any(1))
+        yield pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int32()), "counts": pa.array([total[k * BLOCK : (k + 1) * BLOCK].tobytes() for k in blocks], pa.binary())})
+
+    return run
+
+
+def _add(group: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x.as_py(), np.int64) for x in group.column("counts"))
+    return pa.table({"block": group.column("block").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+
+def _prefixes(n: int, percent: int, shared):
+    """Over texts: of each set the rarest shingles, so many that two similar sets have one of them in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for b in slices(batches):
+            for node, root, s in zip(b.column("node").to_pylist(), b.column("root").to_pylist(), shingles(*utf8(b.column("text")), n), strict=True):
+                if node_of(s) == node:
+                    k = len(s) - -(-percent * len(s) // 100) + 1
+                    s, size = s[np.lexsort((s, counts[(s % U(SLOTS)).astype(np.int64)]))][:k], len(s)
+                    yield pa.RecordBatch.from_pydict(
+                        {"node": pa.array([node] * k, pa.binary()), "root": pa.array([root] * k, pa.binary()), "shingle": s.view(np.int64), "at": np.arange(k), "n": np.full(k, size)}
+                    )
+
+    return run
+
+
+def rare_pairs(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Of texts(node, root, text), the pairs (hub, node) of unlike roots that may be similar: an exact prefix filter.
+
+    Shingles are ordered by how many sets have them (counted in SLOTS slots; any order gives whole results). Similar
+    sets share one of their first shingles, and from the first shared one on, enough are left in both for the overlap.
+    """
+    spark = texts.sparkSession
+    sums = texts.mapInArrow(_tally(n), "block int, counts binary").groupBy("block").applyInArrow(_add, "block int, counts binary").collect()
+    counts = np.zeros(SLOTS, np.int64)
+    for block, part in sums:
+        counts[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(part, np.int64)
+    prefixes = settled(texts.mapInArrow(_prefixes(n, percent, spark.sparkContext.broadcast(counts)), "node binary, root binary, shingle long, at long, n long"))
+    mixed = prefixes.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("shingle")
+    left = prefixes.join(mixed, "shingle")
+    right = left.select("shingle", F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("at").alias("hub_at"), F.col("n").alias("hub_n"))
+    enough = f"{100 + percent} * least(n - at, hub_n - hub_at) >= {percent} * (n + hub_n)"
+    return left.join(right, "shingle").where(f"hub < node and root <> hub_root and {enough}").select("hub", "node").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs(doc_id, text).
 
     Words are lower-cased (A-Z); two documents are linked if 100 * |intersection| >= percent * |union| of their shingle
     sets. Documents with one and the same set form a class, which takes part once; a class keeps its smallest doc_id.
-    In every bucket of a band, pairs are verified in three steps: each class against one hub, against the smallest
-    class of each of its buckets, and then against all in its buckets. A step leaves out pairs that the steps before
-    have joined to one component, so no link between components is lost, and a group of thousands of near copies
-    costs about one pair a copy. Nothing is capped.
+    Candidates are verified in three steps: each class against one hub, each against the smallest class of each of its
+    buckets, and those whose buckets still hold several components against each other, as far as an exact prefix filter
+    on their rarest shingles lets them pass. A step leaves out pairs that the steps before have joined to one
+    component, so no link between components is lost; thousands of near copies of one text cost few pairs each,
+    whether they are similar enough or not. Nothing is capped.
 
     Empty and null texts have 0 shingles and are components of their own. Repeated rows and repeated ids are rows of
     their own in the result. A null doc_id stays null and takes part like any other row.
@@ -155,9 +213,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     edges = edges.unionByName(links(own.join(heads, "key").where("root <> hub_root").select("hub", "node")))
     own = settled(rooted(edges))
     mixed = own.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    left = own.join(mixed, "key").select("key", "node", "root")
-    other = left.select("key", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-    edges = edges.unionByName(links(left.join(other, "key").where("hub < node and root <> hub_root").select("hub", "node")))
+    unsure = own.join(mixed, "key").select("node", "root").distinct().join(texts, "node")
+    edges = edges.unionByName(links(rare_pairs(settled(unsure), shingle, percent)))
     roots = settled(connected_components(edges))
     ids = marks.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = ids.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
