@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, grammar, media, near_dedup, packing, secrets
+from . import decontaminate, grammar, media, near_dedup, packing, secrets, substring_dedup
 from .text import load
 
 
@@ -12,6 +12,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, sf_dir, "documents"), shingle=4)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(load(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(load(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_secrets": op3_secrets,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_grammar": op5_token_grammar,
