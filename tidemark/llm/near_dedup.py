@@ -67,7 +67,7 @@ def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix((c * randoms(rows, 21)).sum(2, dtype=U) + randoms(bands, 22))
 
 
-def node_of(shingle_set: np.ndarray) -> bytes:
+def digest_of(shingle_set: np.ndarray) -> bytes:
     return xxhash.xxh3_128(shingle_set.tobytes()).digest()
 
 
@@ -81,32 +81,36 @@ def _sketches(n: int, bands: int, rows: int):
                 for k, row in zip(some, band_keys(sketch([sets[k] for k in some], bands * rows), bands, rows), strict=True):
                     keys[k] = row.view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "node", "keys"],
+                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest_of(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "digest", "keys"],
             )
 
     return run
 
 
+def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """node, root and shingle set of each row whose text is its class's."""
+    for b in slices(batches):
+        for node, root, digest, s in zip(b.column("node").to_pylist(), b.column("root").to_pylist(), b.column("digest").to_pylist(), shingles(*utf8(b.column("text")), n), strict=True):
+            if digest_of(s) == digest:
+                yield node, root, s
+
+
 def _verified(n: int, percent: int):
     """Over the rows of one hub and a part of its partners: the partners that are linked to the hub."""
 
     def run(group: pa.Table) -> pa.Table:
-        hub = group.column("hub")[0].as_py()
-        found, base = [], None
-        for own in (True, False):  # the hub's own row first
-            for b in slices(group.filter(pa.compute.equal(group.column("own"), own)).to_batches()):
-                for node, s in zip(b.column("node").to_pylist(), shingles(*utf8(b.column("text")), n), strict=True):
-                    if node_of(s) != node:
-                        continue
-                    if own:
-                        base = s
-                    elif base is not None:
-                        at = np.minimum(np.searchsorted(base, s), len(base) - 1)
-                        both = int((base[at] == s).sum())
-                        if 100 * both >= percent * (len(s) + len(base) - both):
-                            found.append(node)
-        return pa.table({"a": pa.array([hub] * len(found), pa.binary()), "b": pa.array(found, pa.binary())})
+        hub, base, found = group.column("root")[0].as_py(), None, []
+        own = pa.compute.equal(group.column("node"), hub)
+        for _, _, base in _sets(group.filter(own).to_batches(), n):
+            break
+        if base is not None:
+            for node, _, s in _sets(group.filter(pa.compute.invert(own)).to_batches(), n):
+                at = np.minimum(np.searchsorted(base, s), len(base) - 1)
+                both = int((base[at] == s).sum())
+                if 100 * both >= percent * (len(s) + len(base) - both):
+                    found.append(node)
+        return pa.table({"a": pa.array([hub] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
 
     return run
 
@@ -116,10 +120,10 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
     A hub's pairs are dealt to groups of about FANOUT; its text goes to each of them.
     """
-    dealt = pairs.join(pairs.groupBy("hub").agg(F.ceil(F.count("*") / FANOUT).alias("parts")), "hub").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-    members = dealt.select("hub", "part", "node", F.lit(False).alias("own"))
-    hubs = dealt.select("hub", "part").distinct().select("hub", "part", F.col("hub").alias("node"), F.lit(True).alias("own"))
-    return members.unionByName(hubs).join(texts, "node").groupBy("hub", "part").applyInArrow(_verified(n, percent), "a binary, b binary")
+    fans = pairs.groupBy("hub").agg(F.ceil(F.count("*") / FANOUT).alias("parts"))
+    members = pairs.join(fans, "hub").select(F.col("hub").alias("root"), F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), "node")
+    hubs = fans.select(F.col("hub").alias("root"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("hub").alias("node"))
+    return members.unionByName(hubs).join(texts, "node").groupBy("root", "part").applyInArrow(_verified(n, percent), "a long, b long")
 
 
 def _tally(n: int):
@@ -127,9 +131,8 @@ def _tally(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
-        for b in slices(batches):
-            for s in shingles(*utf8(b.column("text")), n):
-                np.add.at(total, (s % U(SLOTS)).astype(np.int64), 1)
+        for _, _, s in _sets(batches, n):
+            np.add.at(total, (s % U(SLOTS)).astype(np.int64), 1)
         blocks = np.flatnonzero(total.reshape(-1, BLOCK).any(1))
         yield pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int32()), "counts": pa.array([total[k * BLOCK : (k + 1) * BLOCK].tobytes() for k in blocks], pa.binary())})
 
@@ -146,20 +149,16 @@ def _prefixes(n: int, percent: int, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        for b in slices(batches):
-            for node, root, s in zip(b.column("node").to_pylist(), b.column("root").to_pylist(), shingles(*utf8(b.column("text")), n), strict=True):
-                if node_of(s) == node:
-                    k = len(s) - -(-percent * len(s) // 100) + 1
-                    s, size = s[np.lexsort((s, counts[(s % U(SLOTS)).astype(np.int64)]))][:k], len(s)
-                    yield pa.RecordBatch.from_pydict(
-                        {"node": pa.array([node] * k, pa.binary()), "root": pa.array([root] * k, pa.binary()), "shingle": s.view(np.int64), "at": np.arange(k), "n": np.full(k, size)}
-                    )
+        for node, root, s in _sets(batches, n):
+            k = len(s) - -(-percent * len(s) // 100) + 1
+            first = s[np.lexsort((s, counts[(s % U(SLOTS)).astype(np.int64)]))][:k]
+            yield pa.RecordBatch.from_pydict({"node": np.full(k, node), "root": np.full(k, root), "shingle": first.view(np.int64), "at": np.arange(k), "n": np.full(k, len(s))})
 
     return run
 
 
 def rare_pairs(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Of texts(node, root, text), the pairs (hub, node) of unlike roots that may be similar: an exact prefix filter.
+    """Of texts(node, root, digest, text), the pairs (hub, node) of unlike roots that may be similar: an exact prefix filter.
 
     Shingles are ordered by how many sets have them (counted in SLOTS slots; any order gives whole results). Similar
     sets share one of their first shingles, and from the first shared one on, enough are left in both for the overlap.
@@ -169,7 +168,7 @@ def rare_pairs(texts: DataFrame, n: int, percent: int) -> DataFrame:
     counts = np.zeros(SLOTS, np.int64)
     for block, part in sums:
         counts[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(part, np.int64)
-    prefixes = settled(texts.mapInArrow(_prefixes(n, percent, spark.sparkContext.broadcast(counts)), "node binary, root binary, shingle long, at long, n long"))
+    prefixes = settled(texts.mapInArrow(_prefixes(n, percent, spark.sparkContext.broadcast(counts)), "node long, root long, shingle long, at long, n long"))
     mixed = prefixes.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("shingle")
     left = prefixes.join(mixed, "shingle")
     right = left.select("shingle", F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("at").alias("hub_at"), F.col("n").alias("hub_n"))
@@ -192,13 +191,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     their own in the result. A null doc_id stays null and takes part like any other row.
     """
     docs = documents(docs)
-    marks = settled(docs.mapInArrow(_sketches(shingle, bands, rows), "doc_id long, n_shingles long, node binary, keys array<long>"))
-    classes = marks.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
-    spread = classes.select("node", F.explode("keys").alias("key"))
+    drawn = docs.mapInArrow(_sketches(shingle, bands, rows), "doc_id long, n_shingles long, digest binary, keys array<long>")
+    marks = settled(drawn.withColumn("row", F.monotonically_increasing_id()))
+    classes = marks.where("digest is not null").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    firsts = marks.join(classes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    spread = firsts.select("node", F.explode("keys").alias("key"))
     buckets = spread.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = settled(spread.join(buckets, "key"))
-    near = members.select("node").distinct().join(classes.select("node", "rep"), "node")
-    texts = settled(near.join(docs, F.col("rep").eqNullSafe(F.col("doc_id"))).select("node", "text"))
+    near = firsts.join(members.select("node").distinct(), "node").select("node", "digest", "doc_id")
+    texts = settled(near.join(docs, near.doc_id.eqNullSafe(docs.doc_id)).select("node", "digest", "text"))
 
     def links(pairs: DataFrame) -> DataFrame:
         return settled(verify(pairs.where("hub <> node").distinct(), texts, shingle, percent))
@@ -216,13 +217,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     unsure = own.join(mixed, "key").select("node", "root").distinct().join(texts, "node")
     edges = edges.unionByName(links(rare_pairs(settled(unsure), shingle, percent)))
     roots = settled(connected_components(edges))
-    ids = marks.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = ids.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    named = classes.join(roots, "node", "left").select("digest", "least", "n", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("linked"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    grouped = marks.where("node is not null").groupBy("node").agg(F.count("*").alias("n"))
-    joined = named.join(grouped, "node").join(roots.select(F.col("root")).distinct().withColumn("linked", F.lit(True)), "root", "left").where("n > 1 or linked").join(smallest, "root").select("node", "component_id")
+    shared = named.where("n > 1 or linked").join(smallest, "root").select("digest", "component_id")
     return (
-        marks.join(joined, "node", "left")
+        marks.join(shared, "digest", "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
