@@ -17,14 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .sums import SCHEMA as SUMS
+from .sums import blocks, summed, tasks_of
 from .text import U, documents, hash_spans, mix, randoms, settled, slices, spans, utf8, windows
 
 #: Bands of coordinates. At similarity 0.8 a pair shares no band with probability (1 - 0.8**6)**40 < 1e-5, at 0.85 < 1e-8.
 BANDS, ROWS = 40, 6
 #: Verifications that one task does against one hub.
 FANOUT = 64
-#: Counters that order shingles by frequency, and how many of them travel together: 8 MB, whatever the data.
-SLOTS, BLOCK = 1 << 20, 1 << 14
+#: Counters that order shingles by frequency: 8 MB, whatever the data.
+SLOTS = 1 << 20
 FULL = np.iinfo(np.uint64).max
 
 
@@ -127,23 +129,17 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
 
 def _tally(n: int):
-    """Over texts: how many sets have a shingle in each slot, in blocks of slots."""
+    """Over texts: how many sets have a shingle in each slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
         for _, _, s in _sets(batches, n):
             np.add.at(total, (s % U(SLOTS)).astype(np.int64), 1)
-        blocks = np.flatnonzero(total.reshape(-1, BLOCK).any(1))
-        yield pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int32()), "counts": pa.array([total[k * BLOCK : (k + 1) * BLOCK].tobytes() for k in blocks], pa.binary())})
+        yield blocks(total)
 
     return run
 
 
-def _add(group: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), np.int64) for x in group.column("counts"))
-    return pa.table({"block": group.column("block").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
-
-
 def _prefixes(n: int, percent: int, shared):
     """Over texts: of each set the rarest shingles, so many that two similar sets have one of them in common."""
 
@@ -164,10 +160,7 @@ def rare_pairs(texts: DataFrame, n: int, percent: int) -> DataFrame:
     sets share one of their first shingles, and from the first shared one on, enough are left in both for the overlap.
     """
     spark = texts.sparkSession
-    sums = texts.mapInArrow(_tally(n), "block int, counts binary").groupBy("block").applyInArrow(_add, "block int, counts binary").collect()
-    counts = np.zeros(SLOTS, np.int64)
-    for block, part in sums:
-        counts[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(part, np.int64)
+    counts = summed(texts.mapInArrow(_tally(n), SUMS), SLOTS, tasks_of(texts))
     prefixes = settled(texts.mapInArrow(_prefixes(n, percent, spark.sparkContext.broadcast(counts)), "node long, root long, shingle long, at long, n long"))
     mixed = prefixes.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("shingle")
     left = prefixes.join(mixed, "shingle")

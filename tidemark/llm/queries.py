@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, grammar, media, near_dedup, packing, secrets, substring_dedup
+from . import decontaminate, grammar, media, near_dedup, packing, quality, secrets, substring_dedup
 from .text import load
 
 
@@ -28,6 +28,10 @@ def op5_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.token_files(load(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(load(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_grammar": op5_token_grammar,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_media": op8_media,
 }
