@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, grammar, media, near_dedup, packing, quality, secrets, substring_dedup
+from . import decontaminate, grammar, media, near_dedup, packing, quality, secrets, substring_dedup, toxicity
 from .text import load
 
 
@@ -40,6 +40,10 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored_features(load(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -49,6 +53,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_media": op8_media,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES: dict[str, str] = {}

@@ -65,11 +65,14 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
-def spans(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each row its first word's number (one more entry at the end)."""
+def spans(raw: np.ndarray, rows: np.ndarray, parting: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each row its first word's number (one more entry at the end).
+
+    parting tells for each byte whether it stands between words.
+    """
     if not raw.size:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(rows), np.int64)
-    ink = ~SPACE[raw]
+    ink = ~parting[raw]
     first = np.zeros(raw.size + 1, bool)
     first[rows] = True
     first = first[:-1]
