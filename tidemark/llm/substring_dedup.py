@@ -7,7 +7,7 @@ two texts can belong to a repeated window; the others need no index. In a shard,
 anchor are indexed once each, with the smallest doc_id that has them, and all are streamed through the index backwards:
 the matching statistics reach `length` words at every window, and the class reached names the smallest document with it.
 
-Documents are handled in groups, about four to a partition. What leaves a group for a shard is each anchor, or each
+Documents are handled in groups, about one to a partition. What leaves a group for a shard is each anchor, or each
 stretch, once: a passage that a third of all documents share is one entry for each group.
 """
 
@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fm_index import FMIndex
-from .text import U, documents, hash_spans, mix, partitions, powers, slices, spans, utf8, windows
+from .text import U, documents, hash_spans, mix, partitions, powers, slices, spans, trim, utf8, windows
 
 LENGTH, ANCHOR = 13, 6
-#: Windows in one stretch at most.
-STRETCH = 64
+#: Windows in one stretch at most; indexes that a shard is cut into, one built after another.
+STRETCH, INNER = 64, 4
 LOW = U(0xFFFFFFFF)
 
 
@@ -63,13 +63,17 @@ def hash_runs(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nd
 
 
 def _parts(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order by shard, the shards that are there, and where each begins (one more at the end)."""
+    """An order by shard and index, the shards that are there, and where each begins (one more at the end)."""
     shard = (keys % U(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
+    order = np.lexsort((_inner(keys, shards), shard))
     found, begin = np.unique(shard[order], return_index=True)
     return order, found, np.append(begin, len(order))
 
 
+def _inner(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (keys // U(shards) % U(INNER)).astype(np.uint8)
+
+
 def _binary(parts: list[np.ndarray]) -> pa.Array:
     return pa.array([p.tobytes() for p in parts], pa.binary())
 
@@ -136,7 +140,7 @@ def _send_stretches(shards: int, length: int):
         marked = marked.filter(marked.column("p").is_valid())
         short, which = _joined(marked.column("keys"), np.uint32)
         wanted = np.sort((marked.column("p").to_numpy().astype(np.int64)[which] << 32) | short)
-        out: dict[str, list] = {c: [] for c in ("p", "words", "codes", "sizes", "least", "most")}
+        out: dict[str, list] = {c: [] for c in ("p", "inner", "words", "codes", "sizes", "least", "most")}
         held: list[tuple] = []
         if len(wanted):
             for words, first, doc_ids, _, _ in _texts(docs, copies):
@@ -168,56 +172,75 @@ def _send_stretches(shards: int, length: int):
                 mine = words[np.repeat(begin[k] - np.cumsum(n[k]) + n[k], n[k]) + np.arange(n[k].sum())]
                 known, codes = np.unique(mine, return_inverse=True)
                 out["p"].append(p)
+                out["inner"].append(_inner(keys[k], shards))
                 out["words"].append(known)
                 out["codes"].append(codes.astype(np.uint16 if len(known) <= 1 << 16 else np.uint32))
                 out["sizes"].append(n[k].astype(np.uint16))
                 out["least"].append(least[k])
                 out["most"].append(most[k])
         q = docs.column("q")[0].as_py() if docs.num_rows else 0
-        return pa.table({"p": pa.array(out["p"], pa.int32()), "q": pa.array([q] * len(out["p"]), pa.int32()), **{c: _binary(out[c]) for c in ("words", "codes", "sizes", "least", "most")}})
+        return pa.table({"p": pa.array(out["p"], pa.int32()), "q": pa.array([q] * len(out["p"]), pa.int32()), **{c: _binary(out[c]) for c in ("inner", "words", "codes", "sizes", "least", "most")}})
 
     return run
 
 
+def _intervals(words: np.ndarray, sizes: np.ndarray, least: np.ndarray, most: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Builds an index over the distinct stretches, streams all through it, and reports what smaller documents have.
+
+    The arrays name the stretch, its hash, and an interval of its windows with the smallest document that has them.
+    """
+    begin = np.cumsum(sizes) - sizes
+    hashes = hash_runs(words, begin, sizes)
+    distinct, one, back = np.unique(hashes, return_index=True, return_inverse=True)
+    n = sizes[one]
+    known, symbols = np.unique(words[np.repeat(begin[one] - np.cumsum(n) + n, n) + np.arange(n.sum())], return_inverse=True)
+    smallest = np.full(len(distinct), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, back, least)
+    index = FMIndex(symbols, n, len(known), length)
+    lowest = np.minimum.reduceat(smallest[index.owner], index.class_starts)
+    sequence, window, found = index.matching_classes()
+    order = np.lexsort((window, sequence))
+    sequence, window, doc = sequence[order], window[order], lowest[found[order]]
+    new = np.ones(len(doc), bool)
+    new[1:] = (sequence[1:] != sequence[:-1]) | (doc[1:] != doc[:-1])
+    k = np.flatnonzero(new)
+    count = np.diff(k, append=len(doc))
+    sequence, window, doc = sequence[k], window[k], doc[k]
+    first = np.searchsorted(sequence, np.arange(len(distinct) + 1))
+    each = np.diff(first)[back]  # every entry gets its stretch's intervals
+    at = np.repeat(first[back] - np.cumsum(each) + each, each) + np.arange(each.sum())
+    entry = np.repeat(np.arange(len(back)), each)
+    use = doc[at] < most[entry]
+    at, entry = at[use], entry[use]
+    return entry, hashes[entry], window[at].astype(np.uint16), count[at].astype(np.uint16), doc[at]
+
+
 def _search(length: int):
     def run(group: pa.Table) -> pa.Table:
-        """One shard: builds the index over distinct stretches, streams all of them, reports what smaller documents have."""
-        sizes, row = _joined(group.column("sizes"), np.uint16)
-        sizes = sizes.astype(np.int64)
+        """One shard, its indexes one after another."""
+        inner, row = _joined(group.column("inner"), np.uint8)
+        sizes = _joined(group.column("sizes"), np.uint16)[0].astype(np.int64)
         least, most = _joined(group.column("least"), np.int64)[0], _joined(group.column("most"), np.int64)[0]
         parts = []
         for known, codes in zip(group.column("words"), group.column("codes"), strict=True):
             known, codes = np.frombuffer(known.as_py(), U), codes.as_py()
             parts.append(known[np.frombuffer(codes, np.uint16 if len(known) <= 1 << 16 else np.uint32)])
-        words = np.concatenate(parts)
-        begin = np.cumsum(sizes) - sizes
-        hashes = hash_runs(words, begin, sizes)
-        distinct, one, back = np.unique(hashes, return_index=True, return_inverse=True)
-        n = sizes[one]
-        known, symbols = np.unique(words[np.repeat(begin[one] - np.cumsum(n) + n, n) + np.arange(n.sum())], return_inverse=True)
-        smallest = np.full(len(distinct), np.iinfo(np.int64).max)
-        np.minimum.at(smallest, back, least)
-        index = FMIndex(symbols, n, len(known), length)
-        lowest = np.minimum.reduceat(smallest[index.owner], index.class_starts)
-        sequence, window, found = index.matching_classes()
-        order = np.lexsort((window, sequence))
-        sequence, window, doc = sequence[order], window[order], lowest[found[order]]
-        new = np.ones(len(doc), bool)  # intervals: windows in a row with one smallest document
-        new[1:] = (sequence[1:] != sequence[:-1]) | (doc[1:] != doc[:-1])
-        k = np.flatnonzero(new)
-        count = np.diff(k, append=len(doc))
-        sequence, window, doc = sequence[k], window[k], doc[k]
-        first = np.searchsorted(sequence, np.arange(len(distinct) + 1))
-        each = np.diff(first)[back]  # every entry gets its stretch's intervals
-        at = np.repeat(first[back] - np.cumsum(each) + each, each) + np.arange(each.sum())
-        entry = np.repeat(np.arange(len(back)), each)
-        use = doc[at] < most[entry]
-        at, entry = at[use], entry[use]
-        to = row[entry]
+        words, of = np.concatenate(parts), np.repeat(inner, sizes)
+        del parts
+        found = []
+        for k in range(INNER):
+            mine = np.flatnonzero(inner == k)
+            if len(mine):
+                entry, *rest = _intervals(words[of == k], sizes[mine], least[mine], most[mine], length)
+                found.append((row[mine[entry]], *rest))
+        to, *rest = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.argsort(to, kind="stable")
+        to = to[order]
         some = np.unique(to)
-        cut = list(zip(*(lambda c: (c[:-1], c[1:]))(np.searchsorted(to, np.append(some, group.num_rows))), strict=True))
-        column = lambda x: _binary([x[a:b] for a, b in cut])
-        return pa.table({"q": group.column("q").combine_chunks().take(pa.array(some)), "stretch": column(hashes[entry]), "window": column(window[at].astype(np.uint16)), "count": column(count[at].astype(np.uint16)), "doc": column(doc[at])})
+        cut = np.searchsorted(to, np.append(some, group.num_rows))
+        columns = [_binary([x[order[a:b]] for a, b in zip(cut[:-1], cut[1:], strict=True)]) for x in rest]
+        trim()
+        return pa.table([group.column("q").combine_chunks().take(pa.array(some)), *columns], ["q", "stretch", "window", "count", "doc"])
 
     return run
 
@@ -280,7 +303,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, shards: int | None
     nothing. Null and empty texts have no words.
     """
     spark = docs.sparkSession
-    shards = shards or 4 * partitions(spark)
+    shards = shards or partitions(spark)
     base = documents(docs).withColumn("rid", F.xxhash64("doc_id", "text")).withColumn("q", F.pmod("rid", F.lit(shards)).cast("int")).select("q", "doc_id", "text", "rid")
     marks = documents(docs).where("doc_id is not null and length(text) > 0").select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), F.unhex(F.md5("text")).alias("digest"))
     heads = marks.groupBy("digest").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -289,6 +312,6 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, shards: int | None
     sent = texts.cogroup(copies.groupBy("q")).applyInArrow(_send_anchors(shards, length), "p int, q int, keys binary, twice binary")
     repeated = sent.groupBy("p").applyInArrow(_repeated, "q int, p int, keys binary")
     marked = repeated.unionByName(copies, allowMissingColumns=True).groupBy("q")
-    stretches = texts.cogroup(marked).applyInArrow(_send_stretches(shards, length), "p int, q int, words binary, codes binary, sizes binary, least binary, most binary")
+    stretches = texts.cogroup(marked).applyInArrow(_send_stretches(shards, length), "p int, q int, inner binary, words binary, codes binary, sizes binary, least binary, most binary")
     found = stretches.groupBy("p").applyInArrow(_search(length), "q int, stretch binary, window binary, count binary, doc binary")
     return texts.cogroup(found.unionByName(copies, allowMissingColumns=True).groupBy("q")).applyInArrow(_remove(length), "doc_id long, n_words long, n_removed long, kept_sha256 string")
