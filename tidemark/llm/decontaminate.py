@@ -8,6 +8,7 @@ offset; the overlap at that offset is then compared word by word.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -122,6 +123,18 @@ def _find(shared):
 SCHEMA = "doc_id long, item_id long, doc_start long, item_start long, n_words long, n_equal long, item_words long"
 
 
+def _parts(benchmark: DataFrame, part_words: int) -> Iterator:
+    """The items in broadcasts of at most part_words words each, or of one longer item."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and length(text) > 0")
+    sized = items.withColumn("n", F.size(F.split(F.trim("text"), r"[\x20\x09-\x0D]+")))
+    parts = -(-(sized.agg(F.sum("n")).first()[0] or 0) // part_words)
+    for k in range(parts):
+        own = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).select("item_id", "text").orderBy("item_id", "text").toArrow()
+        if own.num_rows:
+            yield spark.sparkContext.broadcast((own.column("item_id").to_numpy(), *utf8(own.column("text"))))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, part_words: int = PART_WORDS) -> DataFrame:
     """Every overlap of docs(doc_id, text) with benchmark(item_id, text), in words: where, how long, how many equal.
 
@@ -132,18 +145,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, part_words: int = PART_WORDS
     Items are sent to the workers in parts of at most part_words words; documents are read once for each part. Items
     longer than that are parts of their own.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and length(text) > 0")
-    sized = items.withColumn("n", F.size(F.split(F.trim("text"), r"[\x20\x09-\x0D]+")))
-    total = sized.agg(F.sum("n")).first()[0] or 0
-    parts = -(-total // part_words)
-    out = spark.createDataFrame([], SCHEMA)
-    for k in range(parts):
-        own = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).select("item_id", "text").orderBy("item_id", "text").toArrow()
-        if own.num_rows:
-            shared = spark.sparkContext.broadcast((own.column("item_id").to_numpy(), *utf8(own.column("text"))))
-            out = out.unionByName(documents(docs).mapInArrow(_find(shared), SCHEMA)) if k else documents(docs).mapInArrow(_find(shared), SCHEMA)
-    return out
+    found = [documents(docs).mapInArrow(_find(shared), SCHEMA) for shared in _parts(benchmark, part_words)]
+    return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], SCHEMA)
+
+
+def _flag(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(*shared.value)
+        for b in slices(batches):
+            raw, rows = utf8(b.column("text"))
+            starts, ends, first = spans(raw, rows)
+            hit = np.zeros(b.num_rows, bool)
+            hit[[d for d, *_ in items.overlaps(hash_spans(raw, starts, ends, fold=True), first)]] = True
+            yield b.filter(pa.array(~hit))
+
+    return run
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, part_words: int = PART_WORDS) -> DataFrame:
+    """The rows of docs(text, ...) that overlap with no item, with all their columns; rows are judged one by one."""
+    for shared in _parts(benchmark, part_words):
+        docs = docs.mapInArrow(_flag(shared), docs.schema)
+    return docs
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, part_words: int = PART_WORDS) -> DataFrame:

@@ -83,8 +83,8 @@ def _sketches(n: int, bands: int, rows: int):
                 for k, row in zip(some, band_keys(sketch([sets[k] for k in some], bands * rows), bands, rows), strict=True):
                     keys[k] = row.view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest_of(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "keys"],
+                [b.column("doc_id"), b.column("text_md5"), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest_of(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "text_md5", "n_shingles", "digest", "keys"],
             )
 
     return run
@@ -170,7 +170,7 @@ def rare_pairs(texts: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of docs(doc_id, text).
+    """doc_id, n_shingles, component_id, text_md5 and kept for every row of docs(doc_id, text).
 
     Words are lower-cased (A-Z); two documents are linked if 100 * |intersection| >= percent * |union| of their shingle
     sets. Documents with one and the same set form a class, which takes part once; a class keeps its smallest doc_id.
@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     their own in the result. A null doc_id stays null and takes part like any other row.
     """
     docs = documents(docs)
-    drawn = docs.mapInArrow(_sketches(shingle, bands, rows), "doc_id long, n_shingles long, digest binary, keys array<long>")
+    drawn = docs.withColumn("text_md5", F.unhex(F.md5("text"))).mapInArrow(_sketches(shingle, bands, rows), "doc_id long, text_md5 binary, n_shingles long, digest binary, keys array<long>")
     marks = settled(drawn.withColumn("row", F.monotonically_increasing_id()))
     classes = marks.where("digest is not null").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("n"))
     firsts = marks.join(classes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
@@ -215,6 +215,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     shared = named.where("n > 1 or linked").join(smallest, "root").select("digest", "component_id")
     return (
         marks.join(shared, "digest", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_md5")
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
+
+
+def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row of docs(doc_id, text, ...) for each component, with all its columns.
+
+    It is the one with the component's smallest doc_id; of rows that share that id, the one with the least digest of
+    its text. Components of rows without a doc_id keep one row for each text. Every null or empty text stays, but for
+    repeats of one id.
+    """
+    name = lambda c: (F.col(c).cast("long") if c == "doc_id" else F.unhex(F.md5(F.col("text").cast("string"))))
+    marks = near_duplicates(docs, shingle, percent)
+    alone = F.when(F.col("component_id").isNull(), F.col("text_md5"))
+    kept = marks.where("kept or component_id is null").groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct("doc_id", "text_md5")).alias("row"))
+    rows = marks.groupBy("doc_id", "text_md5").agg(F.count("*").alias("n"))
+    chosen = kept.select(F.col("row.doc_id").alias("id_"), F.col("row.text_md5").alias("md5_"))
+    chosen = chosen.join(rows, chosen["id_"].eqNullSafe(rows["doc_id"]) & chosen["md5_"].eqNullSafe(rows["text_md5"])).select("id_", "md5_", F.col("n").alias("n_"))
+    found = docs.join(chosen, name("doc_id").eqNullSafe(F.col("id_")) & name("text").eqNullSafe(F.col("md5_")))
+    once = found.where("n_ = 1").select(docs.columns)
+    return once.unionByName(found.where("n_ > 1").dropDuplicates(["id_", "md5_"]).select(docs.columns))

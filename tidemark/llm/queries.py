@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, grammar, media, near_dedup, packing, quality, secrets, substring_dedup, toxicity
+from . import decontaminate, grammar, lm, media, near_dedup, packing, quality, secrets, substring_dedup, toxicity
 from .text import load
 
 
@@ -44,6 +44,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.language_model_scores(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -54,6 +58,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_media": op8_media,
     "op9_toxicity": op9_toxicity,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 ORACLES: dict[str, str] = {}
