@@ -28,7 +28,7 @@ FOLDS, HELD = 5, 1
 #: Bits for each entry, probes for each entry, levels, and bytes of filter that are broadcast at once.
 BITS, PROBES, LEVELS, PART_BYTES = 8, 5, 48, 96 << 20
 #: Occurrences of a first word at which its pairs and the second word's own share weigh the same.
-PULL = 40.0
+PULL = 200.0
 
 START, END = randoms(2, 81)
 FIRST, SECOND, LEVEL = randoms(3, 82)
