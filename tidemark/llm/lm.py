@@ -140,16 +140,15 @@ def _counted(group: pa.Table) -> pa.Table:
     order = np.repeat([0, 1], [int(known.sum()), len(pairs)])
     stats = np.stack([np.bincount(order * LEVELS + levels, w, 2 * LEVELS) for w in (None, counts)]).astype(np.int64)
     p = group.column("p")[0].as_py()
-    back = [total[np.searchsorted(words, k)] for k in sent]
     q = [-1, *group.column("q").to_pylist()]
-    data = [region(keys, levels).tobytes(), *(narrow(x) for x in back)]
-    extra = [stats.tobytes(), *(k.tobytes() for k in sent)]
+    data = [region(keys, levels).tobytes(), *(narrow(total[np.searchsorted(words, k)]) for k in sent)]
+    extra = [stats.tobytes()] + [None] * len(sent)
     learnt = [sum(group.column("learnt").to_pylist())] + [0] * len(sent)
     trim()
-    return pa.table({"q": pa.array(q, pa.int32()), "p": pa.array([p] * len(q), pa.int32()), "keys": pa.array(extra, pa.binary()), "counts": pa.array(data, pa.binary()), "learnt": pa.array(learnt, pa.int64())})
+    return pa.table({"q": pa.array(q, pa.int32()), "p": pa.array([p] * len(q), pa.int32()), "stats": pa.array(extra, pa.binary()), "counts": pa.array(data, pa.binary()), "learnt": pa.array(learnt, pa.int64())})
 
 
-COUNTED = "q int, p int, keys binary, counts binary, learnt long"
+COUNTED = "q int, p int, stats binary, counts binary, learnt long"
 
 
 class Filter:
@@ -228,14 +227,18 @@ class Model:
         return np.add.reduceat(np.log10(p), first[:-1]) if len(first) > 1 else np.zeros(0)
 
 
-def _score(shared, model: Model):
+def _score(shared, model: Model, shards: int):
+    """Over a group of documents and its words' counts: a shard's counts stand in the order of its words' keys."""
+
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(x.as_py(), U) for x in counts.column("keys")]
-        known = np.concatenate([np.zeros(0, U), *sent])
-        total = np.concatenate([np.zeros(0, np.int64), *(widened(x.as_py(), len(k)) for x, k in zip(counts.column("counts"), sent, strict=True))])
-        order = np.argsort(known)
-        known, total = known[order], total[order]
-        del sent, order
+        known = np.zeros(0, U)
+        for b in slices(docs.combine_chunks().to_batches(), limit=8 << 20):
+            known = np.union1d(known, tokens(*utf8(b.column("text")))[0])
+        shard = (known % U(shards)).astype(np.int64)
+        order, size, total = np.argsort(shard, kind="stable"), np.bincount(shard, minlength=shards), np.zeros(len(known), np.int64)
+        rows = sorted(zip(counts.column("p").to_pylist(), counts.column("counts"), strict=True), key=lambda r: r[0])
+        total[order] = np.concatenate([np.zeros(0, np.int64), *(widened(x.as_py(), int(size[p])) for p, x in rows)])
+        del order, shard, rows
         out: list[list] = [[], [], [], [], []]
         for b in slices(docs.combine_chunks().to_batches()):
             keys, pairs, first = tokens(*utf8(b.column("text")))
@@ -286,8 +289,8 @@ def language_model_scores(docs: DataFrame, folds: int = FOLDS, held: int = HELD,
     sent = base.withColumn("learn", ~held_out).select("q", "text", "learn").groupBy("q").applyInArrow(_gathered(shards), GATHERED)
     counted = settled(sent.groupBy("p").applyInArrow(_counted, COUNTED))
     made = counted.where("q = -1")
-    heads = made.select("p", F.length("counts").alias("size"), "keys", "learnt").collect()
-    stats = sum((np.frombuffer(r["keys"], np.int64).reshape(2, -1) for r in heads), np.zeros((2, 2 * LEVELS), np.int64))
+    heads = made.select("p", F.length("counts").alias("size"), "stats", "learnt").collect()
+    stats = sum((np.frombuffer(r["stats"], np.int64).reshape(2, -1) for r in heads), np.zeros((2, 2 * LEVELS), np.int64))
     model = Model(stats, sum(r["learnt"] for r in heads), pull)
     parts = parted({r["p"]: r["size"] for r in heads}, part_bytes)
 
@@ -302,5 +305,5 @@ def language_model_scores(docs: DataFrame, folds: int = FOLDS, held: int = HELD,
         base = base.withColumn("levels", F.lit(None).cast("binary"))
         for part in parts:
             base = settled(base.mapInArrow(_fill(sent_out(part)), base.schema))
-    scored = base.groupBy("q").cogroup(counted.where("q >= 0").select("q", "keys", "counts").groupBy("q")).applyInArrow(_score(shared, model), SCORED)
+    scored = base.groupBy("q").cogroup(counted.where("q >= 0").select("q", "p", "counts").groupBy("q")).applyInArrow(_score(shared, model, shards), SCORED)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
