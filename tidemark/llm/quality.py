@@ -71,7 +71,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(SPARSE):
             total[:] += np.bincount(slot * SIZE + PLACES[neighbour, k], SIGNS[neighbour, k], len(total)).astype(np.int64)
 
-    for b in slices(batches, limit=8 << 20):
+    for b in slices(batches):
         words, shapes, first = slots(*utf8(b.column("text")))
         row = np.repeat(np.arange(len(first) - 1), np.diff(first))
         left, right = [], []
@@ -82,6 +82,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 right += [stream[inside + step], stream[inside]]
         add(np.concatenate([*left, words]), np.concatenate([*right, shapes]))
     yield blocks(total)
+    trim()
 
 
 def vectors(docs: DataFrame) -> np.ndarray:
