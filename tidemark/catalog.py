@@ -1,4 +1,538 @@
-"""The registered queries of the synchronisation operators and their DuckDB oracles."""
+"""The registered queries of the synchronisation operators over the driver's tables, each with its DuckDB oracle.
+
+The staged rows are a projection of events: a doi for each user and event type (every third in other case and padded),
+the day as indexed time so that ties occur, a content of three values, executions of EXECUTION rows, chunks of CHUNK.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import text as T
+from .operators import canonical, collect, replay, reports, staging, sync, verify, windows
+from .plans.store import settled
+from .schema import COUNTERS, PAGE
+from .sources.crawl import items as page_items
+from .sources.generator import synthetic_rows as generated
+
+EXECUTION, CHUNK = 2500, 250
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    """Registers a query under its function's name; sql is its oracle."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def load(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def day(c) -> object:
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+def stg(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "events")
+    key = F.concat(F.lit("10.5555/u"), F.col("user_id").cast("string"), F.lit("/"), "event_type")
+    raw = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("  "), F.upper(key), F.lit("\t"))).otherwise(key)
+    content = F.get_json_object("props", "$.k").cast("int") % 3
+    doi = T.doi_key(raw)
+    return e.select(
+        (F.col("event_id") + 1).alias("staging_key"), F.concat(F.lit("ex"), F.floor(F.col("event_id") / EXECUTION).cast("string")).alias("execution_id"), (F.col("event_id") % EXECUTION + 1).alias("execution_sequence"),
+        doi.alias("doi"), F.date_trunc("DAY", "ts").cast("timestamp_ntz").alias("indexed_at"), content.alias("content"), F.sha2(F.concat_ws("|", doi, content.cast("string")), 256).alias("content_hash"), F.lit(None).cast("bigint").alias("source_error_key"),
+    )
+
+
+STG = f"""
+raw AS (SELECT event_id, event_type, value, ts, '10.5555/u' || user_id || '/' || event_type AS k, CAST(json_extract_string(props, '$.k') AS INT) % 3 AS content FROM events),
+stg AS (SELECT event_id + 1 AS staging_key, 'ex' || (event_id // {EXECUTION}) AS execution_id, event_id % {EXECUTION} + 1 AS execution_sequence,
+  lower(CASE WHEN event_id % 3 = 0 THEN upper(k) ELSE k END) AS doi, date_trunc('day', ts) AS indexed_at, content FROM raw),
+st AS (SELECT *, sha256(doi || '|' || content) AS content_hash, ((execution_sequence - 1) // {CHUNK}) + 1 AS chunk FROM stg)"""
+
+
+def tgt(spark: SparkSession, d: str) -> DataFrame:
+    """Latest row of each doi among every tenth event, ties by the greatest key."""
+    rows = stg(spark, d).where((F.col("staging_key") - 1) % 10 == 0)
+    best = rows.groupBy("doi").agg(F.max(F.struct("indexed_at", "staging_key", "content_hash", "content")).alias("b"))
+    return best.select(F.col("b.staging_key").cast("string").alias("id"), "doi", F.col("b.content_hash").alias("content_hash"), F.col("b.content").alias("content"), F.col("b.indexed_at").alias("source_indexed_at"), F.lit("old").alias("created_at"), F.lit("old").alias("updated_at"))
+
+
+TGT = """, tgt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY indexed_at DESC, staging_key DESC) AS r FROM st WHERE (staging_key - 1) % 10 = 0) WHERE r = 1)"""
+
+DEC = """, g0 AS (SELECT execution_id, doi, chunk, max(indexed_at) AS mx, count(*) AS n FROM st GROUP BY ALL),
+g1 AS (SELECT g0.execution_id, g0.doi, g0.chunk, g0.mx, g0.n, count(*) AS ties, count(DISTINCT content_hash) AS nh, min(content_hash) AS h, min(staging_key) AS winner_key
+  FROM g0 JOIN st ON st.execution_id = g0.execution_id AND st.doi = g0.doi AND st.chunk = g0.chunk AND st.indexed_at = g0.mx GROUP BY ALL),
+g2 AS (SELECT * FROM g1 UNION ALL SELECT DISTINCT g1.execution_id, g1.doi, 0, tgt.indexed_at, 0, 0, 1, tgt.content_hash, NULL FROM g1 JOIN tgt ON tgt.doi = g1.doi),
+g3 AS (SELECT *, max(CASE WHEN nh <= 1 THEN {'a': mx, 'b': -chunk, 'c': h} END) OVER (PARTITION BY execution_id, doi ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM g2),
+dec AS (SELECT *, n - ties AS older, CASE WHEN nh > 1 THEN 'GROUP_CONFLICT' WHEN was IS NULL THEN 'INSERTED' WHEN mx < was.a THEN 'SUPERSEDED' WHEN mx = was.a AND h = was.c THEN 'NO_OP' WHEN mx = was.a THEN 'CONFLICT' WHEN h = was.c THEN 'INDEX_ADVANCED' ELSE 'UPDATED' END AS decision FROM g3 WHERE chunk > 0)"""
+
+CHK = """, keys AS (SELECT execution_id, chunk, min(staging_key) AS first_staging_key, max(staging_key) AS last_staging_key FROM st GROUP BY ALL),
+chk AS (SELECT k.execution_id, k.chunk AS chunk_sequence, first_staging_key, last_staging_key,
+  CAST(sum(CASE WHEN decision = 'INSERTED' THEN 1 ELSE 0 END) AS BIGINT) AS inserted_count,
+  CAST(sum(CASE WHEN decision = 'SUPERSEDED' THEN 1 ELSE 0 END + CASE WHEN decision <> 'GROUP_CONFLICT' THEN older ELSE 0 END) AS BIGINT) AS superseded_count,
+  CAST(sum(CASE WHEN decision = 'NO_OP' THEN 1 ELSE 0 END + CASE WHEN decision <> 'GROUP_CONFLICT' THEN ties - 1 ELSE 0 END) AS BIGINT) AS no_op_count,
+  CAST(sum(CASE WHEN decision = 'CONFLICT' THEN 1 WHEN decision = 'GROUP_CONFLICT' THEN n ELSE 0 END) AS BIGINT) AS conflict_count,
+  CAST(sum(CASE WHEN decision = 'INDEX_ADVANCED' THEN 1 ELSE 0 END) AS BIGINT) AS index_advanced_count,
+  CAST(sum(CASE WHEN decision = 'UPDATED' THEN 1 ELSE 0 END) AS BIGINT) AS updated_count, CAST(0 AS BIGINT) AS validation_error_count
+  FROM keys k JOIN dec ON dec.execution_id = k.execution_id AND dec.chunk = k.chunk GROUP BY ALL)"""
+
+OUT = """, rows_ AS (SELECT st.execution_id, staging_key, st.doi, st.chunk, CASE WHEN decision = 'GROUP_CONFLICT' THEN 'CONFLICT' WHEN staging_key = winner_key THEN decision WHEN indexed_at < mx THEN 'SUPERSEDED' ELSE 'NO_OP' END AS outcome
+  FROM st JOIN dec ON dec.execution_id = st.execution_id AND dec.doi = st.doi AND dec.chunk = st.chunk)"""
+
+
+def decided(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = stg(spark, d)
+    return rows, sync.decisions(rows, tgt(spark, d), CHUNK)
+
+
+def errs(spark: SparkSession, d: str) -> DataFrame:
+    """Errors of all kinds on every seventh staged row."""
+    e, k = load(spark, d, "events").where("event_id % 7 = 0"), F.get_json_object("props", "$.k").cast("int")
+    kind = F.when(F.col("event_id") % 3 == 0, "CONFLICT").when(F.col("event_id") % 3 == 1, "VALIDATION").otherwise("PERSISTENCE")
+    return e.select(
+        F.col("event_id").alias("error_key"), F.concat(F.lit("ex"), F.floor(F.col("event_id") / EXECUTION).cast("string")).alias("execution_id"), (F.col("event_id") + 1).alias("staging_key"), kind.alias("error_type"),
+        F.concat(F.lit("C"), (k % 4).cast("string")).alias("error_code"), F.when(F.col("value") > 20, "OPEN").otherwise("RESOLVED").alias("status"), (k % 3).alias("replay_count"), F.lit(None).cast("string").alias("resolved_at"),
+    )
+
+
+ERR = f"""err AS (SELECT event_id AS error_key, 'ex' || (event_id // {EXECUTION}) AS execution_id, event_id + 1 AS staging_key, CASE event_id % 3 WHEN 0 THEN 'CONFLICT' WHEN 1 THEN 'VALIDATION' ELSE 'PERSISTENCE' END AS error_type,
+  'C' || (CAST(json_extract_string(props, '$.k') AS INT) % 4) AS error_code, CASE WHEN value > 20 THEN 'OPEN' ELSE 'RESOLVED' END AS status, CAST(json_extract_string(props, '$.k') AS INT) % 3 AS replay_count FROM events WHERE event_id % 7 = 0)"""
+
+
+# Scans, staging and sequences
+
+
+@query(f"WITH {STG} SELECT staging_key, doi, content_hash FROM st WHERE execution_id = 'ex1' AND staging_key > {EXECUTION + 100} AND staging_key <= {2 * EXECUTION - 100} ORDER BY staging_key LIMIT 100")
+def keyset_page(spark, d):
+    return staging.page(stg(spark, d), "ex1", EXECUTION + 100, 2 * EXECUTION - 100, 100).select("staging_key", "doi", "content_hash")
+
+
+@query(f"WITH {STG} SELECT staging_key, doi FROM st WHERE execution_id = 'ex2' AND content <> 1 AND doi IS NOT NULL")
+def partition_scan(spark, d):
+    return stg(spark, d).where("execution_id = 'ex2' and content <> 1 and doi is not null").select("staging_key", "doi")
+
+
+@query("SELECT user_id, event_id, row_number() OVER (ORDER BY user_id, event_id) AS execution_sequence FROM events")
+def dense_sequence(spark, d):
+    return staging.dense_sequence(load(spark, d, "events").select("user_id", "event_id"), ["user_id", "event_id"], settle=settled)
+
+
+@query("WITH w AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY ALL) SELECT event_type, day, n, CAST(coalesce(sum(n) OVER (PARTITION BY event_type ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS collected_before FROM w")
+def window_prefix_sum(spark, d):
+    days = load(spark, d, "events").groupBy("event_type", day("ts").alias("day")).agg(F.count("*").alias("n"))
+    return staging.prefix_counts(days, "day", "n", ["event_type"])
+
+
+@query(f"WITH {STG} SELECT execution_id, execution_sequence, staging_key FROM st WHERE staging_key % 5 <> 0 AND staging_key % 2 = 1")
+def idempotent_append(spark, d):
+    rows = stg(spark, d).select("execution_id", "execution_sequence", "staging_key")
+    old, new = rows.where("staging_key % 2 = 0"), rows.where("staging_key % 5 <> 0")
+    return staging.append_missing(new.unionByName(new), old, ["execution_id", "execution_sequence"])
+
+
+@query(f"WITH {STG} SELECT execution_id, count(*) AS expected_count, max(staging_key) AS upper_bound FROM st GROUP BY ALL")
+def freeze_bound(spark, d):
+    return staging.frozen(stg(spark, d))
+
+
+@query(f"WITH {STG} SELECT staging_key, chunk FROM (SELECT staging_key, (row_number() OVER (PARTITION BY execution_id ORDER BY staging_key) - 1) // {CHUNK} + 1 AS chunk FROM st)")
+def chunk_assignment(spark, d):
+    return stg(spark, d).select("staging_key", sync.chunk_of(F.col("execution_sequence"), CHUNK).alias("chunk"))
+
+
+# Canonical form
+
+
+@query("SELECT doc_id, CAST(length(t) AS INT) AS n, sha256(t) AS hash FROM (SELECT doc_id, regexp_replace(regexp_replace('  ' || text || chr(9) || ' ', '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g'), '\\s+', ' ', 'g') AS t FROM documents)")
+def canonical_text(spark, d):
+    t = T.plain(F.concat(F.lit("  "), "text", F.lit("\t ")))
+    return load(spark, d, "documents").select("doc_id", F.length(t).alias("n"), F.sha2(t, 256).alias("hash"))
+
+
+@query("SELECT doc_id, sha256(to_json({'doi': '10.5555/' || doc_id, 'title': text, 'publisher': NULL::VARCHAR, 'n': n_chars})) AS content_hash FROM documents")
+def canonical_json_hash(spark, d):
+    s = F.struct(F.concat(F.lit("10.5555/"), F.col("doc_id").cast("string")).alias("doi"), F.col("text").alias("title"), F.lit(None).cast("string").alias("publisher"), F.col("n_chars").alias("n"))
+    return load(spark, d, "documents").select("doc_id", F.sha2(F.to_json(s, {"ignoreNullFields": "false"}), 256).alias("content_hash"))
+
+
+@query("SELECT doc_id, sha256(nfc_normalize(text || 'e' || chr(769) || ' A' || chr(778))) AS hash FROM documents")
+def nfc_normalised(spark, d):
+    t = F.concat("text", F.lit("é Å"))
+    return load(spark, d, "documents").select("doc_id", F.sha2(T.nfc(t), 256).alias("hash"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN strftime(o_orderdate, '%Y') WHEN 2 THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS issued_date, CASE WHEN o_orderkey % 4 > 0 THEN CAST(o_orderkey % 4 AS INT) END AS precision FROM orders")
+def partial_date(spark, d):
+    o = load(spark, d, "orders")
+    every = F.array(F.year("o_orderdate"), F.month("o_orderdate"), F.dayofmonth("o_orderdate"))
+    parts = T.date_parts(F.array(F.slice(every, F.lit(1), (F.col("o_orderkey") % 4).cast("int"))))
+    return o.select("o_orderkey", T.partial_date(parts).alias("issued_date"), F.when(parts.isNotNull(), F.size(parts)).alias("precision"))
+
+
+_NORM = "nullif(regexp_replace(regexp_replace({0}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g'), '\\s+', ' ', 'g'), '')"
+
+
+def records(spark: SparkSession, d: str) -> DataFrame:
+    """Source records made of conversations."""
+    c = load(spark, d, "conversations")
+    person = lambda given, family: F.struct(given.alias("given"), family.alias("family"), F.lit(None).cast("string").alias("ORCID"))
+    people = F.array(person(F.col("role"), F.concat(F.lit(" "), F.substring("text", 1, 12))), F.lit(None), person(F.lit("  "), F.col("role")))
+    stamp = F.struct(F.lit("2026-08-08T00:00:00Z").alias("date-time"))
+    item = F.struct(
+        F.concat(F.lit(" 10.5555/C"), F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string"), F.lit("\n")).alias("DOI"),
+        F.array(F.lit(" "), F.when(F.col("turn") % 2 == 1, F.concat(F.lit(" "), "role", F.lit("\t x"))), F.col("text")).alias("title"),
+        F.when(F.col("turn") > 0, "  Some   Publisher ").alias("publisher"), F.lit(" Journal-Article").alias("type"),
+        F.struct(F.array(F.slice(F.array(F.lit(2026), F.lit(7), F.lit(5)), F.lit(1), (F.col("turn") % 4).cast("int"))).alias("date-parts")).alias("issued"),
+        F.lit("https://Example.org/A").alias("URL"), people.alias("author"), stamp.alias("indexed"), stamp.alias("created"),
+    )
+    return c.select("conv_id", "turn", item.alias("item"))
+
+
+_RECORD = f"""r AS (SELECT conv_id, turn, lower('10.5555/C' || conv_id || '/' || turn) AS doi, CASE WHEN turn % 2 = 1 THEN role || ' x' ELSE {_NORM.format('text')} END AS title, CASE WHEN turn > 0 THEN 'Some Publisher' END AS publisher,
+  CASE turn % 4 WHEN 0 THEN NULL WHEN 1 THEN '2026' WHEN 2 THEN '2026-07' ELSE '2026-07-05' END AS issued_date, CASE WHEN turn % 4 > 0 THEN CAST(turn % 4 AS INT) END AS issued_date_precision,
+  [{{'given': role, 'family': {_NORM.format("' ' || substr(text, 1, 12)")}, 'orcid': NULL::VARCHAR}}, {{'given': NULL, 'family': role, 'orcid': NULL}}] AS authors FROM conversations)"""
+
+
+@query(f"WITH {_RECORD} SELECT conv_id, turn, doi, title, publisher, 'journal-article' AS work_type, issued_date, issued_date_precision, to_json(authors)::VARCHAR AS authors_json, sha256(to_json({{'canonicalVersion': 1, 'doi': doi, 'title': title, 'publisher': publisher, 'type': 'journal-article', 'issuedDate': issued_date, 'issuedDatePrecision': issued_date_precision, 'url': 'https://Example.org/A', 'authors': authors}})) AS content_hash FROM r")
+def canonical_records(spark, d):
+    return canonical.canonicalize(records(spark, d)).select("conv_id", "turn", "doi", "title", "publisher", "work_type", "issued_date", "issued_date_precision", "authors_json", "content_hash")
+
+
+@query(f"WITH {_RECORD} SELECT conv_id, turn, title FROM r")
+def first_title(spark, d):
+    return canonical.canonicalize(records(spark, d)).select("conv_id", "turn", "title")
+
+
+@query(f"WITH {_RECORD} SELECT conv_id, turn, sha256(to_json(authors)) AS author_hash FROM r")
+def author_array(spark, d):
+    return canonical.canonicalize(records(spark, d)).select("conv_id", "turn", "author_hash")
+
+
+@query("SELECT conv_id, page_no, position, '10.1/' || conv_id || '-' || position AS doi FROM (SELECT DISTINCT conv_id FROM conversations) CROSS JOIN (VALUES (1, 0), (1, 1), (2, 0)) AS p(page_no, position)")
+def page_explode(spark, d):
+    ids = load(spark, d, "conversations").select("conv_id").distinct()
+    body = lambda n, dois: F.concat(F.lit('{"status":"ok","extra":[1],"message":{"total-results":3,"items":['), F.concat_ws(",", *[F.concat(F.lit('{"DOI":"10.1/'), F.col("conv_id").cast("string"), F.lit(f'-{k}","more":1}}')) for k in range(dois)]), F.lit("]}}"))
+    raw = ids.select("conv_id", F.explode(F.array(F.struct(F.lit(1).alias("page_no"), body(1, 2).alias("page")), F.struct(F.lit(2).alias("page_no"), body(2, 1).alias("page")))).alias("p"))
+    paged = raw.select(F.col("conv_id").alias("window_id"), "p.page_no", F.lit(9).alias("accepted"), F.from_json("p.page", PAGE).alias("page"))
+    return page_items(paged).select(F.col("window_id").alias("conv_id"), "page_no", "position", F.col("item.DOI").alias("doi"))
+
+
+# Collection evidence
+
+
+def page_log(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of 50 events in each event type's window; hashes repeat and some bring nothing."""
+    e = load(spark, d, "events")
+    return e.groupBy(F.col("event_type").alias("window_id"), F.floor(F.col("event_id") / 200).alias("page_no")).agg(F.count("*").alias("items"), F.count_if(F.col("value") > 60).alias("new_rows"), F.floor(F.sum("user_id") / 900).alias("page_hash")).withColumn("total_results", F.col("page_no") + 10)
+
+
+PAGES = "pages_ AS (SELECT event_type AS window_id, event_id // 200 AS page_no, count(*) AS items, count(*) FILTER (value > 60) AS new_rows, CAST(floor(sum(user_id) / 900) AS BIGINT) AS page_hash, event_id // 200 + 10 AS total_results FROM events GROUP BY ALL)"
+
+
+@query(f"WITH {PAGES}, s AS (SELECT *, coalesce(items = 50 AND page_hash = lag(page_hash) OVER (PARTITION BY window_id ORDER BY page_no), false) AS repeated FROM pages_), r AS (SELECT *, sum(CASE WHEN repeated THEN 0 ELSE 1 END) OVER (PARTITION BY window_id ORDER BY page_no) AS run FROM s) SELECT window_id, page_no, repeated, CAST(sum(CASE WHEN repeated THEN 1 ELSE 0 END) OVER (PARTITION BY window_id, run ORDER BY page_no) AS BIGINT) AS run_length FROM r")
+def page_lag_repeat(spark, d):
+    return collect.repeated_pages(page_log(spark, d), 50).select("window_id", "page_no", "repeated", "run_length")
+
+
+@query(f"WITH {PAGES}, r AS (SELECT *, sum(CASE WHEN new_rows > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY window_id ORDER BY page_no) AS run FROM pages_), i AS (SELECT window_id, page_no, CAST(sum(CASE WHEN new_rows = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY window_id, run ORDER BY page_no) AS BIGINT) AS idle_pages FROM r) SELECT *, idle_pages >= 2 AS failed FROM i")
+def zero_new_run(spark, d):
+    return collect.idle_runs(page_log(spark, d), 2).select("window_id", "page_no", "idle_pages", "failed")
+
+
+@query(f"WITH {PAGES} SELECT window_id, min_by(total_results, page_no) AS reported_total, count(*) AS pages, CAST(sum(items) AS BIGINT) AS rows, CAST(sum(new_rows) AS BIGINT) AS new_rows FROM pages_ GROUP BY ALL")
+def window_evidence(spark, d):
+    return collect.window_evidence(page_log(spark, d))
+
+
+@query("SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 7000 <= o_custkey * 10 THEN ceil((o_orderkey % 7000) / 1000.0) ELSE (o_custkey * 10) // 1000 + 1 END AS BIGINT) AS bound FROM orders")
+def page_bound(spark, d):
+    return load(spark, d, "orders").select("o_orderkey", collect.page_bound(F.col("o_orderkey") % 7000, F.col("o_custkey") * 10).alias("bound"))
+
+
+# Windows and marks
+
+
+@query("WITH r AS (SELECT o_orderstatus, min(o_orderdate) + INTERVAL 5 HOUR AS a, max(o_orderdate) + INTERVAL 7 HOUR AS b FROM orders GROUP BY ALL), w AS (SELECT o_orderstatus, a, b, unnest(generate_series(date_trunc('day', a), b - INTERVAL 1 MICROSECOND, INTERVAL 1 DAY)) AS dd FROM r) SELECT o_orderstatus, CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY dd) - 1 AS INT) AS window_sequence, strftime(greatest(dd, a), '%Y-%m-%d %H:%M') AS window_from, strftime(least(dd + INTERVAL 1 DAY, b), '%Y-%m-%d %H:%M') AS window_until FROM w")
+def utc_day_plan(spark, d):
+    o = load(spark, d, "orders").withColumn("t", F.col("o_orderdate").cast("timestamp_ntz"))
+    r = o.groupBy("o_orderstatus").agg((F.min("t") + F.expr("interval 5 hour")).alias("range_from"), (F.max("t") + F.expr("interval 7 hour")).alias("range_until"))
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm").alias(c)
+    return windows.day_plan(r).select("o_orderstatus", "window_sequence", at("window_from"), at("window_until"))
+
+
+@query("SELECT DISTINCT strftime(ts, '%Y-%m-%d %H') AS day FROM events WHERE strftime(ts, '%Y-%m-%d %H') NOT IN (SELECT strftime(ts, '%Y-%m-%d %H') FROM events WHERE event_type = 'error' AND value > 40)")
+def pending_windows(spark, d):
+    e = load(spark, d, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd HH"))
+    return windows.pending(e.select("day").distinct(), e.where("event_type = 'error' and value > 40"), ["day"])
+
+
+@query("WITH r AS (SELECT o_orderstatus AS source_name, CASE WHEN o_orderkey % 3 = 0 THEN 'BACKFILL' ELSE 'INCREMENTAL' END AS mode, o_orderkey % 5 > 0 AS reconciled, o_orderkey % 4 AS conflicts, o_orderkey AS until FROM orders), m AS (SELECT o_orderstatus AS source_name, CAST(avg(o_orderkey) AS BIGINT) AS mark FROM orders WHERE o_orderstatus <> 'F' GROUP BY ALL) SELECT source_name, coalesce(max(until), any_value(mark)) AS mark FROM (SELECT coalesce(r.source_name, m.source_name) AS source_name, mark, CASE WHEN mode = 'INCREMENTAL' AND reconciled AND conflicts = 0 AND (mark IS NULL OR until >= mark) THEN until END AS until FROM r FULL JOIN m ON m.source_name = r.source_name) GROUP BY source_name")
+def watermark_policy(spark, d):
+    o = load(spark, d, "orders")
+    results = o.select(F.col("o_orderstatus").alias("source_name"), F.when(F.col("o_orderkey") % 3 == 0, "BACKFILL").otherwise("INCREMENTAL").alias("mode"), (F.col("o_orderkey") % 5 > 0).alias("reconciled"), (F.col("o_orderkey") % 4).alias("conflicts"), F.col("o_orderkey").alias("until"))
+    marks = o.where("o_orderstatus <> 'F'").groupBy(F.col("o_orderstatus").alias("source_name")).agg(F.round(F.avg("o_orderkey")).cast("bigint").alias("mark"))
+    return windows.advanced(marks, results)
+
+
+# Synchronisation
+
+
+@query(f"WITH {STG} SELECT staging_key, doi, strftime(indexed_at, '%Y-%m-%d') AS day, content_hash FROM (SELECT *, row_number() OVER (PARTITION BY execution_id, doi, chunk ORDER BY indexed_at DESC, staging_key) AS r FROM st) WHERE r = 1")
+def group_winner(spark, d):
+    rows = stg(spark, d)
+    won = sync.groups(rows, CHUNK).select(F.col("winner_key").alias("staging_key"))
+    return rows.join(won, "staging_key").select("staging_key", "doi", day("indexed_at").alias("day"), "content_hash")
+
+
+@query(f"WITH {STG}{TGT}{DEC} SELECT execution_id, doi, chunk, ties, n FROM dec WHERE nh > 1")
+def group_conflict(spark, d):
+    return sync.groups(stg(spark, d), CHUNK).where("split").select("execution_id", "doi", "chunk", "ties", "n")
+
+
+@query(f"WITH {STG}{TGT}{DEC} SELECT execution_id, doi, chunk, strftime(mx, '%Y-%m-%d') AS day, older, ties, winner_key, decision FROM dec")
+def sync_decisions(spark, d):
+    return decided(spark, d)[1].select("execution_id", "doi", "chunk", day("latest_at").alias("day"), "older", "ties", "winner_key", "decision")
+
+
+@query(f"WITH {STG}{TGT}{DEC}{CHK} SELECT * FROM chk")
+def sync_chunk_counts(spark, d):
+    rows, decisions = decided(spark, d)
+    return sync.chunk_results(decisions, rows, CHUNK)
+
+
+@query(f"WITH {STG}{TGT}{DEC}{OUT} SELECT execution_id, staging_key, outcome FROM rows_")
+def row_outcomes(spark, d):
+    rows, decisions = decided(spark, d)
+    return sync.row_outcomes(decisions, rows, CHUNK).select("execution_id", "staging_key", "outcome")
+
+
+@query(f"WITH {STG}{TGT}{DEC}{OUT} SELECT execution_id, staging_key, 'CONFLICT' AS error_type, 'SAME_TIMESTAMP_DIFFERENT_CONTENT' AS error_code, 'OPEN' AS status, 0 AS replay_count FROM rows_ WHERE outcome = 'CONFLICT'")
+def conflict_errors(spark, d):
+    rows, decisions = decided(spark, d)
+    return sync.conflict_errors(sync.row_outcomes(decisions, rows, CHUNK))
+
+
+@query(f"WITH {STG}{TGT}{DEC}{OUT} SELECT staging_key, doi FROM rows_ WHERE outcome = 'SUPERSEDED'")
+def late_rows(spark, d):
+    rows, decisions = decided(spark, d)
+    return sync.row_outcomes(decisions, rows, CHUNK).where("outcome = 'SUPERSEDED'").select("staging_key", "doi")
+
+
+_FINAL = ", mv AS (SELECT doi, max(mx) AS at, max(CASE WHEN decision <> 'INDEX_ADVANCED' THEN {'a': chunk, 'b': winner_key, 'c': h} END) AS w FROM dec WHERE execution_id = 'ex1' AND decision IN ('INSERTED', 'UPDATED', 'INDEX_ADVANCED') GROUP BY doi)"
+
+
+@query(f"WITH {STG}{TGT}{DEC}{_FINAL} SELECT coalesce(tgt.doi, mv.doi) AS doi, coalesce(w.c, tgt.content_hash) AS content_hash, CAST(CASE WHEN w IS NOT NULL THEN (SELECT content FROM st WHERE staging_key = w.b) ELSE tgt.content END AS INT) AS content, strftime(coalesce(mv.at, tgt.indexed_at), '%Y-%m-%d') AS day, CASE WHEN tgt.doi IS NULL THEN 'new' ELSE 'old' END AS created_at, CASE WHEN w IS NOT NULL THEN 'new' ELSE 'old' END AS updated_at FROM tgt FULL JOIN mv ON mv.doi = tgt.doi")
+def sync_upsert_target(spark, d):
+    rows, target = stg(spark, d).where("execution_id = 'ex1'"), tgt(spark, d)
+    new = sync.upserted(target, rows, sync.decisions(rows, target, CHUNK), ["content_hash", "content"], F.lit("new"))
+    return new.select("doi", "content_hash", "content", day("source_indexed_at").alias("day"), "created_at", "updated_at")
+
+
+# Verification
+
+
+def broken(spark: SparkSession, d: str) -> DataFrame:
+    """Chunk results with a chunk left out, a range too long and a counter too high, each in an execution of its own."""
+    c = sync_chunk_counts(spark, d).where("not (execution_id = 'ex1' and chunk_sequence = 3)")
+    hit = lambda ex, n: (F.col("execution_id") == ex) & (F.col("chunk_sequence") == n)
+    return c.withColumn("last_staging_key", F.col("last_staging_key") + F.when(hit("ex2", 2), 5).otherwise(0)).withColumn("inserted_count", F.col("inserted_count") + F.when(hit("ex3", 4), 1).otherwise(0))
+
+
+BROKEN = """, br AS (SELECT * REPLACE (last_staging_key + CASE WHEN execution_id = 'ex2' AND chunk_sequence = 2 THEN 5 ELSE 0 END AS last_staging_key, inserted_count + CASE WHEN execution_id = 'ex3' AND chunk_sequence = 4 THEN 1 ELSE 0 END AS inserted_count) FROM chk WHERE NOT (execution_id = 'ex1' AND chunk_sequence = 3)),
+cv AS (SELECT *, inserted_count + superseded_count + no_op_count + conflict_count + index_advanced_count + updated_count + validation_error_count AS accounted, lag(last_staging_key, 1, 0) OVER w AS pl, lag(chunk_sequence, 1, 0) OVER w AS ps FROM br WINDOW w AS (PARTITION BY execution_id ORDER BY chunk_sequence)),
+ct AS (SELECT cv.execution_id, cv.chunk_sequence, count(st.staging_key) AS c, min(st.staging_key) AS a, max(st.staging_key) AS b FROM cv LEFT JOIN st ON st.execution_id = cv.execution_id AND st.staging_key BETWEEN cv.first_staging_key AND cv.last_staging_key GROUP BY ALL),
+bd AS (SELECT execution_id, max(staging_key) AS bound FROM st GROUP BY ALL),
+vl AS (SELECT cv.execution_id, cv.chunk_sequence, cv.accounted, CASE WHEN cv.chunk_sequence <> ps + 1 THEN 'gap' WHEN first_staging_key > last_staging_key OR last_staging_key > bound OR first_staging_key <= pl THEN 'order' WHEN c <> accounted OR a IS DISTINCT FROM first_staging_key OR b IS DISTINCT FROM last_staging_key THEN 'content' END AS violation
+  FROM cv JOIN ct ON ct.execution_id = cv.execution_id AND ct.chunk_sequence = cv.chunk_sequence JOIN bd ON bd.execution_id = cv.execution_id)"""
+
+
+@query(f"WITH {STG}{TGT}{DEC}{CHK}{BROKEN} SELECT * FROM vl")
+def coverage_check(spark, d):
+    return verify.coverage(broken(spark, d), stg(spark, d)).select("execution_id", "chunk_sequence", "accounted", "violation")
+
+
+@query(f"WITH {STG}{TGT}{DEC}{CHK}{BROKEN}, ff AS (SELECT execution_id, min(chunk_sequence) AS failed_chunk FROM vl WHERE violation IS NOT NULL GROUP BY ALL) SELECT vl.execution_id, failed_chunk, max(CASE WHEN chunk_sequence = failed_chunk THEN violation END) AS violation, CAST(coalesce(sum(CASE WHEN chunk_sequence < failed_chunk THEN accounted END), 0) AS BIGINT) AS accounted_before FROM vl JOIN ff ON ff.execution_id = vl.execution_id GROUP BY ALL")
+def coverage_first_failure(spark, d):
+    return verify.first_failure(verify.coverage(broken(spark, d), stg(spark, d)))
+
+
+@query(f"WITH {STG}{TGT}{DEC}{CHK} SELECT {', '.join(f'CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}' for c in COUNTERS)}, CAST(coalesce(sum({' + '.join(COUNTERS)}), 0) AS BIGINT) AS accounted FROM chk")
+def outcome_totals(spark, d):
+    return verify.outcome_totals(sync_chunk_counts(spark, d))
+
+
+@query(f"WITH {STG}{TGT}{DEC}{CHK}, a AS (SELECT execution_id, CAST(sum({' + '.join(COUNTERS)}) AS BIGINT) AS accounted FROM chk GROUP BY ALL) SELECT st.execution_id, count(*) AS eligible, count(DISTINCT doi) AS distinct_dois, count(*) - count(DISTINCT doi) AS duplicates, any_value(accounted) AS accounted FROM st JOIN a ON a.execution_id = st.execution_id GROUP BY ALL")
+def accounted_vs_eligible(spark, d):
+    done = sync_chunk_counts(spark, d).groupBy("execution_id").agg(F.sum(verify.accounted()).alias("accounted"))
+    return verify.eligible(stg(spark, d)).join(done, "execution_id")
+
+
+@query(f"WITH {ERR} SELECT execution_id, error_type, count(*) AS n FROM err WHERE status = 'OPEN' GROUP BY ALL")
+def open_errors_by_type(spark, d):
+    return verify.open_errors_by_type(errs(spark, d))
+
+
+_MISSING = ", ms AS (SELECT execution_id, count(DISTINCT doi) AS missing FROM st WHERE NOT EXISTS (SELECT 1 FROM err WHERE err.execution_id = st.execution_id AND err.staging_key = st.staging_key AND status = 'OPEN') AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.doi = st.doi) GROUP BY ALL)"
+_WRONG = ", wr AS (SELECT w.execution_id, w.doi, w.staging_key FROM (SELECT *, row_number() OVER (PARTITION BY execution_id, doi ORDER BY indexed_at DESC, staging_key) AS r FROM st WHERE NOT EXISTS (SELECT 1 FROM err WHERE err.execution_id = st.execution_id AND err.staging_key = st.staging_key AND status = 'OPEN')) w JOIN tgt ON tgt.doi = w.doi WHERE w.r = 1 AND (tgt.indexed_at < w.indexed_at OR (tgt.indexed_at = w.indexed_at AND tgt.content_hash <> w.content_hash)))"
+
+
+@query(f"WITH {STG}{TGT}, {ERR}{_MISSING} SELECT * FROM ms")
+def missing_target(spark, d):
+    return verify.missing_targets(stg(spark, d), errs(spark, d), tgt(spark, d))
+
+
+@query(f"WITH {STG}{TGT}, {ERR}{_WRONG} SELECT * FROM wr")
+def winner_checksum_mismatch(spark, d):
+    return verify.winner_mismatches(stg(spark, d), errs(spark, d), tgt(spark, d))
+
+
+@query(
+    f"WITH {STG}{TGT}{DEC}{CHK}{OUT}, err AS (SELECT execution_id, staging_key, 'OPEN' AS status FROM rows_ WHERE outcome = 'CONFLICT'){_MISSING}{_WRONG}, "
+    f"a AS (SELECT execution_id, CAST(sum({' + '.join(COUNTERS)}) AS BIGINT) AS accounted, CAST(sum(conflict_count) AS BIGINT) AS conflicts FROM chk GROUP BY ALL), e AS (SELECT execution_id, count(*) AS eligible, count(DISTINCT doi) AS distinct_dois FROM st GROUP BY ALL), "
+    "o AS (SELECT execution_id, count(*) AS open_conflicts FROM err GROUP BY ALL), w AS (SELECT execution_id, count(*) AS mismatches FROM wr GROUP BY ALL), "
+    "f AS (SELECT e.execution_id, eligible, distinct_dois, eligible - distinct_dois AS duplicates, accounted, conflicts, CAST(0 AS BIGINT) AS validations, coalesce(open_conflicts, 0) AS open_conflicts, CAST(0 AS BIGINT) AS open_validations, CAST(0 AS BIGINT) AS open_others, coalesce(missing, 0) AS missing, coalesce(mismatches, 0) AS mismatches, eligible + CASE WHEN e.execution_id = 'ex0' THEN 1 ELSE 0 END AS expected FROM e LEFT JOIN a USING (execution_id) LEFT JOIN o USING (execution_id) LEFT JOIN ms USING (execution_id) LEFT JOIN w USING (execution_id)) "
+    "SELECT * EXCLUDE (expected), CASE WHEN expected <> eligible OR eligible <> accounted THEN 'counts' WHEN conflicts <> open_conflicts THEN 'error counts' WHEN missing > 0 THEN 'missing targets' WHEN mismatches > 0 THEN 'winner checksum' WHEN conflicts > 0 THEN 'conflicts' END AS reason, CASE WHEN expected <> eligible OR eligible <> accounted OR conflicts <> open_conflicts OR missing > 0 OR mismatches > 0 OR conflicts > 0 THEN 'FAILED' ELSE 'COMPLETED' END AS status FROM f"
+)
+def verify_verdict(spark, d):
+    rows, decisions = decided(spark, d)
+    errors = sync.conflict_errors(sync.row_outcomes(decisions, rows, CHUNK))
+    expected = staging.frozen(rows).select("execution_id", (F.col("expected_count") + F.when(F.col("execution_id") == "ex0", 1).otherwise(0)).alias("expected_count"))
+    return verify.verdicts(rows, sync.chunk_results(decisions, rows, CHUNK), errors, tgt(spark, d), expected)
+
+
+@query("SELECT o_orderstatus, strftime(max(o_orderdate), '%Y-%m-%d') AS latest, count(*) AS n FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') GROUP BY ALL")
+def target_semi_max(spark, d):
+    o, li = load(spark, d, "orders"), load(spark, d, "lineitem").where("l_returnflag = 'R'")
+    return o.join(li, o.o_orderkey == li.l_orderkey, "left_semi").groupBy("o_orderstatus").agg(day(F.max("o_orderdate")).alias("latest"), F.count("*").alias("n"))
+
+
+@query("SELECT user_id, sha256(string_agg(event_type || ':' || event_id, '|' ORDER BY event_id)) AS digest FROM events GROUP BY ALL")
+def ordered_digest(spark, d):
+    return reports.ordered_digest(load(spark, d, "events"), ["user_id"], "event_id", F.concat("event_type", F.lit(":"), F.col("event_id").cast("string")))
+
+
+@query(None)
+def table_digest(spark, d):
+    return reports.table_digest(stg(spark, d), ["staging_key", "doi", "content_hash"])
+
+
+# Replay
+
+
+@query(f"WITH {STG}, {ERR} SELECT row_number() OVER (ORDER BY error_key) AS execution_sequence, error_key AS source_error_key, doi, content_hash, 'rp' AS execution_id FROM err JOIN st ON st.staging_key = err.staging_key AND st.execution_id = err.execution_id WHERE status = 'OPEN' AND err.execution_id = 'ex1'")
+def replay_snapshot(spark, d):
+    return replay.snapshot(errs(spark, d), stg(spark, d), "ex1", "rp").select("execution_sequence", "source_error_key", "doi", "content_hash", "execution_id")
+
+
+@query(f"WITH {ERR} SELECT error_key, CASE WHEN status = 'OPEN' AND execution_id = 'ex1' THEN 'RESOLVED' ELSE status END AS status, CASE WHEN status = 'OPEN' AND execution_id = 'ex1' THEN 'now' END AS resolved_at FROM err")
+def replay_resolve(spark, d):
+    return replay.resolved(errs(spark, d), replay_snapshot(spark, d), True, F.lit("now")).select("error_key", "status", "resolved_at")
+
+
+@query(f"WITH {ERR} SELECT error_key, CAST(replay_count + CASE WHEN status = 'OPEN' AND execution_id = 'ex1' THEN 1 ELSE 0 END AS INT) AS replay_count FROM err")
+def replay_counter(spark, d):
+    return replay.counted(errs(spark, d), replay_snapshot(spark, d)).select("error_key", "replay_count")
+
+
+# Reports
+
+
+_EXECUTIONS = ", ec AS (SELECT execution_id, CASE WHEN min(staging_key) % 2 = 1 THEN 'BACKFILL' ELSE 'INCREMENTAL' END AS mode, 'COMPLETED_WITH_ERRORS' AS status, max(indexed_at) AS finished_at FROM st GROUP BY ALL)"
+
+
+@query(f"WITH {STG}, {ERR}{_EXECUTIONS} SELECT ec.execution_id, count(*) AS open_errors FROM ec JOIN err ON err.execution_id = ec.execution_id AND err.status = 'OPEN' WHERE mode = 'BACKFILL' GROUP BY ec.execution_id, finished_at ORDER BY finished_at DESC, ec.execution_id DESC LIMIT 1")
+def replay_target_select(spark, d):
+    runs = stg(spark, d).groupBy("execution_id").agg(F.when(F.min("staging_key") % 2 == 1, "BACKFILL").otherwise("INCREMENTAL").alias("mode"), F.lit("COMPLETED_WITH_ERRORS").alias("status"), F.max("indexed_at").alias("finished_at"))
+    return reports.latest_replayable(errs(spark, d), runs).select("execution_id", "open_errors")
+
+
+@query(f"WITH {ERR}, o AS (SELECT execution_id, count(*) FILTER (status = 'OPEN' AND error_type = 'PERSISTENCE') AS n FROM err GROUP BY ALL) SELECT execution_id, CASE WHEN n > 0 AND execution_id <> 'ex1' THEN 'OPEN_ERRORS_REQUIRE_REPLAY' WHEN n > 0 THEN 'OPERATOR_REVIEW' ELSE 'RUN' END AS decision FROM o")
+def preflight_decision(spark, d):
+    n = errs(spark, d).groupBy("execution_id").agg(F.count_if((F.col("status") == "OPEN") & (F.col("error_type") == "PERSISTENCE")).alias("n"))
+    return n.select("execution_id", reports.preflight(F.col("n"), F.col("execution_id") != "ex1").alias("decision"))
+
+
+@query(f"WITH {ERR}, g AS (SELECT execution_id, CASE WHEN error_type IN ('CONFLICT', 'VALIDATION') THEN error_type ELSE 'OTHER' END AS t, CASE WHEN error_code IN ('C0', 'C1') THEN error_code ELSE 'OTHER' END AS c, count(*) AS n FROM err GROUP BY ALL) SELECT execution_id, '[' || string_agg(to_json({{'type': t, 'code': c, 'count': n}})::VARCHAR, ',' ORDER BY t, c) || ']' AS groups_json, string_agg(t || ':' || c || ':' || n, ',' ORDER BY t, c) AS groups_text FROM g GROUP BY ALL")
+def error_groups_json(spark, d):
+    return reports.error_groups(errs(spark, d), ["CONFLICT", "VALIDATION"], ["C0", "C1"])
+
+
+@query("WITH s AS (SELECT user_id, event_type, date_diff('microsecond', min(ts), max(ts)) // 1000 AS ms FROM events GROUP BY ALL) SELECT user_id, max(CASE WHEN event_type = 'click' THEN ms END) AS click_ms, max(CASE WHEN event_type = 'error' THEN ms END) AS error_ms FROM s GROUP BY ALL")
+def step_duration_pivot(spark, d):
+    steps = load(spark, d, "events").groupBy("user_id", F.col("event_type").alias("step")).agg(F.min("ts").cast("timestamp").alias("started_at"), F.max("ts").cast("timestamp").alias("ended_at"))
+    return reports.step_durations(steps, ["click", "error"], "user_id")
+
+
+@query(f"WITH {ERR} SELECT execution_id, CAST(sum(CASE WHEN status = 'OPEN' THEN 1 ELSE 0 END) AS BIGINT) AS open_count, CAST(sum(CASE WHEN status = 'RESOLVED' THEN 1 ELSE 0 END) AS BIGINT) AS resolved_count FROM err WHERE error_key <= 6000 GROUP BY ALL")
+def source_remaining(spark, d):
+    return reports.remaining(errs(spark, d), 6000)
+
+
+@query("SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_end, CAST(300 - 120 AS BIGINT) AS wait_seconds FROM events")
+def cooldown_latest(spark, d):
+    runs = load(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ended_at"))
+    now = F.col("last_end") + F.expr("interval 120 seconds")
+    return reports.cooldown(runs, now).select(F.date_format("last_end", "yyyy-MM-dd HH:mm:ss").alias("last_end"), "wait_seconds")
+
+
+@query("WITH t AS (SELECT user_id, value * 1048576 AS v, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events), f AS (SELECT user_id, count(*) AS samples, min(CASE WHEN r > 4 THEN v END) AS a, min(CASE WHEN r <= 4 THEN v END) AS b FROM t WHERE r <= 8 GROUP BY ALL) SELECT user_id, samples, samples = 8 AND b - a <= greatest(8 * 1024 * 1024, a / 10) AS plateau FROM f WHERE samples = 8")
+def heap_trend(spark, d):
+    samples = load(spark, d, "events").select("user_id", "event_id", (F.col("value") * 1048576).alias("v"))
+    return reports.sample_trend(samples, ["user_id"], "event_id", "v", 8, 4).where("samples = 8").select("user_id", "samples", "plateau")
+
+
+_GEN = "g AS (SELECT i, '10.5555/benchmark-v1-42-' || i AS doi, 'Synthetic work ' || i AS title, to_timestamp(1600000000 + 42 + i) AT TIME ZONE 'UTC' AS made FROM range(1, 1001) t(i))"
+
+
+@query(f"""WITH {_GEN} SELECT i AS execution_sequence, doi, title, strftime(made, '%Y-%m-%d') AS issued_date, strftime(made, '%Y-%m-%d %H:%M:%S') AS indexed_at, sha256(doi || '|' || title || '|Open Metadata Benchmark|' || strftime(made, '%Y-%m-%d') || '|[{{"given":"Ada","family":"Benchmark"}}]') AS content_hash FROM g""")
+def synthetic_rows(spark, d):
+    return generated(spark, 1000, 42).select("execution_sequence", "doi", "title", "issued_date", F.date_format("indexed_at", "yyyy-MM-dd HH:mm:ss").alias("indexed_at"), "content_hash")
+
+
+@query(f"WITH {STG}{TGT}{DEC}{CHK} SELECT execution_id, CAST(sum(inserted_count) AS BIGINT) = CAST(sum({' + '.join(COUNTERS)}) AS BIGINT) AS initial, CAST(sum(no_op_count) AS BIGINT) = CAST(sum({' + '.join(COUNTERS)}) AS BIGINT) AS no_op FROM chk GROUP BY ALL")
+def scenario_semantics(spark, d):
+    return sync_chunk_counts(spark, d).groupBy("execution_id").agg((F.sum("inserted_count") == F.sum(verify.accounted())).alias("initial"), (F.sum("no_op_count") == F.sum(verify.accounted())).alias("no_op"))
+
+
+@query("SELECT count(*) AS owners, CAST(sum(user_id) AS BIGINT) AS total FROM (SELECT DISTINCT user_id FROM events)")
+def metrics_owner_sum(spark, d):
+    e = load(spark, d, "events").withColumn("owners", F.lit(1).cast("bigint")).withColumn("total", F.col("user_id"))
+    return reports.owner_sums(e, "user_id", ["owners", "total"])
+
+
+@query("SELECT event_type, count(*) AS steps, CAST(sum(user_id) AS BIGINT) AS read_count, bool_or(value > 90) AS any_high FROM events GROUP BY ALL")
+def counter_rollup(spark, d):
+    return load(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("steps"), F.sum("user_id").alias("read_count"), F.bool_or(F.col("value") > 90).alias("any_high"))
+
+
+@query("SELECT page_id, regexp_replace(url, '[\\s=]', '_', 'g') AS safe FROM pages")
+def log_safe(spark, d):
+    return load(spark, d, "pages").select("page_id", T.log_safe(F.col("url")).alias("safe"))
+
+
+@query("SELECT page_id, sha256(replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;')) AS escaped FROM pages")
+def html_escape(spark, d):
+    return load(spark, d, "pages").select("page_id", F.sha2(T.html_escape(F.col("html")), 256).alias("escaped"))
+
+
+@query("SELECT page_id, url_encode(url) AS encoded FROM pages")
+def url_encode(spark, d):
+    return load(spark, d, "pages").select("page_id", F.url_encode("url").alias("encoded"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'Not run' ELSE (event_id // 1000) || '.' || lpad((event_id % 1000)::VARCHAR, 3, '0') || ' s (' || event_id || ' ms)' END AS shown, CASE WHEN event_id % 2 = 0 THEN event_id ELSE event_id * 1000 END AS header_ms FROM events")
+def duration_text(spark, d):
+    n = F.col("event_id").cast("string")
+    header = F.when(F.col("event_id") % 2 == 0, F.concat(n, F.lit("ms"))).otherwise(F.concat(n, F.lit("s")))
+    return load(spark, d, "events").select("event_id", T.duration_text(F.when(F.col("event_id") % 5 != 0, F.col("event_id"))).alias("shown"), T.header_millis(header).alias("header_ms"))

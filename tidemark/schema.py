@@ -4,20 +4,29 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
-PAGE = StructType.fromDDL(
-    "status string, `message-type` string, `message-version` string, message struct<`next-cursor`: string, `total-results`: bigint, `items-per-page`: int, "
-    "items: array<struct<DOI: string, title: array<string>, publisher: string, type: string, issued: struct<`date-parts`: array<array<int>>>, URL: string, "
-    "author: array<struct<given: string, family: string, ORCID: string>>, indexed: struct<`date-time`: string>, created: struct<`date-time`: string>>>>"
-)
-ITEM = PAGE["message"].dataType["items"].dataType.elementType
+_TYPES = {"string": StringType(), "int": IntegerType(), "bigint": LongType(), "timestamp": TimestampType()}
+
+
+def struct(columns: str = "", **nested: DataType) -> StructType:
+    """`name type, ...` of plain types, then nested ones; needs no session."""
+    plain = [StructField(n, _TYPES[t]) for n, t in (c.split() for c in columns.split(", ") if c)]
+    return StructType([*plain, *(StructField(n, t) for n, t in nested.items())])
+
+
+_STAMP = struct("date-time string")
+ITEM = struct(
+    "DOI string, publisher string, type string, URL string",
+    title=ArrayType(StringType()), issued=struct(**{"date-parts": ArrayType(ArrayType(IntegerType()))}), author=ArrayType(struct("given string, family string, ORCID string")), indexed=_STAMP, created=_STAMP,
+)
+PAGE = struct("status string, message-type string, message-version string", message=struct("next-cursor string, total-results bigint, items-per-page int", items=ArrayType(ITEM)))
 
 CANONICAL = "doi string, title string, publisher string, work_type string, issued_date string, issued_date_precision int, url string, authors_json string, canonical_version int, content_hash string, author_hash string"
-STAGING = StructType.fromDDL(f"staging_key bigint, execution_id string, execution_sequence bigint, source_json string, {CANONICAL}, indexed_at timestamp, source_created_at timestamp, collected_at timestamp, source_error_key bigint")
-TARGET = StructType.fromDDL(f"id string, {CANONICAL}, source_indexed_at timestamp, created_at timestamp, updated_at timestamp")
-ERRORS = StructType.fromDDL("error_key bigint, execution_id string, staging_key bigint, error_type string, error_code string, message string, status string, replay_count int, created_at timestamp, resolved_at timestamp")
-CHUNKS = StructType.fromDDL(
+STAGING = struct(f"staging_key bigint, execution_id string, execution_sequence bigint, source_json string, {CANONICAL}, indexed_at timestamp, source_created_at timestamp, collected_at timestamp, source_error_key bigint")
+TARGET = struct(f"id string, {CANONICAL}, source_indexed_at timestamp, created_at timestamp, updated_at timestamp")
+ERRORS = struct("error_key bigint, execution_id string, staging_key bigint, error_type string, error_code string, message string, status string, replay_count int, created_at timestamp, resolved_at timestamp")
+CHUNKS = struct(
     "execution_id string, chunk_sequence bigint, first_staging_key bigint, last_staging_key bigint, inserted_count bigint, superseded_count bigint, no_op_count bigint, conflict_count bigint, index_advanced_count bigint, updated_count bigint, validation_error_count bigint"
 )
 #: Longest value that a column may hold.
