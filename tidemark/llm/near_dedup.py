@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .sums import SCHEMA as SUMS
 from .sums import blocks, summed, tasks_of
-from .text import U, documents, hash_spans, mix, randoms, settled, slices, spans, utf8, windows
+from .text import U, documents, fresh, hash_spans, mix, randoms, settled, slices, spans, utf8, windows
 
 #: Bands of coordinates. At similarity 0.8 a pair shares no band with probability (1 - 0.8**6)**40 < 1e-5, at 0.85 < 1e-8.
 BANDS, ROWS = 40, 6
@@ -232,8 +232,9 @@ def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFr
     alone = F.when(F.col("component_id").isNull(), F.col("text_md5"))
     kept = marks.where("kept or component_id is null").groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct("doc_id", "text_md5")).alias("row"))
     rows = marks.groupBy("doc_id", "text_md5").agg(F.count("*").alias("n"))
-    chosen = kept.select(F.col("row.doc_id").alias("id_"), F.col("row.text_md5").alias("md5_"))
-    chosen = chosen.join(rows, chosen["id_"].eqNullSafe(rows["doc_id"]) & chosen["md5_"].eqNullSafe(rows["text_md5"])).select("id_", "md5_", F.col("n").alias("n_"))
-    found = docs.join(chosen, name("doc_id").eqNullSafe(F.col("id_")) & name("text").eqNullSafe(F.col("md5_")))
-    once = found.where("n_ = 1").select(docs.columns)
-    return once.unionByName(found.where("n_ > 1").dropDuplicates(["id_", "md5_"]).select(docs.columns))
+    own_id, own_md5, n = (fresh(c, docs.columns) for c in ("own_id", "own_md5", "n_rows"))
+    chosen = kept.select(F.col("row.doc_id").alias(own_id), F.col("row.text_md5").alias(own_md5))
+    chosen = chosen.join(rows, chosen[own_id].eqNullSafe(rows["doc_id"]) & chosen[own_md5].eqNullSafe(rows["text_md5"])).select(own_id, own_md5, F.col("n").alias(n))
+    found = docs.join(chosen, name("doc_id").eqNullSafe(F.col(own_id)) & name("text").eqNullSafe(F.col(own_md5)))
+    once = found.where(F.col(n) == 1).select(docs.columns)
+    return once.unionByName(found.where(F.col(n) > 1).dropDuplicates([own_id, own_md5]).select(docs.columns))

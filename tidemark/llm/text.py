@@ -139,6 +139,14 @@ def documents(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """name, with as many underscores behind it as it takes to be none of columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
