@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, near_dedup, packing, quality, secrets
-from tidemark.llm.text import load, shared_dir
+from tidemark.llm.text import fresh, load, shared_dir
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted to this stage's own input, doesn't reject."""
     v, model = quality.fitted(docs, load(spark, sf_dir, "labels"))
-    return quality.with_score(docs, v, model, "quality_score").where(F.col("quality_score") >= quality.THRESHOLD).select(docs.columns)
+    score = fresh("quality_score", docs.columns)
+    return quality.with_score(docs, v, model, score).where(F.col(score) >= quality.THRESHOLD).select(docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
