@@ -148,7 +148,8 @@ def _prefixes(n: int, percent: int, shared):
         for node, root, s in _sets(batches, n):
             k = len(s) - -(-percent * len(s) // 100) + 1
             first = s[np.lexsort((s, counts[(s % U(SLOTS)).astype(np.int64)]))][:k]
-            yield pa.RecordBatch.from_pydict({"node": np.full(k, node), "root": np.full(k, root), "shingle": first.view(np.int64), "at": np.arange(k), "n": np.full(k, len(s))})
+            before = pa.array(np.roll(first, 1).view(np.int64), mask=np.arange(k) == 0)
+            yield pa.RecordBatch.from_pydict({"node": np.full(k, node), "root": np.full(k, root), "shingle": first.view(np.int64), "before": before, "at": np.arange(k), "n": np.full(k, len(s))})
 
     return run
 
@@ -158,15 +159,17 @@ def rare_pairs(texts: DataFrame, n: int, percent: int) -> DataFrame:
 
     Shingles are ordered by how many sets have them (counted in SLOTS slots; any order gives whole results). Similar
     sets share one of their first shingles, and from the first shared one on, enough are left in both for the overlap.
+    Of shared shingles that follow one another in both orders, only the first makes a pair.
     """
     spark = texts.sparkSession
     counts = summed(texts.mapInArrow(_tally(n), SUMS), SLOTS, tasks_of(texts))
-    prefixes = settled(texts.mapInArrow(_prefixes(n, percent, spark.sparkContext.broadcast(counts)), "node long, root long, shingle long, at long, n long"))
+    prefixes = settled(texts.mapInArrow(_prefixes(n, percent, spark.sparkContext.broadcast(counts)), "node long, root long, shingle long, before long, at long, n long"))
     mixed = prefixes.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("shingle")
     left = prefixes.join(mixed, "shingle")
-    right = left.select("shingle", F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("at").alias("hub_at"), F.col("n").alias("hub_n"))
+    right = left.select("shingle", F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("before").alias("hub_before"), F.col("at").alias("hub_at"), F.col("n").alias("hub_n"))
     enough = f"{100 + percent} * least(n - at, hub_n - hub_at) >= {percent} * (n + hub_n)"
-    return left.join(right, "shingle").where(f"hub < node and root <> hub_root and {enough}").select("hub", "node").distinct()
+    leads = "(before is null or hub_before is null or before <> hub_before)"  # else the shingle before has the pair
+    return left.join(right, "shingle").where(f"hub < node and root <> hub_root and {enough} and {leads}").select("hub", "node").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
