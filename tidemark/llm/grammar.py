@@ -32,12 +32,12 @@ from .tokens import encoder, vocabulary
 MARK = b"RPG1"
 #: Passes over a block's symbols, rules made in each, and the least count of a pair that gets a rule.
 PASSES, RULES, LEAST = 6, 2600, 12
-TABLE = 1 << 22
+TABLE = 1 << 18
 
 
 def frequent_pairs(keys: np.ndarray, most: int, least: int) -> np.ndarray:
     """The most frequent keys, sorted. Counts by hash first, so that only pairs in full slots are sorted."""
-    slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
+    slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - TABLE.bit_length())).astype(np.int64)
     full = np.bincount(slot, minlength=TABLE) >= least
     found, n = np.unique(keys[full[slot]], return_counts=True)
     found, n = found[n >= least], n[n >= least]
@@ -53,15 +53,16 @@ def repair(ids: np.ndarray, last: np.ndarray, terminals: int, passes: int = PASS
     """
     s, last, made = ids.astype(np.uint32), last.copy(), [np.zeros((0, 2), np.uint32)]
     for _ in range(passes):
-        inside = np.flatnonzero(~last[:-1])
-        keys = (s[inside].astype(np.uint64) << np.uint64(32)) | s[inside + 1]
-        chosen = frequent_pairs(keys, rules, least)
+        left, right, inside = s[:-1], s[1:], ~last[:-1]
+        keys = (left.astype(np.uint64) << np.uint64(32)) | right
+        chosen = frequent_pairs(keys[inside], rules, least)
         if not len(chosen):
             break
-        lead = np.zeros(int(s.max()) + 1, bool)  # most symbols begin no chosen pair
+        lead, follow = np.zeros(int(s.max()) + 1, bool), np.zeros(int(s.max()) + 1, bool)  # most symbols are in no chosen pair
         lead[(chosen >> np.uint64(32)).astype(np.int64)] = True
-        some = lead[s[inside]]
-        at, keys = inside[some], keys[some]
+        follow[(chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+        at = np.flatnonzero(inside & lead[left] & follow[right])
+        keys = keys[at]
         rule = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
         hit = chosen[rule] == keys
         at, rule = at[hit], rule[hit]
