@@ -1,7 +1,8 @@
 """Token ids of whole texts, from a public tokenizer whose units never cross white space.
 
 Such a tokenizer gives a text the ids of its white-space separated words, one after another. So a task encodes each
-distinct word once, with the tokenizers library, and looks all others up by their hash.
+distinct word once, with the tokenizers library, and looks all others up by their hash. New words are encoded as lines
+of LINE words, and the ids dealt to the words by the offsets at which they begin.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from .text import U, hash_spans, spans
 END = 1
 #: Words that a worker keeps at most; beyond, it forgets them all and starts anew.
 KEPT_WORDS = 2_000_000
+LINE = 64
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -45,10 +47,15 @@ class WordEncoder:
         self.flat = np.array([END], np.uint32)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        n = np.array([len(x) for x in got], np.int64)
+        lines = [" ".join(words[k : k + LINE]) for k in range(0, len(words), LINE)]
+        got = self.tokenizer.encode_batch(lines, add_special_tokens=False)
+        after = np.cumsum([len(x) + 1 for x in lines])  # characters, with the space between two lines
+        places = np.fromiter((o[0] for e in got for o in e.offsets), np.int64)
+        places += np.repeat(after - [len(x) + 1 for x in lines], [len(e) for e in got])
+        begins = np.cumsum([0, *(len(w) + 1 for w in words)])
+        n = np.diff(np.searchsorted(places, begins))
         at = len(self.flat) + np.cumsum(n) - n
-        self.flat = np.concatenate([self.flat, np.array([i for x in got for i in x], np.uint32)])
+        self.flat = np.concatenate([self.flat, np.fromiter((i for e in got for i in e.ids), np.uint32)])
         to = np.searchsorted(self.keys, keys)
         self.keys, self.at, self.n = np.insert(self.keys, to, keys), np.insert(self.at, to, at), np.insert(self.n, to, n)
 
