@@ -164,6 +164,17 @@ def test_token_files_round_trip(spark, tmp_path):
         grammar.Block(b"xxxx")
 
 
+def test_words_have_the_ids_of_their_lines():
+    r = random.Random(1)
+    signs = [chr(x) for x in [*range(33, 127), *range(33, 127), *range(0x80, 0x600), 0, 1, 0x1C, 0x2028, 0x3000, 0xFEFF, 0x300, 0x301, 0x338, 0x130, 0x3A3, 0x1100, 0x1161, 0x11A8, 0x1F600, 0xFB01, 0x212B]]
+    some = sorted({"".join(r.choice(signs) for _ in range(r.randrange(1, 9))) for _ in range(20_000)} | {"<|endoftext|>", "a<|startoftext|>b", "it's", "'restab", "\u00a0", "\u00a0x", "\u0338"})
+    r.shuffle(some)
+    coder = tokens.WordEncoder(tokens.vocabulary())
+    coder._learn(np.arange(len(some), dtype=np.uint64), some)
+    for k, e in enumerate(coder.tokenizer.encode_batch(some, add_special_tokens=False)):
+        assert coder.flat[coder.at[k] : coder.at[k] + coder.n[k]].tolist() == e.ids
+
+
 def held_out(spark, got, label):
     lab = {r.doc_id: r[label] for r in load(spark, "/root/testdata/sf0.1", "labels").collect() if r[label] is not None}
     return [(r.predicted, lab[r.doc_id]) for r in got.collect() if r.held_out and r.doc_id in lab]
@@ -275,8 +286,11 @@ def test_language_model(spark):
         want[(i, held(i), len(t), sum(count[w] > 0 for w in t), n, round(sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t), 6))] += 1
     got = lm.language_model_scores(frame(spark, rows), shards=3).collect()
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
-    parts = lm.language_model_scores(frame(spark, rows), shards=3, part_bytes=200).collect()
-    assert sorted((r.doc_id, round(r.score, 9)) for r in parts) == sorted((r.doc_id, round(r.score, 9)) for r in got)
+    for shards in (3, 40):  # the filter stays with its shards
+        apart = lm.language_model_scores(frame(spark, rows), shards=shards, broadcast_bytes=0).collect()
+        assert Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in apart) == Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got)
+        whole = lm.language_model_scores(frame(spark, rows), shards=shards).collect()
+        assert sorted((r.doc_id, round(r.score, 9)) for r in apart) == sorted((r.doc_id, round(r.score, 9)) for r in whole)
     assert all(r.score < 0 for r in got)
 
 

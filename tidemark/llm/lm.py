@@ -8,8 +8,9 @@ made by the task that has all counts of that shard; a region's bits follow its e
 A level stands for the mean of the counts that have it. A word's probability after another is a pair's share of its
 first word's count, pulled towards the word's own share as far as the first word is rare.
 
-Regions are broadcast together as long as they fit in PART_BYTES. Beyond that they are sent in parts of that size, one
-after another: each part's levels are written beside the texts before the next part is sent.
+The filter is broadcast as long as it fits in BROADCAST_BYTES. A larger one stays where it was made: each group of
+documents sends its distinct words and pairs to the regions of their shards, which answer with levels. Either way the
+same entries are probed, so scores are the same, and the work grows with the texts alone.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from .sums import fold
 from .text import U, documents, hash_spans, mix, partitions, randoms, settled, slices, spans, trim, utf8
 
 FOLDS, HELD = 5, 1
-#: Bits for each entry, probes for each entry, levels, and bytes of filter that are broadcast at once.
-BITS, PROBES, LEVELS, PART_BYTES = 8, 5, 48, 96 << 20
+#: Bits for each entry, probes for each entry, levels, and bytes of filter that are broadcast at most.
+BITS, PROBES, LEVELS, BROADCAST_BYTES = 8, 5, 48, 96 << 20
 #: Occurrences of a first word at which its pairs and the second word's own share weigh the same.
 PULL = 200.0
 
@@ -67,6 +68,24 @@ def level_of(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(float))[1].astype(np.int64)  # 1 for 1, 2 for 2 and 3, 3 for 4 to 7
 
 
+def dealt(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending keys' places in the order of their shards, and where each shard's begin (one more at the end)."""
+    shard = (keys % U(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    return order, np.searchsorted(shard[order], np.arange(shards + 1))
+
+
+def restored(keys: np.ndarray, shards: int, rows: pa.Table, column: str) -> np.ndarray:
+    """What the shards' rows say of ascending keys: each has its own keys' numbers, in the keys' order."""
+    order, cut = dealt(keys, shards)
+    out = np.zeros(len(keys), np.int64)
+    for p, data in zip(rows.column("p").to_pylist(), rows.column(column), strict=True):
+        if data.is_valid:
+            own = order[cut[p] : cut[p + 1]]
+            out[own] = widened(data.as_py(), len(own))
+    return out
+
+
 def _gathered(shards: int):
     """Over a group of documents: for each shard its words with their counts in training texts, and its pairs likewise."""
 
@@ -83,9 +102,7 @@ def _gathered(shards: int):
         q = docs.column("q")[0].as_py()
         out: dict[str, list] = {c: [] for c in ("p", "q", "words", "word_n", "pairs", "pair_n", "learnt")}
         (keys, n), (two, m) = (tallied(*(np.concatenate(c) for c in zip(*parts, strict=True))) for parts in (words, pairs))
-        shard, shard_2 = (keys % U(shards)).astype(np.int64), (two % U(shards)).astype(np.int64)
-        order, order_2 = np.argsort(shard, kind="stable"), np.argsort(shard_2, kind="stable")
-        cut, cut_2 = (np.searchsorted(s[o], np.arange(shards + 1)) for s, o in ((shard, order), (shard_2, order_2)))
+        (order, cut), (order_2, cut_2) = dealt(keys, shards), dealt(two, shards)
         for p in range(shards):
             own, own_2 = order[cut[p] : cut[p + 1]], order_2[cut_2[p] : cut_2[p + 1]]
             if len(own) or len(own_2):
@@ -164,10 +181,13 @@ class Filter:
 
     def levels(self, keys: np.ndarray, order: int) -> np.ndarray:
         """The level of each key of an order (0 for words, 1 for pairs), 0 where it isn't known, by repeated probes."""
-        shard = (keys % U(self.shards)).astype(np.int64)
-        out = np.zeros(len(keys), np.uint8)
+        return self.probed((keys % U(self.shards)).astype(np.int64), keys >> U(32), order)
+
+    def probed(self, shard: np.ndarray, short: np.ndarray, order: int) -> np.ndarray:
+        """Likewise of keys given by their shards and their upper halves."""
+        out = np.zeros(len(short), np.uint8)
         left = np.flatnonzero(self.bits[shard] > 0)
-        short, shard = (keys[left] >> U(32)) | U(order << 32), shard[left]
+        short, shard = short[left] | U(order << 32), shard[left]
         for level in range(1, LEVELS):
             bits, at = self.bits[shard], self.at[shard]
             hit, (a, b) = np.arange(len(left)), probes(short, level)
@@ -186,23 +206,46 @@ def _distinct_levels(part: Filter, keys: np.ndarray, pairs: np.ndarray) -> np.nd
     return np.concatenate([part.levels(found, 0)[back], part.levels(pairs, 1)])
 
 
-def _fill(shared):
-    """Over texts with the levels of their tokens and pairs so far: a part of the filter adds its own."""
+def _asked(shards: int):
+    """Over a group of documents: for each shard the upper halves of its distinct words and pairs in these texts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            out = []
-            for k in range(b.num_rows):
-                keys, pairs, _ = tokens(*utf8(b.column("text").slice(k, 1)))
-                have = b.column("levels")[k].as_py()
-                new = _distinct_levels(shared.value, keys, pairs)
-                out.append((np.maximum(new, np.frombuffer(have, np.uint8)) if have else new).tobytes())
-            at = b.schema.get_field_index("levels")
-            yield b.set_column(at, b.schema.field(at), pa.array(out, pa.binary()))
+    def run(docs: pa.Table) -> pa.Table:
+        met = [[np.zeros(0, U)], [np.zeros(0, U)]]
+        for b in slices(docs.combine_chunks().to_batches(), limit=8 << 20):
+            keys, pairs, _ = tokens(*utf8(b.column("text")))
+            met[0].append(np.unique(keys))
+            met[1].append(np.unique(pairs))
+        halves, cuts = [], []
+        for keys in (np.unique(np.concatenate(m)) for m in met):
+            order, cut = dealt(keys, shards)
+            halves.append((keys[order] >> U(32)).astype(np.uint32))
+            cuts.append(cut)
+        some = [p for p in range(shards) if any(c[p] < c[p + 1] for c in cuts)]
+        sent = [pa.array([h[c[p] : c[p + 1]].tobytes() for p in some], pa.binary()) for h, c in zip(halves, cuts, strict=True)]
+        q = docs.column("q")[0].as_py()
+        trim()
+        return pa.table({"p": pa.array(some, pa.int32()), "q": pa.array([q] * len(some), pa.int32()), "words": sent[0], "pairs": sent[1]})
 
     return run
 
 
+ASKED = "p int, q int, words binary, pairs binary"
+
+
+def _answered(made: pa.Table, asked: pa.Table) -> pa.Table:
+    """One shard's region of the filter, and what is asked of it: the levels, in the order of the keys sent."""
+    region, out = Filter(1, {0: x.as_py() for x in made.column("counts")}), [[], []]
+    for order, column in enumerate(("words", "pairs")):
+        for x in asked.column(column):
+            short = np.frombuffer(x.as_py(), np.uint32).astype(U)
+            out[order].append(region.probed(np.zeros(len(short), np.int64), short, order).tobytes())
+    trim()
+    return pa.table({"q": asked.column("q"), "p": asked.column("p"), "word_levels": pa.array(out[0], pa.binary()), "pair_levels": pa.array(out[1], pa.binary())})
+
+
+ANSWERED = "q int, p int, word_levels binary, pair_levels binary"
+
+
 class Model:
     """What turns levels into probabilities: mean counts by order and level, and the corpus' totals."""
 
@@ -228,27 +271,25 @@ class Model:
 
 
 def _score(shared, model: Model, shards: int):
-    """Over a group of documents and its words' counts: a shard's counts stand in the order of its words' keys."""
+    """Over a group of documents and what the shards say of its words: counts and, if no filter was broadcast, levels."""
 
-    def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        known = np.zeros(0, U)
+    def run(docs: pa.Table, said: pa.Table) -> pa.Table:
+        known, met = np.zeros(0, U), np.zeros(0, U)
         for b in slices(docs.combine_chunks().to_batches(), limit=8 << 20):
-            known = np.union1d(known, tokens(*utf8(b.column("text")))[0])
-        shard = (known % U(shards)).astype(np.int64)
-        order, size, total = np.argsort(shard, kind="stable"), np.bincount(shard, minlength=shards), np.zeros(len(known), np.int64)
-        rows = sorted(zip(counts.column("p").to_pylist(), counts.column("counts"), strict=True), key=lambda r: r[0])
-        total[order] = np.concatenate([np.zeros(0, np.int64), *(widened(x.as_py(), int(size[p])) for p, x in rows)])
-        del order, shard, rows
+            keys, pairs, _ = tokens(*utf8(b.column("text")))
+            known = np.union1d(known, keys)
+            if shared is None:
+                met = np.union1d(met, pairs)
+        total = restored(known, shards, said, "counts")
+        if shared is None:
+            own, paired = (restored(k, shards, said, c).astype(np.uint8) for k, c in ((known, "word_levels"), (met, "pair_levels")))
         out: list[list] = [[], [], [], [], []]
         for b in slices(docs.combine_chunks().to_batches()):
             keys, pairs, first = tokens(*utf8(b.column("text")))
-            c = total[np.searchsorted(known, keys)]
+            at = np.searchsorted(known, keys)
+            c = total[at]
             logs = np.add.reduceat(np.log10((c + 0.5) / model.below), first[:-1])
-            if "levels" in b.schema.names:
-                rows = [np.frombuffer(x.as_py(), np.uint8) for x in b.column("levels")]
-                levels = np.concatenate([x[: len(x) // 2] for x in rows] + [x[len(x) // 2 :] for x in rows])
-            else:
-                levels = _distinct_levels(shared.value, keys, pairs)
+            levels = np.concatenate([own[at], paired[np.searchsorted(met, pairs)]]) if shared is None else _distinct_levels(shared.value, keys, pairs)
             for column, values in zip(out, (b.column("doc_id").to_pylist(), np.diff(first), np.add.reduceat((c > 0).astype(np.int64), first[:-1]), logs, model.scores(levels, first)), strict=True):
                 column.append(values)
         trim()
@@ -261,20 +302,7 @@ def _score(shared, model: Model, shards: int):
 SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def parted(regions: dict[int, int], most: int) -> list[list[int]]:
-    """Shards in parts of at most so many bytes; a larger region is a part of its own."""
-    out: list[list[int]] = []
-    size = most + 1
-    for p, n in sorted(regions.items()):
-        if size + n > most:
-            out.append([])
-            size = 0
-        out[-1].append(p)
-        size += n
-    return out
-
-
-def language_model_scores(docs: DataFrame, folds: int = FOLDS, held: int = HELD, pull: float = PULL, part_bytes: int = PART_BYTES, shards: int | None = None) -> DataFrame:
+def language_model_scores(docs: DataFrame, folds: int = FOLDS, held: int = HELD, pull: float = PULL, broadcast_bytes: int = BROADCAST_BYTES, shards: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every row of docs(doc_id, text).
 
     Counts come from the rows outside the held-out fold; a row without a doc_id isn't held out. base_score is exact:
@@ -292,18 +320,14 @@ def language_model_scores(docs: DataFrame, folds: int = FOLDS, held: int = HELD,
     heads = made.select("p", F.length("counts").alias("size"), "stats", "learnt").collect()
     stats = sum((np.frombuffer(r["stats"], np.int64).reshape(2, -1) for r in heads), np.zeros((2, 2 * LEVELS), np.int64))
     model = Model(stats, sum(r["learnt"] for r in heads), pull)
-    parts = parted({r["p"]: r["size"] for r in heads}, part_bytes)
-
-    def sent_out(part: list[int]):
-        regions = {r["p"]: bytes(r["counts"]) for r in made.where(F.col("p").between(min(part), max(part))).select("p", "counts").collect()} if part else {}
-        return spark.sparkContext.broadcast(Filter(shards, regions))
-
-    shared = None
-    if len(parts) <= 1:
-        shared = sent_out(parts[0] if parts else [])
+    said = counted.where("q >= 0").select("q", "p", "counts")
+    if sum(r["size"] for r in heads) <= broadcast_bytes:
+        regions = {r["p"]: bytes(r["counts"]) for r in made.select("p", "counts").collect()}
+        shared = spark.sparkContext.broadcast(Filter(shards, regions))
     else:
-        base = base.withColumn("levels", F.lit(None).cast("binary"))
-        for part in parts:
-            base = settled(base.mapInArrow(_fill(sent_out(part)), base.schema))
-    scored = base.groupBy("q").cogroup(counted.where("q >= 0").select("q", "p", "counts").groupBy("q")).applyInArrow(_score(shared, model, shards), SCORED)
+        shared = None
+        asked = base.select("q", "text").groupBy("q").applyInArrow(_asked(shards), ASKED)
+        answers = made.select("p", "counts").groupBy("p").cogroup(asked.groupBy("p")).applyInArrow(_answered, ANSWERED)
+        said = said.unionByName(answers, allowMissingColumns=True)
+    scored = base.groupBy("q").cogroup(said.groupBy("q")).applyInArrow(_score(shared, model, shards), SCORED)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
