@@ -212,6 +212,35 @@ def test_nearest_examples_are_exact():
         assert [(-c, int(index.ids[p])) for p, c in zip(places, cosines, strict=True)] == want
 
 
+@pytest.mark.parametrize("each", [1, 1000])
+@pytest.mark.parametrize("toxic, clean", [(2, 8), (15, 15), (27, 3)])
+def test_toxicity_has_all_words_at_any_label_rate(spark, toxic, clean, each):
+    r = random.Random(toxic)
+    vocabulary = [f"w{k}" for k in range(30)]
+    text = lambda k, bad: " ".join([*(r.choice(vocabulary) for _ in range(12)), f"own{k}", *(["vile", "foul"] if bad else ["kind", "fair"])])
+    docs = [(k, text(k, k < toxic)) for k in range(toxic + clean)] + [(1000 + k, text(1000 + k, k % 2)) for k in range(20)]
+    docs += [(2000, "nothing known"), (2001, None)]
+    labels = spark.createDataFrame([(k, int(k < toxic)) for k in range(toxic + clean)], "doc_id bigint, toxic int")
+    got = {g.doc_id: g for g in toxicity.toxicity(frame(spark, docs), labels, folds=1, held=1, each=each).collect()}
+    # of 15 votes two examples can't have half, but they part the scores
+    assert min(got[1000 + k].score for k in range(1, 20, 2)) > max(got[1000 + k].score for k in range(0, 20, 2))
+    assert toxic < 10 or all(got[1000 + k].predicted == k % 2 for k in range(20))
+
+    tf = {i: Counter(words(t)) for i, t in docs}
+    df, n, a = Counter(w for c in tf.values() for w in c), Counter(), Counter()
+    for k in range(toxic + clean):
+        n.update(set(tf[k]))
+        a.update(set(tf[k]) if k < toxic else ())
+    rate, part = toxic / (toxic + clean), lambda o, e: o * math.log(o / e) if o else 0.0
+    g = {w: 2 * (part(a[w], n[w] * rate) + part(n[w] - a[w], n[w] * (1 - rate))) if n[w] else 0.0 for w in df}
+    vectors = {i: {w: (1 + math.log(c)) * (math.log((len(docs) + 1) / (df[w] + 1)) + 1) * (1 + g[w]) for w, c in t.items()} for i, t in tf.items()}
+    norms = {i: math.sqrt(sum(x * x for x in v.values())) for i, v in vectors.items()}
+    for i, row in got.items():
+        cosines = {e: sum(x * vectors[e].get(w, 0.0) for w, x in vectors[i].items()) / max(1e-12, norms[i] * norms[e]) for e in range(toxic + clean)}
+        want = sorted((c for c in cosines.values() if c > 1e-12), reverse=True)[:15]
+        assert np.allclose(row.cosines, want, atol=1e-8) and np.allclose([cosines[e] for e in row.neighbours], want, atol=1e-8)
+
+
 def packed_rows(spark, docs):
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for p in packing.packed(docs).collect():

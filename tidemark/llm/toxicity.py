@@ -1,10 +1,14 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over an inverted index with block bounds.
 
-The terms are words that labelled examples with label 1 have far more often than the others; idf counts all documents.
-A document's vector holds its few such terms. Examples are laid out in blocks of like vectors; for every term and block
-the largest weight is kept, so a block whose bound is below the k-th best cosine so far is never looked into, and the
-k nearest are still exact. Each neighbour votes with a weight that falls with its distance; a logistic curve fitted to
-the examples' own leave-one-out votes turns votes into probabilities.
+All words are terms. A weight is (1 + log tf) * idf * (1 + g): idf counts all documents, g is twice the log-likelihood
+ratio of the word and the label among the examples (0 for a word in none), so a word that goes with a label, be it 0 or 1,
+weighs more, and none is left out. Words of the examples and those in at least one of EACH documents are broadcast; the
+others, which meet no example, only lengthen a text's vector and are joined to it.
+
+Examples are laid out in blocks of like vectors. Their rare words are postings; their COMMON most frequent ones are a dense
+matrix, with every block's largest weight: where the bounds leave few blocks, only these are looked into. Both make
+candidates alone, whose cosines are computed again, so the k nearest are exact. Each neighbour votes with a weight that falls
+with its distance; a logistic curve fitted to the examples' own leave-one-out votes turns votes into probabilities.
 """
 
 from __future__ import annotations
@@ -16,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sums import SCHEMA as SUMS
-from .sums import blocks, fold, labelled, summed, tasks_of
-from .text import SPACE, U, documents, hash_spans, slices, spans, utf8
+from .sums import fold, labelled
+from .text import SPACE, U, documents, hash_spans, settled, slices, spans, utf8
 
-#: Labelled rows that are used at most, terms of the model, and the evidence that a term needs (twice a log-likelihood ratio).
-EXAMPLES, TERMS, EVIDENCE = 20_000, 4096, 25.0
+#: Labelled rows that are used at most. Words in one of EACH documents are broadcast; words that a task counts before it gives them on.
+EXAMPLES, EACH, HELD_WORDS = 20_000, 1000, 1 << 21
+#: Frequent words in the dense matrix, texts that are looked up together, and what single precision may lose of a cosine.
+COMMON, BATCH, SLACK = 512, 64, 1e-5
 NEIGHBOURS, BLOCK = 15, 64
 FOLDS, HELD, THRESHOLD = 5, 0, 0.5
 
@@ -38,127 +43,196 @@ def terms(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hash_spans(raw, starts, ends, fold=True), first
 
 
+def distinct(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Row, hash and number of occurrences of each of a row's terms, in the order of rows and hashes; and the number of rows."""
+    hashes, first = terms(raw, rows)
+    n = len(first) - 1
+    row = np.repeat(np.arange(n), np.diff(first))
+    order = np.lexsort((hashes, row))
+    h, r = hashes[order], row[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
+    at = np.flatnonzero(new)
+    return r[at], h[at], np.diff(np.append(at, len(h))), n
+
+
 def _examples_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
-        hashes, first = terms(*utf8(b.column("text")))
+        row, h, _, _ = distinct(*utf8(b.column("text")))
         label = b.column("label").to_numpy() == 1
-        row = np.repeat(np.arange(len(label)), np.diff(first))
-        order = np.lexsort((row, hashes))
-        h, r = hashes[order], row[order]
-        once = np.ones(len(h), bool)
-        once[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-        h, r = h[once], r[once]
         keys, back = np.unique(h, return_inverse=True)
-        yield pa.RecordBatch.from_pydict({"term": keys.view(np.int64), "with_1": np.bincount(back, label[r], len(keys)).astype(np.int64), "n": np.bincount(back, minlength=len(keys)).astype(np.int64)})
+        yield pa.RecordBatch.from_pydict({"term": keys.view(np.int64), "with_1": np.bincount(back, label[row], len(keys)).astype(np.int64), "n": np.bincount(back, minlength=len(keys)).astype(np.int64)})
 
 
-def choose_terms(examples: DataFrame, positives: int, total: int, most: int = TERMS, evidence: float = EVIDENCE) -> np.ndarray:
-    """Sorted hashes of the terms that label 1 goes with, at most so many, by a likelihood ratio."""
-    counts = examples.mapInArrow(_examples_terms, "term long, with_1 long, n long").groupBy("term").agg(F.sum("with_1").alias("a"), F.sum("n").alias("n"))
-    rate = positives / total
-    part = lambda o, e: F.when(F.col(o) > 0, F.col(o) * F.log(F.col(o) / F.col(e))).otherwise(0.0)
-    tested = counts.where(F.col("a") > F.lit(2 * rate) * F.col("n")).withColumn("b", F.col("n") - F.col("a")).withColumn("ea", F.col("n") * rate).withColumn("eb", F.col("n") * (1 - rate))
-    tested = tested.withColumn("g", 2 * (part("a", "ea") + part("b", "eb"))).where(F.col("g") >= evidence)
-    return np.sort(np.array([r["term"] for r in tested.orderBy(F.desc("g"), "term").limit(most).collect()], np.int64).view(U))
-
-
-def _frequencies(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        total = np.zeros(len(known) + 1, np.int64)
-        for b in slices(batches):
-            row, term, _ = found(*utf8(b.column("text")), known)
-            total[:-1] += np.bincount(np.unique(row * len(known) + term) % max(1, len(known)), minlength=len(known))
-            total[-1] += b.num_rows
-        yield blocks(total)
-
-    return run
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many rows have each term, added up in the task as far as it can hold them."""
+    keys, n = np.zeros(0, U), np.zeros(0, np.int64)
 
+    def out():
+        return pa.RecordBatch.from_pydict({"term": keys.view(np.int64), "df": n})
 
-def found(raw: np.ndarray, rows: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Row and number of each occurrence of a known term."""
-    hashes, first = terms(raw, rows)
-    if not len(known) or not len(hashes):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), len(first) - 1
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    hit = np.flatnonzero(known[at] == hashes)
-    return np.searchsorted(first, hit, side="right") - 1, at[hit], len(first) - 1
-
-
-def sparse(raw: np.ndarray, rows: np.ndarray, known: np.ndarray, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Each row's terms and their unit-length TF-IDF weights, (1 + log tf) * idf."""
-    row, term, n = found(raw, rows, known)
-    keys, tf = np.unique(row * max(1, len(known)) + term, return_counts=True)
-    row, term = keys // max(1, len(known)), keys % max(1, len(known))
-    weight = (1 + np.log(tf)) * idf[term]
-    cut = np.searchsorted(row, np.arange(n + 1))
+    for b in slices(batches):
+        new, more = np.unique(distinct(*utf8(b.column("text")))[1], return_counts=True)
+        every, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
+        keys, n = every, np.bincount(back, np.concatenate([n, more]), len(every)).astype(np.int64)
+        if len(keys) > HELD_WORDS:
+            yield out()
+            keys, n = keys[:0], n[:0]
+    yield out()
+
+
+def evidence(a: np.ndarray, n: np.ndarray, rate: float) -> np.ndarray:
+    """Twice the log-likelihood ratio of words that a of n examples with label 1 have, against the rate; 0 without both labels."""
+    if not 0 < rate < 1:
+        return np.zeros(len(n))
+    part = lambda o, e: o * np.log(np.where(o > 0, o, 1) / np.where(o > 0, e, 1))
+    return np.maximum(0, 2 * (part(a, n * rate) + part(n - a, n * (1 - rate))))
+
+
+def sparse(raw: np.ndarray, rows: np.ndarray, known: np.ndarray, weigh: np.ndarray) -> list[tuple]:
+    """Each row's known terms and their weights, (1 + log tf) * weigh, at unit length; that length; and hashes and tf of its other terms."""
+    row, h, tf, n = distinct(raw, rows)
+    at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
+    hit = known[at] == h if len(known) else np.zeros(len(h), bool)
+    term, weight = at[hit], (1 + np.log(tf[hit])) * weigh[at[hit]]
+    other, other_tf = h[~hit].view(np.int64), tf[~hit]
+    cut, rest = np.searchsorted(row[hit], np.arange(n + 1)).tolist(), np.searchsorted(row[~hit], np.arange(n + 1)).tolist()
     out = []
-    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-        w = weight[a:b]
-        out.append((term[a:b], w / max(1e-12, float(np.sqrt((w * w).sum())))))
+    for k in range(n):
+        w = weight[cut[k] : cut[k + 1]]
+        length = float(np.sqrt((w * w).sum()))
+        out.append((term[cut[k] : cut[k + 1]], w / max(1e-12, length), length, other[rest[k] : rest[k + 1]], other_tf[rest[k] : rest[k + 1]]))
     return out
 
 
+def _flat(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places of all ranges of n from start, one range after the other."""
+    return np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n)
+
+
 class Index:
-    """Postings by term and block of examples, with every block's largest weight."""
+    """Examples by block: postings of rare terms, a matrix of common ones, and every block's largest weights."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, terms: int, block: int = BLOCK):
         keys = sorted(range(len(vectors)), key=lambda k: (*[int(t) for t in vectors[k][0][np.argsort(-vectors[k][1], kind="stable")][:3]], int(ids[k])))
-        self.labels, self.ids, self.block = labels[keys], ids[keys], block
-        vectors = [vectors[k] for k in keys]
+        self.labels, self.ids, self.block, self.terms = labels[keys], ids[keys], block, terms
         self.blocks = -(-len(vectors) // block)
-        example = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
-        term = np.concatenate([np.zeros(0, np.int64), *(v[0] for v in vectors)])
-        weight = np.concatenate([np.zeros(0), *(v[1] for v in vectors)])
-        order = np.lexsort((example, term))
-        self.example, self.weight = example[order], weight[order]
-        cell = term[order] * self.blocks + self.example // block
-        self.cut = np.searchsorted(cell, np.arange(terms * self.blocks + 1))
-        self.most = np.zeros(terms * self.blocks)
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(terms, self.blocks) if self.blocks else self.most.reshape(terms, 0)
+        self.first = np.concatenate([[0], np.cumsum([len(vectors[k][0]) for k in keys], dtype=np.int64)])
+        self.term, self.weight = np.empty(self.first[-1], np.int32), np.empty(self.first[-1])
+        for j, k in enumerate(keys):
+            self.term[self.first[j] : self.first[j + 1]], self.weight[self.first[j] : self.first[j + 1]] = vectors[k][:2]
+        common = np.argsort(-np.bincount(self.term, minlength=terms), kind="stable")[:COMMON]
+        self.column = np.full(terms, -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        self.dense = np.zeros((self.blocks * block, len(common)), np.float32)
+        for j in range(len(keys)):
+            t, w = self.term[self.first[j] : self.first[j + 1]], self.weight[self.first[j] : self.first[j + 1]]
+            at = self.column[t]
+            self.dense[j, at[at >= 0]] = w[at >= 0]
+        self.most = self.dense.reshape(self.blocks, block, len(common)).max(1)
+        rare = np.flatnonzero(self.column[self.term] < 0)
+        rare = rare[np.argsort(self.term[rare], kind="stable")].astype(np.int32)
+        self.cut = np.searchsorted(self.term[rare], np.arange(terms + 1, dtype=np.int32)).astype(np.int32)
+        self.posted = self.weight[rare].astype(np.float32)
+        self.example = np.repeat(np.arange(len(keys), dtype=np.int32), np.diff(self.first))[rare]
 
     def nearest(self, query: tuple[np.ndarray, np.ndarray], k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples (fewer if fewer have a term), nearest first, ties by id."""
-        term, weight = query
-        bounds = weight @ self.most[term]
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (len(best) >= k and bounds[b] < -best[k - 1][0] - 1e-9):
-                break
-            scores = np.zeros(self.block)
-            for t, w in zip(term.tolist(), weight.tolist(), strict=True):
-                a, e = self.cut[t * self.blocks + b], self.cut[t * self.blocks + b + 1]
-                scores[self.example[a:e] - b * self.block] += w * self.weight[a:e]
-            for j in np.flatnonzero(scores > 0).tolist():
-                place = b * self.block + j
-                if place != without:
-                    best.append((-round(float(scores[j]), 9), int(self.ids[place]), place))
-            best = sorted(best)[:k]
-        return np.array([p for _, _, p in best], np.int64), np.array([-s for s, _, _ in best])
+        return self.nearest_of([query], k, [without])[0]
+
+    def nearest_of(self, queries: list[tuple], k: int = NEIGHBOURS, without: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """nearest() of each query."""
+        out: list = []
+        for a in range(0, len(queries), BATCH):
+            out += self._batch(queries[a : a + BATCH], k, without[a : a + BATCH] if without else [None] * BATCH)
+        return out
+
+    def _batch(self, queries: list[tuple], k: int, without: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        size = self.blocks * self.block
+        if not size:
+            return [(np.zeros(0, np.int64), np.zeros(0)) for _ in queries]
+        common, scores = np.zeros((len(queries), self.dense.shape[1]), np.float32), []
+        for j, (term, weight, *_) in enumerate(queries):
+            at = self.column[term]
+            common[j, at[at >= 0]] = weight[at >= 0]
+            t = term[at < 0]
+            n = self.cut[t + 1] - self.cut[t]
+            p = _flat(self.cut[t], n)
+            scores.append(np.bincount(self.example[p], np.repeat(weight[at < 0], n) * self.posted[p], size).astype(float))
+        bounds = common @ self.most.T
+        full = []
+        for j, s in enumerate(scores):
+            live = bounds[j] + s.reshape(self.blocks, self.block).max(1) >= max(self._least(s, k), 0) - SLACK
+            if live.mean() > 1 / 8:
+                full.append(j)
+                continue
+            s.reshape(self.blocks, self.block)[live] += self.dense.reshape(self.blocks, self.block, -1)[live] @ common[j]
+        if full:
+            for j, more in zip(full, common[full] @ self.dense.T, strict=True):
+                scores[j] += more
+        weights = np.zeros(self.terms)
+        return [self._exact(q, s, k, w, weights) for q, s, w in zip(queries, scores, without, strict=False)]
+
+    @staticmethod
+    def _least(scores: np.ndarray, k: int) -> float:
+        """The score of the k-th best, of one more in case one is left out."""
+        return float(np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]) if len(scores) > k + 1 else 0.0
+
+    def _exact(self, query: tuple, scores: np.ndarray, k: int, without: int | None, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        least = self._least(scores, k) - SLACK
+        places = np.flatnonzero((scores >= least) & (scores > 0))
+        places = places[places != without] if without is not None else places
+        weights[query[0]] = query[1]
+        n = self.first[places + 1] - self.first[places]
+        p = _flat(self.first[places], n)
+        found = np.round(np.bincount(np.repeat(np.arange(len(places)), n), weights[self.term[p]] * self.weight[p], len(places)).astype(float), 9)
+        weights[query[0]] = 0
+        best = np.lexsort((self.ids[places], -found))[:k]
+        best = best[found[best] > 0]
+        return places[best], found[best]
 
 
 class Votes:
-    """The index, and what turns its neighbours into a probability."""
-
-    def __init__(self, known: np.ndarray, idf: np.ndarray, vectors: list, labels: np.ndarray, ids: np.ndarray):
-        self.known, self.idf = known, idf
-        empty = np.array([not len(v[0]) for v in vectors], bool)
+    """The index, and what turns its neighbours into a probability; sent as terms and their numbers, from which the index is made again."""
+
+    def __init__(self, known: np.ndarray, weigh: np.ndarray, held: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray):
+        self.known, self.weigh, self.labels, self.ids = known, weigh, labels, ids
+        self.n = np.array([len(t) for t, _ in held], np.int64)
+        self.term = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in held)])
+        tf = np.concatenate([np.ones(1, np.int32), *(c for _, c in held)])
+        self.tf = tf[1:].astype(np.min_scalar_type(int(tf.max())))
+        empty = self.n == 0
         self.rate = float(labels.mean()) if len(labels) else 0.5
         self.none = float((labels[empty].sum() + self.rate) / (empty.sum() + 1)) if len(labels) else 0.5
-        keep = np.flatnonzero(~empty)
-        self.index = Index([vectors[k] for k in keep], labels[keep], ids[keep], len(known))
         self.slope, self.shift = 1.0, 0.0
-        back = {int(i): p for p, i in enumerate(self.index.ids)}
-        own = [self.vote(vectors[k], back[int(ids[k])])[0] for k in keep]
-        self._calibrate(np.array(own), labels[keep])
-
-    def vote(self, vector: tuple[np.ndarray, np.ndarray], without: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+        self._index()
+        cut = self.index.first
+        own = [(self.index.term[a:b], self.index.weight[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        found = self.index.nearest_of(own, NEIGHBOURS, list(range(len(own))))
+        self._calibrate(np.array([self.odds(self.index.labels[places], cosines) for places, cosines in found]), self.index.labels)
+
+    def _index(self) -> None:
+        end = np.cumsum(self.n)
+        vectors = []
+        keep = np.flatnonzero(self.n)
+        for k in keep.tolist():
+            t = self.term[end[k] - self.n[k] : end[k]]
+            w = (1 + np.log(self.tf[end[k] - self.n[k] : end[k]].astype(float))) * self.weigh[t]
+            vectors.append((t, w / np.sqrt((w * w).sum())))
+        self.index = Index(vectors, self.labels[keep], self.ids[keep], len(self.known))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "index"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._index()
+
+    def odds(self, labels: np.ndarray, cosines: np.ndarray) -> float:
         """Log odds of the neighbours' weighted votes, with one vote at the examples' own rate."""
-        places, cosines = self.index.nearest(vector, without=without)
         weights = 1 / (1.05 - cosines)
-        p = (weights @ self.index.labels[places] + self.rate) / (weights.sum() + 1)
-        return float(np.log(p / (1 - p))), places, cosines
+        p = min(max((weights @ labels + self.rate) / (weights.sum() + 1), 1e-9), 1 - 1e-9)
+        return float(np.log(p / (1 - p)))
 
     def _calibrate(self, z: np.ndarray, y: np.ndarray) -> None:
         """Newton steps on the logistic loss of slope and shift, with a weak pull to 1 and 0."""
@@ -171,69 +245,104 @@ class Votes:
         if np.isfinite(w).all() and w[0] > 0:
             self.slope, self.shift = w.tolist()
 
-    def score(self, vector: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int], list[float]]:
-        """Probability of label 1, and the neighbours that it rests on; without a known term, the rate of such examples."""
-        if not len(vector[0]) or not self.index.blocks:
-            return self.none, [], []
-        z, places, cosines = self.vote(vector)
-        return float(1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -30, 30)))), self.index.ids[places].tolist(), cosines.tolist()
+    def score(self, labels: np.ndarray, cosines: np.ndarray) -> float:
+        """Probability of label 1 by the neighbours; without any, the rate of such examples."""
+        if not len(labels):
+            return self.none
+        return float(1 / (1 + np.exp(-np.clip(self.slope * self.odds(labels, cosines) + self.shift, -30, 30))))
 
 
-def _vectors(shared):
+def _held(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, idf = shared.value
+        known = shared.value
         for b in slices(batches):
-            v = sparse(*utf8(b.column("text")), known, idf)
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "label": b.column("label"), "terms": pa.array([x[0].tobytes() for x in v], pa.binary()), "weights": pa.array([x[1].tobytes() for x in v], pa.binary())})
+            row, h, tf, n = distinct(*utf8(b.column("text")))
+            term, tf, cut = np.searchsorted(known, h).astype(np.int32), tf.astype(np.int32), np.searchsorted(row, np.arange(n + 1)).tolist()
+            parts = lambda x: pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in range(n)], pa.binary())
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "label": b.column("label"), "terms": parts(term), "tf": parts(tf)})
 
     return run
 
 
-def _score(shared):
+NEAR = "row long, doc_id long, labels array<double>, neighbours array<long>, cosines array<double>, length double, other array<long>, tf array<long>"
+
+
+def _near(shared):
+    """Neighbours by the known terms alone; a text's other terms change all its cosines by one factor, not their order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        index = model.index
         for b in slices(batches):
-            scores, who, near = [], [], []
-            for vector in sparse(*utf8(b.column("text")), model.known, model.idf):
-                p, ids, cosines = model.score(vector)
-                scores.append(p)
-                who.append(ids)
-                near.append(cosines)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores, pa.float64()), pa.array(who, pa.list_(pa.int64())), pa.array(near, pa.list_(pa.float64()))], ["doc_id", "score", "neighbours", "cosines"])
+            v = sparse(*utf8(b.column("text")), model.known, model.weigh)
+            found = index.nearest_of(v)
+            lists = lambda x, kind: pa.array(x, pa.list_(kind))
+            yield pa.RecordBatch.from_pydict({
+                "row": b.column("row"), "doc_id": b.column("doc_id"), "labels": lists([index.labels[p] for p, _ in found], pa.float64()), "neighbours": lists([index.ids[p] for p, _ in found], pa.int64()), "cosines": lists([c for _, c in found], pa.float64()),
+                "length": pa.array([x[2] for x in v], pa.float64()), "other": lists([x[3] for x in v], pa.int64()), "tf": lists([x[4] for x in v], pa.int64()),
+            })
 
     return run
 
 
-def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held: int = HELD, examples: int = EXAMPLES) -> Votes:
-    """The index over at most `examples` labelled rows outside the held-out fold, one for each text."""
+def _score(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for b in batches:
+            scores, near = [], []
+            length, other = b.column("length").to_numpy(), b.column("other_sq").to_numpy()
+            shrink = length / np.sqrt(np.maximum(length * length + other, 1e-24))
+            for labels, cosines, by in zip(b.column("labels").to_pylist(), b.column("cosines").to_pylist(), shrink.tolist(), strict=True):
+                c = np.round(np.array(cosines, float) * by, 9)
+                scores.append(model.score(np.array(labels, float), c))
+                near.append(c)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores, pa.float64()), b.column("neighbours"), pa.array(near, pa.list_(pa.float64()))], ["doc_id", "score", "neighbours", "cosines"])
+
+    return run
+
+
+def counted(docs: DataFrame) -> tuple[DataFrame, int]:
+    """term and df, the number of rows that have it, of all words of docs(text); and the number of rows."""
+    return settled(docs.mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))), docs.count()
+
+
+def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held: int = HELD, examples: int = EXAMPLES, words: tuple[DataFrame, int] | None = None, each: int = EACH) -> Votes:
+    """The index over at most `examples` labelled rows outside the held-out fold, one for each text. words: counted(docs)."""
     docs = documents(docs)
-    spark = docs.sparkSession
-    share = spark.sparkContext.broadcast
+    table, rows_n = words or counted(docs)
+    share = docs.sparkSession.sparkContext.broadcast
     chosen = labelled(docs, labels, label, folds, held, examples)
     once = chosen.groupBy(F.md5("text").alias("text_md5")).agg(F.min("doc_id").alias("doc_id"))
     chosen = chosen.join(F.broadcast(once.select("doc_id").distinct()), "doc_id")
     total, positives = chosen.agg(F.count("*"), F.sum((F.col("label") == 1).cast("long"))).first()
-    if not total or not positives or positives == total:
-        known = np.zeros(0, U)
-    else:
-        known = choose_terms(chosen, positives, total)
-    counts = summed(docs.mapInArrow(_frequencies(share(known)), SUMS), len(known) + 1, tasks_of(docs))
-    idf = np.log((counts[-1] + 1) / (counts[:-1] + 1)) + 1
-    rows = chosen.mapInArrow(_vectors(share((known, idf))), "doc_id long, label int, terms binary, weights binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["terms"], r["weights"]))
-    rows = [r for k, r in enumerate(rows) if not k or r["doc_id"] != rows[k - 1]["doc_id"]]
-    vectors = [(np.frombuffer(r["terms"], np.int64), np.frombuffer(r["weights"])) for r in rows]
-    return Votes(known, idf, vectors, np.array([r["label"] == 1 for r in rows], float), np.array([r["doc_id"] for r in rows], np.int64))
-
-
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS, held: int = HELD, examples: int = EXAMPLES) -> DataFrame:
+    counts = chosen.mapInArrow(_examples_terms, "term long, with_1 long, n long").groupBy("term").agg(F.sum("with_1").alias("a"), F.sum("n").alias("n"))
+    kept = table.join(counts, "term", "left").where(F.col("n").isNotNull() | (F.col("df") * each >= rows_n)).select("term", "df", F.coalesce("a", F.lit(0)).alias("a"), F.coalesce("n", F.lit(0)).alias("n")).toArrow()
+    known, df, a, n = (kept.column(c).to_numpy() for c in ("term", "df", "a", "n"))
+    order = np.argsort(known.view(U))
+    known, df, a, n = known[order].view(U), df[order], a[order], n[order]
+    weigh = (np.log((rows_n + 1) / (df + 1)) + 1) * (1 + evidence(a, n, (positives or 0) / max(1, total)))
+    sent = settled(chosen.mapInArrow(_held(share(known)), "doc_id long, label int, terms binary, tf binary"))
+    del kept, df, a, n
+    rows = sorted(((r["doc_id"], r["terms"], r["tf"], r["label"] == 1) for r in sent.toLocalIterator()), key=lambda r: r[:3])  # a partition at a time
+    rows = [r for k, r in enumerate(rows) if not k or r[0] != rows[k - 1][0]]
+    vectors = [(np.frombuffer(t, np.int32), np.frombuffer(c, np.int32)) for _, t, c, _ in rows]
+    return Votes(known, weigh, vectors, np.array([r[3] for r in rows], float), np.array([r[0] for r in rows], np.int64))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS, held: int = HELD, examples: int = EXAMPLES, each: int = EACH) -> DataFrame:
     """doc_id, held_out, score, predicted, and as evidence the neighbours with their cosines, for every row of docs.
 
-    A text without any of the model's terms, null and empty ones too, has no neighbour and the rate of label 1 among
-    examples like it. Repeated rows and ids get theirs each; a row without a doc_id is not held out. Without labels of
-    both kinds there are no terms, and every score is the labels' rate, or a half.
+    A text that shares no word with an example, null and empty ones too, has no neighbour and the rate of label 1 among
+    examples without words. Repeated rows and ids get theirs each; a row without a doc_id is not held out. With labels
+    of one kind only every neighbour votes for it; without labels every score is a half.
     """
     docs = documents(docs)
-    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, "toxic", folds, held, examples))
-    scored = docs.mapInArrow(_score(model), "doc_id long, score double, neighbours array<long>, cosines array<double>")
+    words = counted(docs)
+    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, "toxic", folds, held, examples, words, each))
+    near = settled(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_near(model), NEAR))
+    pairs = near.select("row", F.explode(F.arrays_zip("other", "tf")).alias("p")).select("row", F.col("p.other").alias("term"), F.col("p.tf").alias("tf"))
+    weight = (1 + F.log("tf")) * (F.log(F.lit(words[1] + 1) / (F.col("df") + 1)) + 1)
+    lengths = pairs.join(words[0], "term").groupBy("row").agg(F.sum(weight * weight).alias("other_sq"))
+    whole = near.drop("other", "tf").join(lengths, "row", "left").select("doc_id", "labels", "neighbours", "cosines", "length", F.coalesce("other_sq", F.lit(0.0)).alias("other_sq"))
+    scored = whole.mapInArrow(_score(model), "doc_id long, score double, neighbours array<long>, cosines array<double>")
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "neighbours", "cosines")
