@@ -35,3 +35,12 @@ def test_entry_and_registration(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_whole_table_queries_reach_every_execution(spark, duck):
+    got = catalog.QUERIES["sync_upsert_all"](spark, DIR)
+    events = duck.execute("select count(*), count(distinct user_id || event_type), count(*) filter (value > 20) from events").fetchone()
+    assert got.count() == events[1] and got.where("updated_at = 'new'").count() > 0
+    assert catalog.QUERIES["replay_snapshot_all"](spark, DIR).count() == events[2]
+    assert catalog.QUERIES["replay_resolve_all"](spark, DIR).count() == events[0]
+    assert catalog.QUERIES["partition_scan_all"](spark, DIR).count() > 0

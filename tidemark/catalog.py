@@ -110,6 +110,27 @@ ERR = f"""err AS (SELECT event_id AS error_key, 'ex' || (event_id // {EXECUTION}
   'C' || (CAST(json_extract_string(props, '$.k') AS INT) % 4) AS error_code, CASE WHEN value > 20 THEN 'OPEN' ELSE 'RESOLVED' END AS status, CAST(json_extract_string(props, '$.k') AS INT) % 3 AS replay_count FROM events WHERE event_id % 7 = 0)"""
 
 
+def stg_all(spark: SparkSession, d: str) -> DataFrame:
+    """All staged rows as one execution, numbered densely by key over the whole table."""
+    rows = stg(spark, d).drop("execution_sequence").withColumn("execution_id", F.lit("all"))
+    return staging.dense_sequence(rows, ["staging_key"], settle=settled)
+
+
+STG_ALL = STG.replace(f"'ex' || (event_id // {EXECUTION}) AS execution_id, event_id % {EXECUTION} + 1 AS", "'all' AS execution_id, row_number() OVER (ORDER BY event_id) AS")
+
+
+def errs_all(spark: SparkSession, d: str) -> DataFrame:
+    """An error on every staged row, its kind and status by the row's values, in the one execution of stg_all()."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return load(spark, d, "events").select(
+        F.col("event_id").alias("error_key"), F.lit("all").alias("execution_id"), (F.col("event_id") + 1).alias("staging_key"), F.when(k % 3 == 0, "CONFLICT").when(k % 3 == 1, "VALIDATION").otherwise("PERSISTENCE").alias("error_type"),
+        F.when(F.col("value") > 20, "OPEN").otherwise("RESOLVED").alias("status"), (k % 3).alias("replay_count"), F.lit(None).cast("string").alias("resolved_at"),
+    )
+
+
+ERR_ALL = "err AS (SELECT event_id AS error_key, 'all' AS execution_id, event_id + 1 AS staging_key, CASE WHEN value > 20 THEN 'OPEN' ELSE 'RESOLVED' END AS status, CAST(json_extract_string(props, '$.k') AS INT) % 3 AS replay_count FROM events)"
+
+
 # Scans, staging and sequences
 
 
@@ -123,6 +144,11 @@ def partition_scan(spark, d):
     return stg(spark, d).where("execution_id = 'ex2' and content <> 1 and doi is not null").select("staging_key", "doi")
 
 
+@query(f"WITH {STG} SELECT staging_key, doi FROM st WHERE doi LIKE '%/purchase' AND content <> 1 AND doi IS NOT NULL")
+def partition_scan_all(spark, d):
+    return stg(spark, d).where("doi like '%/purchase' and content <> 1 and doi is not null").select("staging_key", "doi")
+
+
 @query("SELECT user_id, event_id, row_number() OVER (ORDER BY user_id, event_id) AS execution_sequence FROM events")
 def dense_sequence(spark, d):
     return staging.dense_sequence(load(spark, d, "events").select("user_id", "event_id"), ["user_id", "event_id"], settle=settled)
@@ -339,6 +365,17 @@ def sync_upsert_target(spark, d):
     return new.select("doi", "content_hash", "content", day("source_indexed_at").alias("day"), "created_at", "updated_at")
 
 
+_FINAL_ALL = _FINAL.replace("'ex1'", "'all'")
+
+
+@query(f"WITH {STG_ALL}{TGT}{DEC}{_FINAL_ALL} SELECT coalesce(tgt.doi, mv.doi) AS doi, coalesce(w.c, tgt.content_hash) AS content_hash, CAST(CASE WHEN w IS NOT NULL THEN (SELECT content FROM st WHERE staging_key = w.b) ELSE tgt.content END AS INT) AS content, strftime(coalesce(mv.at, tgt.indexed_at), '%Y-%m-%d') AS day, CASE WHEN tgt.doi IS NULL THEN 'new' ELSE 'old' END AS created_at, CASE WHEN w IS NOT NULL THEN 'new' ELSE 'old' END AS updated_at FROM tgt FULL JOIN mv ON mv.doi = tgt.doi")
+def sync_upsert_all(spark, d):
+    """The synchronisation of every staged row as one execution."""
+    rows, target = stg_all(spark, d), tgt(spark, d)
+    new = sync.upserted(target, rows, sync.decisions(rows, target, CHUNK), ["content_hash", "content"], F.lit("new"))
+    return new.select("doi", "content_hash", "content", day("source_indexed_at").alias("day"), "created_at", "updated_at")
+
+
 # Verification
 
 
@@ -445,6 +482,21 @@ def replay_counter(spark, d):
     return replay.counted(errs(spark, d), replay_snapshot(spark, d)).select("error_key", "replay_count")
 
 
+@query(f"WITH {STG_ALL}, {ERR_ALL} SELECT row_number() OVER (ORDER BY error_key) AS execution_sequence, error_key AS source_error_key, doi, content_hash, 'rp' AS execution_id FROM err JOIN st ON st.staging_key = err.staging_key WHERE status = 'OPEN'")
+def replay_snapshot_all(spark, d):
+    return replay.snapshot(errs_all(spark, d), stg_all(spark, d), "all", "rp").select("execution_sequence", "source_error_key", "doi", "content_hash", "execution_id")
+
+
+@query(f"WITH {ERR_ALL} SELECT error_key, 'RESOLVED' AS status, CASE WHEN status = 'OPEN' THEN 'now' END AS resolved_at FROM err")
+def replay_resolve_all(spark, d):
+    return replay.resolved(errs_all(spark, d), replay_snapshot_all(spark, d), True, F.lit("now")).select("error_key", "status", "resolved_at")
+
+
+@query(f"WITH {ERR_ALL} SELECT error_key, CAST(replay_count + CASE WHEN status = 'OPEN' THEN 1 ELSE 0 END AS INT) AS replay_count FROM err")
+def replay_counter_all(spark, d):
+    return replay.counted(errs_all(spark, d), replay_snapshot_all(spark, d)).select("error_key", "replay_count")
+
+
 # Reports
 
 
