@@ -133,14 +133,56 @@ def test_decontamination(spark):
     docs = [(1, filler(30) + item[5:25] + filler(5)), (2, filler(30) + swapped + filler(9)), (3, filler(80)), (4, item[:8] + filler(40) + item[20:28]), (5, ["Short", "item", "of", "just", "six", "words"] + filler(3)), (6, [])]
     d = spark.createDataFrame([(i, " ".join(w).upper() if i == 2 else " ".join(w)) for i, w in docs] + [(7, None)], "doc_id bigint, text string")
     b = spark.createDataFrame([(10, " ".join(item)), (11, "short item of just six words"), (12, None), (13, "too few")], "item_id bigint, text string")
-    for part in (500_000, 20):
-        got = {(x.doc_id, x.item_id): x for x in decontaminate.contaminated(d, b, part).collect()}
-        assert set(got) == {(1, 10), (2, 10), (5, 11)}
-        assert (got[1, 10].doc_start, got[1, 10].n_words, got[1, 10].n_equal) == (30, 20, 20) and got[2, 10].n_equal == 18
-        assert {x.doc_id for x in decontaminate.decontaminated(d, b, part).collect()} == {3, 4, 6, 7}
+    got = {(x.doc_id, x.item_id): x for x in decontaminate.contaminated(d, b).collect()}
+    assert set(got) == {(1, 10), (2, 10), (5, 11)}
+    assert (got[1, 10].doc_start, got[1, 10].n_words, got[1, 10].n_equal) == (30, 20, 20) and got[2, 10].n_equal == 18
+    assert {x.doc_id for x in decontaminate.decontaminated(d, b).collect()} == {3, 4, 6, 7}
     assert decontaminate.contaminated(d, b.limit(0)).count() == 0
 
 
+def overlapping(doc, item):
+    """Whether a run of 13 words (all of a shorter item) agrees in 80 % (in all, under 6 words) at some offset."""
+    n = min(13, len(item))
+    least = math.ceil(0.8 * n) if n >= 6 else n
+    for a in range(len(doc) - n + 1):
+        for k in range(len(item) - n + 1):
+            if sum(x == y for x, y in zip(doc[a : a + n], item[k : k + n], strict=True)) >= least:
+                return True
+    return False
+
+
+def test_decontamination_against_brute_force(spark):
+    r = random.Random(11)
+    few = [f"v{k}" for k in range(6)]
+    items = [[r.choice(few) if n % 3 == 0 else f"i{n}-{k}" for k in range(n)] for n in [*range(1, 16), 20, 30, 45] for _ in range(2)]
+    docs = []
+    for item in items:
+        for changes in range(4):
+            part = item if len(item) < 13 else item[(a := r.randrange(len(item) - 12)) : a + 13]
+            part = part.copy()
+            for at in r.sample(range(len(part)), min(changes, len(part))):
+                part[at] = "changed"
+            docs.append([r.choice(few) for _ in range(r.randrange(12))] + [f"z{r.random()}"] * (changes % 2) + part + ["end"])
+    docs += [["same"] * 400, [], ["v1"]]
+    items.append(["same"] * 60)
+    rows = [(k, " ".join(w)) for k, w in enumerate(docs)]
+    d = frame(spark, rows + rows[:9] + [(None, rows[0][1])])
+    b = frame(spark, [(k if k % 5 else None, " ".join(w)) for k, w in enumerate(items)]).withColumnRenamed("doc_id", "item_id")
+    want = {(k, i if i % 5 else None) for k, w in enumerate(docs) for i, item in enumerate(items) if overlapping(w, item)}
+    want |= {(None, i) for k, i in want if k == 0}
+    assert {(x.doc_id, x.item_id) for x in decontaminate.contaminated(d, b).collect()} == want
+    kept = decontaminate.decontaminated(d, b)
+    gone = {k for k, _ in want}
+    assert sorted(x.doc_id for x in kept.collect()) == sorted(k for k, _ in rows + rows[:9] if k not in gone) and kept.columns == d.columns
+
+
+def test_long_runs_of_one_word_are_not_compared_place_by_place(spark):
+    d = spark.createDataFrame([(1, "word " * 20_000)], "doc_id bigint, text string")
+    b = spark.createDataFrame([(1, "word " * 1000)], "item_id bigint, text string")
+    got = decontaminate.contaminated(d, b).first()
+    assert (got.n_words, got.n_equal) == (1000, 1000)
+
+
 def test_token_files_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
@@ -164,6 +206,28 @@ def test_token_files_round_trip(spark, tmp_path):
         grammar.Block(b"xxxx")
 
 
+def test_grammars_end_when_no_pair_occurs_twice():
+    r = np.random.default_rng(3)
+    lengths = r.integers(1, 400, 80)
+    lengths[7] = 3000
+    ids = np.concatenate([r.zipf(1.5, int(n)).clip(1, 300) for n in lengths])
+    begin = int(lengths[:7].sum())
+    ids[begin : begin + 3000] = 9  # one id again and again
+    ids[:200], ids[begin - 200 : begin] = np.arange(200), np.arange(200)
+    block = grammar.Block(grammar.pack(ids.astype(np.uint32), lengths))
+    assert (block.ids() == ids).all() and block.range(7, 100, 140) == [9] * 40
+    pairs = Counter()
+    for a, b in zip(block.first[:-1].tolist(), block.first[1:].tolist(), strict=True):
+        s, k = block.symbols[a:b].tolist(), 0
+        while k < len(s) - 1:
+            pairs[s[k], s[k + 1]] += 1
+            k += 1 + (s[k] == s[k + 1] and k + 2 < len(s) and s[k + 2] == s[k])
+    assert max(pairs.values()) < 2
+    used = Counter(block.symbols.tolist()) + Counter(block.rules.ravel().tolist())
+    assert all(used[block.terminals + k] >= 1 for k in range(len(block.rules)))
+    assert len(block.symbols) + 2 * len(block.rules) < 0.8 * len(ids)
+
+
 def test_words_have_the_ids_of_their_lines():
     r = random.Random(1)
     signs = [chr(x) for x in [*range(33, 127), *range(33, 127), *range(0x80, 0x600), 0, 1, 0x1C, 0x2028, 0x3000, 0xFEFF, 0x300, 0x301, 0x338, 0x130, 0x3A3, 0x1100, 0x1161, 0x11A8, 0x1F600, 0xFB01, 0x212B]]

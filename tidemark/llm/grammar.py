@@ -3,14 +3,18 @@
 A file is a Parquet table of blocks; a block holds consecutive documents in ascending doc_id order as one container
 of bytes, all numbers little-endian:
 
-    4 bytes   the mark RPG1
-    4 x u32   documents, terminals (ids below this number stand for themselves), rules, symbols
+    4 bytes   the mark RPG2
+    4 x u32   documents, terminals, rules, symbols
+    terminals the block's distinct ids, ascending, u32
     rules     left u16 or u32, right likewise, expansion length u32, each as one array
     documents symbols u32 and ids u32, each as one array
     symbols   u16 or u32, as one array (u16 where terminals + rules fit)
 
-Symbol terminals + k stands for rule k's two symbols, of which each is a terminal or an earlier rule. No rule crosses
-a document's end, so a document, or a range of its ids, is read from its own symbols alone.
+Symbol k below terminals stands for the k-th distinct id, symbol terminals + k for rule k's two symbols, of which each is
+a terminal or an earlier rule. No rule crosses a document's end, so a document, or a range of its ids, is read from its
+own symbols alone.
+
+The pairs of a block are replaced from the most frequent down, until none occurs twice.
 """
 
 from __future__ import annotations
@@ -29,77 +33,98 @@ from pyspark.sql import functions as F
 from .text import documents, partitions, shared_dir, slices, utf8
 from .tokens import encoder, vocabulary
 
-MARK = b"RPG1"
-#: Passes over a block's symbols, rules made in each, and the least count of a pair that gets a rule.
-PASSES, RULES, LEAST = 6, 2600, 12
-TABLE = 1 << 18
+MARK = b"RPG2"
+#: The least count of a pair that gets a rule; pairs down to one SPREAD-th of the highest count are replaced in one pass.
+LEAST, SPREAD = 2, 8
+TABLE = 18
 
 
-def frequent_pairs(keys: np.ndarray, most: int, least: int) -> np.ndarray:
-    """The most frequent keys, sorted. Counts by hash first, so that only pairs in full slots are sorted."""
-    slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - TABLE.bit_length())).astype(np.int64)
-    full = np.bincount(slot, minlength=TABLE) >= least
-    found, n = np.unique(keys[full[slot]], return_counts=True)
-    found, n = found[n >= least], n[n >= least]
-    if len(found) > most:
-        found = found[np.lexsort((found, -n))[:most]]
-    return np.sort(found)
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE)).astype(np.int64)
 
 
-def repair(ids: np.ndarray, last: np.ndarray, terminals: int, passes: int = PASSES, rules: int = RULES, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The symbols that ids become, which of them end a document (as last does of ids), and the rules (left, right).
+def repair(symbols: np.ndarray, last: np.ndarray, terminals: int, least: int = LEAST, spread: int = SPREAD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What symbols below terminals become, which of them end a document (as last does before), and the rules (left, right).
 
-    Each pass replaces its pairs from left to right.
+    Where pairs overlap, the more frequent one is replaced; the other is counted again in the next pass. A rule that is
+    left with fewer than `least` uses isn't made, but the most frequent pair always is, so each pass goes on.
     """
-    s, last, made = ids.astype(np.uint32), last.copy(), [np.zeros((0, 2), np.uint32)]
-    for _ in range(passes):
-        left, right, inside = s[:-1], s[1:], ~last[:-1]
-        keys = (left.astype(np.uint64) << np.uint64(32)) | right
-        chosen = frequent_pairs(keys[inside], rules, least)
-        if not len(chosen):
+    s, last, made = symbols.astype(np.uint32), last.copy(), [np.zeros((0, 2), np.uint32)]
+    total = terminals
+    while len(s) > 1:
+        kind = np.uint32 if total <= 1 << 16 else np.uint64
+        keys, counted = s[:-1].astype(kind) * kind(total) + s[1:], ~last[:-1]
+        same = np.flatnonzero((s[:-1] == s[1:]) & counted)
+        if len(same):  # in a run of one symbol every second pair counts
+            new = np.append(True, np.diff(same) > 1)
+            begin = np.maximum.accumulate(np.where(new, np.arange(len(same)), 0))
+            counted[same[(np.arange(len(same)) - begin) % 2 == 1]] = False
+        ordered = np.sort(keys[counted])
+        at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+        n = np.diff(at, append=len(ordered))
+        if not len(n) or n.max() < least:
             break
-        lead, follow = np.zeros(int(s.max()) + 1, bool), np.zeros(int(s.max()) + 1, bool)  # most symbols are in no chosen pair
-        lead[(chosen >> np.uint64(32)).astype(np.int64)] = True
-        follow[(chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
-        at = np.flatnonzero(inside & lead[left] & follow[right])
-        keys = keys[at]
-        rule = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
-        hit = chosen[rule] == keys
-        at, rule = at[hit], rule[hit]
-        new_run = np.ones(len(at), bool)
-        new_run[1:] = np.diff(at) > 1
-        begin = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
-        even = (np.arange(len(at)) - begin) % 2 == 0
-        at = at[even]
-        s[at] = terminals + sum(map(len, made)) + rule[even]
+        good = np.flatnonzero(n >= max(least, int(n.max()) // spread))
+        pairs = ordered[at[good[np.argsort(n[good], kind="stable")]]]  # the most frequent last
+        table = np.zeros(1 << TABLE, np.int32)
+        table[_slots(pairs)] = np.arange(1, len(pairs) + 1, dtype=np.int32)  # of two in one slot the more frequent stays
+        rank = table[_slots(keys)]
+        rank[(np.append(kind(0), pairs)[rank] != keys) | ~counted] = 0
+        taken = rank > 0
+        taken[1:] &= rank[1:] > rank[:-1]
+        taken[:-1] &= rank[:-1] > rank[1:]
+        used = np.bincount(rank[taken], minlength=len(pairs) + 1) >= least
+        at = np.flatnonzero(taken & used[rank])
+        number = np.cumsum(used) - 1
+        s[at] = total + number[rank[at]].astype(np.uint32)
         last[at] = last[at + 1]
-        keep = np.ones(len(s), bool)
-        keep[at + 1] = False
-        s, last = s[keep], last[keep]
-        made.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        stays = np.ones(len(s), bool)
+        stays[at + 1] = False
+        s, last = s[stays], last[stays]
+        rules = pairs[used[1:]]
+        made.append(np.stack([rules // kind(total), rules % kind(total)], 1).astype(np.uint32))
+        total += len(rules)
     return s, last, np.concatenate(made)
 
 
-def expansions(rules: np.ndarray, terminals: int) -> list[np.ndarray]:
-    """The ids of each rule."""
-    out: list[np.ndarray] = []
-    for pair in rules.tolist():
-        out.append(np.concatenate([out[x - terminals] if x >= terminals else np.array([x], np.uint32) for x in pair]))
-    return out
+def flat_places(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places of all ranges of n from start, one range after the other."""
+    return np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n)
+
+
+def expanded(rules: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All symbols' ids in one array, and where each symbol's begin and how many they are; ids are the terminals'."""
+    n, depth = [1] * len(ids), [0] * len(ids)
+    for a, b in rules.tolist():
+        n.append(n[a] + n[b])
+        depth.append(1 + max(depth[a], depth[b]))
+    size, level = np.array(n, np.int64), np.array(depth, np.int64)
+    at = np.cumsum(size) - size
+    flat = np.empty(int(size.sum()), np.uint32)
+    flat[: len(ids)] = ids
+    for d in range(1, int(level.max(initial=0)) + 1):
+        k = np.flatnonzero(level == d)
+        left, right = rules[k - len(ids)].T
+        flat[flat_places(at[k], size[left])] = flat[flat_places(at[left], size[left])]
+        flat[flat_places(at[k] + size[left], size[right])] = flat[flat_places(at[right], size[right])]
+    return flat, at, size
 
 
-def pack(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
+def pack(ids: np.ndarray, lengths: np.ndarray, least: int = LEAST) -> bytes:
     """A block of documents with so many ids each, one at least."""
     last = np.zeros(len(ids), bool)
     last[np.cumsum(lengths) - 1] = True
-    symbols, last, rules = repair(ids, last, terminals)
-    sizes = np.ones(terminals + len(rules), np.int64)
-    for k, (a, b) in enumerate(rules.tolist()):
-        sizes[terminals + k] = sizes[a] + sizes[b]
+    met = np.zeros(int(ids.max()) + 1, bool)
+    met[ids] = True
+    own = np.flatnonzero(met)
+    symbols, last, rules = repair((np.cumsum(met) - 1)[ids], last, len(own), least)
+    sizes = [1] * len(own)
+    for a, b in rules.tolist():
+        sizes.append(sizes[a] + sizes[b])
     ends = np.flatnonzero(last) + 1
-    kind = np.dtype("<u2" if terminals + len(rules) <= 1 << 16 else "<u4")
+    kind = np.dtype("<u2" if len(own) + len(rules) <= 1 << 16 else "<u4")
     return b"".join(
-        [MARK, struct.pack("<4I", len(lengths), terminals, len(rules), len(symbols)), rules[:, 0].astype(kind).tobytes(), rules[:, 1].astype(kind).tobytes(), sizes[terminals:].astype("<u4").tobytes()]
+        [MARK, struct.pack("<4I", len(lengths), len(own), len(rules), len(symbols)), own.astype("<u4").tobytes(), rules[:, 0].astype(kind).tobytes(), rules[:, 1].astype(kind).tobytes(), np.array(sizes[len(own) :], "<u4").tobytes()]
         + [np.diff(ends, prepend=0).astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), symbols.astype(kind).tobytes()]
     )
 
@@ -112,22 +137,17 @@ class Block:
             raise ValueError("not a block of token ids")
         n, self.terminals, rules, symbols = struct.unpack_from("<4I", data, 4)
         kind, at, parts = np.dtype("<u2" if self.terminals + rules <= 1 << 16 else "<u4"), 20, []
-        for k, size in ((kind, rules), (kind, rules), ("<u4", rules), ("<u4", n), ("<u4", n), (kind, symbols)):
+        for k, size in (("<u4", self.terminals), (kind, rules), (kind, rules), ("<u4", rules), ("<u4", n), ("<u4", n), (kind, symbols)):
             parts.append(np.frombuffer(data, k, size, at))
             at += parts[-1].nbytes
-        left, right, self.sizes, counts, self.lengths, self.symbols = parts
+        self.own, left, right, self.sizes, counts, self.lengths, self.symbols = parts
         self.rules = np.stack([left, right], 1).astype(np.uint32)
         self.first = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
 
     def ids(self) -> np.ndarray:
         """All documents' ids."""
-        table = expansions(self.rules, self.terminals)
-        flat = np.concatenate([np.arange(self.terminals, dtype=np.uint32), *table])
-        n = np.concatenate([np.ones(self.terminals, np.int64), self.sizes.astype(np.int64)])
-        at = np.concatenate([[0], np.cumsum(n)[:-1]])
-        n, at = n[self.symbols], at[self.symbols]
-        ends = np.cumsum(n)
-        return flat[np.repeat(at - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        flat, at, size = expanded(self.rules, self.own)
+        return flat[flat_places(at[self.symbols], size[self.symbols])]
 
     def range(self, document: int, start: int, stop: int) -> list[int]:
         """Ids start to stop of one document; expansion lengths lead to them past all others."""
@@ -142,19 +162,18 @@ class Block:
                 left, right = self.rules[x - self.terminals].tolist()
                 todo += [right, left]
             else:
-                out.append(x)
+                out.append(int(self.own[x]))
                 at += 1
         return out
 
 
-def _packed(path: str):
+def _packed(path: str, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = encoder(path), TaskContext.get().partitionId()
-        terminals = coder.tokenizer.get_vocab_size()
         for k, b in enumerate(slices(batches)):
             ids, lengths = coder.encode(*utf8(b.column("text")))
             doc_ids = b.column("doc_id").to_pylist()
-            yield pa.RecordBatch.from_pydict({"part": [part], "block": [k], "ids": [int(lengths.sum())], "doc_ids": [doc_ids], "data": [pack(ids, lengths, terminals)]}, SCHEMA)
+            yield pa.RecordBatch.from_pydict({"part": [part], "block": [k], "ids": [int(lengths.sum())], "doc_ids": [doc_ids], "data": [pack(ids, lengths, least)]}, SCHEMA)
 
     return run
 
@@ -162,11 +181,14 @@ def _packed(path: str):
 SCHEMA = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("data", pa.binary())])
 
 
-def write_tokens(docs: DataFrame, folder: str, path: str | None = None) -> None:
-    """Writes the ids of docs(doc_id, text) to folder, in ascending doc_id order, null ids first."""
+def write_tokens(docs: DataFrame, folder: str, path: str | None = None, least: int = LEAST) -> None:
+    """Writes the ids of docs(doc_id, text) to folder, in ascending doc_id order, null ids first.
+
+    Pairs that occur `least` times in a block get rules.
+    """
     docs = documents(docs)
     ordered = docs.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    blocks = ordered.mapInArrow(_packed(path or vocabulary()), "part int, block long, ids long, doc_ids array<long>, data binary")
+    blocks = ordered.mapInArrow(_packed(path or vocabulary(), least), "part int, block long, ids long, doc_ids array<long>, data binary")
     blocks.write.option("compression", "zstd").parquet(folder)
 
 
