@@ -368,6 +368,61 @@ def test_media_round_trip_and_damage(spark):
     assert clean.seek(0) == clean.offsets[0] and clean.seek(clean.samples - 1) == clean.offsets[-1]
 
 
+def mpeg1(frames, channels=2, table=b"", reservoir=0):
+    """An MPEG-1 stream of 128 kbit/s, each frame's main data `reservoir` bytes earlier than its frame; and that main data."""
+    side, sound = 32 if channels == 2 else 17, []
+    head = bytes([0xFF, 0xFB, 9 << 4, 0 if channels == 2 else 3 << 6])
+    size, r, pieces = 417, random.Random(channels), []
+    room = size - 4 - side
+    main = [bytes(r.randrange(256) for _ in range(room)) for _ in range(frames)]
+    flow = b"".join(main) + bytes(reservoir)
+    for k in range(frames):
+        begin = min(reservoir, k * room) if reservoir else 0
+        bits = format(begin, "09b") + "0" * ((3 if channels == 2 else 5) + 4 * channels)
+        share = 8 * room // (2 * channels)
+        parts = [share] * (2 * channels - 1) + [8 * room - share * (2 * channels - 1)]
+        bits += "".join(format(p, "012b") + "0" * 47 for p in parts)
+        pieces.append(head + int(bits.ljust(8 * side, "0"), 2).to_bytes(side, "big") + flow[k * room : (k + 1) * room])
+        sound.append(flow[k * room - begin : (k + 1) * room - begin])
+    first = [head + bytes(side) + table.ljust(room, b"\0")] if table[:4] != b"VBRI" else [head + (bytes(32) + table).ljust(size - 4, b"\0")]
+    return b"".join((first if table else []) + pieces), b"".join(sound)
+
+
+def test_streams_of_other_encoders():
+    big = lambda *n: b"".join(x.to_bytes(4, "big") for x in n)
+    tail = b"TAG" + b"Old title".ljust(125, b"\0")
+    long_tag = b"TALB" + big(3) + b"\0\0\0Al" + b"TIT2" + big(6) + b"\0\0\3T\xc3\xaft" + bytes(20)
+    tag = b"ID3\3\0\0" + bytes([0, 0, 0, len(long_tag)]) + long_tag
+    for channels in (1, 2):
+        for back in (0, 100):
+            data, sound = mpeg1(16, channels, reservoir=back)
+            for before, behind in ((b"", b""), (tag, b""), (b"", tail), (tag + tag, tail)):
+                s = media.parse(before + data + behind)
+                assert (len(s.offsets), s.samples, s.skipped, s.cut, s.payload == sound) == (16, 16 * 1152, 0, 0, True)
+                assert s.title == ("T\u00eft" if before else "Old title" if behind else "")
+    toc = bytes(range(100))
+    for table, frames, points in ((b"Xing" + big(1, 16), 16, 0), (b"Info" + big(2, 6672), 0, 0), (b"Xing" + big(7, 16, 6672) + toc, 16, 100), (b"Xing" + big(4) + toc, 0, 100), (b"Xing" + big(0), 0, 0)):
+        s = media.parse(mpeg1(16, table=table)[0])
+        assert (len(s.offsets), s.table.frames, len(s.table.points)) == (16, frames, points)
+    gaps = b"Xing" + big(1, 16) + b"LAME3.100".ljust(21, b"\0") + (576 << 12 | 1000).to_bytes(3, "big")
+    assert media.parse(mpeg1(16, table=gaps)[0]).duration_us == (16 * 1152 - 1576) * 1_000_000 // 44100
+    two = lambda *n: b"".join(x.to_bytes(2, "big") for x in n)
+    s = media.parse(mpeg1(16, table=b"VBRI" + two(1, 0, 75) + big(6672, 16) + two(4, 1, 2, 4) + two(417, 1668, 1668, 1668))[0])
+    assert (len(s.offsets), s.table.kind, s.table.frames, s.table.size, [p for _, p in s.table.points]) == (16, "VBRI", 16, 6672, [0, 417, 2085, 3753])
+    r = random.Random(4)
+    whole = tag + mpeg1(5, table=b"Xing" + big(15, 5, 2085) + toc)[0] + tail
+    own = media.encode(bytes(range(256)) * 9)
+    for data in (whole, own):
+        for n in [*range(0, 60), *(r.randrange(len(data)) for _ in range(200))]:
+            assert len(media.parse(data[:n]).offsets) <= 5
+        for _ in range(200):
+            bad = bytearray(data)
+            for _ in range(r.randrange(1, 9)):
+                bad[r.randrange(len(bad))] = r.choice((0, 255, r.randrange(256)))
+            media.parse(bytes(bad[r.randrange(40) :]))
+    assert media.parse(own[: media.parse(own).offsets[3] + 50]).cut == 50
+
+
 def test_language_model(spark):
     rows = [r for r in corpus(4) if r[0] is not None]
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
