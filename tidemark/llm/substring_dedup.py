@@ -84,9 +84,22 @@ def _joined(column, kind) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, kind), *parts]), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
 
 
-def _texts(group: pa.Table, dropped: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.RecordBatch, np.ndarray]]:
+def _copies(docs: pa.Table, copies: pa.Table) -> np.ndarray:
+    """Which of a group's documents are whole copies, by both of their hashes."""
+    kind = np.dtype([("rid", np.int64), ("check", np.int64)])
+    copies = copies.filter(copies.column("check").is_valid())
+    both = []
+    for table in (docs, copies):
+        out = np.empty(table.num_rows, kind)
+        for c in kind.names:
+            out[c] = table.column(c).to_numpy()
+        both.append(out)
+    return np.isin(*both)
+
+
+def _texts(group: pa.Table, copies: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.RecordBatch, np.ndarray]]:
     """Word hashes, first words and doc_ids of a group's documents that aren't copies, in slices of bounded size."""
-    keep = ~np.isin(group.column("rid").to_numpy(), dropped)
+    keep = ~_copies(group, copies)
     keep &= group.column("doc_id").is_valid().to_numpy()
     for b in slices(group.filter(pa.array(keep)).combine_chunks().to_batches()):
         raw, rows = utf8(b.column("text"))
@@ -97,7 +110,7 @@ def _texts(group: pa.Table, dropped: np.ndarray) -> Iterator[tuple[np.ndarray, n
 def _send_anchors(shards: int, length: int):
     def run(docs: pa.Table, copies: pa.Table) -> pa.Table:
         keys, rids = [np.zeros(0, U)], [np.zeros(0, np.int64)]
-        for words, first, _, b, _ in _texts(docs, copies.column("rid").to_numpy()):
+        for words, first, _, b, _ in _texts(docs, copies):
             k, row, _, _ = anchors(words, first, length)
             keys.append(k)
             rids.append(b.column("rid").to_numpy()[row])
@@ -136,7 +149,7 @@ def _repeated(group: pa.Table) -> pa.Table:
 
 def _send_stretches(shards: int, length: int):
     def run(docs: pa.Table, marked: pa.Table) -> pa.Table:
-        copies = marked.filter(marked.column("rid").is_valid()).column("rid").to_numpy()
+        copies = marked
         marked = marked.filter(marked.column("p").is_valid())
         short, which = _joined(marked.column("keys"), np.uint32)
         wanted = np.sort((marked.column("p").to_numpy().astype(np.int64)[which] << 32) | short)
@@ -247,17 +260,18 @@ def _search(length: int):
 
 def _remove(length: int):
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
-        copies = found.filter(found.column("rid").is_valid()).column("rid").to_numpy()
+        whole = _copies(docs, found)
         found = found.filter(found.column("stretch").is_valid())
         stretch, window, count, doc = (_joined(found.column(c), k)[0] for c, k in (("stretch", U), ("window", np.uint16), ("count", np.uint16), ("doc", np.int64)))
         order = np.argsort(stretch, kind="stable")
         stretch, window, count, doc = stretch[order], window[order].astype(np.int64), count[order].astype(np.int64), doc[order]
         out: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "kept_sha256": []}
+        docs = docs.append_column("copied", pa.array(whole))
         for b in slices(docs.combine_chunks().to_batches()):
             raw, rows = utf8(b.column("text"))
             starts, ends, first = spans(raw, rows)
             total, valid = np.diff(first), b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            copied = np.isin(b.column("rid").to_numpy(), copies) & valid
+            copied = b.column("copied").to_numpy(zero_copy_only=False) & valid
             gone = np.zeros(len(starts) + 1, np.int64)
             if len(stretch):
                 words = hash_spans(raw, starts, ends)
@@ -304,10 +318,13 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, shards: int | None
     """
     spark = docs.sparkSession
     shards = shards or partitions(spark)
-    base = documents(docs).withColumn("rid", F.xxhash64("doc_id", "text")).withColumn("q", F.pmod("rid", F.lit(shards)).cast("int")).select("q", "doc_id", "text", "rid")
-    marks = documents(docs).where("doc_id is not null and length(text) > 0").select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), F.unhex(F.md5("text")).alias("digest"))
-    heads = marks.groupBy("digest").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    copies = marks.join(heads, "digest").where("doc_id > head").select(F.pmod("rid", F.lit(shards)).cast("int").alias("q"), "rid").distinct()
+    hashed = lambda: documents(docs).withColumns({"rid": F.xxhash64("doc_id", "text"), "check": F.xxhash64(F.lit(23), "text")})
+    base = hashed().withColumn("q", F.pmod("rid", F.lit(shards)).cast("int")).select("q", "doc_id", "text", "rid", "check")
+    marks = hashed().where("doc_id is not null and length(text) > 0").select("doc_id", "rid", "check", F.unhex(F.md5("text")).alias("digest"), F.pmod("rid", F.lit(shards)).cast("int").alias("q"))
+    parts = marks.groupBy("digest", "q").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))  # so that no digest is one task's
+    heads = parts.groupBy("digest").agg(F.min("least").alias("head"), F.max("most").alias("most")).where("most > head").drop("most")
+    named = parts.select("digest", "q").join(heads, "digest")
+    copies = marks.join(named, ["digest", "q"]).where("doc_id > head").select("q", "rid", "check").distinct()
     texts = base.groupBy("q")
     sent = texts.cogroup(copies.groupBy("q")).applyInArrow(_send_anchors(shards, length), "p int, q int, keys binary, twice binary")
     repeated = sent.groupBy("p").applyInArrow(_repeated, "q int, p int, keys binary")
