@@ -78,3 +78,26 @@ def test_windows_are_partitions_of_a_data_source(spark, tmp_path):
     paged = C.pages(spark, [C.Window(0, "a", "b", 12), C.Window(1, "b", "c")], folder=str(tmp_path), rows="10")
     got = [(r.window_id, r.page_no, r.position, r["item"]["DOI"]) for r in C.items(paged).orderBy("window_id", "page_no", "position").collect()]
     assert len(got) == 14 and got[0] == (0, 1, 0, "10.1/0") and got[11] == (0, 2, 1, "10.1/11") and got[-1] == (1, 1, 1, "10.1/101")
+
+
+def test_pages_that_bring_only_stored_rows_are_idle():
+    window = lambda *stored: C.Window(0, "a", "b", None, 10, list(stored))
+    pages = [page(10, 10 * k) for k in range(6)] + [page(2, 60)]
+    read = lambda w: [n for n, _, _ in C.crawl(scripted(*pages), w, 10, sleep=lambda s: None)]
+    assert read(window((11, 30))) == [1, 2, 3, 4, 5, 6, 7]
+    with pytest.raises(C.CollectError, match="without new rows"):
+        read(window((11, 40)))
+    w = C.Window(0, "a", "b", None, 4, [(6, 7), (9, 20)])
+    have = {1, 2, 3, 4, 6, 7, *range(9, 21)}
+    for a in range(25):
+        for b in range(a, 25):
+            assert w.new_rows(a, b) == len(set(range(a + 1, b + 1)) - have)
+
+
+def test_readers_share_the_pace():
+    assert C.HttpFetch("http://x", readers=5).pacer.gap == 5 * C.LEAST_GAP
+    p = C.Pacer(gap=2.0)
+    p.told(10, 1.0)
+    assert p.gap == 2.0
+    p.told(1, 8.0)
+    assert p.gap == 8.0

@@ -1,11 +1,12 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.operators import replay, reports, staging, windows
-from tidemark.plans import evidence, jobs
+from tidemark.operators import replay, reports, staging, verify, windows
+from tidemark.plans import cli, evidence, jobs
 from tidemark.plans.store import Store, settled
 from tidemark.sources.generator import synthetic_rows
 from tidemark.streaming import sync_stream
@@ -24,7 +25,7 @@ def test_benchmark_then_no_op_then_already_completed(spark, tmp_path):
     assert jobs.run(store, second, rows=rows, chunk_size=7) == 0
     assert sum(c.no_op_count for c in store.read("chunks").where(F.col("execution_id") == second.execution_id).collect()) == 12
     assert {r.doi: r for r in store.read("target").collect()} == before
-    with pytest.raises(ValueError, match="Frozen"):
+    with pytest.raises(ValueError, match="frozen with other terms"):
         jobs.run(store, jobs.Request("a", "BENCHMARK", {"rows": 13}), rows=rows)
 
 
@@ -109,11 +110,120 @@ def test_day_plan(spark):
     assert [(x.window_sequence, x.window_from.hour, x.window_until.day) for x in windows.day_plan(r).collect()] == [(0, 18, 2), (1, 0, 3), (2, 0, 3)]
 
 
-def test_trend_of_samples(spark):
-    mib = 1024 * 1024
-    for a, b, n, want in ((50, 55, 64, True), (50, 60, 64, False), (55, 45, 64, True), (100, 109, 64, True), (50, 50, 63, False)):
-        df = spark.createDataFrame([("x", k, (a if k < 32 else b) * mib) for k in range(n)], "g string, k int, v bigint")
-        assert reports.sample_trend(df, ["g"], "k", "v").first()["plateau"] is want
+def test_trend_of_samples_against_a_plain_rule(spark):
+    r, series = random.Random(6), {}
+    for k in range(60):
+        n, slope, base = r.choice((3, 40, 63, 64, 65, 90, 200)), r.choice((-1, 0, 0.2, 0.5, 1, 2)), r.randrange(1, 400)
+        series[f"s{k}"] = [int((base + slope * i / 3 + r.random() * 4) * (1 << 20)) for i in range(n)]
+    df = spark.createDataFrame([(g, i, v) for g, values in series.items() for i, v in enumerate(values)], "g string, k int, v bigint")
+    for row in reports.sample_trend(df, ["g"], "k", "v").collect():
+        last = series[row.g][-64:]
+        first, end = min(last[: 16 if len(last) == 64 else max(0, len(last) - 48)], default=None), min(last[-16:])
+        assert (row.samples, row.peak, row.first_floor, row.last_floor) == (len(last), max(last), first, end)
+        assert bool(row.plateau) == (len(last) == 64 and end - first <= max(8 << 20, first / 10))
+
+
+def test_a_run_appends_and_leaves_other_files_alone(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/s")
+    stamp = lambda: {str(p): p.stat().st_mtime_ns for name in ("staging", "chunks", "errors") for p in (tmp_path / "s" / name).rglob("*.parquet")}
+    assert jobs.run(store, jobs.Request("a", "BENCHMARK"), rows=synthetic_rows(spark, 30, 1)) == 0
+    before = stamp()
+    assert jobs.run(store, jobs.Request("b", "BENCHMARK"), rows=synthetic_rows(spark, 40, 1)) == 0
+    after = stamp()
+    assert before and before.items() <= after.items() and set(store.manifest()["tables"]["staging"][:1]) == {f"staging/{next(p for p in before if '/staging/' in p).split('/staging/')[1].split('/')[0]}"}
+    keys = [r.staging_key for r in store.read("staging").collect()]
+    assert len(set(keys)) == 70 and store.read("chunks").count() == 2
+
+
+def test_a_replay_that_fails_counts_its_errors_once(spark, tmp_path, monkeypatch):
+    store = Store(spark, f"{tmp_path}/s")
+    source = jobs.Request("x", "BACKFILL")
+    assert jobs.run(store, source, items(spark, ("10.1/A", "t", 1), ("10.1/a", "u", 1))) == 1
+    real, seen = Store._replace, []
+
+    def fails(self, text):
+        seen.append(text)
+        if len(seen) == 2:
+            raise OSError("killed")
+        real(self, text)
+
+    again = jobs.Request("y", "REPLAY_ERRORS", {"source_execution": source.execution_id})
+    monkeypatch.setattr(Store, "_replace", fails)
+    with pytest.raises(OSError):
+        jobs.run(store, again)
+    assert {e.replay_count for e in store.read("errors").collect()} == {0}
+    jobs.run(store, again)
+    assert {e.replay_count for e in store.read("errors").where(F.col("execution_id") == source.execution_id).collect()} == {1}
+
+
+def test_only_a_synchronised_run_is_verified(spark, tmp_path):
+    run = jobs.Run(Store(spark, f"{tmp_path}/s"), jobs.Request("x", "BENCHMARK"))
+    with pytest.raises(ValueError, match="can't be verified"):
+        run.verify()
+    run.begin()
+    with pytest.raises(ValueError, match="PENDING can't be verified"):
+        run.verify()
+
+
+def test_requests_are_looked_at_whole():
+    for bad in ("", "-a", "a b", "a\n", "x" * 101, "a;b"):
+        with pytest.raises(ValueError, match="request id"):
+            jobs.Request(bad, "BACKFILL")
+    for name, value in (("source", "a b"), ("until", "2026-08-08"), ("source_execution", "1"), ("rows", "0"), ("seed", "-1")):
+        with pytest.raises(ValueError, match=name):
+            jobs.Request("a", "BACKFILL", {name: value})
+
+
+def test_a_mark_without_an_end_is_the_start_of_the_run(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/s")
+    for k in range(2):
+        request = jobs.Request(f"r{k}", "INCREMENTAL", {"source": "s"})
+        assert jobs.run(store, request, items(spark, (f"10.1/{k}", "t", 1))) == 0
+        facts = store.manifest()["facts"]
+        assert facts["mark:s"] == facts[f"run:{request.execution_id}"]["started"]
+    assert facts[f"run:{request.execution_id}"]["since"] < facts["mark:s"]
+
+
+def test_a_collected_run_from_the_command_line(spark, tmp_path):
+    page = lambda k, dois: {"status": "ok", "message": {"total-results": 5, "next-cursor": str(k + 1), "items": [{"DOI": f"10.5/{d}", "indexed": {"date-time": "2026-08-08T00:00:00Z"}} for d in dois]}}
+    for window, dois in enumerate((range(5), range(5, 10))):
+        (tmp_path / "in" / str(window)).mkdir(parents=True)
+        (tmp_path / "in" / str(window) / "0.json").write_text(json.dumps(page(0, dois)))
+    args = ["INCREMENTAL", "--store", f"{tmp_path}/s", "--request", "r", "--folder", f"{tmp_path}/in", "--since", "2026-08-08T06:00:00Z", "--until", "2026-08-10T00:00:00Z", "--limit", "7"]
+    assert cli.main(args) == 0 and cli.main(args) == 3
+    store = Store(spark, f"{tmp_path}/s")
+    assert sorted(r.doi for r in store.read("staging").collect()) == [f"10.5/{k}" for k in range(7)]
+    facts = store.manifest()["facts"]
+    assert facts["mark:default"] == "2026-08-10T00:00:00Z"
+    run = next(v for k, v in facts.items() if k.startswith("run:"))
+    assert (run["collected"]["windows"], run["collected"]["reported_total"], run["collected"]["rows"]) == (2, 10, 10)
+
+
+def test_page_files_come_in_the_order_of_their_numbers(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    for k in (1, 2, 10):
+        (tmp_path / "p" / f"{k}.json").write_text(json.dumps({"status": "ok", "message": {"total-results": 3, "items": [{"DOI": f"10.6/{k}", "indexed": {"date-time": "2026-08-08T00:00:00Z"}}]}}))
+    assert cli.main(["BACKFILL", "--store", f"{tmp_path}/s", "--request", "r", "--pages", f"{tmp_path}/p"]) == 0
+    rows = Store(spark, f"{tmp_path}/s").read("staging").orderBy("execution_sequence").collect()
+    assert [r.doi for r in rows] == ["10.6/1", "10.6/2", "10.6/10"]
+    (tmp_path / "p" / "3.json").write_text(json.dumps({"status": "error", "message": {"items": []}}))
+    with pytest.raises(Exception, match="not a page"):
+        cli.main(["BACKFILL", "--store", f"{tmp_path}/t", "--request", "r", "--pages", f"{tmp_path}/p"])
+
+
+def test_coverage_is_the_same_over_any_partitions(spark):
+    r, chunks, rows = random.Random(3), [], []
+    for ex, n in (("a", 400), ("b", 90), ("c", 1)):
+        keys = sorted(r.sample(range(1, 10_000), n))
+        rows += [(ex, k) for k in keys]
+        for c in range(0, n, 40):
+            part = keys[c : c + 40]
+            chunks.append((ex, c // 40 + 1, part[0], part[-1], len(part) + (ex == "b" and c == 40), *[0] * 6))
+    chunks = spark.createDataFrame(chunks, schema.CHUNKS)
+    staged = spark.createDataFrame(rows, "execution_id string, staging_key bigint").repartition(7)
+    got = verify.coverage(chunks, staged, settled).collect()
+    assert len(got) == 14 and [(x.execution_id, x.chunk_sequence, x.violation) for x in got if x.violation] == [("b", 2, "content")]
+    assert sum(x.rows_in_range for x in got) == len(rows)
 
 
 def test_evidence_and_gates(tmp_path):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import canonical, collect, replay, reports, staging, sync, verify, windows
+from .operators import canonical, changes, collect, replay, reports, staging, sync, verify, windows
 from .plans.store import settled
 from .schema import COUNTERS, PAGE
 from .sources.crawl import items as page_items
@@ -47,7 +47,7 @@ def stg(spark: SparkSession, d: str) -> DataFrame:
     key = F.concat(F.lit("10.5555/u"), F.col("user_id").cast("string"), F.lit("/"), "event_type")
     raw = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("  "), F.upper(key), F.lit("\t"))).otherwise(key)
     content = F.get_json_object("props", "$.k").cast("int") % 3
-    doi = T.doi_key(raw)
+    doi = T.composed_key(raw)
     return e.select(
         (F.col("event_id") + 1).alias("staging_key"), F.concat(F.lit("ex"), F.floor(F.col("event_id") / EXECUTION).cast("string")).alias("execution_id"), (F.col("event_id") % EXECUTION + 1).alias("execution_sequence"),
         doi.alias("doi"), F.date_trunc("DAY", "ts").cast("timestamp_ntz").alias("indexed_at"), content.alias("content"), F.sha2(F.concat_ws("|", doi, content.cast("string")), 256).alias("content_hash"), F.lit(None).cast("bigint").alias("source_error_key"),
@@ -97,8 +97,8 @@ def decided(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def errs(spark: SparkSession, d: str) -> DataFrame:
-    """Errors of all kinds on every seventh staged row."""
-    e, k = load(spark, d, "events").where("event_id % 7 = 0"), F.get_json_object("props", "$.k").cast("int")
+    """Errors of all kinds on staged rows of one type or a great value."""
+    e, k = load(spark, d, "events").where("event_type = 'error' or value > 80"), F.get_json_object("props", "$.k").cast("int")
     kind = F.when(F.col("event_id") % 3 == 0, "CONFLICT").when(F.col("event_id") % 3 == 1, "VALIDATION").otherwise("PERSISTENCE")
     return e.select(
         F.col("event_id").alias("error_key"), F.concat(F.lit("ex"), F.floor(F.col("event_id") / EXECUTION).cast("string")).alias("execution_id"), (F.col("event_id") + 1).alias("staging_key"), kind.alias("error_type"),
@@ -107,7 +107,7 @@ def errs(spark: SparkSession, d: str) -> DataFrame:
 
 
 ERR = f"""err AS (SELECT event_id AS error_key, 'ex' || (event_id // {EXECUTION}) AS execution_id, event_id + 1 AS staging_key, CASE event_id % 3 WHEN 0 THEN 'CONFLICT' WHEN 1 THEN 'VALIDATION' ELSE 'PERSISTENCE' END AS error_type,
-  'C' || (CAST(json_extract_string(props, '$.k') AS INT) % 4) AS error_code, CASE WHEN value > 20 THEN 'OPEN' ELSE 'RESOLVED' END AS status, CAST(json_extract_string(props, '$.k') AS INT) % 3 AS replay_count FROM events WHERE event_id % 7 = 0)"""
+  'C' || (CAST(json_extract_string(props, '$.k') AS INT) % 4) AS error_code, CASE WHEN value > 20 THEN 'OPEN' ELSE 'RESOLVED' END AS status, CAST(json_extract_string(props, '$.k') AS INT) % 3 AS replay_count FROM events WHERE event_type = 'error' OR value > 80)"""
 
 
 def stg_all(spark: SparkSession, d: str) -> DataFrame:
@@ -396,12 +396,12 @@ vl AS (SELECT cv.execution_id, cv.chunk_sequence, cv.accounted, CASE WHEN cv.chu
 
 @query(f"WITH {STG}{TGT}{DEC}{CHK}{BROKEN} SELECT * FROM vl")
 def coverage_check(spark, d):
-    return verify.coverage(broken(spark, d), stg(spark, d)).select("execution_id", "chunk_sequence", "accounted", "violation")
+    return verify.coverage(settled(broken(spark, d)), stg(spark, d), settled).select("execution_id", "chunk_sequence", "accounted", "violation")
 
 
 @query(f"WITH {STG}{TGT}{DEC}{CHK}{BROKEN}, ff AS (SELECT execution_id, min(chunk_sequence) AS failed_chunk FROM vl WHERE violation IS NOT NULL GROUP BY ALL) SELECT vl.execution_id, failed_chunk, max(CASE WHEN chunk_sequence = failed_chunk THEN violation END) AS violation, CAST(coalesce(sum(CASE WHEN chunk_sequence < failed_chunk THEN accounted END), 0) AS BIGINT) AS accounted_before FROM vl JOIN ff ON ff.execution_id = vl.execution_id GROUP BY ALL")
 def coverage_first_failure(spark, d):
-    return verify.first_failure(verify.coverage(broken(spark, d), stg(spark, d)))
+    return verify.first_failure(verify.coverage(settled(broken(spark, d)), stg(spark, d), settled))
 
 
 @query(f"WITH {STG}{TGT}{DEC}{CHK} SELECT {', '.join(f'CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}' for c in COUNTERS)}, CAST(coalesce(sum({' + '.join(COUNTERS)}), 0) AS BIGINT) AS accounted FROM chk")
@@ -443,9 +443,10 @@ def winner_checksum_mismatch(spark, d):
 )
 def verify_verdict(spark, d):
     rows, decisions = decided(spark, d)
-    errors = sync.conflict_errors(sync.row_outcomes(decisions, rows, CHUNK))
+    decisions = settled(decisions)
+    errors = settled(sync.conflict_errors(sync.row_outcomes(decisions, rows, CHUNK)))
     expected = staging.frozen(rows).select("execution_id", (F.col("expected_count") + F.when(F.col("execution_id") == "ex0", 1).otherwise(0)).alias("expected_count"))
-    return verify.verdicts(rows, sync.chunk_results(decisions, rows, CHUNK), errors, tgt(spark, d), expected)
+    return verify.verdicts(rows, sync.chunk_results(decisions, rows, CHUNK), errors, tgt(spark, d), expected, settle=settled)
 
 
 @query("SELECT o_orderstatus, strftime(max(o_orderdate), '%Y-%m-%d') AS latest, count(*) AS n FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') GROUP BY ALL")
@@ -459,17 +460,56 @@ def ordered_digest(spark, d):
     return reports.ordered_digest(load(spark, d, "events"), ["user_id"], "event_id", F.concat("event_type", F.lit(":"), F.col("event_id").cast("string")))
 
 
-@query(None)
+def digest_sql(columns: list[str]) -> str:
+    parts = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"CAST('0x' || substr(md5({parts}), 1, 15) AS BIGINT)"
+
+
+def digested(columns: list[str], rows: str) -> str:
+    return f"SELECT count(*) AS n, coalesce(bit_xor(h), 0) AS xor_hash, CAST(coalesce(sum(CAST(h AS HUGEINT)), 0) AS VARCHAR) AS sum_hash FROM (SELECT {digest_sql(columns)} AS h FROM {rows})"
+
+
+@query(f"WITH {STG} {digested(['staging_key', 'doi', 'content_hash'], 'st')}")
 def table_digest(spark, d):
     return reports.table_digest(stg(spark, d), ["staging_key", "doi", "content_hash"])
 
 
+_SWAPPED = "(SELECT conv_id, CASE WHEN turn % 2 = 0 THEN role END AS a, CASE WHEN turn % 2 = 1 THEN role END AS b FROM conversations)"
+
+
+@query(f"SELECT 'ab' AS columns, * FROM ({digested(['conv_id', 'a', 'b'], _SWAPPED)}) UNION ALL SELECT 'ba' AS columns, * FROM ({digested(['conv_id', 'b', 'a'], _SWAPPED)})")
+def null_safe_digest(spark, d):
+    """Nulls in one column or in the other give different digests."""
+    c = load(spark, d, "conversations").select("conv_id", F.when(F.col("turn") % 2 == 0, F.col("role")).alias("a"), F.when(F.col("turn") % 2 == 1, F.col("role")).alias("b"))
+    of = lambda name, columns: reports.table_digest(c, columns).select(F.lit(name).alias("columns"), "*")
+    return of("ab", ["conv_id", "a", "b"]).unionByName(of("ba", ["conv_id", "b", "a"]))
+
+
+_PAIRED = ["staging_key", "doi", "content_hash", "target_hash", "target_day"]
+_PAIRS = "(SELECT st.staging_key, st.doi, st.content_hash, tgt.content_hash AS target_hash, strftime(tgt.indexed_at, '%Y-%m-%d') AS target_day FROM st LEFT JOIN tgt ON tgt.doi = st.doi)"
+
+
+@query(f"WITH {STG}{TGT} {digested(_PAIRED, _PAIRS)}")
+def staging_target_digest(spark, d):
+    return reports.paired_digest(stg(spark, d), tgt(spark, d).withColumn("source_indexed_at", day("source_indexed_at")))
+
+
+@query("SELECT * FROM (VALUES ('again', true), ('changed', false)) AS t(run, unchanged)")
+def no_change_proof(spark, d):
+    """The target's digest is the same read again, and another after some rows' hashes were changed."""
+    target, columns = tgt(spark, d), ["doi", "content_hash", "content"]
+    other = changes.updated(target, F.col("doi").endswith("/click"), {"content_hash": F.lit("x")})
+    before = reports.table_digest(target, columns)
+    one = lambda name, after: reports.unchanged(before, reports.table_digest(after, columns)).select(F.lit(name).alias("run"), "unchanged")
+    return one("again", tgt(spark, d)).unionByName(one("changed", other))
+
+
 # Replay
 
 
 @query(f"WITH {STG}, {ERR} SELECT row_number() OVER (ORDER BY error_key) AS execution_sequence, error_key AS source_error_key, doi, content_hash, 'rp' AS execution_id FROM err JOIN st ON st.staging_key = err.staging_key AND st.execution_id = err.execution_id WHERE status = 'OPEN' AND err.execution_id = 'ex1'")
 def replay_snapshot(spark, d):
-    return replay.snapshot(errs(spark, d), stg(spark, d), "ex1", "rp").select("execution_sequence", "source_error_key", "doi", "content_hash", "execution_id")
+    return replay.snapshot(errs(spark, d), stg(spark, d), "ex1", "rp", settled).select("execution_sequence", "source_error_key", "doi", "content_hash", "execution_id")
 
 
 @query(f"WITH {ERR} SELECT error_key, CASE WHEN status = 'OPEN' AND execution_id = 'ex1' THEN 'RESOLVED' ELSE status END AS status, CASE WHEN status = 'OPEN' AND execution_id = 'ex1' THEN 'now' END AS resolved_at FROM err")
@@ -484,7 +524,7 @@ def replay_counter(spark, d):
 
 @query(f"WITH {STG_ALL}, {ERR_ALL} SELECT row_number() OVER (ORDER BY error_key) AS execution_sequence, error_key AS source_error_key, doi, content_hash, 'rp' AS execution_id FROM err JOIN st ON st.staging_key = err.staging_key WHERE status = 'OPEN'")
 def replay_snapshot_all(spark, d):
-    return replay.snapshot(errs_all(spark, d), stg_all(spark, d), "all", "rp").select("execution_sequence", "source_error_key", "doi", "content_hash", "execution_id")
+    return replay.snapshot(errs_all(spark, d), stg_all(spark, d), "all", "rp", settled).select("execution_sequence", "source_error_key", "doi", "content_hash", "execution_id")
 
 
 @query(f"WITH {ERR_ALL} SELECT error_key, 'RESOLVED' AS status, CASE WHEN status = 'OPEN' THEN 'now' END AS resolved_at FROM err")
@@ -565,7 +605,8 @@ def metrics_owner_sum(spark, d):
 
 @query("SELECT event_type, count(*) AS steps, CAST(sum(user_id) AS BIGINT) AS read_count, bool_or(value > 90) AS any_high FROM events GROUP BY ALL")
 def counter_rollup(spark, d):
-    return load(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("steps"), F.sum("user_id").alias("read_count"), F.bool_or(F.col("value") > 90).alias("any_high"))
+    e = load(spark, d, "events").withColumn("read_count", F.col("user_id"))
+    return reports.rolled_up(e, ["event_type"], ["read_count"], {"any_high": F.col("value") > 90})
 
 
 @query("SELECT page_id, regexp_replace(url, '[\\s=]', '_', 'g') AS safe FROM pages")
@@ -588,3 +629,171 @@ def duration_text(spark, d):
     n = F.col("event_id").cast("string")
     header = F.when(F.col("event_id") % 2 == 0, F.concat(n, F.lit("ms"))).otherwise(F.concat(n, F.lit("s")))
     return load(spark, d, "events").select("event_id", T.duration_text(F.when(F.col("event_id") % 5 != 0, F.col("event_id"))).alias("shown"), T.header_millis(header).alias("header_ms"))
+
+
+# Collected runs, summaries and stored changes
+
+
+@query(f"WITH {PAGES}, w AS (SELECT window_id, min_by(total_results, page_no) AS reported_total, count(*) AS pages, sum(items) AS rows, sum(new_rows) AS new_rows FROM pages_ GROUP BY ALL) SELECT count(*) AS windows, CAST(sum(reported_total) AS BIGINT) AS reported_total, CAST(sum(pages) AS BIGINT) AS pages, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(new_rows) AS BIGINT) AS new_rows FROM w")
+def reported_total(spark, d):
+    return collect.reported_total(page_log(spark, d))
+
+
+_KNOWN = "known AS (SELECT event_type AS window_id, count(*) // 2 AS pages, count(*) AS rows, CASE WHEN event_type = 'click' THEN 'COLLECTED' ELSE 'COLLECTING' END AS status FROM events WHERE event_type <> 'error' GROUP BY ALL)"
+
+
+@query(f"WITH {PAGES}, {_KNOWN}, now_ AS (SELECT window_id, CAST(sum(items) AS BIGINT) AS r, count(*) AS p, max_by(items, page_no) AS last_ FROM pages_ WHERE page_no >= 2 GROUP BY ALL) SELECT coalesce(k.window_id, n.window_id) AS window_id, greatest(coalesce(k.pages, 0), coalesce(p, 0)) AS pages, greatest(coalesce(k.rows, 0), coalesce(r, 0)) AS rows, CASE WHEN k.status = 'COLLECTED' OR last_ < 50 THEN 'COLLECTED' WHEN p IS NOT NULL THEN 'COLLECTING' ELSE k.status END AS status FROM known k FULL JOIN now_ n ON n.window_id = k.window_id")
+def collection_evidence(spark, d):
+    e = load(spark, d, "events").where("event_type <> 'error'")
+    known = e.groupBy(F.col("event_type").alias("window_id")).agg(F.floor(F.count("*") / 2).cast("bigint").alias("pages"), F.count("*").alias("rows"), F.max(F.when(F.col("event_type") == "click", "COLLECTED").otherwise("COLLECTING")).alias("status"))
+    return collect.progress(known, page_log(spark, d).where("page_no >= 2"), 50)
+
+
+@query("SELECT 'same' AS list, true AS same, CAST(0 AS BIGINT) AS differences UNION ALL SELECT 'turned', false, (SELECT count(*) FROM (SELECT row_number() OVER (ORDER BY o_orderstatus) AS a, row_number() OVER (ORDER BY o_orderstatus DESC) AS b FROM (SELECT DISTINCT o_orderstatus FROM orders)) WHERE a <> b) UNION ALL SELECT 'short', false, CAST(1 AS BIGINT)")
+def requested_windows(spark, d):
+    """Requested windows are the pending ones only in the same order and number."""
+    o = load(spark, d, "orders").select("o_orderstatus").distinct()
+    numbered = lambda *order: staging.dense_sequence(o.withColumn("_r", F.negative(F.ascii("o_orderstatus"))), list(order), "n", -1, settled).select("n", "o_orderstatus")
+    there = numbered("o_orderstatus")
+    one = lambda name, asked: collect.same_in_order(asked, there, "n", ["o_orderstatus"]).select(F.lit(name).alias("list"), "same", "differences")
+    return one("same", numbered("o_orderstatus")).unionByName(one("turned", numbered("_r", "o_orderstatus"))).unionByName(one("short", there.where("n > 0")))
+
+
+@query("SELECT event_type, event_id, user_id, execution_sequence FROM (SELECT event_type, event_id, user_id, row_number() OVER (ORDER BY event_type, event_id) AS execution_sequence FROM events) WHERE execution_sequence <= 700")
+def run_wide_limit(spark, d):
+    """The limit of a run: rows in the order of windows and keys, over all windows together."""
+    return collect.limited(load(spark, d, "events").select("event_type", "event_id", "user_id"), ["event_type", "event_id"], 700, settled)
+
+
+def runs(spark: SparkSession, d: str) -> DataFrame:
+    rows = stg(spark, d).groupBy("execution_id").agg(F.min("staging_key").alias("k"), F.count("*").alias("expected_count"), F.min("indexed_at").alias("started_at"), F.max("indexed_at").alias("finished_at"))
+    status = F.when(F.col("execution_id") == "ex0", "COMPLETED").otherwise("COMPLETED_WITH_ERRORS")
+    return rows.select("execution_id", F.when(F.col("k") % 2 == 1, "BACKFILL").otherwise("INCREMENTAL").alias("mode"), status.alias("status"), "expected_count", F.ceil(F.col("expected_count") / 100).alias("pages"), "started_at", "finished_at")
+
+
+RUNS = ", ru AS (SELECT execution_id, CASE WHEN min(staging_key) % 2 = 1 THEN 'BACKFILL' ELSE 'INCREMENTAL' END AS mode, CASE WHEN execution_id = 'ex0' THEN 'COMPLETED' ELSE 'COMPLETED_WITH_ERRORS' END AS status, count(*) AS expected_count, CAST(ceil(count(*) / 100.0) AS BIGINT) AS pages, min(indexed_at) AS started_at, max(indexed_at) AS finished_at FROM st GROUP BY ALL)"
+_CASES = {"open": "true", "closed": "false", "elsewhere": "execution_id = 'ex0'"}
+
+
+def _preflight_sql(case: str, mode: str) -> str:
+    none = {"BACKFILL": "CASE WHEN o > 0 AND s IS NULL THEN 'OPERATOR_REVIEW' WHEN o > 0 THEN 'OPEN_ERRORS_REQUIRE_REPLAY' ELSE 'RUN' END", "REPLAY_ERRORS": "CASE WHEN s IS NULL AND o > 0 THEN 'OPERATOR_REVIEW' WHEN s IS NULL THEN 'NO_REPLAY_TARGET' ELSE 'RUN' END"}.get(mode, "'RUN'")
+    return f"""SELECT '{case}' AS "case", '{mode}' AS mode, *, CASE decision WHEN 'OPEN_ERRORS_REQUIRE_REPLAY' THEN 'REPLAY_ERRORS' WHEN 'OPERATOR_REVIEW' THEN 'OPERATOR_REVIEW' WHEN 'NO_REPLAY_TARGET' THEN 'BACKFILL' ELSE '{mode}' END AS next_mode FROM (
+  SELECT o AS open_errors, replayable AS replayable_errors, s.execution_id AS source_execution_id, coalesce(s.bound, 0) AS error_bound, coalesce(s.selected, 0) AS selected, {none} AS decision FROM (
+  SELECT (SELECT count(*) FROM err WHERE status = 'OPEN' AND {_CASES[case]}) AS o, coalesce(CAST(sum(selected) AS BIGINT), 0) AS replayable, max({{'a': started_at, 'execution_id': execution_id, 'bound': bound, 'selected': selected}}) AS s FROM src WHERE {_CASES[case]}))"""
+
+
+_SOURCES = ", src AS (SELECT ru.execution_id, ru.started_at, max(err.error_key) AS bound, count(*) AS selected FROM err JOIN st ON st.execution_id = err.execution_id AND st.staging_key = err.staging_key JOIN ru ON ru.execution_id = err.execution_id WHERE err.status = 'OPEN' AND ru.mode = 'BACKFILL' AND ru.status = 'COMPLETED_WITH_ERRORS' AND ru.finished_at IS NOT NULL GROUP BY ALL)"
+
+
+@query(f"WITH {STG}, {ERR}{RUNS}{_SOURCES} {' UNION ALL '.join(_preflight_sql(c, m) for c in _CASES for m in ('BACKFILL', 'REPLAY_ERRORS', 'INCREMENTAL'))}")
+def preflight_full(spark, d):
+    """All decisions: with open errors, without, and with such as no replay may take."""
+    rows, executions, errors = stg(spark, d), runs(spark, d), errs(spark, d)
+    out = [reports.preflight_report(errors.where(where), rows, executions, mode).select(F.lit(case).alias("case"), F.lit(mode).alias("mode"), "*") for case, where in _CASES.items() for mode in ("BACKFILL", "REPLAY_ERRORS", "INCREMENTAL")]
+    every = out[0]
+    for one in out[1:]:
+        every = every.unionByName(one)
+    return every
+
+
+def steps(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "events").where("event_type in ('click', 'error') and user_id % 3 > 0")
+    step = F.when(F.col("event_type") == "click", "collect").otherwise("sync")
+    return e.groupBy(F.concat(F.lit("ex"), F.floor(F.col("event_id") / EXECUTION).cast("string")).alias("execution_id"), step.alias("step")).agg(F.min("ts").cast("timestamp").alias("started_at"), F.max("ts").cast("timestamp").alias("ended_at"))
+
+
+_STEPS = f", sp AS (SELECT 'ex' || (event_id // {EXECUTION}) AS execution_id, date_diff('microsecond', min(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'click')) // 1000 AS collect_ms, date_diff('microsecond', min(ts) FILTER (event_type = 'error'), max(ts) FILTER (event_type = 'error')) // 1000 AS sync_ms FROM events WHERE event_type IN ('click', 'error') AND user_id % 3 > 0 GROUP BY ALL)"
+_SUMMARY = f"""{RUNS}, ch AS (SELECT execution_id, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in COUNTERS)}, CAST(sum({' + '.join(COUNTERS)}) AS BIGINT) AS accounted FROM chk GROUP BY ALL), sg AS (SELECT execution_id, count(*) AS staged FROM st GROUP BY ALL),
+er AS (SELECT execution_id, count(*) FILTER (status = 'OPEN') AS open_errors, count(*) FILTER (status = 'RESOLVED') AS resolved_errors FROM err GROUP BY ALL){_STEPS},
+sm AS (SELECT ru.execution_id, mode, status, expected_count, pages, staged, {', '.join(COUNTERS)}, accounted, coalesce(open_errors, 0) AS open_errors, coalesce(resolved_errors, 0) AS resolved_errors, collect_ms, sync_ms FROM ru LEFT JOIN sg USING (execution_id) LEFT JOIN ch USING (execution_id) LEFT JOIN er USING (execution_id) LEFT JOIN sp USING (execution_id))"""
+
+
+@query(f"WITH {STG}{TGT}{DEC}{CHK}, {ERR}{_SUMMARY} SELECT * FROM sm")
+def run_summary(spark, d):
+    return reports.run_summary(runs(spark, d).drop("started_at", "finished_at"), stg(spark, d), sync_chunk_counts(spark, d), errs(spark, d), steps(spark, d))
+
+
+@query(
+    f"WITH {STG}{TGT}{DEC}{CHK}, {ERR}{_SUMMARY} SELECT execution_id, concat_ws(',', CASE WHEN status <> 'COMPLETED' THEN 'status' END, CASE WHEN mode = 'BACKFILL' AND expected_count <> {EXECUTION} THEN 'expected' END, CASE WHEN mode = 'BACKFILL' AND staged <> {EXECUTION} THEN 'staged' END, "
+    f"CASE WHEN mode = 'BACKFILL' AND accounted <> {EXECUTION} THEN 'accounted' END, CASE WHEN mode = 'BACKFILL' AND pages <> 25 THEN 'pages' END, CASE WHEN mode = 'BACKFILL' AND open_errors > 0 THEN 'open errors' END) AS faults FROM sm"
+)
+def summary_consistency(spark, d):
+    return reports.summary_faults(run_summary(spark, d), EXECUTION, 25).select("execution_id", F.array_join("faults", ",").alias("faults"))
+
+
+@query(f"WITH {STG}{RUNS}{_STEPS} SELECT ru.execution_id, mode, collect_ms, sync_ms FROM ru LEFT JOIN sp USING (execution_id)")
+def execution_steps(spark, d):
+    return reports.execution_steps(runs(spark, d).select("execution_id", "mode"), steps(spark, d), ["collect", "sync"])
+
+
+@query(
+    f"WITH {STG}{TGT}, {ERR}, rp AS (SELECT 'rp' || (error_key % 5) AS execution_id, error_key AS source_error_key, st.doi FROM err JOIN st ON st.execution_id = err.execution_id AND st.staging_key = err.staging_key WHERE replay_count = 0), "
+    "n AS (SELECT execution_id, count(*) AS staged FROM rp GROUP BY ALL) SELECT rp.execution_id, source_error_key, err.status AS error_status, replay_count, CAST(0 AS BIGINT) AS new_errors, staged, staged AS inserted, CAST(CASE WHEN tgt.doi IS NULL THEN 0 ELSE 1 END AS BIGINT) AS target_rows, "
+    "CASE WHEN rp.execution_id = 'rp1' THEN 'FAILED' ELSE 'COMPLETED' END AS replay_status, err.status = 'RESOLVED' AND rp.execution_id <> 'rp1' AND tgt.doi IS NOT NULL AS proven FROM rp JOIN err ON err.error_key = rp.source_error_key JOIN n ON n.execution_id = rp.execution_id LEFT JOIN tgt ON tgt.doi = rp.doi"
+)
+def replay_before_after(spark, d):
+    """What replays have made of the errors that had none before."""
+    errors = errs(spark, d)
+    first = errors.where("replay_count = 0").join(stg(spark, d).select("execution_id", "staging_key", "doi"), ["execution_id", "staging_key"])
+    rows = settled(first.select(F.concat(F.lit("rp"), (F.col("error_key") % 5).cast("string")).alias("execution_id"), F.col("error_key").alias("source_error_key"), "doi"))
+    chunks = rows.groupBy("execution_id").agg(F.count("*").alias("inserted_count"))
+    executions = rows.select("execution_id").distinct().withColumn("status", F.when(F.col("execution_id") == "rp1", "FAILED").otherwise("COMPLETED"))
+    return reports.replay_report(errors, rows, chunks, tgt(spark, d), executions, rows.select("execution_id", "source_error_key"))
+
+
+@query(f"WITH {ERR} SELECT error_key, CASE WHEN status = 'OPEN' AND error_code <> 'C3' THEN 'RESOLVED' ELSE status END AS status, CASE WHEN error_key % 2 = 0 THEN 'then' WHEN status = 'OPEN' AND error_code <> 'C3' THEN 'now' END AS resolved_at FROM err")
+def resolve_other_errors(spark, d):
+    """A filtered update: open errors but of one code are resolved; a time that is there stays."""
+    had = errs(spark, d).withColumn("resolved_at", F.when(F.col("error_key") % 2 == 0, "then"))
+    return changes.resolve_others(had, F.col("error_code") == "C3", F.lit("now")).select("error_key", "status", "resolved_at")
+
+
+@query(f"WITH {STG}{TGT} SELECT doi, content_hash FROM tgt WHERE doi NOT LIKE '%/click'")
+def delete_targets(spark, d):
+    return changes.deleted(tgt(spark, d), F.col("doi").like("%/click")).select("doi", "content_hash")
+
+
+@query("SELECT user_id AS request_id, max('e' || lpad(event_id::VARCHAR, 8, '0')) AS execution_id, max_by(CASE WHEN value > 90 THEN 'COMPLETED_WITH_ERRORS' ELSE 'COMPLETED' END, event_id) AS status FROM events WHERE value > 40 GROUP BY ALL")
+def latest_completed(spark, d):
+    e = load(spark, d, "events")
+    status = F.when(F.col("value") > 90, "COMPLETED_WITH_ERRORS").when(F.col("value") > 40, "COMPLETED").otherwise("FAILED")
+    return reports.latest_completed(e.select(F.col("user_id").alias("request_id"), F.concat(F.lit("e"), F.lpad(F.col("event_id").cast("string"), 8, "0")).alias("execution_id"), status.alias("status")))
+
+
+@query("WITH c AS (SELECT 'nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'none', 0) SELECT * FROM c UNION ALL SELECT 'total', CAST(sum(n) AS BIGINT) FROM c")
+def row_count_check(spark, d):
+    return reports.row_counts({"nation": load(spark, d, "nation"), "orders": load(spark, d, "orders"), "none": load(spark, d, "orders").where("false")})
+
+
+@query("WITH t AS (SELECT user_id, value * 1048576 AS v, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) SELECT user_id, count(*) AS samples, max(v) AS peak FROM t WHERE r <= 64 GROUP BY ALL")
+def sample_peaks(spark, d):
+    samples = load(spark, d, "events").select("user_id", "event_id", (F.col("value") * 1048576).alias("v"))
+    return reports.sample_trend(samples, ["user_id"], "event_id", "v").select("user_id", "samples", "peak")
+
+
+@query("SELECT doc_id, sha256(lower(nfc_normalize('10.1/' || doc_id || 'e' || chr(769) || 'X  ' || 'A' || chr(778)))) AS hash FROM documents")
+def doi_keys(spark, d):
+    raw = F.concat(F.lit("  10.1/"), F.col("doc_id").cast("string"), F.lit("e\u0301X  A\u030a\n"))
+    return load(spark, d, "documents").select("doc_id", F.sha2(T.doi_key(raw), 256).alias("hash"))
+
+
+@query("SELECT event_id, CASE event_id % 6 WHEN 3 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 4 THEN strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') END AS instant FROM events")
+def instants(spark, d):
+    """Only a date and time with a zone is an instant."""
+    at, k = lambda form: F.date_format("ts", form), F.col("event_id") % 6
+    full = at("yyyy-MM-dd'T'HH:mm:ss")
+    text = F.when(k == 0, at("yyyy-MM-dd")).when(k == 1, at("HH:mm")).when(k == 2, full).when(k == 3, F.concat(full, F.lit("Z"))).when(k == 4, F.concat(full, F.lit("+02:00"))).otherwise("now")
+    return load(spark, d, "events").select("event_id", F.date_format(T.instant(text), "yyyy-MM-dd HH:mm:ss").alias("instant"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE 1 END AS range_from, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey + 5 ELSE o_orderkey + 9 END AS range_until FROM orders")
+def incremental_ranges(spark, d):
+    o, k = load(spark, d, "orders"), F.col("o_orderkey")
+    start, end = windows.incremental_range(F.when(k % 2 == 0, k), F.lit(1).cast("bigint"), F.when(k % 3 == 0, k + 5), k + 9)
+    return o.select("o_orderkey", start.alias("range_from"), end.alias("range_until"))
+
+
+@query("SELECT execution_id, source_error_key, count(*) AS n FROM (SELECT 'ex' || (event_id // 2500) AS execution_id, CASE WHEN event_id % 4 > 0 THEN user_id END AS source_error_key FROM events) WHERE source_error_key IS NOT NULL GROUP BY ALL HAVING count(*) > 1")
+def lineage_violations(spark, d):
+    e = load(spark, d, "events").select(F.concat(F.lit("ex"), F.floor(F.col("event_id") / EXECUTION).cast("string")).alias("execution_id"), F.when(F.col("event_id") % 4 > 0, F.col("user_id")).alias("source_error_key"))
+    return replay.lineage_violations(e)

@@ -35,11 +35,16 @@ def plain(text: Column) -> Column:
     return F.nullif(collapse(strip(text)), F.lit(""))
 
 
-def doi_key(text: Column) -> Column:
-    """Stripped and lower-cased; inner white space stays, blank is null."""
+def composed_key(text: Column) -> Column:
+    """Of composed text the key of a record: stripped and lower-cased; inner white space stays, blank is null."""
     return F.nullif(F.lower(strip(text)), F.lit(""))
 
 
+def doi_key(text: Column) -> Column:
+    """The key of a record: composed, stripped and lower-cased; inner white space stays, blank is null."""
+    return composed_key(nfc(text))
+
+
 def date_parts(issued: Column) -> Column:
     """The first list of 1 to 3 date parts, else null."""
     first = F.get(issued, F.lit(0))
@@ -55,8 +60,8 @@ def partial_date(parts: Column) -> Column:
 
 
 def instant(text: Column) -> Column:
-    """An ISO instant; null if it isn't one."""
-    return F.try_to_timestamp(text)
+    """An ISO instant with date, time and zone; null if it isn't one, whatever the day or the session's zone."""
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"), F.try_to_timestamp(text))
 
 
 def log_safe(text: Column) -> Column:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .staging import dense_sequence
 
-def snapshot(errors: DataFrame, staging: DataFrame, source_execution: str | Column, replay_execution: str) -> DataFrame:
+
+def snapshot(errors: DataFrame, staging: DataFrame, source_execution: str | Column, replay_execution: str, settle=lambda df: df) -> DataFrame:
     """The staged rows of a source execution's open errors, in the order of error keys, under the replay's own id.
 
     A replay numbers its rows densely from 1 and names each one's error; it holds the errors of one execution.
     """
     opened = errors.where((F.col("status") == "OPEN") & (F.col("execution_id") == source_execution)).select("execution_id", "staging_key", "error_key")
     found = opened.join(staging.drop("source_error_key"), ["execution_id", "staging_key"])
-    numbered = found.withColumn("execution_sequence", F.row_number().over(Window.partitionBy("execution_id").orderBy("error_key")).cast("bigint"))
+    numbered = dense_sequence(found.drop("execution_sequence"), ["error_key"], settle=settle)
     return numbered.withColumn("execution_id", F.lit(replay_execution)).withColumnRenamed("error_key", "source_error_key").drop("staging_key")
 
 

@@ -30,8 +30,13 @@ def prefix_counts(windows: DataFrame, order: str, count: str, keys: Sequence[str
 
 
 def append_missing(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of new whose keys aren't there yet, one for each key; writing them twice changes nothing."""
-    return new.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti")
+    """The rows of new whose keys aren't there yet; writing them twice changes nothing.
+
+    Of rows with one key, the one with the least hash of its other columns is taken, whatever their order.
+    """
+    keys, rest = list(keys), [c for c in new.columns if c not in keys]
+    once = new.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("_row")).select(*keys, "_row.*") if rest else new.distinct()
+    return once.join(existing.select(*keys), keys, "left_anti").select(new.columns)
 
 
 def frozen(staging: DataFrame, keys: Sequence[str] = ("execution_id",)) -> DataFrame:

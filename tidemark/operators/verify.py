@@ -12,21 +12,37 @@ def accounted() -> Column:
     return sum((F.col(c) for c in COUNTERS[1:]), F.col(COUNTERS[0]))
 
 
-def coverage(chunks: DataFrame, staging: DataFrame) -> DataFrame:
+def _chunk_of_rows(chunks: DataFrame, staging: DataFrame, settle) -> DataFrame:
+    """Each staged row's key with the range of the chunk that starts last at or before it, without gathering an execution's keys.
+
+    Starts and rows are range-partitioned together; a partition's first rows take the last start of the partitions before.
+    """
+    both = F.struct("first_staging_key", "last_staging_key")
+    starts = chunks.select("execution_id", F.col("first_staging_key").alias("k"), F.lit(0).alias("row"), both.alias("_start"))
+    rows = staging.select("execution_id", F.col("staging_key").alias("k"), F.lit(1).alias("row"), F.lit(None).cast("struct<first_staging_key:bigint,last_staging_key:bigint>").alias("_start"))
+    ranged = starts.unionByName(rows).repartitionByRange("execution_id", "k", "row").sortWithinPartitions("execution_id", "k", "row")
+    placed = settle(ranged.withColumn("_part", F.spark_partition_id()))
+    ends = placed.groupBy("execution_id", "_part").agg(F.max_by("_start", F.when(F.col("row") == 0, F.col("k"))).alias("_end"))  # a row or two for each partition
+    earlier = Window.partitionBy("execution_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("execution_id", "_part", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    here = Window.partitionBy("execution_id", "_part").orderBy("k", "row").rowsBetween(Window.unboundedPreceding, 0)
+    within = placed.withColumn("_own", F.last("_start", ignorenulls=True).over(here)).where("row = 1")
+    return within.join(carried, ["execution_id", "_part"]).select("execution_id", "k", F.coalesce("_own", "_carried").alias("_c"))
+
+
+def coverage(chunks: DataFrame, staging: DataFrame, settle=lambda df: df) -> DataFrame:
     """Each chunk result of each execution with what is wrong with it, in the order of checking, or null.
 
     Sequences must be dense from 1; ranges must ascend without overlap inside the execution's bound; a range must hold as
     many staged rows as its counters account for, from its first key to its last. A staged row belongs to the chunk with
-    the greatest first key not above its own: a running maximum over keys in place of a range join.
+    the greatest first key not above its own, which is carried along the keys in place of a range join. settle is applied
+    to the rows once they are in order (a checkpoint on a cluster).
     """
     w = Window.partitionBy("execution_id").orderBy("chunk_sequence")
     checked = chunks.withColumn("n", accounted()).withColumn("_last", F.lag("last_staging_key", 1, 0).over(w)).withColumn("_sequence", F.lag("chunk_sequence", 1, 0).over(w))
     bounds = staging.groupBy("execution_id").agg(F.max("staging_key").alias("_bound"))
-    starts = chunks.select("execution_id", F.col("first_staging_key").alias("k"), "first_staging_key", "last_staging_key", F.lit(0).alias("row"))
-    rows = staging.select("execution_id", F.col("staging_key").alias("k"), F.lit(None).cast("bigint").alias("first_staging_key"), F.lit(None).cast("bigint").alias("last_staging_key"), F.lit(1).alias("row"))
-    at = Window.partitionBy("execution_id").orderBy("k", "row").rowsBetween(Window.unboundedPreceding, 0)
-    held = starts.unionByName(rows).withColumn("_c", F.last(F.when(F.col("row") == 0, F.struct("first_staging_key", "last_staging_key")), ignorenulls=True).over(at))
-    held = held.where("row = 1 and k <= _c.last_staging_key").groupBy("execution_id", F.col("_c.first_staging_key").alias("first_staging_key")).agg(F.count("*").alias("rows_in_range"), F.min("k").alias("_min"), F.max("k").alias("_max"))
+    held = _chunk_of_rows(chunks, staging, settle)
+    held = held.where("k <= _c.last_staging_key").groupBy("execution_id", F.col("_c.first_staging_key").alias("first_staging_key")).agg(F.count("*").alias("rows_in_range"), F.min("k").alias("_min"), F.max("k").alias("_max"))
     wrong = (
         F.when(F.col("chunk_sequence") != F.col("_sequence") + 1, "gap")
         .when((F.col("first_staging_key") > F.col("last_staging_key")) | (F.col("last_staging_key") > F.coalesce("_bound", F.lit(0))) | (F.col("first_staging_key") <= F.col("_last")), "order")
@@ -72,7 +88,16 @@ def winner_mismatches(staging: DataFrame, errors: DataFrame, target: DataFrame)
     return best.join(target.select("doi", "source_indexed_at", "content_hash"), "doi").where(bad).select("execution_id", "doi", "staging_key")
 
 
-def verdicts(staging: DataFrame, chunks: DataFrame, errors: DataFrame, target: DataFrame, expected: DataFrame, replay: bool = False) -> DataFrame:
+def target_figures(staging: DataFrame, errors: DataFrame, target: DataFrame) -> DataFrame:
+    """Per execution missing (see missing_targets) and mismatches (see winner_mismatches), from one pass over each table."""
+    fine = staging.join(errors.where("status = 'OPEN'").select("execution_id", "staging_key"), ["execution_id", "staging_key"], "left_anti")
+    best = fine.groupBy("execution_id", "doi").agg(F.max(F.struct("indexed_at", F.negative("staging_key").alias("k"), F.col("content_hash").alias("wanted"))).alias("b"))
+    both = best.join(target.select("doi", "source_indexed_at", "content_hash", F.lit(True).alias("_there")), "doi", "left")
+    bad = (F.col("source_indexed_at") < F.col("b.indexed_at")) | ((F.col("source_indexed_at") == F.col("b.indexed_at")) & (F.col("content_hash") != F.col("b.wanted")))
+    return both.groupBy("execution_id").agg(F.count_if(F.col("_there").isNull()).alias("missing"), F.count_if(F.col("_there") & bad).alias("mismatches"))
+
+
+def verdicts(staging: DataFrame, chunks: DataFrame, errors: DataFrame, target: DataFrame, expected: DataFrame, replay: bool = False, settle=lambda df: df) -> DataFrame:
     """One row for each execution of expected(execution_id, expected_count): status, reason and the figures behind.
 
     The first check that fails names the reason: coverage, lineage of replayed rows, counts, types of open errors, errors
@@ -80,14 +105,13 @@ def verdicts(staging: DataFrame, chunks: DataFrame, errors: DataFrame, target: D
     """
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
     totals = chunks.groupBy("execution_id").agg(F.sum(accounted()).alias("accounted"), F.sum("conflict_count").alias("conflicts"), F.sum("validation_error_count").alias("validations"))
-    failures = first_failure(coverage(chunks, staging)).select("execution_id", "violation")
+    failures = first_failure(coverage(chunks, staging, settle)).select("execution_id", "violation")
     opened = errors.where("status = 'OPEN'").groupBy("execution_id").agg(
         F.count_if(F.col("error_type") == "CONFLICT").alias("open_conflicts"), F.count_if(F.col("error_type") == "VALIDATION").alias("open_validations"), F.count_if(~F.col("error_type").isin("CONFLICT", "VALIDATION")).alias("open_others")
     )
-    lineage = staging.groupBy("execution_id").agg(F.count_if(F.col("source_error_key").isNull()).alias("unlinked"))
-    wrong = winner_mismatches(staging, errors, target).groupBy("execution_id").agg(F.count("*").alias("mismatches"))
+    rows = staging.groupBy("execution_id").agg(F.count("*").alias("eligible"), F.count_distinct("doi").alias("distinct_dois"), F.count_if(F.col("source_error_key").isNull()).alias("unlinked"))
     out = expected
-    for part in (totals, failures, opened, lineage, eligible(staging), missing_targets(staging, errors, target), wrong):
+    for part in (totals, failures, opened, rows.withColumn("duplicates", F.col("eligible") - F.col("distinct_dois")), target_figures(staging, errors, target)):
         out = out.join(part, "execution_id", "left")
     figures = ["eligible", "distinct_dois", "duplicates", "accounted", "conflicts", "validations", "open_conflicts", "open_validations", "open_others", "missing", "mismatches"]
     out = out.withColumns({c: zero(F.col(c)) for c in [*figures, "unlinked"]})

@@ -8,11 +8,20 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.crawl import items, page_files
+from ..operators import collect, windows
+from ..sources.crawl import items, numbered_files, page_log, pages, planned
 from ..sources.generator import synthetic_rows
 from . import evidence
-from .jobs import Request, run
-from .store import Store
+from .jobs import EXIT, Request, Run, run
+from .store import Store, settled
+
+
+def day_windows(spark: SparkSession, since: str, until: str) -> list[tuple[str, str]]:
+    """The UTC days of a half-open range of instants, the first and the last cut to it."""
+    at = lambda x: F.lit(x).cast("timestamp").cast("timestamp_ntz")
+    plan = windows.day_plan(spark.range(1).select(at(since).alias("range_from"), at(until).alias("range_until"))).orderBy("window_sequence")
+    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return [tuple(r) for r in plan.select(text("window_from"), text("window_until")).collect()]
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -20,7 +29,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("mode", choices=["BACKFILL", "INCREMENTAL", "REPLAY_ERRORS", "BENCHMARK"])
     p.add_argument("--store", required=True)
     p.add_argument("--request", required=True)
-    p.add_argument("--pages", help="folder of page files")
+    p.add_argument("--pages", help="folder of page files, in the order of the numbers in their names")
+    p.add_argument("--url", help="paged source to ask in place of page files, a window for each day of the range")
+    p.add_argument("--folder", help="paged source as a folder for each window, in place of --url")
+    p.add_argument("--since", help="start of the first range, an ISO instant")
+    p.add_argument("--limit", type=int, help="most rows of the run, over all windows")
     p.add_argument("--source", default="default")
     p.add_argument("--until", help="end of an incremental range, an ISO instant")
     p.add_argument("--source-execution")
@@ -30,14 +43,26 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--outcome", help="file for the outcome")
     a = p.parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    identity = {"BACKFILL": {"pages": a.pages}, "INCREMENTAL": {"pages": a.pages, "source": a.source, "until": a.until}, "REPLAY_ERRORS": {"source_execution": a.source_execution}, "BENCHMARK": {"rows": a.rows, "seed": a.seed}}[a.mode]
-    request, collected, rows = Request(a.request, a.mode, identity), None, None
+    origin = {"pages": a.pages, "url": a.url, "folder": a.folder, "since": a.since, "until": a.until, "limit": a.limit}
+    identity = {"BACKFILL": origin, "INCREMENTAL": {**origin, "source": a.source}, "REPLAY_ERRORS": {"source_execution": a.source_execution}, "BENCHMARK": {"rows": a.rows, "seed": a.seed}}[a.mode]
+    request, collected, rows, log, store = Request(a.request, a.mode, identity), None, None, None, Store(spark, a.store)
     if a.mode == "BENCHMARK":
         rows = synthetic_rows(spark, a.rows, a.seed)
     elif a.mode != "REPLAY_ERRORS":
-        paged = page_files(spark, a.pages).select(F.lit(0).alias("window_id"), F.input_file_name().alias("page_no"), F.size("message.items").alias("accepted"), F.struct("message").alias("page"))
-        collected = (items(paged), ["window_id", "page_no", "position"])
-    code = run(Store(spark, a.store), request, collected, rows, a.chunk_size)
+        if a.pages:
+            paged = numbered_files(spark, a.pages)
+        else:
+            job = Run(store, request, a.chunk_size)
+            if job.begin() == "ALREADY_COMPLETED":
+                return EXIT["ALREADY_COMPLETED"]
+            since, until = job.state().get("since") or a.since, job.state().get("until") or a.until
+            if not since or not until:
+                p.error("a range needs --since and --until where no mark and no start of a run stand in")
+            paged = pages(spark, planned(day_windows(spark, since, until), a.limit), **({"url": a.url} if a.url else {"folder": a.folder}))
+        paged, order = settled(paged), ["window_id", "page_no", "position"]
+        found = items(paged)
+        collected, log = (collect.limited(found, order, a.limit, settled).drop("execution_sequence") if a.limit else found, order), page_log(paged)
+    code = run(store, request, collected, rows, a.chunk_size, log)
     if a.outcome:
         evidence.outcome_file(a.outcome, code, "sync", request.request_id, request.mode, request.execution_id)
     return code

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..operators import canonical, replay, staging, sync, verify
+from ..operators import canonical, collect, replay, staging, sync, verify
 from ..operators.windows import may_advance
 from .store import Store, settled
 
@@ -22,6 +23,13 @@ NEXT = {
 }
 EXIT = {"COMPLETED": 0, "FAILED": 1, "COMPLETED_WITH_ERRORS": 2, "ALREADY_COMPLETED": 3}
 
+#: Whole forms of what a request may hold.
+REQUEST_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]{0,99}")
+IDENTITY = {
+    "source": re.compile(r"[A-Za-z0-9_-]{1,64}"), "source_execution": re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"), "rows": re.compile(r"[1-9][0-9]{0,11}"), "seed": re.compile(r"[0-9]{1,18}"),
+    "until": re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})"), "since": re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})"),
+}
+
 
 @dataclass
 class Request:
@@ -35,6 +43,11 @@ class Request:
     def __post_init__(self):
         if self.mode not in schema.MODES:
             raise ValueError(f"unknown mode: {self.mode}")
+        if not REQUEST_ID.fullmatch(self.request_id):
+            raise ValueError("a request id has 1 to 100 letters, digits, dots, dashes and underscores, a letter or digit first")
+        for name, form in IDENTITY.items():
+            if (value := self.identity.get(name)) is not None and not form.fullmatch(str(value)):
+                raise ValueError(f"{name} is not well formed")
         if self.contract != schema.CONTRACT_HASH:
             raise ValueError("the request was made for another canonical form")
 
@@ -66,15 +79,24 @@ class Run:
         """Freezes the request; ALREADY_COMPLETED for a run that has ended well, an error for a changed request."""
         have = self.state()
         if have and have["request"] != asdict(self.request):
-            raise ValueError("Frozen request contract changed")
+            raise ValueError(f"request {self.request.request_id} was frozen with other terms")
         if have.get("status") in ("COMPLETED", "COMPLETED_WITH_ERRORS"):
             return "ALREADY_COMPLETED"
         if have.get("status") == "FAILED":
             raise ValueError("a failed verdict stands; make a new request")
         if not have:
-            self.store.commit({}, self._fact(request=asdict(self.request), status="PENDING"))
+            started = datetime.now(UTC).isoformat()
+            mark = self.store.manifest()["facts"].get(f"mark:{self.request.identity.get('source', 'default')}")
+            frozen = {"since": mark or self.request.identity.get("since"), "until": self.request.identity.get("until") or started} if self.request.mode == "INCREMENTAL" else {}
+            self.store.commit({}, self._fact(request=asdict(self.request), status="PENDING", started=started, **frozen))
         return None
 
+    def evidence(self, pages: DataFrame) -> None:
+        """Keeps what a log of pages(window_id, page_no, items, new_rows, total_results) says on the run's facts: window by window, and together."""
+        total = collect.reported_total(pages).first().asDict()
+        windows = [r.asDict() for r in collect.window_evidence(pages).orderBy("window_id").collect()]  # a row for each window of a plan
+        self.store.commit({}, self._fact(collected={**total, "by_window": windows}))
+
     def stage_items(self, items: DataFrame, order: list[str]) -> None:
         """Canonicalises collected records(item, ...) and stages them in the given total order. One bad record fails all."""
         works = settled(canonical.canonicalize(items))
@@ -85,23 +107,24 @@ class Run:
 
     def stage_rows(self, rows: DataFrame, state: str) -> None:
         """Appends rows that aren't staged yet, gives them keys after all others, and freezes count and bound."""
-        have = self.store.read("staging", schema.STAGING)
+        self._stage(rows, state, {})
+
+    def _stage(self, rows: DataFrame, state: str, tables: dict[str, DataFrame]) -> None:
+        have = self.store.read("staging", schema.STAGING).where(F.col("execution_id") == self.id)
         new = staging.append_missing(rows.withColumn("execution_id", F.lit(self.id)), have, ["execution_id", "execution_sequence"])
-        top = have.agg(F.coalesce(F.max("staging_key"), F.lit(0))).first()[0]
-        keyed = new.withColumn("staging_key", F.col("execution_sequence") + top)
-        every = have.unionByName(keyed.select([F.col(f.name).cast(f.dataType) for f in schema.STAGING]))
-        expected, bound = every.where(F.col("execution_id") == self.id).agg(F.count("*"), F.coalesce(F.max("staging_key"), F.lit(0))).first()
+        top = self.store.manifest()["facts"].get("top_key", 0)
+        keyed = settled(new.withColumn("staging_key", F.col("execution_sequence") + top).select([F.col(f.name).cast(f.dataType) for f in schema.STAGING]))
+        expected, bound = have.unionByName(keyed).agg(F.count("*"), F.coalesce(F.max("staging_key"), F.lit(0))).first()
         status = moved(moved("PENDING", state), "COLLECTED")
-        self.store.commit({"staging": every}, self._fact(status=status, expected=expected, bound=bound))
+        self.store.commit(tables, {**self._fact(status=status, expected=expected, bound=bound), "top_key": max(top, bound)}, more={"staging": keyed})
 
     def stage_replay(self, source_execution: str) -> None:
         """Copies the open errors of another execution, as of one version of the store."""
         errors = self.store.read("errors", schema.ERRORS)
-        rows = settled(replay.snapshot(errors, self.store.read("staging", schema.STAGING), source_execution, self.id))
+        rows = settled(replay.snapshot(errors, self.store.read("staging", schema.STAGING), source_execution, self.id, settled))
         if not rows.head(1):
             raise ValueError("the source execution has no open errors")
-        self.store.commit({"errors": settled(replay.counted(errors, rows))})
-        self.stage_rows(rows, "PREPARING")
+        self._stage(rows, "PREPARING", {"errors": replay.counted(errors, rows)})  # one commit: an error is counted once, or not at all
 
     def own(self) -> DataFrame:
         facts = self.state()
@@ -123,25 +146,28 @@ class Run:
         found = staging.dense_sequence(found, ["staging_key"], "error_key", top, settled).withColumns({"message": F.lit("same time, different content"), "created_at": F.current_timestamp(), "resolved_at": F.lit(None).cast("timestamp")})
         cast = lambda df, shape: df.select([F.col(f.name).cast(f.dataType) for f in shape])
         self.store.commit(
-            {"target": cast(new_target, schema.TARGET), "errors": had.unionByName(cast(found, schema.ERRORS)), "chunks": self.store.read("chunks", schema.CHUNKS).unionByName(cast(chunks, schema.CHUNKS))},
+            {"target": cast(new_target, schema.TARGET)},
             self._fact(status=moved("SYNCING", "VERIFYING")),
+            more={"errors": cast(found, schema.ERRORS), "chunks": cast(chunks, schema.CHUNKS)},
         )
 
     def verify(self) -> dict:
         """The verdict; a clean incremental run moves the mark, a completed replay resolves its sources."""
         facts = self.state()
-        if facts["status"] != "VERIFYING":
-            return facts.get("verdict", {})
+        if facts.get("verdict"):
+            return facts["verdict"]
+        if facts.get("status") != "VERIFYING" or facts.get("expected") is None or facts.get("bound") is None:
+            raise ValueError(f"a run that is {facts.get('status')} can't be verified")
         spark, mine = self.store.spark, F.col("execution_id") == self.id
         errors = self.store.read("errors", schema.ERRORS)
         replayed = self.request.mode == "REPLAY_ERRORS"
         expected = spark.createDataFrame([(self.id, facts["expected"])], "execution_id string, expected_count bigint")
-        row = verify.verdicts(self.own(), self.store.read("chunks", schema.CHUNKS).where(mine), errors.where(mine), self.store.read("target", schema.TARGET), expected, replayed).first()
+        row = verify.verdicts(self.own(), self.store.read("chunks", schema.CHUNKS).where(mine), errors.where(mine), self.store.read("target", schema.TARGET), expected, replayed, settled).first()
         verdict, tables, extra = row.asDict(), {}, {}
         if replayed and row["status"] == "COMPLETED":
             tables["errors"] = settled(replay.resolved(errors, self.own(), True, F.current_timestamp()))
         if self.request.mode == "INCREMENTAL":
-            source, until = self.request.identity.get("source", "default"), self.request.identity["until"]
+            source, until = self.request.identity.get("source", "default"), facts["until"]
             mark = self.store.manifest()["facts"].get(f"mark:{source}")
             lit = lambda x: F.lit(x).cast("timestamp")
             if spark.range(1).select(may_advance(F.lit("INCREMENTAL"), F.lit(row["status"] != "FAILED"), F.lit(row["conflicts"]), lit(mark), lit(until))).first()[0]:
@@ -154,8 +180,8 @@ class Run:
         return EXIT[self.verify()["status"]]
 
 
-def run(store: Store, request: Request, collected: tuple[DataFrame, list[str]] | None = None, rows: DataFrame | None = None, chunk_size: int = schema.CHUNK_SIZE) -> int:
-    """A whole run; the exit code. collected: records and their order; rows: staged rows made otherwise (BENCHMARK)."""
+def run(store: Store, request: Request, collected: tuple[DataFrame, list[str]] | None = None, rows: DataFrame | None = None, chunk_size: int = schema.CHUNK_SIZE, pages: DataFrame | None = None) -> int:
+    """A whole run; the exit code. collected: records and their order; rows: staged rows made otherwise (BENCHMARK); pages: a log of them."""
     job = Run(store, request, chunk_size)
     if job.begin() == "ALREADY_COMPLETED":
         return EXIT["ALREADY_COMPLETED"]
@@ -165,5 +191,7 @@ def run(store: Store, request: Request, collected: tuple[DataFrame, list[str]] |
         elif rows is not None:
             job.stage_rows(rows, "COLLECTING")
         else:
+            if pages is not None:
+                job.evidence(pages)
             job.stage_items(*collected)
     return job.finish()

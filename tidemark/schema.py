@@ -29,7 +29,7 @@ ERRORS = struct("error_key bigint, execution_id string, staging_key bigint, erro
 CHUNKS = struct(
     "execution_id string, chunk_sequence bigint, first_staging_key bigint, last_staging_key bigint, inserted_count bigint, superseded_count bigint, no_op_count bigint, conflict_count bigint, index_advanced_count bigint, updated_count bigint, validation_error_count bigint"
 )
-#: Longest value that a column may hold.
+# The longest value that a column may hold, the outcomes of a row, and the code of a conflict.
 LIMITS = {"doi": 255, "publisher": 512, "work_type": 100, "url": 2048}
 CANONICAL_COLUMNS = [part.split()[0] for part in CANONICAL.split(", ")]
 

@@ -12,7 +12,7 @@ import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from email.utils import parsedate_to_datetime
 from pathlib import Path
 
@@ -39,13 +39,22 @@ class CollectError(Exception):
 
 @dataclass
 class Window:
-    """Half-open range, its most items (None: all), and rows that are stored already."""
+    """Half-open range, its most items (None: all), how many rows are stored already from its beginning, and ranges of later ones.
+
+    stored holds pairs (first, last) of places, from 1, beyond the frontier; a page that brings only such rows is idle.
+    """
 
     window_id: int
     start: str
     end: str
     max_items: int | None = None
     frontier: int = 0
+    stored: list[tuple[int, int]] = field(default_factory=list)
+
+    def new_rows(self, before: int, after: int) -> int:
+        """How many of the places after `before` up to `after` aren't stored."""
+        first = max(before, self.frontier) + 1
+        return max(0, after - first + 1) - sum(max(0, min(b, after) - max(a, first) + 1) for a, b in self.stored)
 
 
 def retry_after(header: str | None, now: float) -> float | None:
@@ -74,7 +83,7 @@ class Pacer:
     """Keeps a least gap between calls, or interval / limit where the source names them."""
 
     def __init__(self, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep, gap: float = LEAST_GAP):
-        self.clock, self.sleep, self.gap, self.next = clock, sleep, gap, float("-inf")
+        self.clock, self.sleep, self.gap, self.least, self.next = clock, sleep, gap, gap, float("-inf")
 
     def wait(self) -> None:
         if (left := self.next - self.clock()) > 0:
@@ -83,7 +92,7 @@ class Pacer:
 
     def told(self, limit: int | None, interval: float | None) -> None:
         if limit and interval:
-            self.gap = max(LEAST_GAP, interval / limit)
+            self.gap = max(self.least, interval / limit)
 
 
 def valid(page: dict) -> bool:
@@ -127,7 +136,7 @@ def crawl(fetch: Callable[[Window, str, int], dict], window: Window, size: int =
         advanced += 1
         accepted = len(items) if window.max_items is None else min(len(items), window.max_items - taken)
         taken += accepted
-        idle = idle + 1 if taken > window.frontier and accepted == 0 else 0
+        idle = idle + 1 if taken > window.frontier and window.new_rows(taken - accepted, taken) == 0 else 0
         if idle >= IDLE:
             raise CollectError("pages without new rows")
         yield number, accepted, page
@@ -152,8 +161,9 @@ class FolderFetch:
 class HttpFetch:
     """Pages from an HTTP API with cursor and rows parameters; filters go in the request."""
 
-    def __init__(self, base: str, field: str = "index-date"):
-        self.base, self.field, self.pacer = base, field, Pacer()
+    def __init__(self, base: str, field: str = "index-date", readers: int = 1):
+        """readers: how many tasks may ask at the same time; each waits so much longer, so that together they keep the pace."""
+        self.base, self.field, self.readers, self.pacer = base, field, readers, Pacer(gap=LEAST_GAP * readers)
 
     def url(self, window: Window, cursor: str, rows: int) -> str:
         query = {"filter": f"from-{self.field}:{window.start},until-{self.field}:{window.end}", "cursor": cursor, "rows": rows}
@@ -164,7 +174,7 @@ class HttpFetch:
         try:
             with urllib.request.urlopen(self.url(window, cursor, rows), timeout=60) as answer:
                 limit, interval = answer.headers.get("X-Rate-Limit-Limit"), answer.headers.get("X-Rate-Limit-Interval")
-                self.pacer.told(int(limit) if limit and limit.isdigit() else None, float(interval.rstrip("s")) if interval and interval.endswith("s") and interval[:-1].isdigit() else None)
+                self.pacer.told(int(limit) if limit and limit.isdigit() else None, self.readers * float(interval.rstrip("s")) if interval and interval.endswith("s") and interval[:-1].isdigit() else None)
                 return json.loads(answer.read())
         except urllib.error.HTTPError as error:
             if error.code in (404, 410):
@@ -193,7 +203,7 @@ class _Reader(DataSourceReader):
         return [_Part(w) for w in self.windows]
 
     def read(self, part: _Part):
-        fetch = FolderFetch(self.options["folder"]) if "folder" in self.options else HttpFetch(self.options["url"], self.options.get("field", "index-date"))
+        fetch = FolderFetch(self.options["folder"]) if "folder" in self.options else HttpFetch(self.options["url"], self.options.get("field", "index-date"), len(self.windows))
         for number, accepted, page in crawl(fetch, part.window, int(self.options.get("rows", PAGE_SIZE)), int(self.options.get("cap", PAGE_CAP))):
             yield part.window.window_id, number, accepted, json.dumps(page, ensure_ascii=False)
 
@@ -224,6 +234,27 @@ def page_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE).option("multiLine", True).json(path)
 
 
+def numbered_files(spark: SparkSession, path: str) -> DataFrame:
+    """Page files of one window as pages(window_id, page_no, accepted, page), by the last number in their names.
+
+    A file that isn't a page, by its status, items or total, fails the reading; so does a name without a number.
+    """
+    read = page_files(spark, path).withColumn("page_no", F.nullif(F.regexp_extract(F.input_file_name(), r"(\d+)\D*$", 1), F.lit("")).cast("bigint"))
+    good = (F.col("status") == "ok") & F.col("message.items").isNotNull() & (F.coalesce("message.total-results", F.lit(0)) >= 0) & F.col("page_no").isNotNull()
+    page = F.struct(*[f.name for f in PAGE])
+    return read.where(F.assert_true(F.coalesce(good, F.lit(False)), F.concat(F.lit("not a page: "), F.input_file_name())).isNull()).select(F.lit(0).cast("bigint").alias("window_id"), "page_no", F.size("message.items").cast("bigint").alias("accepted"), page.alias("page"))
+
+
+def page_log(paged: DataFrame) -> DataFrame:
+    """window_id, page_no, items, new_rows and total_results of pages."""
+    return paged.select("window_id", "page_no", F.col("accepted").alias("items"), F.col("accepted").alias("new_rows"), F.coalesce("page.message.total-results", F.lit(0)).alias("total_results"))
+
+
+def planned(plan: list[tuple[str, str]], limit: int | None = None) -> list[Window]:
+    """Windows of planned ranges, each of which may read up to the run's limit; see collect.limited for the run's own."""
+    return [Window(k, start, end, limit) for k, (start, end) in enumerate(plan)]
+
+
 def items(paged: DataFrame) -> DataFrame:
     """One row for each accepted record, with its window, page and place."""
     out = paged.select("window_id", "page_no", "accepted", F.posexplode("page.message.items").alias("position", "item"))

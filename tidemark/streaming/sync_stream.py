@@ -29,12 +29,9 @@ def apply_batch(store: Store, batch: DataFrame, batch_id: int, stream: str = "st
     outcomes = sync.row_outcomes(decided, rows)
     errors = sync.conflict_errors(outcomes).withColumns({"execution_id": F.lit(stream), "error_key": F.col("staging_key"), "message": F.lit(None).cast("string"), "created_at": F.current_timestamp(), "resolved_at": F.lit(None).cast("timestamp")})
     store.commit(
-        {
-            "target": cast(sync.upserted(target, rows, decided, columns, F.current_timestamp()), schema.TARGET),
-            "chunks": store.read("chunks", schema.CHUNKS).unionByName(cast(chunks, schema.CHUNKS)),
-            "errors": store.read("errors", schema.ERRORS).unionByName(cast(errors, schema.ERRORS)),
-        },
+        {"target": cast(sync.upserted(target, rows, decided, columns, F.current_timestamp()), schema.TARGET)},
         {f"batch:{stream}": batch_id},
+        more={"chunks": cast(chunks, schema.CHUNKS), "errors": cast(errors, schema.ERRORS)},
     )
 
 
