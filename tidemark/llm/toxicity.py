@@ -8,7 +8,7 @@ others, which meet no example, only lengthen a text's vector and are joined to i
 Examples are laid out in blocks of like vectors. Their rare words are postings; their COMMON most frequent ones are a dense
 matrix, with every block's largest weight: where the bounds leave few blocks, only these are looked into. Both make
 candidates alone, whose cosines are computed again, so the k nearest are exact. Each neighbour votes with a weight that falls
-with its distance; a logistic curve fitted to the examples' own leave-one-out votes turns votes into probabilities.
+with its distance; a logistic curve fitted to the examples' own leave-one-out votes, found in Spark tasks, turns votes into probabilities.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sums import fold, labelled
-from .text import SPACE, U, documents, hash_spans, settled, slices, spans, utf8
+from .text import CHUNK, SPACE, U, documents, hash_spans, settled, slices, spans, trim, utf8
 
 #: Labelled rows that are used at most. Words in one of EACH documents are broadcast; words that a task counts before it gives them on.
 EXAMPLES, EACH, HELD_WORDS = 20_000, 1000, 1 << 21
@@ -43,24 +43,19 @@ def terms(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hash_spans(raw, starts, ends, fold=True), first
 
 
-def distinct(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Row, hash and number of occurrences of each of a row's terms, in the order of rows and hashes; and the number of rows."""
+def distinct(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All terms' hashes, ascending; and row, term's number and number of occurrences of each of a row's terms, in that order."""
     hashes, first = terms(raw, rows)
-    n = len(first) - 1
-    row = np.repeat(np.arange(n), np.diff(first))
-    order = np.lexsort((hashes, row))
-    h, r = hashes[order], row[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-    at = np.flatnonzero(new)
-    return r[at], h[at], np.diff(np.append(at, len(h))), n
+    every, back = np.unique(hashes, return_inverse=True)
+    pairs, n = np.unique(np.repeat(np.arange(len(first) - 1) * max(1, len(every)), np.diff(first)) + back, return_counts=True)
+    row, term = np.divmod(pairs, max(1, len(every)))
+    return every, row, term, n
 
 
 def _examples_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
-        row, h, _, _ = distinct(*utf8(b.column("text")))
+        keys, row, back, _ = distinct(*utf8(b.column("text")))
         label = b.column("label").to_numpy() == 1
-        keys, back = np.unique(h, return_inverse=True)
         yield pa.RecordBatch.from_pydict({"term": keys.view(np.int64), "with_1": np.bincount(back, label[row], len(keys)).astype(np.int64), "n": np.bincount(back, minlength=len(keys)).astype(np.int64)})
 
 
@@ -72,7 +67,8 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pydict({"term": keys.view(np.int64), "df": n})
 
     for b in slices(batches):
-        new, more = np.unique(distinct(*utf8(b.column("text")))[1], return_counts=True)
+        new, _, term, _ = distinct(*utf8(b.column("text")))
+        more = np.bincount(term, minlength=len(new))
         every, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
         keys, n = every, np.bincount(back, np.concatenate([n, more]), len(every)).astype(np.int64)
         if len(keys) > HELD_WORDS:
@@ -91,18 +87,18 @@ def evidence(a: np.ndarray, n: np.ndarray, rate: float) -> np.ndarray:
 
 def sparse(raw: np.ndarray, rows: np.ndarray, known: np.ndarray, weigh: np.ndarray) -> list[tuple]:
     """Each row's known terms and their weights, (1 + log tf) * weigh, at unit length; that length; and hashes and tf of its other terms."""
-    row, h, tf, n = distinct(raw, rows)
-    at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
-    hit = known[at] == h if len(known) else np.zeros(len(h), bool)
-    term, weight = at[hit], (1 + np.log(tf[hit])) * weigh[at[hit]]
-    other, other_tf = h[~hit].view(np.int64), tf[~hit]
-    cut, rest = np.searchsorted(row[hit], np.arange(n + 1)).tolist(), np.searchsorted(row[~hit], np.arange(n + 1)).tolist()
-    out = []
-    for k in range(n):
-        w = weight[cut[k] : cut[k + 1]]
-        length = float(np.sqrt((w * w).sum()))
-        out.append((term[cut[k] : cut[k + 1]], w / max(1e-12, length), length, other[rest[k] : rest[k + 1]], other_tf[rest[k] : rest[k + 1]]))
-    return out
+    every, row, term, tf = distinct(raw, rows)
+    n = len(rows) - 1
+    place = np.minimum(np.searchsorted(known, every), max(0, len(known) - 1))
+    met = known[place] == every if len(known) else np.zeros(len(every), bool)
+    hit = met[term]
+    at, other, other_tf = place[term[hit]], every.view(np.int64)[term[~hit]], tf[~hit]
+    weight = (1 + np.log(tf[hit])) * weigh[at]
+    cut, rest = np.searchsorted(row[hit], np.arange(n + 1)), np.searchsorted(row[~hit], np.arange(n + 1)).tolist()
+    length = np.sqrt(np.add.reduceat(np.append(weight * weight, 0.0), cut[:-1]) * (np.diff(cut) > 0))
+    weight /= np.repeat(np.maximum(length, 1e-12), np.diff(cut))
+    cut = cut.tolist()
+    return [(at[cut[k] : cut[k + 1]], weight[cut[k] : cut[k + 1]], float(length[k]), other[rest[k] : rest[k + 1]], other_tf[rest[k] : rest[k + 1]]) for k in range(n)]
 
 
 def _flat(start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -111,30 +107,59 @@ def _flat(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Examples by block: postings of rare terms, a matrix of common ones, and every block's largest weights."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, terms: int, block: int = BLOCK):
-        keys = sorted(range(len(vectors)), key=lambda k: (*[int(t) for t in vectors[k][0][np.argsort(-vectors[k][1], kind="stable")][:3]], int(ids[k])))
-        self.labels, self.ids, self.block, self.terms = labels[keys], ids[keys], block, terms
-        self.blocks = -(-len(vectors) // block)
-        self.first = np.concatenate([[0], np.cumsum([len(vectors[k][0]) for k in keys], dtype=np.int64)])
-        self.term, self.weight = np.empty(self.first[-1], np.int32), np.empty(self.first[-1])
-        for j, k in enumerate(keys):
-            self.term[self.first[j] : self.first[j + 1]], self.weight[self.first[j] : self.first[j + 1]] = vectors[k][:2]
-        common = np.argsort(-np.bincount(self.term, minlength=terms), kind="stable")[:COMMON]
-        self.column = np.full(terms, -1, np.int32)
+    """Examples by block: postings of rare terms, a matrix of common ones, and every block's largest weights.
+
+    Built of vectors of n terms each, one after the other; vectors and postings have less than 2**31 entries together.
+    """
+
+    def __init__(self, n: np.ndarray, term: np.ndarray, tf: np.ndarray, weigh: np.ndarray, labels: np.ndarray, ids: np.ndarray, block: int = BLOCK):
+        self.block, self.blocks, self.weigh = block, -(-len(n) // block), weigh
+        self.logs = 1 + np.log(np.maximum(1, np.arange(int(tf.max(initial=0)) + 1)))
+        keys, norms = self._laid_out(n, term, tf, ids)
+        self.labels, self.ids = labels[keys], ids[keys]
+        moved = _flat((np.cumsum(n) - n)[keys], n[keys])
+        self.term, n = term[moved].astype(np.int32, copy=False), n[keys]
+        self.weight = self._raw(self.term, tf[moved])
+        self.weight /= np.repeat(norms[keys], n)
+        del moved
+        self.first = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+        owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        common = np.argsort(-np.bincount(self.term, minlength=len(weigh)), kind="stable")[:COMMON]
+        self.column = np.full(len(weigh), -1, np.int32)
         self.column[common] = np.arange(len(common))
         self.dense = np.zeros((self.blocks * block, len(common)), np.float32)
-        for j in range(len(keys)):
-            t, w = self.term[self.first[j] : self.first[j + 1]], self.weight[self.first[j] : self.first[j + 1]]
-            at = self.column[t]
-            self.dense[j, at[at >= 0]] = w[at >= 0]
+        column = self.column[self.term]
+        often = column >= 0
+        self.dense[owner[often], column[often]] = self.weight[often]
         self.most = self.dense.reshape(self.blocks, block, len(common)).max(1)
-        rare = np.flatnonzero(self.column[self.term] < 0)
-        rare = rare[np.argsort(self.term[rare], kind="stable")].astype(np.int32)
-        self.cut = np.searchsorted(self.term[rare], np.arange(terms + 1, dtype=np.int32)).astype(np.int32)
-        self.posted = self.weight[rare].astype(np.float32)
-        self.example = np.repeat(np.arange(len(keys), dtype=np.int32), np.diff(self.first))[rare]
+        rare = np.flatnonzero(~often).astype(np.int32)
+        del column, often
+        rare = rare[np.argsort(self.term[rare], kind="stable")]
+        self.cut = np.searchsorted(self.term[rare], np.arange(len(weigh) + 1, dtype=np.int32)).astype(np.int32)
+        self.posted = np.empty(len(rare), np.int64)  # example and weight, four bytes each
+        self.posted.view(np.int32)[::2], self.posted.view(np.float32)[1::2] = owner[rare], self.weight[rare]
+
+    def _raw(self, term: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        """Weights before they are brought to unit length."""
+        return self.logs[tf] * self.weigh[term]
+
+    def _laid_out(self, n: np.ndarray, term: np.ndarray, tf: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """An order in which like vectors, by their three heaviest terms, follow one another; and all vectors' lengths."""
+        if not len(n):
+            return np.zeros(0, np.int64), np.zeros(0)
+        left, first = self._raw(term, tf), np.cumsum(n) - n
+        norms = np.sqrt(np.add.reduceat(left * left, first))
+        lead, owner = np.zeros((3, len(n)), np.int64), np.repeat(np.arange(len(n), dtype=np.int32), n)
+        for k in range(3):
+            top = np.flatnonzero(left == np.repeat(np.maximum.reduceat(left, first), n))
+            top = top[np.unique(owner[top], return_index=True)[1]]
+            lead[k], left[top] = np.where(left[top] > 0, term[top], -1), 0
+        return np.lexsort((ids, *lead[::-1])), norms
+
+    def vector(self, place: int) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of the example at that place."""
+        a, b = self.first[place], self.first[place + 1]
+        return self.term[a:b], self.weight[a:b]
 
     def nearest(self, query: tuple[np.ndarray, np.ndarray], k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples (fewer if fewer have a term), nearest first, ties by id."""
@@ -155,14 +180,15 @@ class Index:
         for j, (term, weight, *_) in enumerate(queries):
             at = self.column[term]
             common[j, at[at >= 0]] = weight[at >= 0]
-            t = term[at < 0]
+            t, w = term[at < 0], weight[at < 0].astype(np.float32)
             n = self.cut[t + 1] - self.cut[t]
-            p = _flat(self.cut[t], n)
-            scores.append(np.bincount(self.example[p], np.repeat(weight[at < 0], n) * self.posted[p], size).astype(float))
+            found = self.posted.take(_flat(self.cut[t], n))
+            scores.append(np.bincount(found.view(np.int32)[::2], np.repeat(w, n) * found.view(np.float32)[1::2], size).astype(float, copy=False))
         bounds = common @ self.most.T
         full = []
         for j, s in enumerate(scores):
-            live = bounds[j] + s.reshape(self.blocks, self.block).max(1) >= max(self._least(s, k), 0) - SLACK
+            best = s.reshape(self.blocks, self.block).max(1)
+            live = bounds[j] + best >= self._least(best, k) - SLACK
             if live.mean() > 1 / 8:
                 full.append(j)
                 continue
@@ -170,63 +196,53 @@ class Index:
         if full:
             for j, more in zip(full, common[full] @ self.dense.T, strict=True):
                 scores[j] += more
-        weights = np.zeros(self.terms)
+        weights = np.zeros(len(self.weigh))
         return [self._exact(q, s, k, w, weights) for q, s, w in zip(queries, scores, without, strict=False)]
 
     @staticmethod
     def _least(scores: np.ndarray, k: int) -> float:
-        """The score of the k-th best, of one more in case one is left out."""
+        """The score of the k-th best, of one more in case one is left out; of blocks' best scores, a bound below it."""
         return float(np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]) if len(scores) > k + 1 else 0.0
 
     def _exact(self, query: tuple, scores: np.ndarray, k: int, without: int | None, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        least = self._least(scores, k) - SLACK
-        places = np.flatnonzero((scores >= least) & (scores > 0))
+        places = np.flatnonzero(scores > max(0.0, self._least(scores.reshape(self.blocks, self.block).max(1), k) - 2 * SLACK))
+        places = places[scores[places] >= self._least(scores[places], k) - SLACK]
         places = places[places != without] if without is not None else places
         weights[query[0]] = query[1]
-        n = self.first[places + 1] - self.first[places]
-        p = _flat(self.first[places], n)
-        found = np.round(np.bincount(np.repeat(np.arange(len(places)), n), weights[self.term[p]] * self.weight[p], len(places)).astype(float), 9)
+        parts = [slice(a, b) for a, b in zip(self.first[places].tolist(), self.first[places + 1].tolist(), strict=True)]
+        found = np.round(np.array([float(weights.take(self.term[p]) @ self.weight[p]) for p in parts]), 9)
         weights[query[0]] = 0
         best = np.lexsort((self.ids[places], -found))[:k]
         best = best[found[best] > 0]
         return places[best], found[best]
 
 
-class Votes:
-    """The index, and what turns its neighbours into a probability; sent as terms and their numbers, from which the index is made again."""
+class Examples:
+    """Known terms with their weights, and the examples; sent as terms and their numbers, from which each worker makes the index."""
 
     def __init__(self, known: np.ndarray, weigh: np.ndarray, held: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray):
-        self.known, self.weigh, self.labels, self.ids = known, weigh, labels, ids
-        self.n = np.array([len(t) for t, _ in held], np.int64)
-        self.term = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in held)])
+        self.known, self.weigh = known, weigh
+        n = np.array([len(t) for t, _ in held], np.int64)
         tf = np.concatenate([np.ones(1, np.int32), *(c for _, c in held)])
-        self.tf = tf[1:].astype(np.min_scalar_type(int(tf.max())))
-        empty = self.n == 0
-        self.rate = float(labels.mean()) if len(labels) else 0.5
-        self.none = float((labels[empty].sum() + self.rate) / (empty.sum() + 1)) if len(labels) else 0.5
-        self.slope, self.shift = 1.0, 0.0
-        self._index()
-        cut = self.index.first
-        own = [(self.index.term[a:b], self.index.weight[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        found = self.index.nearest_of(own, NEIGHBOURS, list(range(len(own))))
-        self._calibrate(np.array([self.odds(self.index.labels[places], cosines) for places, cosines in found]), self.index.labels)
-
-    def _index(self) -> None:
-        end = np.cumsum(self.n)
-        vectors = []
-        keep = np.flatnonzero(self.n)
-        for k in keep.tolist():
-            t = self.term[end[k] - self.n[k] : end[k]]
-            w = (1 + np.log(self.tf[end[k] - self.n[k] : end[k]].astype(float))) * self.weigh[t]
-            vectors.append((t, w / np.sqrt((w * w).sum())))
-        self.index = Index(vectors, self.labels[keep], self.ids[keep], len(self.known))
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "index"}
+        keep = np.flatnonzero(n)
+        self.held = n[keep], np.concatenate([np.zeros(0, np.int32), *(t for t, _ in held)]), tf[1:].astype(np.min_scalar_type(int(tf.max()))), labels[keep], ids[keep]
 
     def __setstate__(self, state: dict) -> None:
+        n, term, tf, labels, ids = state.pop("held")
         self.__dict__.update(state)
-        self._index()
+        self.index = Index(n, term, tf, self.weigh, labels, ids)
+        del n, term, tf
+        trim()
+
+
+class Votes:
+    """What turns neighbours into a probability."""
+
+    def __init__(self, labels: np.ndarray, empty: np.ndarray):
+        """labels of all examples, and which of them have no term."""
+        self.rate = float(labels.mean()) if len(labels) else 0.5
+        self.none = float((labels[empty].sum() + self.rate) / (empty.sum() + 1)) if len(labels) else 0.5
+        self.slope, self.shift = 1.0, 0.0
 
     def odds(self, labels: np.ndarray, cosines: np.ndarray) -> float:
         """Log odds of the neighbours' weighted votes, with one vote at the examples' own rate."""
@@ -234,7 +250,7 @@ class Votes:
         p = min(max((weights @ labels + self.rate) / (weights.sum() + 1), 1e-9), 1 - 1e-9)
         return float(np.log(p / (1 - p)))
 
-    def _calibrate(self, z: np.ndarray, y: np.ndarray) -> None:
+    def calibrate(self, z: np.ndarray, y: np.ndarray) -> None:
         """Newton steps on the logistic loss of slope and shift, with a weak pull to 1 and 0."""
         if len(z) < 10 or y.min() == y.max():
             return
@@ -256,8 +272,9 @@ def _held(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for b in slices(batches):
-            row, h, tf, n = distinct(*utf8(b.column("text")))
-            term, tf, cut = np.searchsorted(known, h).astype(np.int32), tf.astype(np.int32), np.searchsorted(row, np.arange(n + 1)).tolist()
+            every, row, term, tf = distinct(*utf8(b.column("text")))
+            n = b.num_rows
+            term, tf, cut = np.searchsorted(known, every)[term].astype(np.int32), tf.astype(np.int32), np.searchsorted(row, np.arange(n + 1)).tolist()
             parts = lambda x: pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in range(n)], pa.binary())
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "label": b.column("label"), "terms": parts(term), "tf": parts(tf)})
 
@@ -267,13 +284,31 @@ def _held(shared):
 NEAR = "row long, doc_id long, labels array<double>, neighbours array<long>, cosines array<double>, length double, other array<long>, tf array<long>"
 
 
+def _left_out(shared, votes: Votes):
+    """Over the ids of examples: the log odds that the others' votes give each, and its label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value.index
+        places = dict(zip(index.ids.tolist(), range(len(index.ids)), strict=True))
+        for b in batches:
+            own = [places[i] for i in b.column("doc_id").to_pylist() if i in places]
+            for k in range(0, len(own), BATCH):
+                part = own[k : k + BATCH]
+                found = index.nearest_of([index.vector(p) for p in part], NEIGHBOURS, part)
+                odds = [votes.odds(index.labels[at], cosines) for at, cosines in found]
+                yield pa.RecordBatch.from_pydict({"place": pa.array(part, pa.int64()), "odds": pa.array(odds, pa.float64()), "positive": pa.array(index.labels[part] == 1, pa.bool_())})
+        trim()
+
+    return run
+
+
 def _near(shared):
     """Neighbours by the known terms alone; a text's other terms change all its cosines by one factor, not their order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         index = model.index
-        for b in slices(batches):
+        for b in slices(batches, CHUNK // 2):
             v = sparse(*utf8(b.column("text")), model.known, model.weigh)
             found = index.nearest_of(v)
             lists = lambda x, kind: pa.array(x, pa.list_(kind))
@@ -285,16 +320,15 @@ def _near(shared):
     return run
 
 
-def _score(shared):
+def _score(votes: Votes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for b in batches:
             scores, near = [], []
             length, other = b.column("length").to_numpy(), b.column("other_sq").to_numpy()
             shrink = length / np.sqrt(np.maximum(length * length + other, 1e-24))
             for labels, cosines, by in zip(b.column("labels").to_pylist(), b.column("cosines").to_pylist(), shrink.tolist(), strict=True):
                 c = np.round(np.array(cosines, float) * by, 9)
-                scores.append(model.score(np.array(labels, float), c))
+                scores.append(votes.score(np.array(labels, float), c))
                 near.append(c)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores, pa.float64()), b.column("neighbours"), pa.array(near, pa.list_(pa.float64()))], ["doc_id", "score", "neighbours", "cosines"])
 
@@ -306,8 +340,8 @@ def counted(docs: DataFrame) -> tuple[DataFrame, int]:
     return settled(docs.mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))), docs.count()
 
 
-def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held: int = HELD, examples: int = EXAMPLES, words: tuple[DataFrame, int] | None = None, each: int = EACH) -> Votes:
-    """The index over at most `examples` labelled rows outside the held-out fold, one for each text. words: counted(docs)."""
+def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held: int = HELD, examples: int = EXAMPLES, words: tuple[DataFrame, int] | None = None, each: int = EACH) -> tuple:
+    """A broadcast of Examples, and Votes: the index over at most `examples` labelled rows outside the held-out fold, one for each text. words: counted(docs)."""
     docs = documents(docs)
     table, rows_n = words or counted(docs)
     share = docs.sparkSession.sparkContext.broadcast
@@ -321,12 +355,18 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int
     order = np.argsort(known.view(U))
     known, df, a, n = known[order].view(U), df[order], a[order], n[order]
     weigh = (np.log((rows_n + 1) / (df + 1)) + 1) * (1 + evidence(a, n, (positives or 0) / max(1, total)))
-    sent = settled(chosen.mapInArrow(_held(share(known)), "doc_id long, label int, terms binary, tf binary"))
+    sent = chosen.mapInArrow(_held(share(known)), "doc_id long, label int, terms binary, tf binary")
+    sent = settled(sent.groupBy("doc_id").agg(F.min(F.struct("terms", "tf", "label")).alias("e")).select("doc_id", "e.*"))
     del kept, df, a, n
-    rows = sorted(((r["doc_id"], r["terms"], r["tf"], r["label"] == 1) for r in sent.toLocalIterator()), key=lambda r: r[:3])  # a partition at a time
-    rows = [r for k, r in enumerate(rows) if not k or r[0] != rows[k - 1][0]]
+    rows = sorted(((r["doc_id"], r["terms"], r["tf"], r["label"] == 1) for r in sent.toLocalIterator()), key=lambda r: r[0])  # a partition at a time
     vectors = [(np.frombuffer(t, np.int32), np.frombuffer(c, np.int32)) for _, t, c, _ in rows]
-    return Votes(known, weigh, vectors, np.array([r[3] for r in rows], float), np.array([r[0] for r in rows], np.int64))
+    labels, ids = np.array([r[3] for r in rows], float), np.array([r[0] for r in rows], np.int64)
+    votes = Votes(labels, np.array([not len(t) for t, _ in vectors], bool))
+    shared = share(Examples(known, weigh, vectors, labels, ids))
+    del known, weigh, vectors, rows
+    left = sorted((r["place"], r["odds"], r["positive"]) for r in sent.select("doc_id").mapInArrow(_left_out(shared, votes), "place long, odds double, positive boolean").collect())
+    votes.calibrate(np.array([z for _, z, _ in left]), np.array([y for *_, y in left], float))
+    return shared, votes
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS, held: int = HELD, examples: int = EXAMPLES, each: int = EACH) -> DataFrame:
@@ -338,11 +378,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, f
     """
     docs = documents(docs)
     words = counted(docs)
-    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, "toxic", folds, held, examples, words, each))
-    near = settled(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_near(model), NEAR))
+    shared, votes = fitted(docs, labels, "toxic", folds, held, examples, words, each)
+    near = settled(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_near(shared), NEAR))
     pairs = near.select("row", F.explode(F.arrays_zip("other", "tf")).alias("p")).select("row", F.col("p.other").alias("term"), F.col("p.tf").alias("tf"))
     weight = (1 + F.log("tf")) * (F.log(F.lit(words[1] + 1) / (F.col("df") + 1)) + 1)
     lengths = pairs.join(words[0], "term").groupBy("row").agg(F.sum(weight * weight).alias("other_sq"))
     whole = near.drop("other", "tf").join(lengths, "row", "left").select("doc_id", "labels", "neighbours", "cosines", "length", F.coalesce("other_sq", F.lit(0.0)).alias("other_sq"))
-    scored = whole.mapInArrow(_score(model), "doc_id long, score double, neighbours array<long>, cosines array<double>")
+    scored = whole.mapInArrow(_score(votes), "doc_id long, score double, neighbours array<long>, cosines array<double>")
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "neighbours", "cosines")
