@@ -124,6 +124,49 @@ def test_secrets(spark):
     assert clean[0] is None and clean[5] == "é <random> 🙂 <random>" and clean[6] == texts[6]
 
 
+def test_secrets_of_the_whole_table_against_brute_force(spark):
+    def runs(text, signs, least, prefix=""):
+        k = 0
+        while k < len(text):
+            if text.startswith(prefix, k) and (prefix or text[k] in signs):
+                e = k + len(prefix)
+                while e < len(text) and text[e] in signs:
+                    e += 1
+                if e - k >= least:
+                    yield k, e
+                k = max(e, k + 1)
+            else:
+                k += 1
+
+    upper = {chr(x) for x in range(65, 91)} | set("0123456789")
+    assign = re.compile(r"""((?:[pP][aA][sS][sS](?:[wW][oO][rR][dD]|[wW][dD]))|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)""")
+    docs = load(spark, SMALL, "documents")
+    got = {r.doc_id: r for r in secrets.secret_spans(docs).collect()}
+    for d in docs.collect():
+        text = d.text or ""
+        found = [("assign", m.start(), m.end()) for m in assign.finditer(text) if m.end(2) - m.start(2) >= 8]
+        found += [("access", a, b) for a, b in runs(text, upper, 16, "AKIA")]
+        found += [("hex", a, b) for a, b in runs(text, set("0123456789abcdef"), 32)]
+        r = got[d.doc_id]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == kind for k, _, _ in found) for kind in ("assign", "access", "hex"))
+        found = [f"{k}:{a}:{b}" for k, a, b in sorted(found, key=lambda x: (x[1], ("assign", "access", "hex").index(x[0])))]
+        assert r.base_sha256 == hashlib.sha256(",".join(found).encode()).hexdigest() and not set(found) - set(r.spans.split(","))
+
+
+def test_random_strings_are_found_and_words_left_alone(spark):
+    r, coder = random.Random(2), secrets.encoding(tokens.vocabulary("byte_bpe_50k.tiktoken"))
+    letters = [chr(x) for x in [*range(65, 91), *range(97, 123)]]
+    digits = list("0123456789")
+    for signs, n, least in ((letters + digits, 32, 0.97), (letters + digits, 20, 0.9), (letters + digits, 14, 0.5), (letters, 32, 0.8)):
+        some = ["".join(r.choice(signs) for _ in range(n)) for _ in range(400)]
+        assert sum(bool(secrets.random_spans(f"of {x} and", coder)) for x in some) / 400 >= least
+    for text in ("x86_64-linux-gnu", "iPhone12ProMax", "internationalization", "550e8400-e29b-41d4-a716-446655440000", "d41d8cd98f00b204e9800998ecf8427e", "2026-11-28-release", "Donaudampfschifffahrtsgesellschaft"):
+        assert not secrets.random_spans(text, coder)
+    docs = load(spark, SMALL, "documents")
+    extra = secrets.secret_spans(docs).where("n_random > 0 and n_assign + n_access + n_hex = 0").count()
+    assert extra <= docs.count() / 1000
+
+
 def test_decontamination(spark):
     r = random.Random(3)
     item = [f"t{k}" for k in range(40)]
@@ -259,21 +302,20 @@ def test_toxicity_on_held_out_rows(spark):
 
 def test_nearest_examples_are_exact():
     r = np.random.default_rng(5)
-    vectors = []
-    for _ in range(300):
-        t = np.sort(r.choice(50, r.integers(1, 8), replace=False))
-        w = r.random(len(t)) + 0.1
-        vectors.append((t, w / np.sqrt((w * w).sum())))
-    ids = np.arange(300) * 3
-    index = toxicity.Index(vectors, r.integers(0, 2, 300).astype(float), ids, 50, block=16)
+    weigh, n = r.random(50) + 0.1, r.integers(1, 8, 300)
+    term = np.concatenate([np.sort(r.choice(50, k, replace=False)) for k in n]).astype(np.int32)
+    tf, ids = r.integers(1, 5, len(term)).astype(np.uint8), np.arange(300) * 3
+    index = toxicity.Index(n, term, tf, weigh, r.integers(0, 2, 300).astype(float), ids, block=16)
     dense = np.zeros((300, 50))
-    for k, (t, w) in enumerate(vectors):
-        dense[k, t] = w
-    for q in range(0, 300, 7):
+    dense[np.repeat(np.arange(300), n), term] = (1 + np.log(tf.astype(float))) * weigh[term]
+    dense /= np.sqrt((dense**2).sum(1, keepdims=True))
+    for place in range(0, 300, 7):
+        q = int(index.ids[place]) // 3
         scores = dense @ dense[q]
-        want = sorted((-round(float(s), 9), int(i)) for s, i in zip(scores, ids, strict=True) if s > 1e-12)[:15]
-        places, cosines = index.nearest(vectors[q], 15)
-        assert [(-c, int(index.ids[p])) for p, c in zip(places, cosines, strict=True)] == want
+        for without in (None, place):
+            want = sorted((-round(float(s), 9), int(i)) for s, i in zip(scores, ids, strict=True) if s > 1e-12 and (without is None or i != 3 * q))[:15]
+            places, cosines = index.nearest(index.vector(place), 15, without)
+            assert [(-c, int(index.ids[p])) for p, c in zip(places, cosines, strict=True)] == want
 
 
 @pytest.mark.parametrize("each", [1, 1000])

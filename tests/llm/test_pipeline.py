@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import quality, secrets, tokens
@@ -85,9 +86,40 @@ def test_every_stage(spark):
         assert at == len(ids)
 
 
+ODD = [(1, None), (None, ""), (None, None), (2, "word " * 500), (2, "word " * 500), (None, "nobody's own text of some more words here"), (3, "key A1b2C3d4E5f6G7h8I9j0K1l2M3 ends"), (4, "a b c d e f g"), (5, "long " * 30_000)]
+CLASHING = ["quality_score", "own_md5", "own_id", "n_rows", "text_md5", "node", "root", "item", "seed", "words", "score", "label"]
+
+
+def odd(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return df.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text"), **{c: F.lit("x") for c in CLASHING}})
+
+
 def test_run_over_odd_tables(spark, tmp_path):
-    for k, rows in enumerate(([], [(1, None), (None, ""), (2, "word " * 500), (2, "word " * 500)])):
-        spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/{k}/documents.parquet")
+    """Without labels no document is rejected; every stage takes what the one before kept."""
+    for k, rows in enumerate(([], ODD)):
+        odd(spark, rows).write.parquet(f"{tmp_path}/{k}/documents.parquet")
         spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/{k}/labels.parquet")
         spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/{k}/benchmark.parquet")
-        assert corpus_pipeline.run(spark, f"{tmp_path}/{k}").count() == 0  # without labels each score is a half
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{k}").collect()
+        assert len({(r.doc_id, r.doc_tokens) for r in got}) == (7 if rows else 0)  # one of the repeated rows goes, null and empty texts without an id are like
+
+
+def test_every_stage_takes_odd_rows(spark, tmp_path):
+    """With labels, clashing columns, repeated rows, rows without an id or a text: each stage keeps what it says and all columns."""
+    good = [(100 + k, f"Plain sentence number {k} about some {'river' if k % 2 else 'town'} and its people, written with care.") for k in range(40)]
+    bad = [(200 + k, f"{k} !!!! $$$ {k}{k} CLICK CLICK CLICK #### {k}") for k in range(40)]
+    docs = odd(spark, ODD + good + bad).cache()
+    spark.createDataFrame([(i, int(i < 200)) for i, _ in good + bad] + [(None, 1), (1, None)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(None, "a b c d e f g"), (7, None), (8, "")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages, before = dict(corpus_pipeline.STAGES), docs.count()
+    ids = lambda df: sorted(str(r.doc_id) for r in df.select("doc_id").collect())
+    kept = stages["quality"](spark, docs, f"{tmp_path}")
+    assert kept.columns == docs.columns and 0 < kept.count() < before
+    once = stages["near duplicates"](spark, docs, f"{tmp_path}")
+    assert once.columns == docs.columns and ids(once.where("doc_id < 100 or doc_id is null")) == ["1", "2", "3", "4", "5", "None", "None", "None"]
+    clean = stages["decontamination"](spark, docs, f"{tmp_path}")
+    assert clean.columns == docs.columns and ids(clean) == sorted(x for x in ids(docs) if x != "4")
+    shown = stages["secrets"](spark, docs, f"{tmp_path}")
+    assert shown.columns == docs.columns and shown.count() == before and shown.where("doc_id = 3").first().text == "key <random> ends"
+    assert stages["packing"](spark, docs, f"{tmp_path}").select("doc_id", "doc_tokens").distinct().count() >= before - 4

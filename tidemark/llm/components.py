@@ -20,7 +20,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         out = out.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = out.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return out.where("a <> b").distinct()
+    return out.where("a <> b")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     mark = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1000003)).first()
     seen = mark(now)
     while seen[0]:
-        now = settled(_stars(_stars(now, True), False))
+        now = settled(_stars(_stars(now, True), False).distinct())
         if (new := mark(now)) == seen:
             break
         seen = new

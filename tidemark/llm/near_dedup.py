@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .sums import SCHEMA as SUMS
 from .sums import blocks, summed, tasks_of
-from .text import U, documents, fresh, hash_spans, mix, randoms, settled, slices, spans, utf8, windows
+from .text import U, documents, fresh, hash_spans, mix, randoms, released, settled, slices, spans, utf8, windows
 
 #: Bands of coordinates. At similarity 0.8 a pair shares no band with probability (1 - 0.8**6)**40 < 1e-5, at 0.85 < 1e-8.
 BANDS, ROWS = 40, 6
@@ -197,25 +197,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     near = firsts.join(members.select("node").distinct(), "node").select("node", "digest", "doc_id", F.col("text_md5").alias("own_md5"))
     known = docs.withColumn("md5", F.unhex(F.md5("text")))  # rows without a doc_id are told apart by their texts
     texts = settled(near.join(known, (near.own_md5 == known.md5) & near.doc_id.eqNullSafe(known.doc_id)).select("node", "digest", "text"))
-    if texts.count() > near.count():  # repeated rows
+    if texts.count() > texts.select("node").distinct().count():  # repeated rows
         texts = settled(texts.dropDuplicates(["node"]))
 
     def links(pairs: DataFrame) -> DataFrame:
-        return settled(verify(pairs.where("hub <> node").distinct(), texts, shingle, percent))
+        return released(settled(verify(pairs.where("hub <> node").distinct(), texts, shingle, percent)))
 
-    def rooted(edges: DataFrame) -> DataFrame:
-        roots = settled(connected_components(edges))
+    def rooted(roots: DataFrame) -> DataFrame:
         return members.join(roots, "node", "left").select("key", "node", "hub", F.coalesce("root", "node").alias("root"))
 
     edges = links(members.where("hub <> node").groupBy("node").agg(F.min("hub").alias("hub")))
-    own = rooted(edges)
+    hop = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))  # enough to leave out most pairs that are joined
+    further = hop.select(F.col("node").alias("root"), F.col("root").alias("next"))
+    own = rooted(hop.join(further, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
     heads = own.where("node = hub").select("key", F.col("root").alias("hub_root"))
     edges = edges.unionByName(links(own.join(heads, "key").where("root <> hub_root").select("hub", "node")))
-    own = settled(rooted(edges))
+    own = released(settled(rooted(connected_components(edges))))
     mixed = own.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     unsure = own.join(mixed, "key").select("node", "root").distinct().join(texts, "node")
     edges = edges.unionByName(links(rare_pairs(settled(unsure), shingle, percent)))
-    roots = settled(connected_components(edges))
+    roots = released(settled(connected_components(edges)))
     named = classes.join(roots, "node", "left").select("digest", "least", "n", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("linked"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     shared = named.where("n > 1 or linked").join(smallest, "root").select("digest", "component_id")

@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .text import documents, slices, utf8
+from .text import documents, slices, trim, utf8
 from .tokens import encoder, vocabulary
 
 WINDOW = 2048
 #: Length classes to a window, pieces to a combination, ids that a block gathers, and the shortest piece cut off to fill a sequence.
-CLASSES, DEPTH, BLOCK, SLIVER = 64, 3, 6_000_000, 16
+CLASSES, DEPTH, BLOCK, SLIVER = 64, 3, 1_000_000, 16
 
 
 @lru_cache
@@ -137,8 +137,8 @@ def _pack(path: str, window: int, classes: int, depth: int):
     def block(held: list[tuple[pa.Array, np.ndarray, np.ndarray]], first: int) -> tuple[pa.RecordBatch, int]:
         ids, lengths = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
         sequences = plan(lengths, window, classes, depth)
-        data, base = memoryview(ids.astype("<u4").tobytes()), np.cumsum(lengths) - lengths
-        d, s, n = np.array([p for q in sequences for p in q], np.int64).T
+        data, base = memoryview(ids.astype("<u4", copy=False)).cast("B"), np.cumsum(lengths) - lengths
+        d, s, n = np.fromiter((x for q in sequences for p in q for x in p), np.int64).reshape(-1, 3).T
         sizes = [len(q) for q in sequences]
         ends = np.cumsum(n)
         number = np.repeat(np.arange(len(sizes)), sizes)
@@ -162,6 +162,8 @@ def _pack(path: str, window: int, classes: int, depth: int):
                 yield out
         if held:
             yield block(held, first)[0]
+        held.clear()
+        trim()
 
     return run
 

@@ -19,7 +19,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .sums import SCHEMA as SUMS
 from .sums import blocks, fold, labelled, summed, tasks_of
-from .text import U, documents, hash_spans, randoms, slices, spans, trim, utf8
+from .text import CHUNK, U, documents, hash_spans, randoms, slices, spans, trim, utf8
 
 #: Slots for words and for shapes, dimensions, and how many of an index vector's are not zero.
 WORDS, SHAPES, SIZE, SPARSE = 1 << 14, 1 << 9, 32, 3
@@ -71,7 +71,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(SPARSE):
             total[:] += np.bincount(slot * SIZE + PLACES[neighbour, k], SIGNS[neighbour, k], len(total)).astype(np.int64)
 
-    for b in slices(batches):
+    for b in slices(batches, CHUNK):
         words, shapes, first = slots(*utf8(b.column("text")))
         row = np.repeat(np.arange(len(first) - 1), np.diff(first))
         left, right = [], []
@@ -160,7 +160,7 @@ class Constant:
 
 def _features(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, CHUNK):
             x = pooled(*utf8(b.column("text")), shared.value)
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "label": b.column("label"), "x": pa.array([r.tobytes() for r in x], pa.binary())})
 
@@ -169,7 +169,7 @@ def _features(shared):
 
 def _score(v, model, place: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, CHUNK):
             x = pooled(*utf8(b.column("text")), v.value)
             yield pa.RecordBatch.from_arrays([*b.columns[:place], pa.array(model.value.probability(x), pa.float64()), *b.columns[place:]], [*b.schema.names[:place], name, *b.schema.names[place:]])
         trim()

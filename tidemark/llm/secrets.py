@@ -1,7 +1,8 @@
 """Secrets in texts: fixed patterns, and runs whose characters a public vocabulary can't merge into few tokens.
 
 Random strings cost a byte-pair vocabulary about one token for two characters, words far fewer. A candidate is a run of
-key characters that mixes letters and digits; runs that are digests or identifiers by their form are left out.
+key characters that mixes letters and digits (12 or more), or of letters alone (20 or more); runs that are digests or
+identifiers by their form are left out.
 """
 
 from __future__ import annotations
@@ -9,13 +10,12 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import sha256
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import documents, slices
+from .text import documents, kept, slices
 from .tokens import vocabulary
 
 KINDS = ("assign", "access", "hex", "random")
@@ -25,9 +25,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGNED = 8
 
-#: Runs that the token test looks at, and its limits: characters, and characters to a token.
-RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-RATIO = 2.2
+#: Runs that the token test looks at, and its limits in characters to a token: of runs of SURE characters or more that mix
+#: letters and digits, and of shorter ones and those of letters alone (SURE characters or more), where words are likelier.
+RUN, SURE = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}"), 20
+RATIO, TIGHT = 2.2, 1.9
 #: Digests (md5, sha-1, sha-2 in hexadecimal), UUIDs, numbers, and dashed or underscored names of words.
 KNOWN = re.compile(
     r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
@@ -37,14 +38,18 @@ KNOWN = re.compile(
 MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])", re.ASCII)
 
 
-@lru_cache
 def encoding(path: str):
-    import tiktoken
-    from public_tokenizers import PATTERN
+    """The worker's encoder of that file."""
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    def make():
+        import tiktoken
+        from public_tokenizers import PATTERN
+
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    return kept(f"vocabulary {path}", make)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -54,13 +59,15 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out + [(*m.span(), "hex") for m in HEX.finditer(text)]
 
 
-def random_spans(text: str, coder, ratio: float = RATIO) -> list[tuple[int, int, str]]:
+def random_spans(text: str, coder, ratio: float = RATIO, tight: float = TIGHT) -> list[tuple[int, int, str]]:
     """Runs of few characters to a token, known digests and identifiers left out."""
     out = []
     for m in RUN.finditer(text):
         run = m[0]
-        if MIXED.match(run) and not KNOWN.match(run) and len(run) < ratio * len(coder.encode_ordinary(run)):
-            out.append((*m.span(), "random"))
+        mixed = MIXED.match(run) is not None
+        if (mixed or len(run) >= SURE) and not KNOWN.match(run):
+            if len(run) < (ratio if mixed and len(run) >= SURE else min(ratio, tight)) * len(coder.encode_ordinary(run)):
+                out.append((*m.span(), "random"))
     return out
 
 
@@ -119,5 +126,8 @@ def _redact(path: str, ratio: float, mark: str):
 
 
 def redacted(docs: DataFrame, path: str | None = None, ratio: float = RATIO, mark: str = "<{kind}>") -> DataFrame:
-    """docs with each secret (overlapping ones as one) replaced by mark; all other columns and rows as they are."""
+    """docs with each secret (overlapping ones as one) replaced by mark; all other columns and rows as they are.
+
+    Null and empty texts stay as they are, texts of any length are read whole, and rows are looked at one by one.
+    """
     return docs.mapInArrow(_redact(path or vocabulary("byte_bpe_50k.tiktoken"), ratio, mark), docs.schema)

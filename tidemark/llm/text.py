@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -40,18 +41,28 @@ FOLDED = BYTES.copy()
 FOLDED[65:91] = BYTES[97:123]
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[np.ndarray] = []
+_kept: dict[str, object] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of STEP and of its inverse, modulo 2**64."""
-    size = max(CHUNK, 1 << int(n).bit_length())
-    if size not in _powers:
+    if not _powers or len(_powers[0]) < n:
+        size = max(CHUNK, 1 << int(n).bit_length())
         _powers.clear()
-        up, down = np.full(size, STEP, U), np.full(size, pow(STEP, -1, 1 << 64), U)
-        up[0] = down[0] = 1
-        _powers[size] = np.cumprod(up, dtype=U), np.cumprod(down, dtype=U)
-    return _powers[size]
+        for step in (STEP, pow(STEP, -1, 1 << 64)):
+            table = np.full(size, step, U)
+            table[0] = 1
+            _powers.append(np.cumprod(table, dtype=U, out=table))
+    return _powers[0][:n], _powers[1][:n]
+
+
+def kept(name: str, make):
+    """What make() gave under that name, kept for the worker's next tasks; a worker keeps one such thing at a time."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
 
 
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
@@ -116,6 +127,8 @@ def windows(words: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np
 
 def trim() -> None:
     """Gives freed memory back, so that a worker between two tasks holds little."""
+    if _powers and len(_powers[0]) > CHUNK:
+        _powers.clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another C library
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -169,6 +182,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def released(df: DataFrame) -> DataFrame:
+    """df, with shuffles and checkpoints that no plan holds any more dropped; Spark does so when the driver collects garbage, which may be long after."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which follows the size of the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -11,14 +11,13 @@ import os
 
 import numpy as np
 
-from .text import U, hash_spans, spans
+from .text import U, hash_spans, kept, spans
 
 #: The id that ends each document.
 END = 1
 #: Words that a worker keeps at most; beyond, it forgets them all and starts anew.
-KEPT_WORDS = 2_000_000
+KEPT_WORDS = 1 << 20
 LINE = 64
-_encoders: dict[str, WordEncoder] = {}
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -29,9 +28,7 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of that file."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return kept(f"tokenizer {path}", lambda: WordEncoder(path))
 
 
 class WordEncoder:
@@ -43,7 +40,7 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.at, self.n = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.at, self.n = np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.flat = np.array([END], np.uint32)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
@@ -54,7 +51,7 @@ class WordEncoder:
         places += np.repeat(after - [len(x) + 1 for x in lines], [len(e) for e in got])
         begins = np.cumsum([0, *(len(w) + 1 for w in words)])
         n = np.diff(np.searchsorted(places, begins))
-        at = len(self.flat) + np.cumsum(n) - n
+        at = (len(self.flat) + np.cumsum(n) - n).astype(np.int32)
         self.flat = np.concatenate([self.flat, np.fromiter((i for e in got for i in e.ids), np.uint32)])
         to = np.searchsorted(self.keys, keys)
         self.keys, self.at, self.n = np.insert(self.keys, to, keys), np.insert(self.at, to, at), np.insert(self.n, to, n)
@@ -75,7 +72,7 @@ class WordEncoder:
             found = np.searchsorted(self.keys, unique)
         at = np.insert(self.at[found][back], first[1:], 0)
         n = np.insert(self.n[found][back], first[1:], 1)
-        total = np.concatenate([[0], np.cumsum(n)])
+        total = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
         ids = self.flat[np.repeat(at - total[:-1], n) + np.arange(total[-1])]
         bounds = total[first + np.arange(len(first))]
         return ids, np.diff(bounds)
