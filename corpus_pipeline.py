@@ -12,12 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, near_dedup, packing, quality, secrets
-from tidemark.llm.text import fresh, load, shared_dir
+from tidemark.llm.text import fresh, load, released, shared_dir
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted to this stage's own input, doesn't reject."""
+    """Documents that the quality classifier, fitted to this stage's own input, doesn't reject.
+
+    Where the labels are too few to fit one to, or of one kind, none is rejected.
+    """
     v, model = quality.fitted(docs, load(spark, sf_dir, "labels"))
+    if isinstance(model, quality.Constant):
+        return docs
     score = fresh("quality_score", docs.columns)
     return quality.with_score(docs, v, model, score).where(F.col(score) >= quality.THRESHOLD).select(docs.columns)
 
@@ -54,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
+        docs = released(spark.read.parquet(f"{folder}/{k}"))
     return docs
