@@ -40,7 +40,9 @@ TABLE = 18
 
 
 def _slots(keys: np.ndarray) -> np.ndarray:
-    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE)).astype(np.int64)
+    if keys.dtype == np.uint32:
+        return (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - TABLE)
+    return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE)
 
 
 def repair(symbols: np.ndarray, last: np.ndarray, terminals: int, least: int = LEAST, spread: int = SPREAD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,15 +70,18 @@ def repair(symbols: np.ndarray, last: np.ndarray, terminals: int, least: int = L
         pairs = ordered[at[good[np.argsort(n[good], kind="stable")]]]  # the most frequent last
         table = np.zeros(1 << TABLE, np.int32)
         table[_slots(pairs)] = np.arange(1, len(pairs) + 1, dtype=np.int32)  # of two in one slot the more frequent stays
-        rank = table[_slots(keys)]
-        rank[(np.append(kind(0), pairs)[rank] != keys) | ~counted] = 0
-        taken = rank > 0
-        taken[1:] &= rank[1:] > rank[:-1]
-        taken[:-1] &= rank[:-1] > rank[1:]
-        used = np.bincount(rank[taken], minlength=len(pairs) + 1) >= least
-        at = np.flatnonzero(taken & used[rank])
+        met = table[_slots(keys)]
+        at = np.flatnonzero(met)
+        at = at[(pairs[met[at] - 1] == keys[at]) & counted[at]]
+        rank = np.zeros(len(keys) + 2, np.int32)  # with a place before the first and behind the last
+        rank[at + 1] = met[at]
+        own = rank[at + 1]
+        won = (own > rank[at]) & (own > rank[at + 2])
+        at, own = at[won], own[won]
+        used = np.bincount(own, minlength=len(pairs) + 1) >= least
+        at = at[used[own]]
         number = np.cumsum(used) - 1
-        s[at] = total + number[rank[at]].astype(np.uint32)
+        s[at] = total + number[rank[at + 1]].astype(np.uint32)
         last[at] = last[at + 1]
         stays = np.ones(len(s), bool)
         stays[at + 1] = False
