@@ -484,6 +484,37 @@ def test_language_model(spark):
     assert all(r.score < 0 for r in got)
 
 
+def test_scores_come_from_levels_and_beat_the_base_on_held_out_rows(spark):
+    docs = load(spark, SMALL, "documents")
+    got = {r.doc_id: r for r in lm.language_model_scores(docs, shards=5).collect()}
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    lists = {r.doc_id: [*words(r.text), None] for r in docs.collect()}
+    one, two, texts = Counter(), Counter(), 0
+    for i, t in lists.items():
+        if not held(i):
+            texts += 1
+            one.update(t)
+            two.update(zip([0, *t[:-1]], t, strict=True))
+    means = []
+    for counts in (one, two):
+        by_level = defaultdict(list)
+        for c in counts.values():
+            by_level[c.bit_length()].append(c)
+        means.append({k: sum(v) / len(v) for k, v in by_level.items()} | {0: 0.0})
+    below = sum(one.values()) + 0.5 * (len(one) + 1)
+    value = lambda k, counts, x: means[k][counts[x].bit_length()]
+    off = []
+    for i, t in lists.items():
+        total = 0.0
+        for a, b in zip([0, *t[:-1]], t, strict=True):
+            before = texts if a == 0 else value(0, one, a)
+            total += math.log10((min(value(1, two, (a, b)), before) + lm.PULL * (value(0, one, b) + 0.5) / below) / (before + lm.PULL))
+        off.append(abs(got[i].score - total) / len(t))
+    assert np.median(off) < 0.02 and np.mean(off) < 0.1  # a filter's answer is at times too high, never too low
+    rows = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
 def test_filter_levels_are_never_too_low_and_seldom_too_high():
     r = np.random.default_rng(1)
     keys = r.integers(1, 2**63, 20_000).astype(np.uint64)
