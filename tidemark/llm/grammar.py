@@ -52,40 +52,53 @@ def repair(symbols: np.ndarray, last: np.ndarray, terminals: int, least: int = L
     left with fewer than `least` uses isn't made, but the most frequent pair always is, so each pass goes on.
     """
     s, last, made = symbols.astype(np.uint32), last.copy(), [np.zeros((0, 2), np.uint32)]
-    total = terminals
-    while len(s) > 1:
+    total, live = terminals, ~last  # where a pair begins that may still occur `least` times
+    live[-1:] = False
+    while live.any():
+        where = np.flatnonzero(live)
         kind = np.uint32 if total <= 1 << 16 else np.uint64
-        keys, counted = s[:-1].astype(kind) * kind(total) + s[1:], ~last[:-1]
-        same = np.flatnonzero((s[:-1] == s[1:]) & counted)
+        left, right = s[where], s[where + 1]
+        keys, counted = left.astype(kind), np.ones(len(where), bool)
+        keys *= kind(total)
+        keys += right
+        same = np.flatnonzero(left == right)
         if len(same):  # in a run of one symbol every second pair counts
-            new = np.append(True, np.diff(same) > 1)
+            new = np.append(True, np.diff(where[same]) > 1)
             begin = np.maximum.accumulate(np.where(new, np.arange(len(same)), 0))
             counted[same[(np.arange(len(same)) - begin) % 2 == 1]] = False
-        ordered = np.sort(keys[counted])
-        at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+        ordered = np.sort(keys[counted] if len(same) else keys)
+        at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
         n = np.diff(at, append=len(ordered))
-        if not len(n) or n.max() < least:
+        if n.max() < least:
             break
         good = np.flatnonzero(n >= max(least, int(n.max()) // spread))
         pairs = ordered[at[good[np.argsort(n[good], kind="stable")]]]  # the most frequent last
         table = np.zeros(1 << TABLE, np.int32)
         table[_slots(pairs)] = np.arange(1, len(pairs) + 1, dtype=np.int32)  # of two in one slot the more frequent stays
-        met = table[_slots(keys)]
-        at = np.flatnonzero(met)
-        at = at[(pairs[met[at] - 1] == keys[at]) & counted[at]]
-        rank = np.zeros(len(keys) + 2, np.int32)  # with a place before the first and behind the last
-        rank[at + 1] = met[at]
-        own = rank[at + 1]
+        slots = _slots(keys)
+        met = table[slots]
+        again = np.zeros(1 << TABLE, bool)  # a pair that is rare now stays so: later pairs all hold a later symbol
+        again[_slots(ordered[at[n >= least]])] = True
+        live[where[~again[slots]]] = False
+        own = np.flatnonzero(met)
+        own = own[(pairs[met[own] - 1] == keys[own]) & counted[own]]
+        at, own = where[own], met[own]
+        rank = np.zeros(len(s) + 1, np.int32)  # with a place before the first
+        rank[at + 1] = own
         won = (own > rank[at]) & (own > rank[at + 2])
         at, own = at[won], own[won]
         used = np.bincount(own, minlength=len(pairs) + 1) >= least
-        at = at[used[own]]
+        at, own = at[used[own]], own[used[own]]
         number = np.cumsum(used) - 1
-        s[at] = total + number[rank[at + 1]].astype(np.uint32)
+        s[at] = total + number[own].astype(np.uint32)
         last[at] = last[at + 1]
+        before = at[at > 0] - 1
+        live[at], live[before] = ~last[at], ~last[before]
         stays = np.ones(len(s), bool)
         stays[at + 1] = False
-        s, last = s[stays], last[stays]
+        stays = np.flatnonzero(stays)
+        s, last, live = s[stays], last[stays], live[stays]
+        live[-1:] = False
         rules = pairs[used[1:]]
         made.append(np.stack([rules // kind(total), rules % kind(total)], 1).astype(np.uint32))
         total += len(rules)

@@ -1,7 +1,8 @@
 """Token ids of whole texts, from a public tokenizer whose units never cross white space.
 
 Such a tokenizer gives a text the ids of its white-space separated words, one after another. So a task encodes each
-distinct word once, with the tokenizers library, and looks all others up by their hash. New words are encoded as lines
+distinct word once, with the tokenizers library, and looks all others up by their hash, in a table that is half empty
+at least; of two words with one slot the later takes the next that is free. New words are encoded as lines
 of LINE words, and the ids dealt to the words by the offsets at which they begin.
 """
 
@@ -17,6 +18,7 @@ from .text import U, hash_spans, kept, spans
 END = 1
 #: Words that a worker keeps at most; beyond, it forgets them all and starts anew.
 KEPT_WORDS = 1 << 20
+SLOTS = 21
 LINE = 64
 
 
@@ -40,9 +42,32 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.at, self.n = np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.table = np.zeros(1 << SLOTS, np.int32)  # a word's number, 0 in a free slot
+        self.keys, self.at, self.n = np.zeros(1, U), np.zeros(1, np.int32), np.zeros(1, np.int32)
         self.flat = np.array([END], np.uint32)
 
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Each word's number, 0 for those that aren't kept."""
+        slot = (keys >> U(64 - SLOTS)).astype(np.int32)
+        found = self.table[slot]
+        todo = np.flatnonzero((self.keys[found] != keys) & (found > 0))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) % (1 << SLOTS)
+            found[todo] = self.table[slot[todo]]
+            todo = todo[(self.keys[found[todo]] != keys[todo]) & (found[todo] > 0)]
+        return found
+
+    def _keep(self, keys: np.ndarray) -> None:
+        """Numbers for words that aren't kept, each of them once."""
+        slot, number = (keys >> U(64 - SLOTS)).astype(np.int32), np.arange(len(self.keys), len(self.keys) + len(keys), dtype=np.int32)
+        todo = np.arange(len(keys))
+        while len(todo):
+            free = todo[self.table[slot[todo]] == 0]
+            self.table[slot[free]] = number[free]
+            todo = todo[self.table[slot[todo]] != number[todo]]
+            slot[todo] = (slot[todo] + 1) % (1 << SLOTS)
+        self.keys = np.concatenate([self.keys, keys])
+
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
         lines = [" ".join(words[k : k + LINE]) for k in range(0, len(words), LINE)]
         got = self.tokenizer.encode_batch(lines, add_special_tokens=False)
@@ -53,25 +78,26 @@ class WordEncoder:
         n = np.diff(np.searchsorted(places, begins))
         at = (len(self.flat) + np.cumsum(n) - n).astype(np.int32)
         self.flat = np.concatenate([self.flat, np.fromiter((i for e in got for i in e.ids), np.uint32)])
-        to = np.searchsorted(self.keys, keys)
-        self.keys, self.at, self.n = np.insert(self.keys, to, keys), np.insert(self.at, to, at), np.insert(self.n, to, n)
+        self._keep(keys)
+        self.at, self.n = np.concatenate([self.at, at]), np.concatenate([self.n, n.astype(np.int32)])
 
     def encode(self, raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, END after each row's; and each row's number of ids, END included."""
         starts, ends, first = spans(raw, rows)
-        unique, which, back = np.unique(hash_spans(raw, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(unique) > KEPT_WORDS:
-            self._forget()
-        found = np.searchsorted(self.keys, unique)
-        new = np.ones(len(unique), bool)
-        inside = found < len(self.keys)
-        new[inside] = self.keys[found[inside]] != unique[inside]
-        if new.any():
-            data = raw.tobytes()
-            self._learn(unique[new], [data[starts[k] : ends[k]].decode("utf-8") for k in which[new]])
-            found = np.searchsorted(self.keys, unique)
-        at = np.insert(self.at[found][back], first[1:], 0)
-        n = np.insert(self.n[found][back], first[1:], 1)
+        hashes = hash_spans(raw, starts, ends)
+        found = self._find(hashes)
+        new = np.flatnonzero(found == 0)
+        if len(new):
+            unique, which = np.unique(hashes[new], return_index=True)
+            if len(self.keys) + len(unique) > KEPT_WORDS:
+                self._forget()
+                new = np.arange(len(hashes))
+                unique, which = np.unique(hashes, return_index=True)
+            data, which = raw.tobytes(), new[which]
+            self._learn(unique, [data[a:b].decode("utf-8") for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)])
+            found[new] = self._find(hashes[new])
+        at = np.insert(self.at[found], first[1:], 0)
+        n = np.insert(self.n[found], first[1:], 1)
         total = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
         ids = self.flat[np.repeat(at - total[:-1], n) + np.arange(total[-1])]
         bounds = total[first + np.arange(len(first))]
