@@ -42,19 +42,21 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.table = np.zeros(1 << SLOTS, np.int32)  # a word's number, 0 in a free slot
-        self.keys, self.at, self.n = np.zeros(1, U), np.zeros(1, np.int32), np.zeros(1, np.int32)
+        self.table = np.full(1 << SLOTS, -1, np.int32)  # a word's number, -1 in a free slot
+        self.keys, self.at, self.n = np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.flat = np.array([END], np.uint32)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
-        """Each word's number, 0 for those that aren't kept."""
+        """Each word's number, -1 for those that aren't kept."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
         slot = (keys >> U(64 - SLOTS)).astype(np.int32)
         found = self.table[slot]
-        todo = np.flatnonzero((self.keys[found] != keys) & (found > 0))
+        todo = np.flatnonzero((found >= 0) & (self.keys[found] != keys))
         while len(todo):
             slot[todo] = (slot[todo] + 1) % (1 << SLOTS)
             found[todo] = self.table[slot[todo]]
-            todo = todo[(self.keys[found[todo]] != keys[todo]) & (found[todo] > 0)]
+            todo = todo[(found[todo] >= 0) & (self.keys[found[todo]] != keys[todo])]
         return found
 
     def _keep(self, keys: np.ndarray) -> None:
@@ -62,7 +64,7 @@ class WordEncoder:
         slot, number = (keys >> U(64 - SLOTS)).astype(np.int32), np.arange(len(self.keys), len(self.keys) + len(keys), dtype=np.int32)
         todo = np.arange(len(keys))
         while len(todo):
-            free = todo[self.table[slot[todo]] == 0]
+            free = todo[self.table[slot[todo]] < 0]
             self.table[slot[free]] = number[free]
             todo = todo[self.table[slot[todo]] != number[todo]]
             slot[todo] = (slot[todo] + 1) % (1 << SLOTS)
@@ -86,7 +88,7 @@ class WordEncoder:
         starts, ends, first = spans(raw, rows)
         hashes = hash_spans(raw, starts, ends)
         found = self._find(hashes)
-        new = np.flatnonzero(found == 0)
+        new = np.flatnonzero(found < 0)
         if len(new):
             unique, which = np.unique(hashes[new], return_index=True)
             if len(self.keys) + len(unique) > KEPT_WORDS:
