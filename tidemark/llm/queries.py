@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, grammar, lm, media, near_dedup, packing, quality, secrets, substring_dedup, toxicity
+from . import alignment, decontaminate, grammar, lm, media, near_dedup, packing, pieces, prefix_trie, quality, secrets, substring_dedup, toxicity
 from .text import load
 
 
@@ -48,6 +49,21 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.language_model_scores(load(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encoded(load(spark, sf_dir, "documents"), decode=True)
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(load(spark, sf_dir, "conversations"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return alignment.aligned(load(spark, sf_dir, "documents")).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", groups)
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -59,6 +75,9 @@ QUERIES = {
     "op8_media": op8_media,
     "op9_toxicity": op9_toxicity,
     "op10_lm_scores": op10_lm_scores,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {}
