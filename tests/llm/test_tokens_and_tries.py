@@ -256,6 +256,7 @@ def test_scan_carries_on_anywhere():
     def scan(state, x, y):
         got = prefix_trie.scanned(state, conv[x:y], base[x:y], h[x:y], hashes[x:y])
         got["head"][np.arange(4) > got["b"][:, None]] = 0  # sums beyond the base's turns taken over mean nothing
+        got["fp"][got["depth"] == 0] = got["before"][got["depth"] == 0] = 0  # nor do those of turns that aren't kept
         return got
 
     whole = scan(prefix_trie.Carried(), 0, 400)
