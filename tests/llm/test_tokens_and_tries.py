@@ -287,7 +287,18 @@ def test_trie_of_odd_tables(spark):
 
 
 def test_op12_on_whole_table(spark):
-    rows = duckdb.sql(f"select conv_id, turn, role, text from '{SF}/conversations.parquet'").fetchall()
+    duck = duckdb.connect()
+    duck.execute(f"create view conversations as select * from '{SF}/conversations.parquet'")
     got = queries.QUERIES["op12_prefix_trie"](spark, SF)
     assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
-    assert sorted(map(tuple, got.collect()), key=str) == brute_trie(rows)
+    found = sorted(map(tuple, got.collect()), key=str)
+    assert found == brute_trie(duck.execute("select conv_id, turn, role, text from conversations").fetchall())
+    assert found == sorted(duck.execute(queries.ORACLES["op12_prefix_trie"]).fetchall(), key=str)
+
+
+def test_the_oracle_of_op12_on_random_rows():
+    duck = duckdb.connect()
+    duck.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    rows = random_conversations(9, 90, 20)
+    duck.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    assert sorted(duck.execute(queries.ORACLES["op12_prefix_trie"]).fetchall(), key=str) == brute_trie(rows)

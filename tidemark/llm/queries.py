@@ -80,4 +80,26 @@ QUERIES = {
     "op13_token_alignment": op13_token_alignment,
 }
 
-ORACLES: dict[str, str] = {}
+#: crc32 of a conversation's decimal id, bit by bit, by the polynomial's fixed value.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(8 * strlen(conv_id::VARCHAR)), lambda i: ((ascii(substr(conv_id::VARCHAR, (i // 8 + 1)::INT, 1)) >> (i % 8)::INT) & 1)::UBIGINT)),
+  lambda c, b: CASE WHEN (xor(c, b) & 1) = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END))"""
+
+ORACLES: dict[str, str] = {
+    "op12_prefix_trie": f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, ({CRC32} % 4)::BIGINT AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE c.conv_id = base OR p > h
+  UNION ALL SELECT c.conv_id, p - 4, role, text FROM c JOIN t ON t.conv_id = base WHERE c.conv_id <> base AND p <= h),
+b AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY p) AS depth, role, text FROM r),
+m AS (SELECT conv_id, depth, list([role, text]) OVER (PARTITION BY conv_id ORDER BY depth) AS k FROM b UNION ALL SELECT conv_id, 0, [] FROM c),
+n AS (SELECT k, depth, min(conv_id) AS id, count(*) AS n_convs FROM m GROUP BY ALL),
+x AS (SELECT m.conv_id, m.depth, n.id FROM m JOIN n ON m.k = n.k AND m.depth = n.depth),
+w AS (SELECT n.id, n.depth, n.n_convs, up.id AS parent, coalesce(len(regexp_extract_all(b.text, '[^\x20\x09-\x0D]+')), 0) AS words
+  FROM n LEFT JOIN b ON b.conv_id = n.id AND b.depth = n.depth LEFT JOIN x up ON up.conv_id = n.id AND up.depth = n.depth - 1),
+ch AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM w WHERE parent IS NOT NULL GROUP BY ALL),
+f AS (SELECT w.*, coalesce(n_children, 0) AS n_children FROM w LEFT JOIN ch ON ch.parent = w.id AND ch.depth = w.depth),
+s AS (SELECT a.id, a.depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens FROM f JOIN x a ON a.conv_id = f.id AND a.depth <= f.depth GROUP BY ALL),
+e AS (SELECT x.id, x.depth, string_agg(x.conv_id::VARCHAR, ',' ORDER BY x.conv_id) AS ids FROM x JOIN (SELECT conv_id, max(depth) AS depth FROM m GROUP BY ALL) l ON l.conv_id = x.conv_id AND l.depth = x.depth GROUP BY ALL)
+SELECT f.id AS conv_id, f.depth, f.parent AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM f JOIN s ON s.id = f.id AND s.depth = f.depth LEFT JOIN e ON e.id = f.id AND e.depth = f.depth""",
+}
