@@ -19,19 +19,24 @@ def snapshot(errors: DataFrame, staging: DataFrame, source_execution: str | Colu
     return numbered.withColumn("execution_id", F.lit(replay_execution)).withColumnRenamed("error_key", "source_error_key").drop("staging_key")
 
 
-def counted(errors: DataFrame, replayed: DataFrame) -> DataFrame:
+def _hits(errors: DataFrame, replayed: DataFrame, source_execution: str | Column | None) -> DataFrame:
+    """errors with _hit where replayed(source_error_key) names them, and they are the source execution's if one is given."""
+    keys = replayed.select(F.col("source_error_key").alias("error_key")).distinct().withColumn("_hit", F.lit(True))
+    own = F.lit(True) if source_execution is None else F.col("execution_id") == source_execution
+    return errors.join(keys, "error_key", "left").withColumn("_hit", F.coalesce(F.col("_hit") & own, F.lit(False)))
+
+
+def counted(errors: DataFrame, replayed: DataFrame, source_execution: str | Column | None = None) -> DataFrame:
     """errors with replay_count one higher where replayed(source_error_key) names them."""
-    keys = replayed.select(F.col("source_error_key").alias("error_key")).distinct().withColumn("_hit", F.lit(1))
-    return errors.join(keys, "error_key", "left").withColumn("replay_count", F.col("replay_count") + F.coalesce("_hit", F.lit(0))).drop("_hit")
+    return _hits(errors, replayed, source_execution).withColumn("replay_count", F.col("replay_count") + F.col("_hit").cast("int")).drop("_hit")
 
 
-def resolved(errors: DataFrame, replayed: DataFrame, completed: bool, run_ts: Column) -> DataFrame:
+def resolved(errors: DataFrame, replayed: DataFrame, completed: bool, run_ts: Column, source_execution: str | Column | None = None) -> DataFrame:
     """errors with those that a completed replay names, and that are still open, resolved."""
     if not completed:
         return errors
-    keys = replayed.select(F.col("source_error_key").alias("error_key")).distinct().withColumn("_hit", F.lit(True))
-    done = F.col("_hit").isNotNull() & (F.col("status") == "OPEN")
-    return errors.join(keys, "error_key", "left").withColumns({"resolved_at": F.when(done, run_ts).otherwise(F.col("resolved_at")), "status": F.when(done, "RESOLVED").otherwise(F.col("status"))}).drop("_hit")
+    done = F.col("_hit") & (F.col("status") == "OPEN")
+    return _hits(errors, replayed, source_execution).withColumns({"resolved_at": F.when(done, run_ts).otherwise(F.col("resolved_at")), "status": F.when(done, "RESOLVED").otherwise(F.col("status"))}).drop("_hit")
 
 
 def lineage_violations(staging: DataFrame) -> DataFrame:

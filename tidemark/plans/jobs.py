@@ -8,7 +8,7 @@ import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schema
@@ -62,6 +62,16 @@ def moved(now: str, to: str) -> str:
     return to
 
 
+def open_errors(store: Store, outcomes: DataFrame, at: dict) -> tuple[DataFrame, int]:
+    """An open error for every row in conflict, numbered after all errors of the store, and the last number."""
+    top = at["facts"].get("top_error")
+    if top is None:
+        top = store.read("errors", schema.ERRORS, at).agg(F.coalesce(F.max("error_key"), F.lit(0))).first()[0]
+    found = settled(sync.conflict_errors(outcomes))
+    numbered = staging.dense_sequence(found, ["execution_id", "staging_key"], "error_key", top, settled)
+    return numbered.withColumns({"message": F.lit("same time, different content"), "created_at": F.current_timestamp(), "resolved_at": F.lit(None).cast("timestamp")}), top + found.count()
+
+
 class Run:
     """One execution in a store. Each step commits by itself; a restart goes on after the last one committed."""
 
@@ -69,11 +79,15 @@ class Run:
         self.store, self.request, self.chunk_size = store, request, chunk_size
         self.id = request.execution_id
 
-    def state(self) -> dict:
-        return self.store.manifest()["facts"].get(f"run:{self.id}", {})
+    def state(self, at: dict | None = None) -> dict:
+        return (at or self.store.manifest())["facts"].get(f"run:{self.id}", {})
+
+    def _fact(self, at: dict | None = None, **more) -> dict:
+        return {f"run:{self.id}": {**self.state(at), **more}}
 
-    def _fact(self, **more) -> dict:
-        return {f"run:{self.id}": {**self.state(), **more}}
+    def _read(self, name: str, shape, at: dict) -> DataFrame:
+        """This execution's rows of a table: of folders committed for it, or for none alone."""
+        return self.store.read(name, shape, at, self.id).where(F.col("execution_id") == self.id)
 
     def begin(self) -> str | None:
         """Freezes the request; ALREADY_COMPLETED for a run that has ended well, an error for a changed request."""
@@ -107,72 +121,87 @@ class Run:
 
     def stage_rows(self, rows: DataFrame, state: str) -> None:
         """Appends rows that aren't staged yet, gives them keys after all others, and freezes count and bound."""
-        self._stage(rows, state, {})
+        self.store.transact(lambda at: self._stage(rows, state, {}, at))
 
-    def _stage(self, rows: DataFrame, state: str, tables: dict[str, DataFrame]) -> None:
-        have = self.store.read("staging", schema.STAGING).where(F.col("execution_id") == self.id)
+    def _stage(self, rows: DataFrame, state: str, tables: dict[str, DataFrame], at: dict) -> None:
+        have, top = self._read("staging", schema.STAGING, at), at["facts"].get("top_key", 0)
         new = staging.append_missing(rows.withColumn("execution_id", F.lit(self.id)), have, ["execution_id", "execution_sequence"])
-        top = self.store.manifest()["facts"].get("top_key", 0)
-        keyed = settled(new.withColumn("staging_key", F.col("execution_sequence") + top).select([F.col(f.name).cast(f.dataType) for f in schema.STAGING]))
-        expected, bound = have.unionByName(keyed).agg(F.count("*"), F.coalesce(F.max("staging_key"), F.lit(0))).first()
+        keyed, written = new.withColumn("staging_key", F.col("execution_sequence") + top), Observation()
+        keyed = keyed.select([F.col(f.name).cast(f.dataType) for f in schema.STAGING]).observe(written, F.count(F.lit(1)).alias("n"), F.max("staging_key").alias("bound"))
         status = moved(moved("PENDING", state), "COLLECTED")
-        self.store.commit(tables, {**self._fact(status=status, expected=expected, bound=bound), "top_key": max(top, bound)}, more={"staging": keyed})
+
+        def facts() -> dict:  # what the write itself has seen; only a run that had staged rows before looks at those
+            seen = written.get
+            n, bound = have.agg(F.count("*"), F.coalesce(F.max("staging_key"), F.lit(0))).first() if self.store.tagged("staging", at, self.id) else (0, 0)
+            bound = max(bound, seen["bound"] or 0)
+            return {**self._fact(at, status=status, expected=n + seen["n"], bound=bound), "top_key": max(top, bound)}
+
+        self.store.commit(tables, facts, more={"staging": keyed}, base=at, tag=self.id)
 
     def stage_replay(self, source_execution: str) -> None:
-        """Copies the open errors of another execution, as of one version of the store."""
-        errors = self.store.read("errors", schema.ERRORS)
-        rows = settled(replay.snapshot(errors, self.store.read("staging", schema.STAGING), source_execution, self.id, settled))
-        if not rows.head(1):
-            raise ValueError("the source execution has no open errors")
-        self._stage(rows, "PREPARING", {"errors": replay.counted(errors, rows)})  # one commit: an error is counted once, or not at all
+        """Copies the open errors of another execution, as of one version of the store; an error is counted in the same commit."""
 
-    def own(self) -> DataFrame:
-        facts = self.state()
-        return staging.in_range(self.store.read("staging", schema.STAGING), self.id, 0, facts["bound"])
+        def work(at: dict) -> None:
+            errors = self.store.read("errors", schema.ERRORS, at)
+            rows = settled(replay.snapshot(errors, self.store.read("staging", schema.STAGING, at), source_execution, self.id, settled))
+            if not rows.head(1):
+                raise ValueError("the source execution has no open errors")
+            self._stage(rows, "PREPARING", {"errors": replay.counted(errors, rows, source_execution)}, at)
+
+        self.store.transact(work)
+
+    def own(self, at: dict | None = None) -> DataFrame:
+        at = at or self.store.manifest()
+        return staging.in_range(self._read("staging", schema.STAGING, at), self.id, 0, self.state(at)["bound"])
 
     def synchronise(self) -> None:
-        """Target, errors and chunk results in one commit."""
+        """Target, errors and chunk results in one commit. Of the target, buckets that the rows fall into are read, and those that change are written."""
         if self.state()["status"] != "COLLECTED":
             return
         moved("COLLECTED", "SYNCING")
-        rows, target = settled(self.own()), self.store.read("target", schema.TARGET)
-        decided = settled(sync.decisions(rows, target, self.chunk_size))
-        chunks = sync.chunk_results(decided, rows, self.chunk_size)
-        columns = [c for c in schema.CANONICAL_COLUMNS if c != "doi"]
-        new_target = sync.upserted(target, rows, decided, columns, F.current_timestamp())
-        had = self.store.read("errors", schema.ERRORS)
-        top = had.agg(F.coalesce(F.max("error_key"), F.lit(0))).first()[0]
-        found = settled(sync.conflict_errors(sync.row_outcomes(decided, rows, self.chunk_size)))
-        found = staging.dense_sequence(found, ["staging_key"], "error_key", top, settled).withColumns({"message": F.lit("same time, different content"), "created_at": F.current_timestamp(), "resolved_at": F.lit(None).cast("timestamp")})
+        rows, columns = settled(self.own()), [c for c in schema.CANONICAL_COLUMNS if c != "doi"]
         cast = lambda df, shape: df.select([F.col(f.name).cast(f.dataType) for f in shape])
-        self.store.commit(
-            {"target": cast(new_target, schema.TARGET)},
-            self._fact(status=moved("SYNCING", "VERIFYING")),
-            more={"errors": cast(found, schema.ERRORS), "chunks": cast(chunks, schema.CHUNKS)},
-        )
+
+        def work(at: dict) -> None:
+            looked = self.store.touched("target", rows, "doi", at)
+            decided = settled(sync.decisions(rows, self.store.read("target", schema.TARGET, at, buckets=looked), self.chunk_size))
+            written = self.store.touched("target", sync.winners(decided), "doi", at)
+            target = self.store.read("target", schema.TARGET, at, buckets=written)
+            new_target = sync.upserted(target, rows, decided, columns, F.current_timestamp())
+            found, top = open_errors(self.store, sync.row_outcomes(decided, rows, self.chunk_size), at)
+            self.store.commit(
+                facts={**self._fact(at, status=moved("SYNCING", "VERIFYING")), "top_error": top},
+                more={"errors": cast(found, schema.ERRORS), "chunks": cast(sync.chunk_results(decided, rows, self.chunk_size), schema.CHUNKS)},
+                upserts={"target": (cast(new_target, schema.TARGET), "doi", written, looked)}, base=at, tag=self.id,
+            )
+
+        self.store.transact(work)
 
     def verify(self) -> dict:
         """The verdict; a clean incremental run moves the mark, a completed replay resolves its sources."""
-        facts = self.state()
+        return self.store.transact(self._verify)
+
+    def _verify(self, at: dict) -> dict:
+        facts = self.state(at)
         if facts.get("verdict"):
             return facts["verdict"]
         if facts.get("status") != "VERIFYING" or facts.get("expected") is None or facts.get("bound") is None:
             raise ValueError(f"a run that is {facts.get('status')} can't be verified")
-        spark, mine = self.store.spark, F.col("execution_id") == self.id
-        errors = self.store.read("errors", schema.ERRORS)
+        spark, own = self.store.spark, self.own(at)
         replayed = self.request.mode == "REPLAY_ERRORS"
         expected = spark.createDataFrame([(self.id, facts["expected"])], "execution_id string, expected_count bigint")
-        row = verify.verdicts(self.own(), self.store.read("chunks", schema.CHUNKS).where(mine), errors.where(mine), self.store.read("target", schema.TARGET), expected, replayed, settled).first()
+        target = self.store.read("target", schema.TARGET, at, buckets=self.store.touched("target", own, "doi", at))
+        row = verify.verdicts(own, self._read("chunks", schema.CHUNKS, at), self._read("errors", schema.ERRORS, at), target, expected, replayed, settled).first()
         verdict, tables, extra = row.asDict(), {}, {}
         if replayed and row["status"] == "COMPLETED":
-            tables["errors"] = settled(replay.resolved(errors, self.own(), True, F.current_timestamp()))
+            tables["errors"] = settled(replay.resolved(self.store.read("errors", schema.ERRORS, at), own, True, F.current_timestamp(), self.request.identity["source_execution"]))
         if self.request.mode == "INCREMENTAL":
             source, until = self.request.identity.get("source", "default"), facts["until"]
-            mark = self.store.manifest()["facts"].get(f"mark:{source}")
+            mark = at["facts"].get(f"mark:{source}")
             lit = lambda x: F.lit(x).cast("timestamp")
             if spark.range(1).select(may_advance(F.lit("INCREMENTAL"), F.lit(row["status"] != "FAILED"), F.lit(row["conflicts"]), lit(mark), lit(until))).first()[0]:
                 extra[f"mark:{source}"] = until
-        self.store.commit(tables, {**self._fact(status=moved("VERIFYING", row["status"]), verdict=verdict, finished=datetime.now(UTC).isoformat()), **extra})
+        self.store.commit(tables, {**self._fact(at, status=moved("VERIFYING", row["status"]), verdict=verdict, finished=datetime.now(UTC).isoformat()), **extra}, base=at)
         return verdict
 
     def finish(self) -> int:

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema
 from ..operators import sync
+from ..plans.jobs import open_errors
 from ..plans.store import Store, settled
 
 
@@ -17,22 +18,26 @@ def apply_batch(store: Store, batch: DataFrame, batch_id: int, stream: str = "st
     Rows need staging_key, doi, indexed_at, content_hash and the canonical columns. Late rows (older than the target) are
     counted as superseded, not dropped.
     """
-    done = store.manifest()["facts"].get(f"batch:{stream}", -1)
-    if batch_id <= done:
-        return
     rows = settled(batch.withColumns({"execution_id": F.lit(f"{stream}-{batch_id}"), "execution_sequence": F.lit(1).cast("bigint")}))
-    target = store.read("target", schema.TARGET)
-    decided = settled(sync.decisions(rows, target))
     cast = lambda df, shape: df.select([F.col(f.name).cast(f.dataType) for f in shape])
     columns = [c for c in schema.CANONICAL_COLUMNS if c != "doi"]
-    chunks = sync.chunk_results(decided, rows).withColumn("chunk_sequence", F.lit(batch_id + 1).cast("bigint")).withColumn("execution_id", F.lit(stream))
-    outcomes = sync.row_outcomes(decided, rows)
-    errors = sync.conflict_errors(outcomes).withColumns({"execution_id": F.lit(stream), "error_key": F.col("staging_key"), "message": F.lit(None).cast("string"), "created_at": F.current_timestamp(), "resolved_at": F.lit(None).cast("timestamp")})
-    store.commit(
-        {"target": cast(sync.upserted(target, rows, decided, columns, F.current_timestamp()), schema.TARGET)},
-        {f"batch:{stream}": batch_id},
-        more={"chunks": cast(chunks, schema.CHUNKS), "errors": cast(errors, schema.ERRORS)},
-    )
+
+    def work(at: dict) -> None:
+        if batch_id <= at["facts"].get(f"batch:{stream}", -1):
+            return
+        looked = store.touched("target", rows, "doi", at)
+        decided = settled(sync.decisions(rows, store.read("target", schema.TARGET, at, buckets=looked)))
+        written = store.touched("target", sync.winners(decided), "doi", at)
+        target = store.read("target", schema.TARGET, at, buckets=written)
+        chunks = sync.chunk_results(decided, rows).withColumn("chunk_sequence", F.lit(batch_id + 1).cast("bigint")).withColumn("execution_id", F.lit(stream))
+        errors, top = open_errors(store, sync.row_outcomes(decided, rows).withColumn("execution_id", F.lit(stream)), at)
+        store.commit(
+            facts={f"batch:{stream}": batch_id, "top_error": top},
+            more={"chunks": cast(chunks, schema.CHUNKS), "errors": cast(errors, schema.ERRORS)},
+            upserts={"target": (cast(sync.upserted(target, rows, decided, columns, F.current_timestamp()), schema.TARGET), "doi", written, looked)}, base=at,
+        )
+
+    store.transact(work)
 
 
 def start(source: DataFrame, store: Store, checkpoint: str, stream: str = "stream", **trigger) -> StreamingQuery:
