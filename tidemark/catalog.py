@@ -6,12 +6,14 @@ the day as indexed time so that ties occur, a content of three values, execution
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import canonical, changes, collect, replay, reports, staging, sync, verify, windows
-from .plans.store import settled
+from .operators import canonical, changes, collect, intervals, replay, reports, staging, sync, tree_digest, verify, windows
+from .plans.store import Store, settled, shared_dir
 from .schema import COUNTERS, PAGE
 from .sources.crawl import items as page_items
 from .sources.generator import synthetic_rows as generated
@@ -797,3 +799,71 @@ def incremental_ranges(spark, d):
 def lineage_violations(spark, d):
     e = load(spark, d, "events").select(F.concat(F.lit("ex"), F.floor(F.col("event_id") / EXECUTION).cast("string")).alias("execution_id"), F.when(F.col("event_id") % 4 > 0, F.col("user_id")).alias("source_error_key"))
     return replay.lineage_violations(e)
+
+
+# Buckets, versions, trees of digests, overlapping ranges
+
+
+def upserted_store(spark: SparkSession, d: str) -> Store:
+    """A store whose table target is, in version 1, what tgt() holds, and in version 2 what one execution of all staged rows leaves."""
+    store, rows = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"), stg_all(spark, d)
+    store.commit(upserts={"target": (tgt(spark, d), "doi", None, None)})
+    at = store.manifest()
+    looked = store.touched("target", rows, "doi", at)
+    decided = settled(sync.decisions(rows, store.read("target", at=at, buckets=looked), CHUNK))
+    written = store.touched("target", sync.winners(decided), "doi", at)
+    new = sync.upserted(store.read("target", at=at, buckets=written), rows, decided, ["content_hash", "content"], F.lit("new"))
+    store.commit(upserts={"target": (new, "doi", written, looked)}, base=at)
+    return store
+
+
+@query(ORACLES["sync_upsert_all"])
+def bucketed_upsert(spark, d):
+    """The upsert of every staged row through a bucketed table; buckets that no row changes are not written."""
+    return upserted_store(spark, d).read("target").select("doi", "content_hash", "content", day("source_indexed_at").alias("day"), "created_at", "updated_at")
+
+
+@query(f"""WITH {STG}{TGT}, after AS ({ORACLES["sync_upsert_all"]}), before AS (SELECT doi, content_hash, content, strftime(indexed_at, '%Y-%m-%d') AS day, 'old' AS created_at, 'old' AS updated_at FROM tgt)
+SELECT a.doi, CASE WHEN b.doi IS NULL THEN 'INSERTED' ELSE 'UPDATED' END AS change, a.content_hash, a.content, a.day, a.created_at, a.updated_at FROM after a LEFT JOIN before b ON b.doi = a.doi
+WHERE b.doi IS NULL OR (a.content_hash, a.content, a.day, a.created_at, a.updated_at) IS DISTINCT FROM (b.content_hash, b.content, b.day, b.created_at, b.updated_at)""")
+def target_changes(spark, d):
+    """What two versions of the target don't share, read from the buckets that differ."""
+    return upserted_store(spark, d).changes("target", "doi", 1, 2).select("doi", "change", "content_hash", "content", day("source_indexed_at").alias("day"), "created_at", "updated_at")
+
+
+_TREE_WIDTH, _TREE_FAN = 256, 16
+_ROW_TEXT = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("staging_key", "doi", "content_hash"))
+
+
+def leaves_sql(rows: str, where: str = "") -> str:
+    counted = f"SELECT staging_key AS k, sha256({_ROW_TEXT}) AS h, count(*) AS c FROM {rows} {where} GROUP BY ALL"
+    return f"SELECT k // {_TREE_WIDTH} AS node, CAST(sum(c) AS BIGINT) AS n, sha256(string_agg(h || 'x' || c, ',' ORDER BY k, h)) AS digest FROM ({counted}) GROUP BY ALL"
+
+
+_UP = "CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(digest, ',' ORDER BY node)) AS digest"
+
+
+@query(f"""WITH {STG}, l0 AS ({leaves_sql("st")}), l1 AS (SELECT node // {_TREE_FAN} AS node, {_UP} FROM l0 GROUP BY 1), l2 AS (SELECT node // {_TREE_FAN} AS node, {_UP} FROM l1 GROUP BY 1), l3 AS (SELECT 0 AS node, {_UP} FROM l2 GROUP BY 1)
+SELECT 0 AS level, * FROM l0 UNION ALL SELECT 1, * FROM l1 UNION ALL SELECT 2, * FROM l2 UNION ALL SELECT 3, * FROM l3""")
+def digest_tree(spark, d):
+    """Every node of the digest tree over all staged rows in the order of their keys."""
+    return tree_digest.tree(stg(spark, d), "staging_key", ["staging_key", "doi", "content_hash"], _TREE_WIDTH, _TREE_FAN, 3)
+
+
+@query(f"""WITH {STG}, a AS ({leaves_sql("st")}), b AS ({leaves_sql("st", "WHERE NOT (doi LIKE '%7/purchase' AND content = 2)")})
+SELECT coalesce(a.node, b.node) * {_TREE_WIDTH} AS first_key, coalesce(a.node, b.node) * {_TREE_WIDTH} + {_TREE_WIDTH - 1} AS last_key, coalesce(a.n, 0) AS n_before, coalesce(b.n, 0) AS n_after
+FROM a FULL JOIN b ON a.node = b.node WHERE a.digest IS DISTINCT FROM b.digest""")
+def digest_differences(spark, d):
+    """The key ranges in which staged rows differ once some rows are gone."""
+    rows = stg(spark, d)
+    return tree_digest.differing_ranges(rows, rows.where("not (doi like '%7/purchase' and content = 2)"), "staging_key", ["staging_key", "doi", "content_hash"], _TREE_WIDTH)
+
+
+@query("""WITH r AS (SELECT l_suppkey, l_orderkey, l_linenumber, epoch_us(l_shipdate) AS f, epoch_us(l_shipdate) + CAST(l_quantity AS BIGINT) * 3600000000 AS t FROM lineitem),
+h AS (SELECT r.l_suppkey, f, t, count(*) AS rows_in_range, min(p.us) AS least, max(p.us) AS most FROM (SELECT DISTINCT l_suppkey, f, t FROM r) r JOIN (SELECT l_suppkey, epoch_us(l_shipdate) AS us FROM lineitem) p ON p.l_suppkey = r.l_suppkey AND p.us BETWEEN f AND t GROUP BY ALL)
+SELECT r.l_orderkey, r.l_linenumber, r.l_suppkey, r.f AS first_us, r.t AS last_us, coalesce(rows_in_range, 0) AS rows_in_range, least, most FROM r LEFT JOIN h ON h.l_suppkey = r.l_suppkey AND h.f = r.f AND h.t = r.t""")
+def range_contents(spark, d):
+    """For every line, how many of its supplier's lines ship within as many hours from its own as it has pieces: overlapping ranges of all lengths."""
+    own = load(spark, d, "lineitem").withColumn("us", F.unix_micros(F.col("l_shipdate").cast("timestamp")))
+    ranges = own.select("l_orderkey", "l_linenumber", "l_suppkey", F.col("us").alias("first_us"), (F.col("us") + F.col("l_quantity").cast("bigint") * 3_600_000_000).alias("last_us"))
+    return intervals.range_contents(ranges, "first_us", "last_us", own, "us", ["l_suppkey"], 3_600_000_000)
