@@ -1,5 +1,6 @@
 import json
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,9 +106,24 @@ def test_dense_sequence_over_many_partitions(spark):
     assert [r.execution_sequence for r in rows] == list(range(6, 1006))
 
 
-def test_day_plan(spark):
-    r = spark.sql("select timestamp_ntz'2026-08-01 18:00:00' as range_from, timestamp_ntz'2026-08-03 06:00:00' as range_until")
-    assert [(x.window_sequence, x.window_from.hour, x.window_until.day) for x in windows.day_plan(r).collect()] == [(0, 18, 2), (1, 0, 3), (2, 0, 3)]
+def test_day_plan_against_a_plain_rule(spark):
+    r, day = random.Random(11), timedelta(days=1)
+    first = datetime(2024, 2, 26)
+    ranges = [(a, a + timedelta(microseconds=r.choice((1, 3_600_000_000, 86_400_000_000, r.randrange(1, 5 * 86_400_000_000))))) for a in (first + timedelta(microseconds=r.randrange(6 * 86_400_000_000)) for _ in range(30))]
+    ranges += [(first, first + day), (first, first + 3 * day), (first + day / 2, first + day), (first, first + timedelta(microseconds=1))]
+    df = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(ranges)], "k int, range_from timestamp_ntz, range_until timestamp_ntz")
+    want = []
+    for k, (a, b) in enumerate(ranges):
+        n = 0
+        while a < b:
+            end = min(datetime(a.year, a.month, a.day) + day, b)
+            want.append((k, n, a, end))
+            a, n = end, n + 1
+    got = windows.day_plan(df).select("k", "window_sequence", "window_from", "window_until")
+    assert sorted(map(tuple, got.collect())) == want
+    for bad in ((first, first), (first + day, first)):
+        with pytest.raises(Exception, match="must increase"):
+            windows.day_plan(spark.createDataFrame([bad], "range_from timestamp_ntz, range_until timestamp_ntz")).collect()
 
 
 def test_trend_of_samples_against_a_plain_rule(spark):
@@ -196,7 +212,7 @@ def test_a_collected_run_from_the_command_line(spark, tmp_path):
     facts = store.manifest()["facts"]
     assert facts["mark:default"] == "2026-08-10T00:00:00Z"
     run = next(v for k, v in facts.items() if k.startswith("run:"))
-    assert (run["collected"]["windows"], run["collected"]["reported_total"], run["collected"]["rows"]) == (2, 10, 10)
+    assert (run["collected"]["windows"], run["collected"]["reported_total"], run["collected"]["rows"], run["stopped"]) == (2, 10, 7, "limit")
 
 
 def test_page_files_come_in_the_order_of_their_numbers(spark, tmp_path):

@@ -61,7 +61,7 @@ def partial_date(parts: Column) -> Column:
 
 def instant(text: Column) -> Column:
     """An ISO instant with date, time and zone; null if it isn't one, whatever the day or the session's zone."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"), F.try_to_timestamp(text))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})\z"), F.try_to_timestamp(text))
 
 
 def log_safe(text: Column) -> Column:

@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import collect, windows
-from ..sources.crawl import items, numbered_files, page_log, pages, planned
+from ..schema import PAGE_CAP
+from ..sources.crawl import items, numbered_files, page_log
 from ..sources.generator import synthetic_rows
 from . import evidence
 from .jobs import EXIT, Request, Run, run
@@ -32,7 +33,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--pages", help="folder of page files, in the order of the numbers in their names")
     p.add_argument("--url", help="paged source to ask in place of page files, a window for each day of the range")
     p.add_argument("--folder", help="paged source as a folder for each window, in place of --url")
-    p.add_argument("--since", help="start of the first range, an ISO instant")
+    p.add_argument("--since", help="start of the range, an ISO instant; must be the mark where there is one")
+    p.add_argument("--bootstrap", help="start of the first incremental range, where there is no mark yet")
+    p.add_argument("--page-cap", type=int, default=PAGE_CAP, help="most pages of a window")
     p.add_argument("--limit", type=int, help="most rows of the run, over all windows")
     p.add_argument("--source", default="default")
     p.add_argument("--until", help="end of an incremental range, an ISO instant")
@@ -44,25 +47,26 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     origin = {"pages": a.pages, "url": a.url, "folder": a.folder, "since": a.since, "until": a.until, "limit": a.limit}
-    identity = {"BACKFILL": origin, "INCREMENTAL": {**origin, "source": a.source}, "REPLAY_ERRORS": {"source_execution": a.source_execution}, "BENCHMARK": {"rows": a.rows, "seed": a.seed}}[a.mode]
-    request, collected, rows, log, store = Request(a.request, a.mode, identity), None, None, None, Store(spark, a.store)
+    identity = {"BACKFILL": origin, "INCREMENTAL": {**origin, "source": a.source, "bootstrap": a.bootstrap}, "REPLAY_ERRORS": {"source_execution": a.source_execution}, "BENCHMARK": {"rows": a.rows, "seed": a.seed}}[a.mode]
+    request, more, store = Request(a.request, a.mode, identity), {}, Store(spark, a.store)
     if a.mode == "BENCHMARK":
-        rows = synthetic_rows(spark, a.rows, a.seed)
-    elif a.mode != "REPLAY_ERRORS":
-        if a.pages:
-            paged = numbered_files(spark, a.pages)
-        else:
-            job = Run(store, request, a.chunk_size)
-            if job.begin() == "ALREADY_COMPLETED":
-                return EXIT["ALREADY_COMPLETED"]
-            since, until = job.state().get("since") or a.since, job.state().get("until") or a.until
-            if not since or not until:
-                p.error("a range needs --since and --until where no mark and no start of a run stand in")
-            paged = pages(spark, planned(day_windows(spark, since, until), a.limit), **({"url": a.url} if a.url else {"folder": a.folder}))
-        paged, order = settled(paged), ["window_id", "page_no", "position"]
+        more["rows"] = synthetic_rows(spark, a.rows, a.seed)
+    elif a.mode != "REPLAY_ERRORS" and a.pages:
+        paged, order = settled(numbered_files(spark, a.pages)), ["window_id", "page_no", "position"]
         found = items(paged)
-        collected, log = (collect.limited(found, order, a.limit, settled).drop("execution_sequence") if a.limit else found, order), page_log(paged)
-    code = run(store, request, collected, rows, a.chunk_size, log)
+        more["collected"] = (collect.limited(found, order, a.limit, settled).drop("execution_sequence") if a.limit else found), order
+        more["pages"] = page_log(paged)
+    elif a.mode != "REPLAY_ERRORS":
+        job = Run(store, request, a.chunk_size)
+        if job.begin() == "ALREADY_COMPLETED":
+            return EXIT["ALREADY_COMPLETED"]
+        since, until = job.state().get("since") or a.since, job.state().get("until") or a.until
+        if not since or not until:
+            p.error("a range needs --since and --until where no mark and no start of a run stand in")
+        # a backfill asks for what was created in one range, an incremental run for what was indexed day by day
+        ranges, field = ([(since, until)], "created-date") if a.mode == "BACKFILL" else (day_windows(spark, since, until), "index-date")
+        more["plan"] = {"plan": ranges, "limit": a.limit, "cap": a.page_cap, "field": field, **({"url": a.url} if a.url else {"folder": a.folder})}
+    code = run(store, request, chunk_size=a.chunk_size, **more)
     if a.outcome:
         evidence.outcome_file(a.outcome, code, "sync", request.request_id, request.mode, request.execution_id)
     return code

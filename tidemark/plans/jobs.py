@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import uuid
 from dataclasses import asdict, dataclass, field
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..operators import canonical, collect, replay, staging, sync, verify
 from ..operators.windows import may_advance
+from ..sources import crawl
 from .store import Store, settled
 
 #: Which state may follow which.
@@ -28,6 +30,7 @@ REQUEST_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]{0,99}")
 IDENTITY = {
     "source": re.compile(r"[A-Za-z0-9_-]{1,64}"), "source_execution": re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"), "rows": re.compile(r"[1-9][0-9]{0,11}"), "seed": re.compile(r"[0-9]{1,18}"),
     "until": re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})"), "since": re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})"),
+    "bootstrap": re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})"),
 }
 
 
@@ -100,8 +103,10 @@ class Run:
             raise ValueError("a failed verdict stands; make a new request")
         if not have:
             started = datetime.now(UTC).isoformat()
-            mark = self.store.manifest()["facts"].get(f"mark:{self.request.identity.get('source', 'default')}")
-            frozen = {"since": mark or self.request.identity.get("since"), "until": self.request.identity.get("until") or started} if self.request.mode == "INCREMENTAL" else {}
+            mark, asked = self.store.manifest()["facts"].get(f"mark:{self.request.identity.get('source', 'default')}"), self.request.identity.get("since")
+            if self.request.mode == "INCREMENTAL" and mark and asked and datetime.fromisoformat(mark) != datetime.fromisoformat(asked):
+                raise ValueError(f"the range would begin at {asked}, but the mark is at {mark}")
+            frozen = {"since": mark or asked or self.request.identity.get("bootstrap"), "until": self.request.identity.get("until") or started} if self.request.mode == "INCREMENTAL" else {}
             self.store.commit({}, self._fact(request=asdict(self.request), status="PENDING", started=started, **frozen))
         return None
 
@@ -111,6 +116,51 @@ class Run:
         windows = [r.asDict() for r in collect.window_evidence(pages).orderBy("window_id").collect()]  # a row for each window of a plan
         self.store.commit({}, self._fact(collected={**total, "by_window": windows}))
 
+    def collect(self, plan: list[tuple[str, str]], limit: int | None = None, pages_a_round: int = 20, cap: int = schema.PAGE_CAP, **options: str) -> None:
+        """Reads a plan's windows in rounds and stages their records; each round's pages are kept before the next is asked for.
+
+        A restart begins each unfinished window anew, as cursors don't last, and skips the rows that are kept: their
+        number is the window's frontier, before which it must not end. Without a limit all windows are read side by
+        side; with one, in order, and none is asked for beyond it. Where it stopped and why stays on the run's facts, also
+        of a run that fails.
+        """
+        spark, going = self.store.spark, {}
+        while True:
+            at = self.store.manifest()
+            have = self.state(at).get("windows") or [{"rows": 0, "pages": 0, "total": 0, "done": False} for _ in plan]
+            taken, windows = 0, []
+            for k, (w, (start, end)) in enumerate(zip(have, plan, strict=True)):
+                most = None if limit is None else limit - taken
+                if not w["done"] and (most is None or (most > 0 and not windows)):
+                    windows.append(crawl.Window(k, start, end, most, w["rows"], progress=going.get(k, crawl.Progress()), most_pages=pages_a_round))
+                taken += w["rows"]
+            if not windows:
+                break
+            raw = crawl.raw_pages(spark, windows, cap=str(cap), **options).withColumn("execution_id", F.lit(self.id))
+            last: dict[int, dict] = {}
+
+            def facts(folders: dict[str, str], have=have, at=at, last=last) -> dict:
+                written = spark.read.parquet(f"{self.store.folder}/{folders['pages']}")
+                for r in written.groupBy("window_id").agg(F.max_by("progress", "page_no").alias("p")).collect():  # a row for each window
+                    last[r["window_id"]] = json.loads(r["p"])
+                now = [{"rows": max(w["rows"], last[k]["taken"]), "pages": max(w["pages"], last[k]["pages"]), "total": last[k]["total"], "cursor": last[k]["cursor"], "done": last[k]["done"]} if k in last else w for k, w in enumerate(have)]
+                return self._fact(at, status="COLLECTING", windows=now, stopped=None, cap=cap, limit=limit, page_bound=sum(crawl.page_bound(limit, w["total"], int(options.get("rows", schema.PAGE_SIZE))) for w in now if w["pages"]))
+
+            try:
+                self.store.commit(facts=facts, more={"pages": raw}, base=at, tag=self.id)
+            except Exception as error:
+                why = next((x for x in ("page cap", "again and again", "without new rows", "before the", "more pages than the bound", "without a next cursor", "invalid page", "cursor expired", "gave up", "status") if x in str(error)), type(error).__name__)
+                self.store.transact(lambda now, why=why: self.store.commit(facts=self._fact(now, stopped=f"failed: {why}"), base=now))
+                raise
+            going |= {k: crawl.Progress(**p) for k, p in last.items()}
+            if not last:
+                raise ValueError("the source gave no page")
+        why = "limit" if limit is not None and taken >= limit else "end"
+        self.store.transact(lambda now: self.store.commit(facts=self._fact(now, stopped=why, cap=cap, limit=limit), base=now))
+        paged = self._read("pages", crawl.PAGES + ", execution_id string", self.store.manifest()).withColumn("page", F.from_json("page", schema.PAGE))
+        self.evidence(crawl.page_log(paged))
+        self.stage_items(crawl.items(paged), ["window_id", "page_no", "position"])
+
     def stage_items(self, items: DataFrame, order: list[str]) -> None:
         """Canonicalises collected records(item, ...) and stages them in the given total order. One bad record fails all."""
         works = settled(canonical.canonicalize(items))
@@ -130,7 +180,7 @@ class Run:
         keyed = keyed.select([F.col(f.name).cast(f.dataType) for f in schema.STAGING]).observe(written, F.count(F.lit(1)).alias("n"), F.max("staging_key").alias("bound"))
         status = moved(moved("PENDING", state), "COLLECTED")
 
-        def facts() -> dict:  # what the write itself has seen; only a run that had staged rows before looks at those
+        def facts(_) -> dict:  # what the write itself has seen; only a run that had staged rows before looks at those
             seen = written.get
             n, bound = have.agg(F.count("*"), F.coalesce(F.max("staging_key"), F.lit(0))).first() if self.store.tagged("staging", at, self.id) else (0, 0)
             bound = max(bound, seen["bound"] or 0)
@@ -209,16 +259,18 @@ class Run:
         return EXIT[self.verify()["status"]]
 
 
-def run(store: Store, request: Request, collected: tuple[DataFrame, list[str]] | None = None, rows: DataFrame | None = None, chunk_size: int = schema.CHUNK_SIZE, pages: DataFrame | None = None) -> int:
-    """A whole run; the exit code. collected: records and their order; rows: staged rows made otherwise (BENCHMARK); pages: a log of them."""
+def run(store: Store, request: Request, collected: tuple[DataFrame, list[str]] | None = None, rows: DataFrame | None = None, chunk_size: int = schema.CHUNK_SIZE, pages: DataFrame | None = None, plan: dict | None = None) -> int:
+    """A whole run; the exit code. collected: records and their order; rows: staged rows made otherwise (BENCHMARK); pages: a log of them; plan: what collect() takes."""
     job = Run(store, request, chunk_size)
     if job.begin() == "ALREADY_COMPLETED":
         return EXIT["ALREADY_COMPLETED"]
-    if job.state()["status"] == "PENDING":
+    if job.state()["status"] in ("PENDING", "COLLECTING"):
         if request.mode == "REPLAY_ERRORS":
             job.stage_replay(request.identity["source_execution"])
         elif rows is not None:
             job.stage_rows(rows, "COLLECTING")
+        elif plan is not None:
+            job.collect(**plan)
         else:
             if pages is not None:
                 job.evidence(pages)
