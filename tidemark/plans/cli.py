@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import SparkSession
@@ -12,7 +13,7 @@ from ..operators import collect, windows
 from ..schema import PAGE_CAP
 from ..sources.crawl import items, numbered_files, page_log
 from ..sources.generator import synthetic_rows
-from . import evidence
+from . import evidence, summaries
 from .jobs import EXIT, Request, Run, run
 from .store import Store, settled
 
@@ -27,9 +28,9 @@ def day_windows(spark: SparkSession, since: str, until: str) -> list[tuple[str,
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tidemark")
-    p.add_argument("mode", choices=["BACKFILL", "INCREMENTAL", "REPLAY_ERRORS", "BENCHMARK"])
+    p.add_argument("mode", choices=["BACKFILL", "INCREMENTAL", "REPLAY_ERRORS", "BENCHMARK", "PREFLIGHT", "SUMMARY"])
     p.add_argument("--store", required=True)
-    p.add_argument("--request", required=True)
+    p.add_argument("--request", required=True, help="the run's own; for PREFLIGHT the mode that is to be run")
     p.add_argument("--pages", help="folder of page files, in the order of the numbers in their names")
     p.add_argument("--url", help="paged source to ask in place of page files, a window for each day of the range")
     p.add_argument("--folder", help="paged source as a folder for each window, in place of --url")
@@ -44,8 +45,22 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--chunk-size", type=int, default=1000)
     p.add_argument("--outcome", help="file for the outcome")
+    p.add_argument("--report", help="folder for a run's summary as JSON, HTML and properties")
+    p.add_argument("--scenario", choices=evidence.SCENARIOS, help="what a benchmark run is held against")
+    p.add_argument("--evidence", help="folder of benchmark figures; a run of a million rows needs both scenarios of 100,000 there")
     a = p.parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if a.mode == "PREFLIGHT":
+        print(json.dumps(summaries.preflight(Store(spark, a.store), a.request)))
+        return 0
+    if a.mode == "SUMMARY":
+        found = summaries.summary(Store(spark, a.store), a.request)
+        if a.report:
+            summaries.write_summary(a.report, found, spark)
+        print(json.dumps(found))
+        return 1 if found["faults"] else 0
+    if a.evidence and a.mode == "BENCHMARK" and (wrong := evidence.million_gate(a.rows, evidence.read(a.evidence), a.seed)):
+        p.error("; ".join(wrong))
     origin = {"pages": a.pages, "url": a.url, "folder": a.folder, "since": a.since, "until": a.until, "limit": a.limit}
     identity = {"BACKFILL": origin, "INCREMENTAL": {**origin, "source": a.source, "bootstrap": a.bootstrap}, "REPLAY_ERRORS": {"source_execution": a.source_execution}, "BENCHMARK": {"rows": a.rows, "seed": a.seed}}[a.mode]
     request, more, store = Request(a.request, a.mode, identity), {}, Store(spark, a.store)
@@ -67,6 +82,12 @@ def main(argv: list[str] | None = None) -> int:
         ranges, field = ([(since, until)], "created-date") if a.mode == "BACKFILL" else (day_windows(spark, since, until), "index-date")
         more["plan"] = {"plan": ranges, "limit": a.limit, "cap": a.page_cap, "field": field, **({"url": a.url} if a.url else {"folder": a.folder})}
     code = run(store, request, chunk_size=a.chunk_size, **more)
+    if a.evidence and a.scenario and a.mode == "BENCHMARK" and code != EXIT["ALREADY_COMPLETED"]:
+        figures = summaries.benchmark_evidence(store, request.execution_id, a.scenario, a.rows, a.seed)
+        evidence.write(a.evidence, figures)
+        code = code or int(bool(figures["contradictions"]))
+    if a.report:
+        summaries.write_summary(a.report, summaries.summary(store, a.request), spark)
     if a.outcome:
         evidence.outcome_file(a.outcome, code, "sync", request.request_id, request.mode, request.execution_id)
     return code

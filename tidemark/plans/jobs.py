@@ -92,6 +92,15 @@ class Run:
         """This execution's rows of a table: of folders committed for it, or for none alone."""
         return self.store.read(name, shape, at, self.id).where(F.col("execution_id") == self.id)
 
+    def step(self, name: str, work, *args, **more):
+        """work(...), with its begin and end kept among the run's facts, also where it fails."""
+        began = datetime.now(UTC).isoformat()
+        try:
+            return work(*args, **more)
+        finally:
+            times = [began, datetime.now(UTC).isoformat()]
+            self.store.transact(lambda at: self.store.commit(facts=self._fact(at, steps={**self.state(at).get("steps", {}), name: times}), base=at))
+
     def begin(self) -> str | None:
         """Freezes the request; ALREADY_COMPLETED for a run that has ended well, an error for a changed request."""
         have = self.state()
@@ -173,7 +182,7 @@ class Run:
         """Appends rows that aren't staged yet, gives them keys after all others, and freezes count and bound."""
         self.store.transact(lambda at: self._stage(rows, state, {}, at))
 
-    def _stage(self, rows: DataFrame, state: str, tables: dict[str, DataFrame], at: dict) -> None:
+    def _stage(self, rows: DataFrame, state: str, tables: dict[str, DataFrame], at: dict, **more) -> None:
         have, top = self._read("staging", schema.STAGING, at), at["facts"].get("top_key", 0)
         new = staging.append_missing(rows.withColumn("execution_id", F.lit(self.id)), have, ["execution_id", "execution_sequence"])
         keyed, written = new.withColumn("staging_key", F.col("execution_sequence") + top), Observation()
@@ -184,7 +193,7 @@ class Run:
             seen = written.get
             n, bound = have.agg(F.count("*"), F.coalesce(F.max("staging_key"), F.lit(0))).first() if self.store.tagged("staging", at, self.id) else (0, 0)
             bound = max(bound, seen["bound"] or 0)
-            return {**self._fact(at, status=status, expected=n + seen["n"], bound=bound), "top_key": max(top, bound)}
+            return {**self._fact(at, status=status, expected=n + seen["n"], bound=bound, **more), "top_key": max(top, bound)}
 
         self.store.commit(tables, facts, more={"staging": keyed}, base=at, tag=self.id)
 
@@ -196,7 +205,8 @@ class Run:
             rows = settled(replay.snapshot(errors, self.store.read("staging", schema.STAGING, at), source_execution, self.id, settled))
             if not rows.head(1):
                 raise ValueError("the source execution has no open errors")
-            self._stage(rows, "PREPARING", {"errors": replay.counted(errors, rows, source_execution)}, at)
+            selected, bound = rows.agg(F.count("*"), F.max("source_error_key")).first()
+            self._stage(rows, "PREPARING", {"errors": replay.counted(errors, rows, source_execution)}, at, selected=selected, error_bound=bound)
 
         self.store.transact(work)
 
@@ -255,8 +265,8 @@ class Run:
         return verdict
 
     def finish(self) -> int:
-        self.synchronise()
-        return EXIT[self.verify()["status"]]
+        self.step("sync", self.synchronise)
+        return EXIT[self.step("verify", self.verify)["status"]]
 
 
 def run(store: Store, request: Request, collected: tuple[DataFrame, list[str]] | None = None, rows: DataFrame | None = None, chunk_size: int = schema.CHUNK_SIZE, pages: DataFrame | None = None, plan: dict | None = None) -> int:
@@ -266,13 +276,13 @@ def run(store: Store, request: Request, collected: tuple[DataFrame, list[str]] |
         return EXIT["ALREADY_COMPLETED"]
     if job.state()["status"] in ("PENDING", "COLLECTING"):
         if request.mode == "REPLAY_ERRORS":
-            job.stage_replay(request.identity["source_execution"])
+            job.step("collect", job.stage_replay, request.identity["source_execution"])
         elif rows is not None:
-            job.stage_rows(rows, "COLLECTING")
+            job.step("collect", job.stage_rows, rows, "COLLECTING")
         elif plan is not None:
-            job.collect(**plan)
+            job.step("collect", job.collect, **plan)
         else:
             if pages is not None:
                 job.evidence(pages)
-            job.stage_items(*collected)
+            job.step("collect", job.stage_items, *collected)
     return job.finish()
