@@ -867,3 +867,38 @@ def range_contents(spark, d):
     own = load(spark, d, "lineitem").withColumn("us", F.unix_micros(F.col("l_shipdate").cast("timestamp")))
     ranges = own.select("l_orderkey", "l_linenumber", "l_suppkey", F.col("us").alias("first_us"), (F.col("us") + F.col("l_quantity").cast("bigint") * 3_600_000_000).alias("last_us"))
     return intervals.range_contents(ranges, "first_us", "last_us", own, "us", ["l_suppkey"], 3_600_000_000)
+
+
+# Verification of one large execution
+
+
+def broken_all(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    """The chunk results of one execution of all staged rows, with a chunk left out, one that ends too late and one that counts a row too many."""
+    c = sync.chunk_results(settled(sync.decisions(rows, tgt(spark, d), CHUNK)), rows, CHUNK).where("chunk_sequence <> 3")
+    n = F.col("chunk_sequence")
+    return c.withColumn("last_staging_key", F.col("last_staging_key") + F.when(n == 2, 5).otherwise(0)).withColumn("inserted_count", F.col("inserted_count") + F.when(n == 4, 1).otherwise(0))
+
+
+BROKEN_ALL = BROKEN.replace("execution_id = 'ex2' AND ", "").replace("execution_id = 'ex3' AND ", "").replace("execution_id = 'ex1' AND ", "")
+
+
+@query(f"WITH {STG_ALL}{TGT}{DEC}{CHK}{BROKEN_ALL} SELECT * FROM vl")
+def coverage_check_all(spark, d):
+    rows = settled(stg_all(spark, d))
+    return verify.coverage(settled(broken_all(spark, d, rows)), rows, settled).select("execution_id", "chunk_sequence", "accounted", "violation")
+
+
+@query(ORACLES["coverage_first_failure"].replace(STG, STG_ALL).replace(BROKEN, BROKEN_ALL))
+def coverage_first_failure_all(spark, d):
+    rows = settled(stg_all(spark, d))
+    return verify.first_failure(verify.coverage(settled(broken_all(spark, d, rows)), rows, settled))
+
+
+@query(ORACLES["verify_verdict"].replace(STG, STG_ALL))
+def verify_verdict_all(spark, d):
+    """The verdict on one execution that holds every staged row."""
+    rows = settled(stg_all(spark, d))
+    decisions = settled(sync.decisions(rows, tgt(spark, d), CHUNK))
+    errors = settled(sync.conflict_errors(sync.row_outcomes(decisions, rows, CHUNK)))
+    expected = staging.frozen(rows).select("execution_id", "expected_count")
+    return verify.verdicts(rows, sync.chunk_results(decisions, rows, CHUNK), errors, tgt(spark, d), expected, settle=settled)
