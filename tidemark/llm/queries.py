@@ -85,6 +85,14 @@ CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT, list_tr
   lambda c, b: CASE WHEN (xor(c, b) & 1) = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END))"""
 
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+x AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+f AS (SELECT g, min(doc_id) AS first FROM x GROUP BY g),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM x JOIN f ON f.g = x.g WHERE first < doc_id),
+r AS (SELECT doc_id, count(*) AS n FROM c GROUP BY doc_id),
+k AS (SELECT a.doc_id, string_agg(a.word, ' ' ORDER BY a.j) AS kept FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w) a LEFT JOIN c ON c.doc_id = a.doc_id AND c.j = a.j WHERE c.j IS NULL GROUP BY a.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(r.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256 FROM w LEFT JOIN r ON r.doc_id = w.doc_id LEFT JOIN k ON k.doc_id = w.doc_id""",
     "op12_prefix_trie": f"""
 WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p FROM conversations WHERE conv_id IS NOT NULL),
 c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, ({CRC32} % 4)::BIGINT AS h FROM (SELECT DISTINCT conv_id FROM t)),
