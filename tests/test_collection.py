@@ -104,6 +104,8 @@ def test_a_killed_run_goes_on_from_its_frontier(spark, tmp_path, source, monkeyp
     assert [w["rows"] for w in run.state()["windows"]] == [6, 5] and [w["done"] for w in run.state()["windows"]] == [False, True]
     assert run.state()["status"] == "COLLECTING" and "staging" not in store.manifest()["tables"]
     source.asked.clear()
+    with pytest.raises(ValueError, match="not those that the run began with"):
+        jobs.run(store, request, plan={**plan, "plan": PLAN[::-1]})
     assert jobs.run(store, request, plan=plan) == 0
     assert source.cursors(DAYS[0]) == ["*", "3", "6"] and source.cursors(DAYS[1]) == []  # begun anew, as cursors don't last
     rows = store.read("staging").orderBy("execution_sequence").collect()

@@ -136,7 +136,9 @@ class Run:
         spark, going = self.store.spark, {}
         while True:
             at = self.store.manifest()
-            have = self.state(at).get("windows") or [{"rows": 0, "pages": 0, "total": 0, "done": False} for _ in plan]
+            have = self.state(at).get("windows") or [{"start": start, "end": end, "rows": 0, "pages": 0, "total": 0, "done": False} for start, end in plan]
+            if [(w["start"], w["end"]) for w in have] != [tuple(p) for p in plan]:
+                raise ValueError("the windows are not those that the run began with, in their order")
             taken, windows = 0, []
             for k, (w, (start, end)) in enumerate(zip(have, plan, strict=True)):
                 most = None if limit is None else limit - taken
@@ -152,7 +154,7 @@ class Run:
                 written = spark.read.parquet(f"{self.store.folder}/{folders['pages']}")
                 for r in written.groupBy("window_id").agg(F.max_by("progress", "page_no").alias("p")).collect():  # a row for each window
                     last[r["window_id"]] = json.loads(r["p"])
-                now = [{"rows": max(w["rows"], last[k]["taken"]), "pages": max(w["pages"], last[k]["pages"]), "total": last[k]["total"], "cursor": last[k]["cursor"], "done": last[k]["done"]} if k in last else w for k, w in enumerate(have)]
+                now = [{**w, "rows": max(w["rows"], last[k]["taken"]), "pages": max(w["pages"], last[k]["pages"]), "total": last[k]["total"], "cursor": last[k]["cursor"], "done": last[k]["done"]} if k in last else w for k, w in enumerate(have)]
                 return self._fact(at, status="COLLECTING", windows=now, stopped=None, cap=cap, limit=limit, page_bound=sum(crawl.page_bound(limit, w["total"], int(options.get("rows", schema.PAGE_SIZE))) for w in now if w["pages"]))
 
             try:
