@@ -280,10 +280,13 @@ def test_scan_carries_on_anywhere():
                 assert (again[name] == whole[name][x:y]).all()
 
 
-def test_trie_of_odd_tables(spark):
-    assert prefix_trie.trie(spark.createDataFrame([], CONV)).count() == 0
-    rows = [(7, None, None, None), (27, 0, "user", "x" * 200000), (47, 0, "user", "x" * 200000 + " y")]
-    assert sorted(map(tuple, prefix_trie.trie(spark.createDataFrame(rows, CONV)).collect()), key=str) == brute_trie(rows)
+def test_trie_of_odd_tables(spark, tmp_path):
+    rows = [(7, None, None, None), (27, 0, "user", "x" * 200000), (47, 0, "user", "x" * 200000 + " y"), (47, 0, "user", ""), (None, None, None, None), (7, None, None, None), (60, 3, "", " ")]
+    clashing = ["depth", "fp", "v", "pv", "base", "later", "h", "hash", "before", "words", "up", "n_convs", "parent_conv_id", "ids"]
+    for k, part in enumerate(([], rows)):
+        spark.createDataFrame(part, CONV).repartition(3).withColumns({c: F.lit("x") for c in clashing}).write.parquet(f"{tmp_path}/{k}/conversations.parquet")
+        got = queries.QUERIES["op12_prefix_trie"](spark, f"{tmp_path}/{k}").collect()
+        assert sorted(map(tuple, got), key=str) == brute_trie(part)
 
 
 def test_op12_on_whole_table(spark):
