@@ -109,3 +109,18 @@ def test_sql_of_substring_dedup(spark):
     duck.executemany("insert into documents values (?, ?)", rows)
     own = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_words", "n_removed", "kept_sha256")
     assert sorted(map(tuple, own.collect())) == sorted(duck.execute(queries.ORACLES["op2_substring_dedup"]).fetchall())
+
+
+def test_frame_checksums_against_bits():
+    from tidemark.llm import media
+
+    def bits(data):
+        value = 0xFFFF
+        for bit in "".join(format(x, "08b") for x in data):
+            out = value >> 15 ^ int(bit)
+            value = value << 1 & 0xFFFF ^ out * media.CRC_POLYNOMIAL
+        return value
+
+    r = random.Random(3)
+    assert media.crc16(b"123456789") == bits(b"123456789") == 0xAEE7
+    assert all(media.crc16(d) == bits(d) for d in (r.randbytes(r.randrange(40)) for _ in range(500)))

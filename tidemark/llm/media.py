@@ -34,13 +34,21 @@ QUIET, LOUD = 13, 14  # bitrate indexes: 144 and 160 kbit/s, 648 and 720 bytes a
 TITLE = b"text"
 
 
+def _crc_step(value: int) -> int:
+    """What eight shifts make of a register's upper byte."""
+    for _ in range(8):
+        value = (value << 1) ^ (CRC_POLYNOMIAL if value & 0x8000 else 0)
+    return value & 0xFFFF
+
+
+CRC_STEPS = [_crc_step(byte << 8) for byte in range(256)]
+
+
 def crc16(data: bytes) -> int:
     """The checksum of a frame: header bytes 2 and 3, and the side information."""
     value = 0xFFFF
     for byte in data:
-        value ^= byte << 8
-        for _ in range(8):
-            value = ((value << 1) ^ CRC_POLYNOMIAL if value & 0x8000 else value << 1) & 0xFFFF
+        value = (value << 8 & 0xFF00) ^ CRC_STEPS[value >> 8 ^ byte]
     return value
 
 
