@@ -9,11 +9,12 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, fm_index, grammar, lm, media, near_dedup, packing, quality, queries, secrets, substring_dedup, tokens, toxicity
-from tidemark.llm.text import load
+from tidemark.llm.text import load, utf8
 
 SMALL = "/root/testdata/sf0.01"
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -282,6 +283,19 @@ def test_words_have_the_ids_of_their_lines():
         assert coder.flat[coder.at[k] : coder.at[k] + coder.n[k]].tolist() == e.ids
 
 
+def test_parts_of_words_have_the_ids_of_whole_texts():
+    r = random.Random(5)
+    atoms = [*"abstrelvmdABSTZ0189''''.,-_|<>$(){}=\x00\x1c\x7f\t\n  \x0b", "é", "É", "W\u030a", "\u0301", "\u0338", "ß", "\u0130", "\u03a3", "\u0663", "½", "\u00a0", "\u0085", "\u2003", "中", "\u1100", "\u1161", "\U0001f600", "\u200d"]
+    atoms += ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "n't", "don't"]
+    texts = ["".join(r.choice(atoms) for _ in range(r.randrange(60))) for _ in range(4000)] + ["", None, "a", "it's", "A,b", "a" * 9000]
+    coder = tokens.WordEncoder(tokens.vocabulary())
+    for _ in range(2):  # learnt, then found
+        ids, n = coder.encode(*utf8(pa.array(texts, pa.string())))
+        ends = np.cumsum(n)
+        for text, a, b in zip(texts, (ends - n).tolist(), ends.tolist(), strict=True):
+            assert ids[a:b].tolist() == [*coder.tokenizer.encode(text or "", add_special_tokens=False).ids, tokens.END]
+
+
 def held_out(spark, got, label):
     lab = {r.doc_id: r[label] for r in load(spark, "/root/testdata/sf0.1", "labels").collect() if r[label] is not None}
     return [(r.predicted, lab[r.doc_id]) for r in got.collect() if r.held_out and r.doc_id in lab]

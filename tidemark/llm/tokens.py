@@ -1,9 +1,11 @@
 """Token ids of whole texts, from a public tokenizer whose units never cross white space.
 
-Such a tokenizer gives a text the ids of its white-space separated words, one after another. So a task encodes each
-distinct word once, with the tokenizers library, and looks all others up by their hash, in a table that is half empty
-at least; of two words with one slot the later takes the next that is free. New words are encoded as lines
-of LINE words, and the ids dealt to the words by the offsets at which they begin.
+Such a tokenizer gives a text the ids of its white-space separated words, one after another. A word is parted
+further where its pattern always ends one match and begins another, and parts in ASCII are lower-cased, as the tokenizer
+does itself.
+So a task encodes each distinct part once, with the tokenizers library, and looks all others up by their hash, in a table
+that is half empty at least; of two parts with one slot the later takes the next that is free. New parts are encoded as
+lines of LINE parts, and the ids dealt to them by the offsets at which they begin.
 """
 
 from __future__ import annotations
@@ -12,15 +14,25 @@ import os
 
 import numpy as np
 
-from .text import U, hash_spans, kept, spans
+from .text import SPACE, U, hash_spans, kept, spans
 
 #: The id that ends each document.
 END = 1
-#: Words that a worker keeps at most; beyond, it forgets them all and starts anew.
+#: Parts that a worker keeps at most; beyond, it forgets them all and starts anew.
 KEPT_WORDS = 1 << 20
 SLOTS = 21
 LINE = 64
 
+BAR = ord("|")  # the sign that the special tokens' strings hold
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_letter = (LOWER >= 97) & (LOWER <= 122)
+#: 0 for white space, 1 letters, 2 digits, 3 other signs, 4 for bytes beyond ASCII, 7 the apostrophe, which may take letters with it.
+SORT = np.select([SPACE, _letter, (LOWER >= 48) & (LOWER <= 57), LOWER > 127, LOWER == ord("'")], [0, 1, 2, 4, 7], 3).astype(np.uint8)
+#: By the sorts of two bytes side by side, the first one's times 8: whether a match always ends between them.
+APART = np.zeros(64, bool)
+APART[[8 * a + b for a, b in ((1, 2), (1, 3), (1, 7), (2, 1), (2, 2), (2, 3), (2, 7), (3, 1), (3, 2), (7, 2))]] = True
+
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
@@ -28,6 +40,39 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def parts(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes, with the parts in ASCII lower-cased; starts and ends of all parts, and each row's first one's number.
+
+    Words with a bar are neither parted nor lower-cased.
+    """
+    starts, ends, first = spans(raw, rows)
+    if not len(starts):
+        return raw, starts, ends, first
+    sort = SORT[raw]
+    marks = np.zeros(raw.size + 1, bool)
+    marks[starts] = True
+    cuts = np.flatnonzero(APART[8 * sort[:-1] + sort[1:]] & ~marks[1:-1]) + 1
+    held = raw > 127
+    bars = np.flatnonzero(raw == BAR)
+    if len(bars):
+        held[bars] = True
+        barred = np.zeros(len(starts), bool)
+        barred[np.searchsorted(starts, bars, side="right") - 1] = True
+        cuts = cuts[~barred[np.searchsorted(starts, cuts, side="right") - 1]]
+    marks[cuts] = True
+    starts = np.flatnonzero(marks)
+    marks[:] = False
+    marks[ends], marks[cuts] = True, True
+    ends, lower = np.flatnonzero(marks), LOWER[raw]
+    if held.any():
+        total = np.concatenate([[0], np.cumsum(held, dtype=np.int32)])
+        some = np.flatnonzero(total[ends] > total[starts])
+        at = np.repeat(starts[some] - np.append(0, np.cumsum(ends[some] - starts[some])[:-1]), ends[some] - starts[some])
+        at += np.arange(len(at))
+        lower[at] = raw[at]
+    return lower, starts, ends, np.searchsorted(starts, rows)
+
+
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of that file."""
     return kept(f"tokenizer {path}", lambda: WordEncoder(path))
@@ -85,7 +130,7 @@ class WordEncoder:
 
     def encode(self, raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, END after each row's; and each row's number of ids, END included."""
-        starts, ends, first = spans(raw, rows)
+        raw, starts, ends, first = parts(raw, rows)
         hashes = hash_spans(raw, starts, ends)
         found = self._find(hashes)
         new = np.flatnonzero(found < 0)
