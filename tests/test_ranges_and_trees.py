@@ -33,6 +33,41 @@ def test_contents_of_overlapping_ranges(spark):
     assert sorted(got, key=str) == sorted([(1, 3, 3, 1, 3), (2, 8, 5, 2, 8), (2, 8, 5, 2, 8), (4, 4, 0, None, None), (8, 9, 2, 8, 8)], key=str)
 
 
+@pytest.mark.parametrize(("heavy", "seed"), [(200_000, 1), (40, 2), (3, 3), (1, 4)])
+def test_contents_against_all_pairs_over_any_cuts(spark, heavy, seed):
+    r = random.Random(seed)
+    keys = [0.0, -0.0, float("nan"), 2.5, None]
+    rows = [(r.choice(keys), r.choice("ab"), r.choice([r.randrange(-500, 500), 7, None])) for _ in range(400)]
+    ranges = [(k, r.choice(keys), r.choice("ab"), a, a + r.choice([-1, 0, 1, 5, 64, 900])) for k in range(100) for a in [r.randrange(-600, 600)]]
+    ranges += [(200 + k, 2.5, "a", 7, 7 + k % 3) for k in range(60)] + [(99, 2.5, "a", -(2**62), 2**62), (98, 2.5, "b", None, 5), (99, 2.5, "a", -(2**62), 2**62)]
+    p, q = spark.createDataFrame(rows, "f double, g string, at int"), spark.createDataFrame(ranges, "q long, f double, g string, first long, last long")
+    for by in (["f", "g"], ["g"], []):
+        key = lambda f, g: tuple(str(f + 0.0 if f is not None else None) if c == "f" else g for c in by)
+        want = []
+        for x in ranges:
+            held = [a for f, g, a in rows if a is not None and x[3] is not None and key(f, g) == key(*x[1:3]) and "None" not in key(f, g) and x[3] <= a <= x[4]]
+            want.append((x[0], len(held), min(held, default=None), max(held, default=None)))
+        out = intervals.range_contents(q, "first", "last", p, "at", by, heavy=heavy)
+        assert sorted((tuple(x) for x in out.select("q", "rows_in_range", "least", "most").collect()), key=str) == sorted(want, key=str)
+        assert [f.dataType.simpleString() for f in out.select("rows_in_range", "least", "most").schema] == ["bigint", "int", "int"]
+
+
+def most_rows(plan):
+    """The greatest number of rows that a step of an executed plan gave."""
+    name = plan.nodeName()
+    inner = [plan.executedPlan()] if name == "AdaptiveSparkPlan" else [plan.plan()] if name.endswith("QueryStage") else []
+    found, children = plan.metrics().get("numOutputRows"), plan.children()
+    return max([found.get().value() if found.isDefined() else 0, *map(most_rows, inner), *(most_rows(children.apply(j)) for j in range(children.length()))])
+
+
+@pytest.mark.parametrize("heavy", [200_000, 100])
+def test_no_row_for_each_pair_of_ranges_and_rows(spark, heavy):
+    rows, ranges = spark.range(1000), spark.range(1000).select((-F.col("id")).alias("a"), (F.col("id") + 1000).alias("b"))
+    out = intervals.range_contents(ranges, "a", "b", rows, "id", heavy=heavy)
+    assert {x.rows_in_range for x in out.collect()} == {1000}
+    assert 1000 <= most_rows(out._jdf.queryExecution().executedPlan()) < 20_000
+
+
 def plain_tree(rows, width, fan, levels):
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     text = lambda row: "".join("-" if v is None else f"{len(str(v))}:{v}" for v in row)

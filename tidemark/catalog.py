@@ -866,7 +866,7 @@ def range_contents(spark, d):
     """For every line, how many of its supplier's lines ship within as many hours from its own as it has pieces: overlapping ranges of all lengths."""
     own = load(spark, d, "lineitem").withColumn("us", F.unix_micros(F.col("l_shipdate").cast("timestamp")))
     ranges = own.select("l_orderkey", "l_linenumber", "l_suppkey", F.col("us").alias("first_us"), (F.col("us") + F.col("l_quantity").cast("bigint") * 3_600_000_000).alias("last_us"))
-    return intervals.range_contents(ranges, "first_us", "last_us", own, "us", ["l_suppkey"], 3_600_000_000)
+    return intervals.range_contents(ranges, "first_us", "last_us", own, "us", ["l_suppkey"])
 
 
 # Verification of one large execution
