@@ -51,10 +51,10 @@ def in_ranges(points: DataFrame, at: str, ranges: DataFrame, first: str, last: s
     return p.join(r, [*on, "_part"]).where((F.col(at) >= F.col(first)) & (F.col(at) <= F.col(last))).drop("_level", "_bin", "_part")
 
 
-def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[list[str], DataFrame]:
-    """df with its keys again under names of our own (one constant if there is none), floating ones as text so that equal ones look alike."""
+def _keyed(df: DataFrame, keys: Sequence[str], **more: Column) -> tuple[list[str], DataFrame]:
+    """Its keys under names of our own (one constant if there is none), floating ones as text so that equal ones look alike, and more columns of df."""
     own = {f"_k{j}": (F.col(k) + 0.0).cast("string") if df.schema[k].dataType.typeName() in ("double", "float") else F.col(k) for j, k in enumerate(keys)} or {"_k0": F.lit(0)}
-    return list(own), df.withColumns(own)
+    return list(own), df.select(*[c.alias(name) for name, c in (own | more).items()])
 
 
 def _with_bin(df: DataFrame, keys: Sequence[str], cuts: DataFrame | None, **places: str) -> DataFrame:
@@ -131,10 +131,10 @@ def range_contents(ranges: DataFrame, first: str, last: str, rows: DataFrame, at
     count as a whole. Places and bounds are whole numbers; a null place, bound or key, and a range that ends before it begins, meet nothing.
     """
     own = [*keys, first, last]
-    there = rows.select(*keys, F.col(at).cast("bigint").alias("_at"))
-    for c in there.columns:
+    there = rows
+    for c in [*keys, at]:
         there = there.where(F.col(c).isNotNull())
-    names, points = _keyed(there, keys)
+    names, points = _keyed(there, keys, _at=F.col(at).cast("bigint"))
     cut = points.where(F.pmod(F.xxhash64(*names, "_at"), F.lit(heavy)) == 0).groupBy(*names).agg(F.sort_array(F.collect_set("_at")).alias("_cuts"))
     cuts = None
     if not cut.isEmpty():
@@ -149,10 +149,9 @@ def range_contents(ranges: DataFrame, first: str, last: str, rows: DataFrame, at
     kind = rows.schema[at].dataType
     figures = [F.col("_held").alias("rows_in_range"), F.col("_least").cast(kind).alias("least"), F.col("_most").cast(kind).alias("most")]
     without = ranges.where(~good).select(*own, *rest, F.lit(0).cast("bigint").alias("rows_in_range"), F.lit(None).cast(kind).alias("least"), F.lit(None).cast(kind).alias("most"))
-    placed = _keyed(ranges.where(good).withColumns({"_first": F.col(first).cast("bigint"), "_last": F.col(last).cast("bigint")}), keys)[1]
+    placed = _keyed(ranges.where(good), keys, _first=F.col(first).cast("bigint"), _last=F.col(last).cast("bigint"), _row=F.struct(*own, *rest))[1]
     placed = _with_bin(placed, names, cuts, _bin="_first", _end="_last")
-    near = placed.where("_bin = _end").select(*names, "_bin", "_first", "_last", F.struct(*own, *rest).alias("_row"))
-    out = _looked_up(points, near, names, heavy).select("_row.*", *figures).unionByName(without)
+    out = _looked_up(points, placed.where("_bin = _end"), names, heavy).select("_row.*", *figures).unionByName(without)
     if cuts is None:
         return out
     far = placed.where("_bin < _end")
@@ -167,4 +166,4 @@ def range_contents(ranges: DataFrame, first: str, last: str, rows: DataFrame, at
     between = once.where("_end - _bin > 1").join(F.broadcast(after), [*names, "_bin"]).join(F.broadcast(until), [*names, "_end"])
     inner = between.select(*names, "_first", "_last", (F.col("_upto") - F.col("_below")).alias("_held"), "_least", "_most")
     sums = outer.unionByName(inner).groupBy(*names, "_first", "_last").agg(F.sum("_held").alias("_held"), F.min("_least").alias("_least"), F.max("_most").alias("_most"))
-    return out.unionByName(far.join(sums, [*names, "_first", "_last"]).select(*own, *rest, *figures))
+    return out.unionByName(far.join(sums, [*names, "_first", "_last"]).select("_row.*", *figures))
