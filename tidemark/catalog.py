@@ -63,9 +63,9 @@ stg AS (SELECT event_id + 1 AS staging_key, 'ex' || (event_id // {EXECUTION}) AS
 st AS (SELECT *, sha256(doi || '|' || content) AS content_hash, ((execution_sequence - 1) // {CHUNK}) + 1 AS chunk FROM stg)"""
 
 
-def tgt(spark: SparkSession, d: str) -> DataFrame:
-    """Latest row of each doi among every tenth event, ties by the greatest key."""
-    rows = stg(spark, d).where((F.col("staging_key") - 1) % 10 == 0)
+def tgt(spark: SparkSession, d: str, staged: DataFrame | None = None) -> DataFrame:
+    """Latest row of each doi among every tenth event, ties by the greatest key; staged: the rows of stg(), if they are at hand."""
+    rows = (stg(spark, d) if staged is None else staged).where((F.col("staging_key") - 1) % 10 == 0)
     best = rows.groupBy("doi").agg(F.max(F.struct("indexed_at", "staging_key", "content_hash", "content")).alias("b"))
     return best.select(F.col("b.staging_key").cast("string").alias("id"), "doi", F.col("b.content_hash").alias("content_hash"), F.col("b.content").alias("content"), F.col("b.indexed_at").alias("source_indexed_at"), F.lit("old").alias("created_at"), F.lit("old").alias("updated_at"))
 
@@ -444,11 +444,19 @@ def winner_checksum_mismatch(spark, d):
     "SELECT * EXCLUDE (expected), CASE WHEN expected <> eligible OR eligible <> accounted THEN 'counts' WHEN conflicts <> open_conflicts THEN 'error counts' WHEN missing > 0 THEN 'missing targets' WHEN mismatches > 0 THEN 'winner checksum' WHEN conflicts > 0 THEN 'conflicts' END AS reason, CASE WHEN expected <> eligible OR eligible <> accounted OR conflicts <> open_conflicts OR missing > 0 OR mismatches > 0 OR conflicts > 0 THEN 'FAILED' ELSE 'COMPLETED' END AS status FROM f"
 )
 def verify_verdict(spark, d):
-    rows, decisions = decided(spark, d)
-    decisions = settled(decisions)
-    errors = settled(sync.conflict_errors(sync.row_outcomes(decisions, rows, CHUNK)))
+    rows = settled(stg(spark, d))
+    target = tgt(spark, d, rows)
     expected = staging.frozen(rows).select("execution_id", (F.col("expected_count") + F.when(F.col("execution_id") == "ex0", 1).otherwise(0)).alias("expected_count"))
-    return verify.verdicts(rows, sync.chunk_results(decisions, rows, CHUNK), errors, tgt(spark, d), expected, settle=settled)
+    return verdict_of(rows, target, expected)
+
+
+def verdict_of(rows: DataFrame, target: DataFrame, expected: DataFrame) -> DataFrame:
+    """Settled rows synchronised with a target and verified; what more than one step reads is settled."""
+    target = settled(target.select("doi", "source_indexed_at", "content_hash"))
+    decisions = settled(sync.decisions(rows, target, CHUNK).drop("content_hash", "split"))
+    errors = settled(sync.conflict_errors(sync.row_outcomes(sync.in_conflict(decisions), rows, CHUNK)))
+    chunks = settled(sync.chunk_results(decisions, rows, CHUNK))
+    return verify.verdicts(rows, chunks, errors, target, expected, settle=settled)
 
 
 @query("SELECT o_orderstatus, strftime(max(o_orderdate), '%Y-%m-%d') AS latest, count(*) AS n FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') GROUP BY ALL")
@@ -898,7 +906,4 @@ def coverage_first_failure_all(spark, d):
 def verify_verdict_all(spark, d):
     """The verdict on one execution that holds every staged row."""
     rows = settled(stg_all(spark, d))
-    decisions = settled(sync.decisions(rows, tgt(spark, d), CHUNK))
-    errors = settled(sync.conflict_errors(sync.row_outcomes(decisions, rows, CHUNK)))
-    expected = staging.frozen(rows).select("execution_id", "expected_count")
-    return verify.verdicts(rows, sync.chunk_results(decisions, rows, CHUNK), errors, tgt(spark, d), expected, settle=settled)
+    return verdict_of(rows, tgt(spark, d), staging.frozen(rows).select("execution_id", "expected_count"))

@@ -22,8 +22,12 @@ def chunk_of(sequence: Column, chunk_size: int = CHUNK_SIZE) -> Column:
 
 
 def groups(staging: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
-    """One row for each execution, doi and chunk: latest time, its rows, digests and least key, and older rows."""
-    timed = staging.withColumn("chunk", chunk_of(F.col("execution_sequence"), chunk_size)).groupBy(*_GROUP, "indexed_at").agg(F.count("*").alias("n"), F.min("content_hash").alias("least"), F.max("content_hash").alias("most"), F.min("staging_key").alias("key"))
+    """One row for each execution, doi and chunk: latest time, its rows, digests and least key, and older rows.
+
+    A chunk's rows are brought together, which are as few for every doi, and are sorted once for both levels.
+    """
+    own = staging.select("execution_id", "doi", "indexed_at", "content_hash", "staging_key", chunk_of(F.col("execution_sequence"), chunk_size).alias("chunk"))
+    timed = own.repartition("execution_id", "chunk").groupBy(*_GROUP, "indexed_at").agg(F.count("*").alias("n"), F.min("content_hash").alias("least"), F.max("content_hash").alias("most"), F.min("staging_key").alias("key"))
     best = timed.groupBy(*_GROUP).agg(F.max(F.struct("indexed_at", "n", "least", "most", "key")).alias("b"), F.sum("n").alias("n"))
     return best.select(
         *_GROUP, F.col("b.indexed_at").alias("latest_at"), "n", F.col("b.n").alias("ties"), (F.col("n") - F.col("b.n")).alias("older"),
@@ -36,14 +40,15 @@ def decisions(staging: DataFrame, target: DataFrame | None = None, chunk_size: i
 
     target(doi, source_indexed_at, content_hash) is what each execution starts from; executions don't see each other.
     """
-    found = groups(staging, chunk_size)
-    if target is not None:
-        start = target.select("doi", F.col("source_indexed_at").alias("latest_at"), "content_hash")
-        own = found.select("execution_id", "doi").distinct().join(start, "doi")
-        found = found.unionByName(own.withColumns({"chunk": F.lit(0).cast("bigint"), "n": F.lit(0).cast("bigint"), "ties": F.lit(0).cast("bigint"), "older": F.lit(0).cast("bigint"), "split": F.lit(False), "winner_key": F.lit(None).cast("bigint")}))
+    seen = groups(staging, chunk_size)
+    columns = seen.columns
     before = Window.partitionBy("execution_id", "doi").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    state = F.when(~F.col("split"), F.struct("latest_at", F.negative("chunk").alias("rank"), "content_hash"))
-    seen = found.withColumn("was", F.max(state).over(before))
+    was = F.max(F.when(~F.col("split"), F.struct("latest_at", F.negative("chunk").alias("rank"), "content_hash"))).over(before)
+    if target is not None:
+        start = F.struct(F.col("source_indexed_at").alias("latest_at"), F.lit(0).cast("bigint").alias("rank"), "content_hash")
+        seen = seen.join(target.groupBy("doi").agg(F.max(start).alias("_start")), "doi", "left")
+        was = F.greatest(was, F.col("_start"))
+    seen = seen.withColumn("was", was)
     newer, same = F.col("latest_at") > F.col("was.latest_at"), F.col("content_hash") == F.col("was.content_hash")
     decision = (
         F.when(F.col("split"), "GROUP_CONFLICT")
@@ -54,7 +59,7 @@ def decisions(staging: DataFrame, target: DataFrame | None = None, chunk_size: i
         .when(same, "NO_OP")
         .otherwise("CONFLICT")
     )
-    return seen.withColumn("decision", decision).where("chunk > 0").drop("was")
+    return seen.where("chunk > 0").select(*columns, decision.alias("decision"))
 
 
 def _counts() -> list[Column]:
@@ -88,6 +93,11 @@ def conflict_errors(outcomes: DataFrame) -> DataFrame:
     return outcomes.where("outcome = 'CONFLICT'").select("execution_id", "staging_key", F.lit("CONFLICT").alias("error_type"), F.lit(CONFLICT_CODE).alias("error_code"), F.lit("OPEN").alias("status"), F.lit(0).alias("replay_count"))
 
 
+def in_conflict(decided: DataFrame) -> DataFrame:
+    """The groups that have rows in conflict: row_outcomes() of them alone has all such rows."""
+    return decided.where("decision in ('GROUP_CONFLICT', 'CONFLICT')")
+
+
 def winners(decided: DataFrame) -> DataFrame:
     """The group that the target is left with, one for each execution and doi that changes it, and how it got there.
 

@@ -12,17 +12,22 @@ def accounted() -> Column:
     return sum((F.col(c) for c in COUNTERS[1:]), F.col(COUNTERS[0]))
 
 
-def _chunk_of_rows(chunks: DataFrame, staging: DataFrame, settle) -> DataFrame:
-    """Each staged row's key with the range of the chunk that starts last at or before it, without gathering an execution's keys.
-
-    Starts and rows are range-partitioned together; a partition's first rows take the last start of the partitions before.
-    """
+def _placed(chunks: DataFrame, staging: DataFrame) -> DataFrame:
+    """Starts of chunks (row 0) and keys of staged rows (row 1), range-partitioned together and in order."""
     both = F.struct("first_staging_key", "last_staging_key")
     starts = chunks.select("execution_id", F.col("first_staging_key").alias("k"), F.lit(0).alias("row"), both.alias("_start"))
     rows = staging.select("execution_id", F.col("staging_key").alias("k"), F.lit(1).alias("row"), F.lit(None).cast("struct<first_staging_key:bigint,last_staging_key:bigint>").alias("_start"))
     ranged = starts.unionByName(rows).repartitionByRange("execution_id", "k", "row").sortWithinPartitions("execution_id", "k", "row")
-    placed = settle(ranged.withColumn("_part", F.spark_partition_id()))
-    ends = placed.groupBy("execution_id", "_part").agg(F.max_by("_start", F.when(F.col("row") == 0, F.col("k"))).alias("_end"))  # a row or two for each partition
+    return ranged.withColumn("_part", F.spark_partition_id())
+
+
+def _chunk_of_rows(placed: DataFrame) -> DataFrame:
+    """Each staged row's key with the range of the chunk that starts last at or before it, without gathering an execution's keys.
+
+    A partition's first rows take the last start of the partitions before.
+    """
+    last = placed.where("row = 0").groupBy("execution_id", "_part").agg(F.max_by("_start", "k").alias("_end"))
+    ends = placed.select("execution_id", "_part").distinct().join(last, ["execution_id", "_part"], "left")  # a row or two for each partition
     earlier = Window.partitionBy("execution_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select("execution_id", "_part", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
     here = Window.partitionBy("execution_id", "_part").orderBy("k", "row").rowsBetween(Window.unboundedPreceding, 0)
@@ -40,8 +45,9 @@ def coverage(chunks: DataFrame, staging: DataFrame, settle=lambda df: df) -> Dat
     """
     w = Window.partitionBy("execution_id").orderBy("chunk_sequence")
     checked = chunks.withColumn("n", accounted()).withColumn("_last", F.lag("last_staging_key", 1, 0).over(w)).withColumn("_sequence", F.lag("chunk_sequence", 1, 0).over(w))
-    bounds = staging.groupBy("execution_id").agg(F.max("staging_key").alias("_bound"))
-    held = _chunk_of_rows(chunks, staging, settle)
+    placed = settle(_placed(chunks, staging))
+    bounds = placed.where("row = 1").groupBy("execution_id").agg(F.max("k").alias("_bound"))
+    held = _chunk_of_rows(placed)
     held = held.where("k <= _c.last_staging_key").groupBy("execution_id", F.col("_c.first_staging_key").alias("first_staging_key")).agg(F.count("*").alias("rows_in_range"), F.min("k").alias("_min"), F.max("k").alias("_max"))
     wrong = (
         F.when(F.col("chunk_sequence") != F.col("_sequence") + 1, "gap")
@@ -88,13 +94,21 @@ def winner_mismatches(staging: DataFrame, errors: DataFrame, target: DataFrame)
     return best.join(target.select("doi", "source_indexed_at", "content_hash"), "doi").where(bad).select("execution_id", "doi", "staging_key")
 
 
-def target_figures(staging: DataFrame, errors: DataFrame, target: DataFrame) -> DataFrame:
-    """Per execution missing (see missing_targets) and mismatches (see winner_mismatches), from one pass over each table."""
-    fine = staging.join(errors.where("status = 'OPEN'").select("execution_id", "staging_key"), ["execution_id", "staging_key"], "left_anti")
-    best = fine.groupBy("execution_id", "doi").agg(F.max(F.struct("indexed_at", F.negative("staging_key").alias("k"), F.col("content_hash").alias("wanted"))).alias("b"))
-    both = best.join(target.select("doi", "source_indexed_at", "content_hash", F.lit(True).alias("_there")), "doi", "left")
-    bad = (F.col("source_indexed_at") < F.col("b.indexed_at")) | ((F.col("source_indexed_at") == F.col("b.indexed_at")) & (F.col("content_hash") != F.col("b.wanted")))
-    return both.groupBy("execution_id").agg(F.count_if(F.col("_there").isNull()).alias("missing"), F.count_if(F.col("_there") & bad).alias("mismatches"))
+def row_figures(staging: DataFrame, errors: DataFrame, target: DataFrame) -> DataFrame:
+    """Per execution eligible(), rows without a source error, missing (see missing_targets) and mismatches (see winner_mismatches), from one pass over each table."""
+    opened = errors.where("status = 'OPEN'").select("execution_id", "staging_key").distinct().withColumn("_open", F.lit(True))
+    own = staging.select("execution_id", "staging_key", "doi", "indexed_at", "content_hash", "source_error_key").join(opened, ["execution_id", "staging_key"], "left")
+    fine = F.when(F.col("_open").isNull(), F.struct("indexed_at", F.negative("staging_key").alias("k"), F.col("content_hash").alias("wanted")))
+    best = own.groupBy("execution_id", "doi").agg(F.count("*").alias("n"), F.count_if(F.col("source_error_key").isNull()).alias("unlinked"), F.max(fine).alias("b"))
+    copy = F.row_number().over(Window.partitionBy("doi").orderBy("source_indexed_at"))  # a doi that the target has twice counts once among the rows
+    both = best.join(target.select("doi", "source_indexed_at", F.col("content_hash").alias("_held"), copy.alias("_copy")), "doi", "left")
+    first = F.coalesce("_copy", F.lit(1)) == 1
+    bad = (F.col("source_indexed_at") < F.col("b.indexed_at")) | ((F.col("source_indexed_at") == F.col("b.indexed_at")) & (F.col("_held") != F.col("b.wanted")))
+    out = both.groupBy("execution_id").agg(
+        F.sum(F.when(first, F.col("n"))).alias("eligible"), F.count_if(first & F.col("doi").isNotNull()).alias("distinct_dois"), F.sum(F.when(first, F.col("unlinked"))).alias("unlinked"),
+        F.count_if(F.col("b").isNotNull() & F.col("_copy").isNull()).alias("missing"), F.count_if(F.col("_copy").isNotNull() & bad).alias("mismatches"),
+    )
+    return out.withColumn("duplicates", F.col("eligible") - F.col("distinct_dois"))
 
 
 def verdicts(staging: DataFrame, chunks: DataFrame, errors: DataFrame, target: DataFrame, expected: DataFrame, replay: bool = False, settle=lambda df: df) -> DataFrame:
@@ -109,9 +123,8 @@ def verdicts(staging: DataFrame, chunks: DataFrame, errors: DataFrame, target: D
     opened = errors.where("status = 'OPEN'").groupBy("execution_id").agg(
         F.count_if(F.col("error_type") == "CONFLICT").alias("open_conflicts"), F.count_if(F.col("error_type") == "VALIDATION").alias("open_validations"), F.count_if(~F.col("error_type").isin("CONFLICT", "VALIDATION")).alias("open_others")
     )
-    rows = staging.groupBy("execution_id").agg(F.count("*").alias("eligible"), F.count_distinct("doi").alias("distinct_dois"), F.count_if(F.col("source_error_key").isNull()).alias("unlinked"))
     out = expected
-    for part in (totals, failures, opened, rows.withColumn("duplicates", F.col("eligible") - F.col("distinct_dois")), target_figures(staging, errors, target)):
+    for part in (totals, failures, opened, row_figures(staging, errors, target)):
         out = out.join(part, "execution_id", "left")
     figures = ["eligible", "distinct_dois", "duplicates", "accounted", "conflicts", "validations", "open_conflicts", "open_validations", "open_others", "missing", "mismatches"]
     out = out.withColumns({c: zero(F.col(c)) for c in [*figures, "unlinked"]})
