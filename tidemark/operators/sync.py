@@ -1,8 +1,8 @@
 """Latest-wins synchronisation: one outcome for every staged row, whatever the number of chunks, in one plan.
 
 Staged rows are taken in chunks of consecutive sequence numbers, and a chunk sees the target as the chunks before have
-left it. Rows are first reduced to one for each (doi, chunk, time), with partial aggregation before the shuffle, so a
-doi that holds a third of all rows crosses as a row for each chunk. What a chunk finds in the target is the greatest
+left it. Rows are exchanged by chunk, so that none gathers a doi's rows, and reduced there to one for each doi; a doi
+that holds a third of all rows goes on as a row for each chunk. What a chunk finds in the target is the greatest
 (time, earlier chunk first) of all groups before it that were not in conflict: a running maximum over the doi's chunks.
 """
 
